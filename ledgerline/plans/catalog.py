@@ -109,3 +109,86 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     metrics = M.hourly_metrics(D.metric_events(t))
     return present(M.hourly_series(metrics, datetime(2024, 1, 1), datetime(2024, 2, 1)))
+
+
+# --------------------------------------------------------------------------- orders
+from ledgerline.operators import orders as O  # noqa: E402
+
+AS_OF = datetime(1997, 6, 1)
+LIST_STATUS, LIST_PAGE, LIST_SIZE = "SHIPPED", 2, 20
+LIST_CUSTOMER = "370"
+FIND_ORDER_ID = "1000"
+JOURNAL_COLS = ["order_id", "seq", "event_type", "ts", "customer_id", "total_amount",
+                "tracking_number", "carrier", "reason"]
+
+
+def _summary(t):
+    return O.project_order_summary(D.order_journal(t), D.order_created(t))
+
+
+@register("s4_order_journal")
+def q_s4_order_journal(spark, sf_dir):
+    return present(D.order_journal(Tables(spark, sf_dir)).select(*JOURNAL_COLS))
+
+
+@register("w1_replay_order_state")
+def q_w1_replay_order_state(spark, sf_dir):
+    return present(O.replay_order_state(D.order_journal(Tables(spark, sf_dir))))
+
+
+@register("w2_state_at")
+def q_w2_state_at(spark, sf_dir):
+    return present(O.state_at(D.order_journal(Tables(spark, sf_dir)), AS_OF))
+
+
+@register("w3_illegal_transitions")
+def q_w3_illegal_transitions(spark, sf_dir):
+    return present(O.illegal_transitions(D.order_journal(Tables(spark, sf_dir))))
+
+
+@register("k11_order_summary")
+def q_k11_order_summary(spark, sf_dir):
+    return present(_summary(Tables(spark, sf_dir)))
+
+
+@register("p14_orders_by_status")
+def q_p14_orders_by_status(spark, sf_dir):
+    return present(O.order_status_filter(_summary(Tables(spark, sf_dir)), status="DELIVERED"))
+
+
+@register("t3_list_orders")
+def q_t3_list_orders(spark, sf_dir):
+    return present(O.list_orders(_summary(Tables(spark, sf_dir)), status=LIST_STATUS,
+                                 page=LIST_PAGE, size=LIST_SIZE))
+
+
+@register("t3_list_orders_customer")
+def q_t3_list_orders_customer(spark, sf_dir):
+    return present(O.list_orders(_summary(Tables(spark, sf_dir)), customer_id=LIST_CUSTOMER))
+
+
+@register("p15_find_order")
+def q_p15_find_order(spark, sf_dir):
+    return present(O.find_order(_summary(Tables(spark, sf_dir)), FIND_ORDER_ID))
+
+
+@register("j5_orphan_status_events")
+def q_j5_orphan_status_events(spark, sf_dir):
+    return present(O.orphan_status_events(D.order_journal(Tables(spark, sf_dir))).select(*JOURNAL_COLS))
+
+
+@register("j5_status_updates")
+def q_j5_status_updates(spark, sf_dir):
+    return present(O.status_updates(D.order_journal(Tables(spark, sf_dir))).select(*JOURNAL_COLS))
+
+
+@register("a1_order_hourly_metrics")
+def q_a1_order_hourly_metrics(spark, sf_dir):
+    """q1 + q8: every status event counts once more, enriched from Created."""
+    return present(M.hourly_metrics(O.enrich_status_events(D.order_journal(Tables(spark, sf_dir)))))
+
+
+@register("a1_order_hourly_metrics_created")
+def q_a1_order_hourly_metrics_created(spark, sf_dir):
+    return present(M.hourly_metrics(O.enrich_status_events(D.order_journal(Tables(spark, sf_dir))),
+                                    statuses=["created"]))

@@ -157,3 +157,97 @@ SQL: dict[str, str] = {
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
+
+
+# --------------------------------------------------------------------------- orders
+ORDER_CTES = [CTE_ORDER_LINES, CTE_ORDER_TOTALS, CTE_JOURNAL]
+STATUS_OF = ("CASE event_type WHEN 'OrderCreated' THEN 'PENDING' WHEN 'OrderConfirmed' THEN 'CONFIRMED' "
+             "WHEN 'OrderShipped' THEN 'SHIPPED' WHEN 'OrderDelivered' THEN 'DELIVERED' "
+             "WHEN 'OrderCancelled' THEN 'CANCELLED' END")
+JOURNAL_COLS = ("order_id, seq, event_type, ts, customer_id, " + r4("total_amount") +
+                " AS total_amount, tracking_number, carrier, reason")
+
+
+def replay_sql(where: str = "TRUE") -> str:
+    return f"""SELECT order_id, arg_max({STATUS_OF}, seq) AS status, max(seq) AS last_seq,
+       arg_max(ts, seq) AS updated_at,
+       arg_max(customer_id, seq) FILTER (WHERE event_type = 'OrderCreated') AS customer_id,
+       arg_max(total_amount, seq) FILTER (WHERE event_type = 'OrderCreated') AS total_amount,
+       arg_max(ts, seq) FILTER (WHERE event_type = 'OrderCreated') AS created_at,
+       arg_max(tracking_number, seq) FILTER (WHERE event_type = 'OrderShipped') AS tracking_number,
+       arg_max(carrier, seq) FILTER (WHERE event_type = 'OrderShipped') AS carrier
+FROM journal WHERE {where} GROUP BY order_id
+HAVING bool_or(event_type = 'OrderCreated')"""
+
+
+def _jstr(x: str) -> str:
+    return f"""COALESCE('"' || replace(replace({x}, '\\', '\\\\'), '"', '\\"') || '"', 'null')"""
+
+
+CTE_CREATED_DOC = f"""items_doc AS (
+  SELECT order_id, '[' || string_agg('{{"productId":' || {_jstr('product_id')} || ',"productName":'
+         || {_jstr('product_name')} || ',"quantity":' || CAST(quantity AS VARCHAR) || ',"unitPrice":'
+         || CAST(unit_price AS VARCHAR) || '}}', ',' ORDER BY line_no, product_id, product_name, quantity, unit_price) || ']' AS items_json
+  FROM order_lines GROUP BY order_id),
+cust AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
+         'Street ' || CAST(c_custkey AS VARCHAR) || ', nation ' || CAST(c_nationkey AS VARCHAR) AS shipping_address
+  FROM customer),
+created_doc AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, COALESCE(d.items_json, '[]') AS items_json, c.shipping_address
+  FROM orders LEFT JOIN items_doc d ON d.order_id = CAST(o_orderkey AS VARCHAR)
+  LEFT JOIN cust c ON c.customer_id = CAST(o_custkey AS VARCHAR))"""
+
+CTE_SUMMARY = f"""state AS ({replay_sql()}),
+summary AS (
+  SELECT s.order_id, s.customer_id, s.status, s.total_amount, s.tracking_number, s.carrier,
+         s.created_at, s.updated_at, s.last_seq, d.items_json, d.shipping_address
+  FROM state s LEFT JOIN created_doc d ON d.order_id = s.order_id)"""
+
+SUMMARY_COLS = ("order_id, customer_id, status, " + r4("total_amount") + " AS total_amount, tracking_number, "
+                "carrier, created_at, updated_at, last_seq, items_json, shipping_address")
+
+LEGAL_SQL = "('>PENDING', 'PENDING>CONFIRMED', 'CONFIRMED>SHIPPED', 'SHIPPED>DELIVERED', " \
+            "'PENDING>CANCELLED', 'CONFIRMED>CANCELLED')"
+
+CTE_ENRICHED = """enriched AS (
+  SELECT j.order_id, c.customer_id, c.total_amount,
+         lower(regexp_replace(j.event_type, '^Order', '')) AS status, j.ts AS event_time
+  FROM journal j JOIN (SELECT order_id, customer_id, total_amount FROM journal
+                       WHERE event_type = 'OrderCreated') c ON c.order_id = j.order_id)"""
+
+SQL.update({
+    "s4_order_journal": with_ctes(*ORDER_CTES) + f"SELECT {JOURNAL_COLS} FROM journal",
+    "w1_replay_order_state": with_ctes(*ORDER_CTES) + f"""SELECT order_id, status, last_seq, updated_at,
+       customer_id, {r4('total_amount')} AS total_amount, created_at, tracking_number, carrier
+FROM ({replay_sql()}) s""",
+    "w2_state_at": with_ctes(*ORDER_CTES) + f"""SELECT order_id, status, last_seq, updated_at,
+       customer_id, {r4('total_amount')} AS total_amount, created_at, tracking_number, carrier
+FROM ({replay_sql(f"ts <= {ts(C.AS_OF)}")}) s""",
+    "w3_illegal_transitions": with_ctes(*ORDER_CTES) + f"""SELECT c.order_id, c.seq, c.event_type, c.ts,
+       p.from_status, c.to_status
+FROM (SELECT order_id, seq, event_type, ts, {STATUS_OF} AS to_status FROM journal) c
+LEFT JOIN (SELECT order_id, seq + 1 AS seq, {STATUS_OF} AS from_status FROM journal) p
+  ON p.order_id = c.order_id AND p.seq = c.seq
+WHERE COALESCE(p.from_status, '') || '>' || c.to_status NOT IN {LEGAL_SQL}""",
+    "k11_order_summary": with_ctes(*ORDER_CTES, CTE_CREATED_DOC, CTE_SUMMARY) + f"SELECT {SUMMARY_COLS} FROM summary",
+    "p14_orders_by_status": with_ctes(*ORDER_CTES, CTE_CREATED_DOC, CTE_SUMMARY)
+    + f"SELECT {SUMMARY_COLS} FROM summary WHERE status = 'DELIVERED'",
+    "t3_list_orders": with_ctes(*ORDER_CTES, CTE_CREATED_DOC, CTE_SUMMARY)
+    + f"""SELECT {SUMMARY_COLS} FROM summary WHERE status = '{C.LIST_STATUS}'
+ORDER BY created_at DESC, order_id DESC LIMIT {C.LIST_SIZE} OFFSET {C.LIST_PAGE * C.LIST_SIZE}""",
+    "t3_list_orders_customer": with_ctes(*ORDER_CTES, CTE_CREATED_DOC, CTE_SUMMARY)
+    + f"""SELECT {SUMMARY_COLS} FROM summary WHERE customer_id = '{C.LIST_CUSTOMER}'
+ORDER BY created_at DESC, order_id DESC LIMIT {config.PAGE_SIZE} OFFSET 0""",
+    "p15_find_order": with_ctes(*ORDER_CTES, CTE_CREATED_DOC, CTE_SUMMARY)
+    + f"SELECT {SUMMARY_COLS} FROM summary WHERE order_id = '{C.FIND_ORDER_ID}'",
+    "j5_orphan_status_events": with_ctes(*ORDER_CTES) + f"""SELECT {JOURNAL_COLS} FROM journal j
+WHERE event_type <> 'OrderCreated' AND NOT EXISTS (
+  SELECT 1 FROM journal c WHERE c.order_id = j.order_id AND c.event_type = 'OrderCreated')""",
+    "j5_status_updates": with_ctes(*ORDER_CTES) + f"""SELECT {JOURNAL_COLS} FROM journal j
+WHERE event_type <> 'OrderCreated' AND EXISTS (
+  SELECT 1 FROM journal c WHERE c.order_id = j.order_id AND c.event_type = 'OrderCreated')""",
+    "a1_order_hourly_metrics": with_ctes(*ORDER_CTES, CTE_ENRICHED) + hourly_metrics_sql("enriched"),
+    "a1_order_hourly_metrics_created": with_ctes(*ORDER_CTES, CTE_ENRICHED)
+    + hourly_metrics_sql("enriched", "status = 'created'"),
+})
