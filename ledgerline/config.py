@@ -75,3 +75,16 @@ EVENT_TYPE_TOPIC = {           # events.event_type -> analytics topic
     "signup": "order.cancelled",
     "error": "order.delivered",   # unknown to the analytics topic list
 }
+
+# fixed values: stock command replies
+MSG_QTY_NOT_POSITIVE = "Quantity must be positive, got {q}"
+MSG_INSUFFICIENT = "Insufficient stock for {pid}: available={avail}, requested={q}"
+MSG_NO_RESERVATION = "No active reservation found for orderId={oid} on product={pid}"
+MSG_REPLENISH_NOT_POSITIVE = "Replenish quantity must be positive, got {q}"
+MSG_ALL_RESERVED = "All {n} items reserved for order {oid}"
+STOCK_EVENT_OF_KIND = {
+    "reserve": "StockReserved",
+    "release": "ReservationReleased",
+    "confirm": "ReservationConfirmed",
+    "replenish": "StockReplenished",
+}

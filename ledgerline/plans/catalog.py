@@ -192,3 +192,95 @@ def q_a1_order_hourly_metrics(spark, sf_dir):
 def q_a1_order_hourly_metrics_created(spark, sf_dir):
     return present(M.hourly_metrics(O.enrich_status_events(D.order_journal(Tables(spark, sf_dir))),
                                     statuses=["created"]))
+
+
+# --------------------------------------------------------------------------- inventory
+from pyspark.sql import functions as F  # noqa: E402
+
+from ledgerline.operators import inventory as I  # noqa: E402
+
+
+@register("k1_stock_levels")
+def q_k1_stock_levels(spark, sf_dir):
+    return present(I.apply_stock_events(D.stock_event_ledger(Tables(spark, sf_dir))))
+
+
+@register("k1_open_reservations")
+def q_k1_open_reservations(spark, sf_dir):
+    return present(I.open_reservations(D.stock_event_ledger(Tables(spark, sf_dir))))
+
+
+@register("k6_inventory_snapshot")
+def q_k6_inventory_snapshot(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    snap = I.inventory_snapshot(D.stock_event_ledger(t))
+    names = D.stock_initial(t).select("product_id", "product_name")
+    return present(snap.join(names, "product_id", "left"))
+
+
+@register("j3_order_reservation_outcome")
+def q_j3_order_reservation_outcome(spark, sf_dir):
+    return present(I.order_reservation_outcome(D.item_results_initial(Tables(spark, sf_dir))))
+
+
+@register("a9_failure_reasons")
+def q_a9_failure_reasons(spark, sf_dir):
+    out = I.order_reservation_outcome(D.item_results_initial(Tables(spark, sf_dir)))
+    return present(out.where(~F.col("reserved")).select("order_id", "reason"))
+
+
+@register("j4_compensation_set")
+def q_j4_compensation_set(spark, sf_dir):
+    items = D.item_results_initial(Tables(spark, sf_dir))
+    return present(I.compensation_set(items).select("order_id", "line_no", "product_id", "quantity"))
+
+
+def _fold_results(t):
+    return I.apply_stock_commands(D.stock_commands(t))
+
+
+@register("k2_reserve_stock")
+def q_k2_reserve_stock(spark, sf_dir):
+    """K2–K5 and K9: the whole stock command log folded per product."""
+    return present(_fold_results(Tables(spark, sf_dir)))
+
+
+@register("k2_stock_after_fold")
+def q_k2_stock_after_fold(spark, sf_dir):
+    return present(I.apply_stock_events(I.ledger_from_results(_fold_results(Tables(spark, sf_dir)))))
+
+
+def _k7(t):
+    lines = D.created_lines(t).select("order_id", "line_no", "product_id", "quantity", "ts", "seq")
+    return I.reserve_orders(lines, D.stock_initial(t), D.EPOCH)
+
+
+@register("k7_reserve_orders")
+def q_k7_reserve_orders(spark, sf_dir):
+    return present(_k7(Tables(spark, sf_dir))["outcome"])
+
+
+@register("k7_stock_after_compensation")
+def q_k7_stock_after_compensation(spark, sf_dir):
+    return present(_k7(Tables(spark, sf_dir))["stock"])
+
+
+@register("k8_batch_reserve")
+def q_k8_batch_reserve(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    lines = D.created_lines(t).select("order_id", "line_no", "product_id", "quantity", "ts", "seq")
+    return present(I.batch_reserve(lines, D.stock_initial(t), D.EPOCH))
+
+
+@register("k9_release_confirm_orders")
+def q_k9_release_confirm_orders(spark, sf_dir):
+    res = _fold_results(Tables(spark, sf_dir))
+    return present(res.where(F.col("kind").isin("release", "confirm")))
+
+
+@register("s8_inventory_event_records")
+def q_s8_inventory_event_records(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    k7 = _k7(t)
+    when = D.order_headers(t).select("order_id", F.col("created_at").alias("ts"))
+    return I.stock_events_records(k7["outcome"].join(when, "order_id"))

@@ -251,3 +251,72 @@ WHERE event_type <> 'OrderCreated' AND EXISTS (
     "a1_order_hourly_metrics_created": with_ctes(*ORDER_CTES, CTE_ENRICHED)
     + hourly_metrics_sql("enriched", "status = 'created'"),
 })
+
+
+# --------------------------------------------------------------------------- inventory
+CTE_CREATED_LINES = f"""stock_initial AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,
+         CAST(p_size * {config.STOCK_PER_SIZE_UNIT} AS INTEGER) AS available FROM part),
+created_lines AS (
+  SELECT l.order_key, l.order_id, l.line_no, l.product_id, l.quantity, o_orderdate AS created_at,
+         o_orderstatus, o_orderpriority, CAST(l.order_key * 8 + l.line_no AS BIGINT) AS seq
+  FROM order_lines l JOIN orders ON o_orderkey = l.order_key)"""
+
+CTE_STOCK_LEDGER = """first_lines AS (
+  SELECT order_key, order_id, product_id,
+         arg_min(quantity, (line_no, quantity)) AS quantity, min(line_no) AS line_no,
+         any_value(created_at) AS created_at, any_value(o_orderstatus) AS st, any_value(o_orderpriority) AS pr
+  FROM created_lines GROUP BY order_key, order_id, product_id),
+ledger AS (
+  SELECT product_id, 'StockReplenished' AS event_type, NULL::VARCHAR AS order_id, available AS quantity,
+         TIMESTAMP '1990-01-01 00:00:00' AS ts, CAST(-1 AS BIGINT) AS seq FROM stock_initial
+  UNION ALL
+  SELECT product_id, 'StockReserved', order_id, quantity, created_at, order_key * 8 + line_no FROM first_lines
+  UNION ALL
+  SELECT product_id, 'ReservationConfirmed', order_id, quantity, created_at + INTERVAL 1 DAY, order_key * 8 + line_no
+  FROM first_lines WHERE st IN ('P', 'F')
+  UNION ALL
+  SELECT product_id, 'ReservationReleased', order_id, quantity, created_at + INTERVAL 1 DAY, order_key * 8 + line_no
+  FROM first_lines WHERE st = 'O' AND pr = '5-LOW'),
+open_res AS (
+  SELECT product_id, order_id, arg_max(quantity, (ts, seq)) AS quantity
+  FROM ledger WHERE order_id IS NOT NULL GROUP BY product_id, order_id
+  HAVING arg_max(event_type, (ts, seq)) = 'StockReserved'),
+levels AS (
+  SELECT a.product_id, a.available, COALESCE(h.reserved, 0) AS reserved,
+         CAST(a.available + COALESCE(h.reserved, 0) AS BIGINT) AS total,
+         COALESCE(h.open_reservations, 0) AS open_reservations
+  FROM (SELECT product_id, CAST(SUM(CASE WHEN event_type IN ('StockReplenished', 'ReservationReleased') THEN quantity
+                                          WHEN event_type = 'StockReserved' THEN -quantity ELSE 0 END) AS BIGINT) AS available
+        FROM ledger GROUP BY product_id) a
+  LEFT JOIN (SELECT product_id, CAST(SUM(quantity) AS BIGINT) AS reserved, COUNT(*) AS open_reservations
+             FROM open_res GROUP BY product_id) h ON h.product_id = a.product_id)"""
+
+CTE_ITEM_RESULTS = """item_results AS (
+  SELECT l.order_id, l.line_no, l.product_id, l.quantity, l.created_at AS ts, l.seq,
+         (l.quantity > 0 AND l.quantity <= COALESCE(s.available, 0)) AS ok,
+         CASE WHEN l.quantity <= 0 THEN 'Quantity must be positive, got ' || CAST(l.quantity AS VARCHAR)
+              WHEN NOT (l.quantity <= COALESCE(s.available, 0))
+              THEN 'Insufficient stock for ' || l.product_id || ': available=' || CAST(COALESCE(s.available, 0) AS VARCHAR)
+                   || ', requested=' || CAST(l.quantity AS VARCHAR) END AS message
+  FROM created_lines l LEFT JOIN stock_initial s ON s.product_id = l.product_id),
+outcome AS (
+  SELECT order_id, bool_and(ok) AS reserved, COUNT(*) AS n_items,
+         CAST(SUM(CASE WHEN ok THEN 0 ELSE 1 END) AS BIGINT) AS n_failed,
+         CASE WHEN SUM(CASE WHEN ok THEN 0 ELSE 1 END) > 0 THEN 'Insufficient stock: ' ||
+           string_agg(CASE WHEN NOT ok THEN product_id || ': ' || message END, ', '
+                      ORDER BY line_no, product_id, message) END AS reason
+  FROM item_results GROUP BY order_id)"""
+
+INV_CTES = [CTE_ORDER_LINES, CTE_CREATED_LINES]
+SQL.update({
+    "k1_stock_levels": with_ctes(*INV_CTES, CTE_STOCK_LEDGER) + "SELECT * FROM levels",
+    "k1_open_reservations": with_ctes(*INV_CTES, CTE_STOCK_LEDGER) + "SELECT * FROM open_res",
+    "k6_inventory_snapshot": with_ctes(*INV_CTES, CTE_STOCK_LEDGER)
+    + "SELECT v.*, s.product_name FROM levels v LEFT JOIN stock_initial s ON s.product_id = v.product_id",
+    "j3_order_reservation_outcome": with_ctes(*INV_CTES, CTE_ITEM_RESULTS) + "SELECT * FROM outcome",
+    "a9_failure_reasons": with_ctes(*INV_CTES, CTE_ITEM_RESULTS)
+    + "SELECT order_id, reason FROM outcome WHERE NOT reserved",
+    "j4_compensation_set": with_ctes(*INV_CTES, CTE_ITEM_RESULTS) + """SELECT i.order_id, i.line_no, i.product_id,
+       i.quantity FROM item_results i JOIN outcome o ON o.order_id = i.order_id WHERE i.ok AND NOT o.reserved""",
+})

@@ -69,7 +69,7 @@ STOCK_COMMAND = T.StructType([
     T.StructField("seq", T.LongType()),
 ])
 STOCK_RESULT_DDL = (
-    "product_id string, kind string, order_id string, quantity int, ts timestamp, seq long, "
+    "product_id string, kind string, order_id string, quantity int, ts timestamp, seq long, line_no int, "
     "ok boolean, applied boolean, effective_quantity int, message string, "
     "available_after int, reserved_after int"
 )

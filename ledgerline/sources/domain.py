@@ -183,3 +183,93 @@ def metric_event_items(t: Tables) -> DataFrame:
                     F.get_json_object("props", "$.k").alias("product_id"),
                     F.lit(1).alias("quantity"),
                     money("value").alias("unit_price")))
+
+
+# --------------------------------------------------------------------------- stock
+def line_seq(order_key: Column, line_no: Column) -> Column:
+    """Arrival sequence of a line: lines of one order in line order (line_no ≤ 7)."""
+    return (order_key * F.lit(8) + line_no).cast("long")
+
+
+def created_lines(t: Tables) -> DataFrame:
+    """Lines of created orders with the order's arrival time and a sequence."""
+    h = order_headers(t).select("order_key", "created_at", "order_status", "priority")
+    return (order_lines(t).join(h, "order_key")
+            .withColumn("ts", F.col("created_at"))
+            .withColumn("seq", line_seq(F.col("order_key"), F.col("line_no"))))
+
+
+def stock_commands(t: Tables) -> DataFrame:
+    """Stock command log: initial replenish, then per line reserve / confirm / release.
+
+    Confirm for orders confirmed (+1 day), release for cancelled orders
+    (+1 day early cancel; +3 days late cancel, which finds nothing to release).
+    """
+    lines = created_lines(t)
+    st, pr, at = F.col("order_status"), F.col("priority"), F.col("created_at")
+
+    def cmd(cond, kind, ts):
+        return F.when(cond, F.struct(F.lit(kind).alias("kind"), ts.alias("ts")))
+
+    cmds = F.array_compact(F.array(
+        cmd(F.lit(True), "reserve", at),
+        cmd(st.isin("P", "F"), "confirm", _days(at, 1)),
+        cmd((st == "O") & (pr == "5-LOW"), "release", _days(at, 1)),
+        cmd((st == "F") & (pr == "5-LOW"), "release", _days(at, 3)),
+    ))
+    per_line = (lines.select("product_id", "order_id", "quantity", "seq", "line_no", F.explode(cmds).alias("c"))
+                .select("product_id", "c.kind", "order_id", "quantity", "c.ts", "seq", "line_no"))
+    init = stock_initial(t).select(
+        "product_id", F.lit("replenish").alias("kind"), F.lit(None).cast("string").alias("order_id"),
+        F.col("available").alias("quantity"), F.lit(EPOCH).cast("timestamp").alias("ts"),
+        F.lit(-1).cast("long").alias("seq"), F.lit(None).cast("int").alias("line_no"))
+    return init.unionByName(per_line)
+
+
+def stock_event_ledger(t: Tables) -> DataFrame:
+    """A stock event log as written (no rejections): input of K1/K6 checks.
+
+    Replenish per part; one reservation per (order, product) — the first
+    line's quantity (q10) — confirmed for confirmed orders and released for
+    early-cancelled ones.
+    """
+    first = (created_lines(t).groupBy("order_key", "order_id", "product_id")
+             .agg(F.min_by(F.struct("quantity", "line_no", "created_at", "order_status", "priority"),
+                           F.struct("line_no", "quantity")).alias("f")))
+    st, pr, at = F.col("f.order_status"), F.col("f.priority"), F.col("f.created_at")
+
+    def ev(cond, etype, ts):
+        return F.when(cond, F.struct(F.lit(etype).alias("event_type"), ts.alias("ts")))
+
+    evs = F.array_compact(F.array(
+        ev(F.lit(True), "StockReserved", at),
+        ev(st.isin("P", "F"), "ReservationConfirmed", _days(at, 1)),
+        ev((st == "O") & (pr == "5-LOW"), "ReservationReleased", _days(at, 1)),
+    ))
+    per = (first.select("product_id", "order_id", F.col("f.quantity").alias("quantity"),
+                        line_seq(F.col("order_key"), F.col("f.line_no")).alias("seq"), F.explode(evs).alias("e"))
+           .select("product_id", "e.event_type", "order_id", "quantity", "e.ts", "seq"))
+    init = stock_initial(t).select(
+        "product_id", F.lit("StockReplenished").alias("event_type"), F.lit(None).cast("string").alias("order_id"),
+        F.col("available").alias("quantity"), F.lit(EPOCH).cast("timestamp").alias("ts"),
+        F.lit(-1).cast("long").alias("seq"))
+    return init.unionByName(per)
+
+
+def item_results_initial(t: Tables) -> DataFrame:
+    """Per item of every created order: can initial stock alone cover it?
+
+    An order-independent reservation check (input for J3/J4/A9): ok iff
+    0 < quantity ≤ initial available stock of the product.
+    """
+    s = stock_initial(t).select("product_id", "available")
+    lines = created_lines(t).select("order_id", "line_no", "product_id", "quantity", "ts", "seq")
+    j = lines.join(s, "product_id", "left").withColumn("available", F.coalesce("available", F.lit(0)))
+    ok = (F.col("quantity") > 0) & (F.col("quantity") <= F.col("available"))
+    msg = F.when(F.col("quantity") <= 0,
+                 F.format_string(config.MSG_QTY_NOT_POSITIVE.replace("{q}", "%d"), F.col("quantity"))) \
+           .when(~ok, F.format_string(config.MSG_INSUFFICIENT.replace("{pid}", "%s").replace("{avail}", "%d")
+                                      .replace("{q}", "%d"), F.col("product_id"), F.col("available"),
+                                      F.col("quantity")))
+    return j.select("order_id", "line_no", "product_id", "quantity", "ts", "seq",
+                    ok.alias("ok"), msg.alias("message"))
