@@ -88,3 +88,10 @@ STOCK_EVENT_OF_KIND = {
     "confirm": "ReservationConfirmed",
     "replenish": "StockReplenished",
 }
+
+# fixed values: order command rejections
+MSG_WRONG_STATUS = "Cannot {op} order {oid}: current status is {status}, expected {expected}"
+MSG_CANNOT_CANCEL = "Cannot cancel order {oid} in status {status}"
+MSG_ALREADY_CANCELLED = "Order {oid} is already cancelled"
+MSG_NOT_FOUND = "Order not found: {oid}"
+MSG_ALREADY_EXISTS = "Order already exists: {oid}"

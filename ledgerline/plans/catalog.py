@@ -284,3 +284,159 @@ def q_s8_inventory_event_records(spark, sf_dir):
     k7 = _k7(t)
     when = D.order_headers(t).select("order_id", F.col("created_at").alias("ts"))
     return I.stock_events_records(k7["outcome"].join(when, "order_id"))
+
+
+# --------------------------------------------------------------------------- order commands
+from ledgerline.operators import commands as K  # noqa: E402
+
+
+@register("k10_order_commands")
+def q_k10_order_commands(spark, sf_dir):
+    j = D.order_journal(Tables(spark, sf_dir))
+    return present(K.handle_order_commands(K.commands_from_journal(j)))
+
+
+# --------------------------------------------------------------------------- saga
+from ledgerline.operators import saga as S  # noqa: E402
+
+PAYMENT_DECLINED = "Insufficient funds"   # ours: payment fails for a customer in debit
+
+
+def saga_inputs(t):
+    """Saga events derived from the tables (all SQL-expressible rules)."""
+    j = D.order_journal(t)
+    created = j.where(F.col("event_type") == "OrderCreated").select("order_id", "ts", "customer_id", "total_amount")
+    outcome = I.order_reservation_outcome(D.item_results_initial(t))
+    step = created.select("order_id", F.col("ts").alias("t0"), "customer_id")
+    inv = outcome.join(step, "order_id").withColumn("ts", F.col("t0") + F.expr("INTERVAL 1 MINUTE"))
+    reserved = inv.where("reserved").select("order_id", "ts")
+    failed = inv.where(~F.col("reserved")).select("order_id", "ts", "reason")
+    acct = D.customers(t).select("customer_id", "acctbal")
+    pay = (reserved.join(step.select("order_id", "customer_id"), "order_id").join(acct, "customer_id", "left")
+           .withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 MINUTE")))
+    paid = pay.where(F.col("acctbal") >= 0).select("order_id", "ts")
+    pay_failed = (pay.where(~(F.col("acctbal") >= 0) | F.col("acctbal").isNull())
+                  .select("order_id", "ts", F.lit(PAYMENT_DECLINED).alias("reason")))
+    return S.saga_events(created, reserved, failed, paid, pay_failed)
+
+
+@register("j2_saga_correlate")
+def q_j2_saga_correlate(spark, sf_dir):
+    return present(S.saga_correlate(saga_inputs(Tables(spark, sf_dir))))
+
+
+@register("k12_saga_status")
+def q_k12_saga_status(spark, sf_dir):
+    return present(S.saga_status(S.saga_correlate(saga_inputs(Tables(spark, sf_dir)))))
+
+
+@register("k13_saga_commands")
+def q_k13_saga_commands(spark, sf_dir):
+    return present(S.saga_commands(S.saga_correlate(saga_inputs(Tables(spark, sf_dir)))))
+
+
+# --------------------------------------------------------------------------- order ⟕ stock
+from ledgerline.operators import stock_view as V  # noqa: E402
+from ledgerline.functions.jsonfmt import extract_skus  # noqa: E402
+
+
+def order_documents(t):
+    """The read-model row as the JSON document a client receives."""
+    s = _summary(t)
+    doc = F.concat(F.lit('{"orderId":"'), F.col("order_id"), F.lit('","status":"'), F.col("status"),
+                   F.lit('","items":'), F.coalesce(F.col("items_json"), F.lit("[]")), F.lit("}"))
+    return s.select("order_id", doc.alias("doc"))
+
+
+@register("p13_extract_skus")
+def q_p13_extract_skus(spark, sf_dir):
+    docs = order_documents(Tables(spark, sf_dir))
+    return present(docs.select("order_id", F.posexplode(extract_skus("doc")).alias("pos", "sku")))
+
+
+@register("a8_distinct_skus")
+def q_a8_distinct_skus(spark, sf_dir):
+    return present(V.distinct_skus(order_documents(Tables(spark, sf_dir))))
+
+
+@register("j1_order_with_stock")
+def q_j1_order_with_stock(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    stock = I.apply_stock_events(D.stock_event_ledger(t))
+    return present(V.order_with_stock(order_documents(t), stock))
+
+
+# --------------------------------------------------------------------------- notifications
+from ledgerline.operators import notify as N  # noqa: E402
+
+
+def _low_stock(t):
+    snap = I.apply_stock_events(D.stock_event_ledger(t))
+    names = D.stock_initial(t).select("product_id", "product_name")
+    return N.low_stock_events(snap.join(names, "product_id", "left"))
+
+
+@register("n1_order_notifications")
+def q_n1_order_notifications(spark, sf_dir):
+    return present(N.order_notifications(D.notification_events(Tables(spark, sf_dir))))
+
+
+@register("n1_order_notifications_default")
+def q_n1_order_notifications_default(spark, sf_dir):
+    return present(N.order_notifications(D.notification_events(Tables(spark, sf_dir)), use_default=True))
+
+
+@register("n2_webhook_payloads")
+def q_n2_webhook_payloads(spark, sf_dir):
+    ev = N.route_notifications(D.notification_events(Tables(spark, sf_dir)))["order"]
+    return present(N.webhook_payloads(ev))
+
+
+@register("n4_low_stock_events")
+def q_n4_low_stock_events(spark, sf_dir):
+    return present(_low_stock(Tables(spark, sf_dir)))
+
+
+@register("n3_low_stock_notifications")
+def q_n3_low_stock_notifications(spark, sf_dir):
+    return present(N.low_stock_notifications(_low_stock(Tables(spark, sf_dir))))
+
+
+@register("n5_route_notifications")
+def q_n5_route_notifications(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    orders = D.notification_events(t).select("event_type", F.col("order_id").alias("entity_id"))
+    low = _low_stock(t).select(F.lit(N.config.NOTIFY_INVENTORY_TYPE).alias("event_type"),
+                               F.col("product_id").alias("entity_id"))
+    routes = N.route_notifications(orders.unionByName(low))
+    out = None
+    for name, df in routes.items():
+        df = df.withColumn("route", F.lit(name))
+        out = df if out is None else out.unionByName(df)
+    return present(out)
+
+
+# --------------------------------------------------------------------------- rate audits
+from ledgerline.operators import rates as R  # noqa: E402
+
+USER_LIMIT, USER_SECONDS = 2, 3600          # scaled-down per-user fixed window
+GLOBAL_LIMIT, GLOBAL_SECONDS = 25, 3600     # scaled-down unkeyed fixed window
+SLIDING_LIMIT, SLIDING_SECONDS, SLIDING_SEGMENTS = 25, 3600, 6
+
+
+@register("k15_fixed_window_breaches_user")
+def q_k15_user(spark, sf_dir):
+    ev = Tables(spark, sf_dir).events
+    return present(R.fixed_window_breaches(ev, USER_LIMIT, USER_SECONDS, key="user_id"))
+
+
+@register("k15_fixed_window_breaches_global")
+def q_k15_global(spark, sf_dir):
+    ev = Tables(spark, sf_dir).events
+    return present(R.fixed_window_breaches(ev, GLOBAL_LIMIT, GLOBAL_SECONDS))
+
+
+@register("k16_sliding_window_breaches")
+def q_k16_sliding(spark, sf_dir):
+    ev = Tables(spark, sf_dir).events
+    return present(R.sliding_window_breaches(ev, SLIDING_LIMIT, SLIDING_SECONDS, SLIDING_SEGMENTS))

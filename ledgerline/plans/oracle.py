@@ -320,3 +320,174 @@ SQL.update({
     "j4_compensation_set": with_ctes(*INV_CTES, CTE_ITEM_RESULTS) + """SELECT i.order_id, i.line_no, i.product_id,
        i.quantity FROM item_results i JOIN outcome o ON o.order_id = i.order_id WHERE i.ok AND NOT o.reserved""",
 })
+
+
+# --------------------------------------------------------------------------- saga
+SAGA_CTES = [CTE_ORDER_LINES, CTE_ORDER_TOTALS, CTE_JOURNAL, CTE_CREATED_LINES, CTE_ITEM_RESULTS]
+CTE_SAGA = f"""created AS (
+  SELECT order_id, ts, customer_id, total_amount FROM journal WHERE event_type = 'OrderCreated'),
+inv AS (
+  SELECT o.order_id, o.reserved, o.reason, c.ts + INTERVAL 1 MINUTE AS ts, c.customer_id
+  FROM outcome o JOIN created c ON c.order_id = o.order_id),
+acct AS (SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_acctbal AS acctbal FROM customer),
+pay AS (
+  SELECT i.order_id, i.ts + INTERVAL 1 MINUTE AS ts, a.acctbal
+  FROM inv i LEFT JOIN acct a ON a.customer_id = i.customer_id WHERE i.reserved),
+saga AS (
+  SELECT c.order_id, c.ts AS created_at, c.customer_id, c.total_amount,
+         CASE WHEN i.reserved THEN i.ts END AS inventory_reserved_at,
+         CASE WHEN NOT i.reserved THEN i.ts END AS inventory_failed_at,
+         CASE WHEN NOT i.reserved THEN i.reason END AS inventory_reason,
+         CASE WHEN p.acctbal >= 0 THEN p.ts END AS paid_at,
+         CASE WHEN p.order_id IS NOT NULL AND (p.acctbal IS NULL OR NOT (p.acctbal >= 0)) THEN p.ts END AS payment_failed_at,
+         CASE WHEN p.order_id IS NOT NULL AND (p.acctbal IS NULL OR NOT (p.acctbal >= 0))
+              THEN '{C.PAYMENT_DECLINED}' END AS payment_reason,
+         'inv-' || c.order_id AS inventory_id,
+         CASE WHEN i.reserved THEN 'pay-' || c.order_id END AS payment_id
+  FROM created c LEFT JOIN inv i ON i.order_id = c.order_id LEFT JOIN pay p ON p.order_id = c.order_id),
+flags AS (
+  SELECT *, inventory_failed_at IS NOT NULL AS inv_failed,
+         inventory_reserved_at IS NOT NULL AND inventory_failed_at IS NULL AS reserved_ok,
+         inventory_reserved_at IS NOT NULL AND inventory_failed_at IS NULL AND paid_at IS NOT NULL AS paid_ok,
+         inventory_reserved_at IS NOT NULL AND inventory_failed_at IS NULL AND paid_at IS NULL
+           AND payment_failed_at IS NOT NULL AS pay_failed
+  FROM saga),
+st AS (
+  SELECT order_id, customer_id, total_amount, inventory_id, payment_id,
+         CASE WHEN inv_failed THEN 'cancelled' WHEN paid_ok THEN 'completed' WHEN pay_failed THEN 'cancelled'
+              WHEN reserved_ok THEN 'awaiting_payment' ELSE 'awaiting_inventory' END AS saga_status,
+         (inv_failed OR paid_ok OR pay_failed) AS ended, pay_failed AS stock_released,
+         CASE WHEN inv_failed THEN '{config.INVENTORY_FAILED_PREFIX}' || inventory_reason
+              WHEN pay_failed THEN '{config.PAYMENT_FAILED_PREFIX}' || payment_reason END AS cancel_reason
+  FROM flags)"""
+
+SQL.update({
+    "j2_saga_correlate": with_ctes(*SAGA_CTES, CTE_SAGA) + f"""SELECT order_id, created_at, customer_id,
+       {r4('total_amount')} AS total_amount, inventory_reserved_at, inventory_failed_at, inventory_reason, paid_at,
+       payment_failed_at, payment_reason, inventory_id, payment_id FROM saga""",
+    "k12_saga_status": with_ctes(*SAGA_CTES, CTE_SAGA) + f"""SELECT order_id, customer_id,
+       {r4('total_amount')} AS total_amount, inventory_id, payment_id, saga_status, ended, stock_released,
+       cancel_reason FROM st""",
+    "k13_saga_commands": with_ctes(*SAGA_CTES, CTE_SAGA) + f"""SELECT order_id, step, command, target_id,
+       {r4('amount')} AS amount, reason FROM (
+  SELECT order_id, 1 AS step, 'ReserveInventory' AS command, inventory_id AS target_id,
+         NULL::DECIMAL(19,4) AS amount, NULL::VARCHAR AS reason FROM st
+  UNION ALL SELECT order_id, 2, 'ProcessPayment', payment_id, total_amount, NULL FROM st WHERE payment_id IS NOT NULL
+  UNION ALL SELECT order_id, 3, 'ConfirmOrder', order_id, NULL, NULL FROM st WHERE saga_status = 'completed'
+  UNION ALL SELECT order_id, 2, 'CancelOrder', order_id, NULL, cancel_reason FROM st
+            WHERE saga_status = 'cancelled' AND NOT stock_released
+  UNION ALL SELECT order_id, 3, 'CancelInventoryReservation', inventory_id, NULL, cancel_reason FROM st
+            WHERE stock_released
+  UNION ALL SELECT order_id, 4, 'CancelOrder', order_id, NULL, cancel_reason FROM st WHERE stock_released) x""",
+})
+
+# --------------------------------------------------------------------------- order ⟕ stock
+CTE_DOCS = """docs AS (
+  SELECT order_id, '{"orderId":"' || order_id || '","status":"' || status || '","items":'
+         || COALESCE(items_json, '[]') || '}' AS doc FROM summary),
+doc_skus AS (
+  SELECT order_id, l, i FROM (
+    SELECT order_id, json_extract_string(doc, '$.items[*].productId') AS l FROM docs) d,
+    LATERAL (SELECT unnest(range(1, len(d.l) + 1)) AS i) r),
+skus AS (
+  SELECT order_id, CAST(i - 1 AS INTEGER) AS pos, l[i] AS sku FROM doc_skus
+  WHERE l[i] IS NOT NULL AND trim(l[i]) <> '')"""
+DOC_CTES = [*ORDER_CTES, CTE_CREATED_DOC, CTE_SUMMARY, CTE_DOCS]
+A8_SQL = "SELECT order_id, lower(sku) AS sku_key, arg_min(sku, pos) AS sku FROM skus GROUP BY order_id, lower(sku)"
+
+SQL.update({
+    "p13_extract_skus": with_ctes(*DOC_CTES) + "SELECT order_id, pos, sku FROM skus",
+    "a8_distinct_skus": with_ctes(*DOC_CTES) + A8_SQL,
+    "j1_order_with_stock": with_ctes(*DOC_CTES, CTE_CREATED_LINES, CTE_STOCK_LEDGER) + f"""
+SELECT d.order_id, d.sku, v.available, v.reserved, v.total,
+       CASE WHEN v.available IS NULL THEN 404 ELSE 200 END AS stock_status
+FROM ({A8_SQL}) d LEFT JOIN levels v ON lower(v.product_id) = d.sku_key""",
+})
+
+# --------------------------------------------------------------------------- notifications
+CTE_NOTIFY = """cust_x AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS cid, lower(replace(c_name, '#', '.')) || '@example.com' AS email,
+         CASE WHEN c_mktsegment = 'BUILDING' THEN 'https://hooks.example.com/customers/' || CAST(c_custkey AS VARCHAR) END
+           AS webhook_url FROM customer),
+nevents AS (
+  SELECT j.event_type, j.order_id, cu.email AS customer_email,
+         upper(regexp_replace(j.event_type, '^Order', '')) AS status, j.tracking_number,
+         j.reason AS cancellation_reason, cu.webhook_url, j.ts
+  FROM journal j
+  LEFT JOIN (SELECT order_id, customer_id AS cid FROM journal WHERE event_type = 'OrderCreated') c ON c.order_id = j.order_id
+  LEFT JOIN cust_x cu ON cu.cid = c.cid)"""
+
+
+def _n1(default: bool) -> str:
+    subj = " ".join(f"WHEN '{k}' THEN '{v[0]}'" for k, v in config.NOTIFY_TEMPLATES.items())
+
+    def body_of(text: str) -> str:
+        out, rest = [], text
+        names = {"id": "order_id", "tracking": "tracking_number", "reason": "cancellation_reason",
+                 "type": "event_type"}
+        while "{" in rest:
+            pre, _, tail = rest.partition("{")
+            name, _, rest = tail.partition("}")
+            out += [f"'{pre}'", f"COALESCE({names[name]}, '')"]
+        out.append(f"'{rest}'")
+        return " || ".join(out)
+    body = " ".join(f"WHEN '{k}' THEN {body_of(v[1])}" for k, v in config.NOTIFY_TEMPLATES.items())
+    dsubj, dbody = config.NOTIFY_DEFAULT_TEMPLATE
+    where = "TRUE" if default else "event_type IN (" + ", ".join(f"'{t}'" for t in config.NOTIFY_ORDER_TYPES) + ")"
+    return f"""SELECT event_type, order_id, customer_email AS "to",
+       CASE event_type {subj} ELSE '{dsubj}' END AS subject,
+       CASE event_type {body} ELSE {body_of(dbody)} END AS body
+FROM nevents WHERE {where}"""
+
+
+CTE_LOW = f"""low AS (
+  SELECT v.product_id, s.product_name, CAST(v.available AS INTEGER) AS remaining_stock,
+         'warehouse@example.com' AS warehouse_manager_email
+  FROM levels v LEFT JOIN stock_initial s ON s.product_id = v.product_id
+  WHERE v.available < {config.LOW_STOCK_THRESHOLD})"""
+ORDER_TYPES_SQL = "(" + ", ".join(f"'{t}'" for t in config.NOTIFY_ORDER_TYPES) + ")"
+
+SQL.update({
+    "n1_order_notifications": with_ctes(*ORDER_CTES, CTE_NOTIFY) + _n1(False),
+    "n1_order_notifications_default": with_ctes(*ORDER_CTES, CTE_NOTIFY) + _n1(True),
+    "n2_webhook_payloads": with_ctes(*ORDER_CTES, CTE_NOTIFY) + f"""SELECT event_type, order_id, webhook_url AS url,
+       '{{"eventType":' || {_jstr('event_type')} || ',"OrderId":' || {_jstr('order_id')} || ',"Status":'
+       || {_jstr('status')} || '}}' AS payload
+FROM nevents WHERE event_type IN {ORDER_TYPES_SQL} AND webhook_url IS NOT NULL AND webhook_url <> ''""",
+    "n4_low_stock_events": with_ctes(*INV_CTES, CTE_STOCK_LEDGER, CTE_LOW) + "SELECT * FROM low",
+    "n3_low_stock_notifications": with_ctes(*INV_CTES, CTE_STOCK_LEDGER, CTE_LOW) + """SELECT product_id,
+       warehouse_manager_email AS "to", 'Low stock alert: ' || COALESCE(product_name, '') AS subject,
+       'Product ''' || COALESCE(product_name, '') || ''' (ID: ' || product_id || ') has only '
+       || CAST(remaining_stock AS VARCHAR) || ' units remaining. Please restock.' AS body FROM low""",
+    "n5_route_notifications": with_ctes(*ORDER_CTES, CTE_NOTIFY, CTE_CREATED_LINES, CTE_STOCK_LEDGER, CTE_LOW)
+    + f"""SELECT event_type, entity_id,
+       CASE WHEN event_type IN {ORDER_TYPES_SQL} THEN 'order'
+            WHEN event_type = '{config.NOTIFY_INVENTORY_TYPE}' THEN 'inventory' ELSE 'unknown' END AS route
+FROM (SELECT event_type, order_id AS entity_id FROM nevents
+      UNION ALL SELECT '{config.NOTIFY_INVENTORY_TYPE}', product_id FROM low) x""",
+})
+
+
+# --------------------------------------------------------------------------- rate audits
+def _fixed_sql(limit: int, seconds: int, key: str | None) -> str:
+    us = seconds * 1_000_000
+    k = f", {key}" if key else ""
+    return f"""SELECT make_timestamp(ws) AS window_start, make_timestamp(ws + {us}) AS window_end{k},
+       COUNT(*) AS request_count, COUNT(*) - {limit} AS excess
+FROM (SELECT (epoch_us(ts) // {us}) * {us} AS ws{k} FROM events) x
+GROUP BY ws{k} HAVING COUNT(*) > {limit}"""
+
+
+def _sliding_sql(limit: int, seconds: int, segments: int) -> str:
+    us, slide = seconds * 1_000_000, seconds * 1_000_000 // segments
+    return f"""SELECT make_timestamp(ws) AS window_start, make_timestamp(ws + {us}) AS window_end,
+       COUNT(*) AS request_count, COUNT(*) - {limit} AS excess
+FROM (SELECT (epoch_us(ts) // {slide}) * {slide} - r.k * {slide} AS ws FROM events, range(0, {segments}) r(k)) x
+GROUP BY ws HAVING COUNT(*) > {limit}"""
+
+
+SQL.update({
+    "k15_fixed_window_breaches_user": _fixed_sql(C.USER_LIMIT, C.USER_SECONDS, "user_id"),
+    "k15_fixed_window_breaches_global": _fixed_sql(C.GLOBAL_LIMIT, C.GLOBAL_SECONDS, None),
+    "k16_sliding_window_breaches": _sliding_sql(C.SLIDING_LIMIT, C.SLIDING_SECONDS, C.SLIDING_SEGMENTS),
+})

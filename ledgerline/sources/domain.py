@@ -273,3 +273,19 @@ def item_results_initial(t: Tables) -> DataFrame:
                                       F.col("quantity")))
     return j.select("order_id", "line_no", "product_id", "quantity", "ts", "seq",
                     ok.alias("ok"), msg.alias("message"))
+
+
+# --------------------------------------------------------------------------- notifications
+def notification_events(t: Tables) -> DataFrame:
+    """Order events as the notification service receives them (key = event type).
+
+    Status events take customer e-mail / webhook of their order's Created
+    event (q8); orphans keep them null.
+    """
+    j = order_journal(t)
+    created = j.where(F.col("event_type") == "OrderCreated").select("order_id", F.col("customer_id").alias("cid"))
+    c = customers(t).select(F.col("customer_id").alias("cid"), "email", "webhook_url")
+    status = F.upper(F.regexp_replace("event_type", "^Order", ""))
+    return (j.join(created, "order_id", "left").join(c, "cid", "left")
+            .select("event_type", "order_id", F.col("email").alias("customer_email"), status.alias("status"),
+                    "tracking_number", F.col("reason").alias("cancellation_reason"), "webhook_url", "ts"))
