@@ -59,6 +59,6 @@ def assign_hour_window(ts, duration_seconds: int = config.WINDOW_SECONDS) -> tup
 
 
 def avg_order_value(revenue, count) -> Column:
-    """A5: revenue / count, 0 when count is 0 (as a rounded double)."""
+    """A5: revenue / count, 0 when count is 0 (double of the exact revenue, not rounded)."""
     r, n = _col(revenue), _col(count)
-    return F.when(n > 0, F.round(r.cast("double") / n, 4)).otherwise(F.lit(0.0))
+    return F.when(n > 0, r.cast("double") / n).otherwise(F.lit(0.0))

@@ -440,3 +440,107 @@ def q_k15_global(spark, sf_dir):
 def q_k16_sliding(spark, sf_dir):
     ev = Tables(spark, sf_dir).events
     return present(R.sliding_window_breaches(ev, SLIDING_LIMIT, SLIDING_SECONDS, SLIDING_SEGMENTS))
+
+
+# --------------------------------------------------------------------------- topic records / parsing
+from ledgerline.functions.columns import order_total  # noqa: E402
+from ledgerline.functions.jsonfmt import items_to_json  # noqa: E402
+from ledgerline.operators import parse as P  # noqa: E402
+from ledgerline.session import scratch_path  # noqa: E402
+from ledgerline.sources import topics as TP  # noqa: E402
+
+
+def _parsed(t):
+    return P.parse_order_event(D.order_topic_records(t))
+
+
+@register("p1_parse_order_events")
+def q_p1_parse_order_events(spark, sf_dir):
+    p = _parsed(Tables(spark, sf_dir)).where("ok")
+    return present(p.select("topic", "key", "order_id", "customer_id", "total_amount", "status", "event_time",
+                            F.size("items").alias("n_items"), order_total("items").alias("items_total")))
+
+
+@register("p3_quarantine")
+def q_p3_quarantine(spark, sf_dir):
+    _, bad = P.quarantine(_parsed(Tables(spark, sf_dir)))
+    return present(bad.select("topic", "key", "error"))
+
+
+@register("p3_error_counts")
+def q_p3_error_counts(spark, sf_dir):
+    return present(P.event_type_counts(_parsed(Tables(spark, sf_dir))))
+
+
+@register("s9_dead_letter")
+def q_s9_dead_letter(spark, sf_dir):
+    return present(N.dead_letter(_parsed(Tables(spark, sf_dir))).select("topic", "key", "reason"))
+
+
+@register("p1_hourly_metrics_from_topics")
+def q_p1_hourly_metrics_from_topics(spark, sf_dir):
+    valid, _ = P.quarantine(_parsed(Tables(spark, sf_dir)))
+    return present(M.hourly_metrics(valid))
+
+
+@register("u1_union_topics")
+def q_u1_union_topics(spark, sf_dir):
+    recs = D.order_topic_records(Tables(spark, sf_dir))
+    parts = [recs.where(F.col("topic") == tp).select("topic", "key", "offset") for tp in N.config.ANALYTICS_TOPICS]
+    return present(P.union_topics(*parts))
+
+
+@register("s1_read_order_topics")
+def q_s1_read_order_topics(spark, sf_dir):
+    """Records written as a record table, read back through the S1 reader."""
+    path = scratch_path(spark, "order-topics")
+    D.order_topic_records(Tables(spark, sf_dir)).write.mode("overwrite").parquet(path)
+    return present(TP.read_order_topics(spark, path).select("topic", "key", "offset"))
+
+
+def _envelopes(t):
+    return TP.publish_order_events(D.order_journal(t), D.order_created(t))
+
+
+@register("s10_publish_order_events")
+def q_s10_publish_order_events(spark, sf_dir):
+    return present(_envelopes(Tables(spark, sf_dir)))
+
+
+@register("p4_parse_envelopes")
+def q_p4_parse_envelopes(spark, sf_dir):
+    env = P.parse_envelope(_envelopes(Tables(spark, sf_dir)))
+    return present(env.select("event_type", "order_id", F.size("items").alias("n_items"), "ok", "error"))
+
+
+@register("p5_route_commands")
+def q_p5_route_commands(spark, sf_dir):
+    routes = P.route_by_event_type(P.parse_envelope(_envelopes(Tables(spark, sf_dir))))
+    return present(routes["commands"].drop("offset"))
+
+
+@register("p5_empty_item_events")
+def q_p5_empty_item_events(spark, sf_dir):
+    routes = P.route_by_event_type(P.parse_envelope(_envelopes(Tables(spark, sf_dir))))
+    return present(routes["empty"].select("event_type", "order_id"))
+
+
+@register("k9_recovered_commands")
+def q_k9_recovered_commands(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    env = P.parse_envelope(_envelopes(t))
+    created = env.where(F.col("event_type") == "ORDER_CREATED").select("order_id", "items")
+    fixed = P.recover_items(env.where(F.col("event_type").isin("ORDER_CANCELLED", "ORDER_CONFIRMED")), created)
+    return present(P.route_by_event_type(fixed)["commands"].drop("offset"))
+
+
+@register("p11_validate_orders")
+def q_p11_validate_orders(spark, sf_dir):
+    v = P.validate_orders(D.order_created(Tables(spark, sf_dir)))
+    return present(v.select("order_id", "valid", F.array_join("reasons", ",").alias("reasons"), "total_amount"))
+
+
+@register("p12_items_json")
+def q_p12_items_json(spark, sf_dir):
+    c = D.order_created(Tables(spark, sf_dir))
+    return present(c.select("order_id", items_to_json("items").alias("items_json")))

@@ -17,7 +17,8 @@ def ts(d) -> str:
 
 
 def r4(expr: str) -> str:
-    return f"ROUND(CAST({expr} AS DOUBLE), 4)"
+    """Exact decimal → double, as ``present`` does on the Spark side."""
+    return f"CAST({expr} AS DOUBLE)"
 
 
 def _case(col: str, mapping: dict[str, str], default: str) -> str:
@@ -83,7 +84,7 @@ def with_ctes(*ctes: str) -> str:
 def hourly_metrics_sql(source: str, where: str = "TRUE") -> str:
     return f"""SELECT window_start, window_end, COUNT(*) AS order_count,
        {r4('SUM(total_amount)')} AS total_revenue,
-       CASE WHEN COUNT(*) > 0 THEN ROUND(CAST(SUM(total_amount) AS DOUBLE) / COUNT(*), 4) ELSE 0.0 END
+       CASE WHEN COUNT(*) > 0 THEN CAST(SUM(total_amount) AS DOUBLE) / COUNT(*) ELSE 0.0 END
          AS avg_order_value
 FROM (SELECT date_trunc('hour', event_time) AS window_start,
              date_trunc('hour', event_time) + INTERVAL {config.WINDOW_SECONDS} SECOND AS window_end,
@@ -111,7 +112,7 @@ SELECT {ts(frm)} AS range_from, {ts(to)} AS range_to,
        {r4('COALESCE(SUM(total_revenue), 0)')} AS total_revenue,
        CAST(COALESCE(SUM(order_count), 0) AS BIGINT) AS order_count,
        CASE WHEN COALESCE(SUM(order_count), 0) > 0
-            THEN ROUND(CAST(SUM(total_revenue) AS DOUBLE) / SUM(order_count), 4) ELSE 0.0 END AS avg_order_value
+            THEN CAST(SUM(total_revenue) AS DOUBLE) / SUM(order_count) ELSE 0.0 END AS avg_order_value
 FROM hm WHERE {contained_sql(frm, to)}"""
 
 
@@ -491,3 +492,64 @@ SQL.update({
     "k15_fixed_window_breaches_global": _fixed_sql(C.GLOBAL_LIMIT, C.GLOBAL_SECONDS, None),
     "k16_sliding_window_breaches": _sliding_sql(C.SLIDING_LIMIT, C.SLIDING_SECONDS, C.SLIDING_SEGMENTS),
 })
+
+
+# --------------------------------------------------------------------------- topic records / parsing
+CTE_TOPIC = f"""recs AS (
+  SELECT topic, CAST(event_id AS VARCHAR) AS key, CAST(event_id AS VARCHAR) AS order_id,
+         CAST(user_id AS VARCHAR) AS customer_id, total_amount, status, event_time, event_type, value
+  FROM (SELECT *, CAST(value AS {MONEY}) AS total_amount, {STATUS} AS status, {TOPIC} AS topic,
+               ts AS event_time FROM events) e)"""
+ERR = "CASE WHEN value < 100 THEN 'malformed_json' ELSE 'missing_field:orderId' END"
+ENV_TYPE = ("CASE event_type WHEN 'OrderCreated' THEN 'ORDER_CREATED' WHEN 'OrderConfirmed' THEN 'ORDER_CONFIRMED' "
+            "WHEN 'OrderShipped' THEN 'ORDER_SHIPPED' WHEN 'OrderDelivered' THEN 'ORDER_DELIVERED' "
+            "WHEN 'OrderCancelled' THEN 'ORDER_CANCELLED' END")
+CTE_ITEM_POS = """item_pos AS (
+  SELECT order_id, product_id, quantity,
+         CAST(row_number() OVER (PARTITION BY order_id ORDER BY line_no, product_id, product_name, quantity,
+                                 unit_price) - 1 AS INTEGER) AS item_pos
+  FROM order_lines)"""
+
+SQL.update({
+    "p1_parse_order_events": with_ctes(CTE_TOPIC) + f"""SELECT topic, key, order_id, customer_id,
+       {r4('total_amount')} AS total_amount, status, event_time,
+       CASE WHEN topic = 'order.created' THEN 1 ELSE 0 END AS n_items,
+       CASE WHEN topic = 'order.created' THEN {r4('total_amount')} ELSE 0.0 END AS items_total
+FROM recs WHERE event_type <> 'error'""",
+    "p3_quarantine": with_ctes(CTE_TOPIC) + f"SELECT topic, key, {ERR} AS error FROM recs WHERE event_type = 'error'",
+    "p3_error_counts": with_ctes(CTE_TOPIC) + f"""SELECT CASE WHEN event_type = 'error' THEN {ERR} END AS error,
+       COUNT(*) AS records FROM recs GROUP BY 1""",
+    "s9_dead_letter": with_ctes(CTE_TOPIC) + f"""SELECT '{config.DEAD_LETTER_TOPIC}' AS topic, key, {ERR} AS reason
+FROM recs WHERE event_type = 'error'""",
+    "p1_hourly_metrics_from_topics": with_ctes(CTE_TOPIC) + hourly_metrics_sql("recs", "event_type <> 'error'"),
+    "u1_union_topics": with_ctes(CTE_TOPIC) + """SELECT topic, key, CAST(key AS BIGINT) AS "offset" FROM recs
+WHERE topic IN ('order.created', 'order.confirmed', 'order.shipped', 'order.cancelled')""",
+    "s1_read_order_topics": with_ctes(CTE_TOPIC) + """SELECT topic, key, CAST(key AS BIGINT) AS "offset" FROM recs
+WHERE topic IN ('order.created', 'order.confirmed', 'order.shipped', 'order.cancelled')""",
+    "p4_parse_envelopes": with_ctes(*ORDER_CTES) + f"""SELECT {ENV_TYPE} AS event_type, j.order_id,
+       CAST(CASE WHEN j.event_type = 'OrderCreated' THEN j.n ELSE 0 END AS INTEGER) AS n_items,
+       TRUE AS ok, NULL::VARCHAR AS error
+FROM (SELECT j.*, (SELECT COUNT(*) FROM order_lines l WHERE l.order_id = j.order_id) AS n FROM journal j) j""",
+    "p5_route_commands": with_ctes(*ORDER_CTES, CTE_ITEM_POS) + """SELECT p.product_id, 'reserve' AS kind,
+       p.order_id, p.quantity, p.item_pos
+FROM item_pos p JOIN journal j ON j.order_id = p.order_id AND j.event_type = 'OrderCreated'""",
+    "p5_empty_item_events": with_ctes(*ORDER_CTES) + f"""SELECT {ENV_TYPE} AS event_type, order_id FROM journal
+WHERE event_type IN ('OrderCancelled', 'OrderConfirmed')""",
+    "k9_recovered_commands": with_ctes(*ORDER_CTES, CTE_ITEM_POS) + """SELECT p.product_id,
+       CASE j.event_type WHEN 'OrderCancelled' THEN 'release' ELSE 'confirm' END AS kind,
+       p.order_id, p.quantity, p.item_pos
+FROM journal j JOIN item_pos p ON p.order_id = j.order_id
+WHERE j.event_type IN ('OrderCancelled', 'OrderConfirmed')
+  AND EXISTS (SELECT 1 FROM journal c WHERE c.order_id = j.order_id AND c.event_type = 'OrderCreated')""",
+    "p11_validate_orders": with_ctes(CTE_ORDER_LINES) + f"""SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+       (l.n IS NOT NULL AND l.bad_q = 0 AND l.bad_p = 0) AS valid,
+       concat_ws(',', CASE WHEN l.n IS NULL THEN 'items_empty' END,
+                      CASE WHEN l.bad_q > 0 THEN 'quantity_below_1' END,
+                      CASE WHEN l.bad_p > 0 THEN 'unit_price_not_positive' END) AS reasons,
+       {r4('COALESCE(l.total, 0)')} AS total_amount
+FROM orders LEFT JOIN (SELECT order_key, COUNT(*) AS n, SUM(line_total) AS total,
+                              SUM(CASE WHEN quantity < 1 THEN 1 ELSE 0 END) AS bad_q,
+                              SUM(CASE WHEN unit_price <= 0 THEN 1 ELSE 0 END) AS bad_p
+                       FROM order_lines GROUP BY order_key) l ON l.order_key = o_orderkey""",
+    "p12_items_json": with_ctes(*ORDER_CTES, CTE_CREATED_DOC) + "SELECT order_id, items_json FROM created_doc",
+})

@@ -156,8 +156,8 @@ def event_topic(event_type) -> Column:
     return expr.otherwise(c)
 
 
-def metric_events(t: Tables) -> DataFrame:
-    """Normalised order events from ``events`` (no JSON round trip)."""
+def metric_events(t: Tables, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Normalised order events from ``events`` (no JSON round trip); ``keep`` raw columns too."""
     e = t.events
     topic = event_topic("event_type")
     amount = money("value")
@@ -171,7 +171,8 @@ def metric_events(t: Tables) -> DataFrame:
         amount.alias("total_amount"),
         F.when(topic == "order.created", F.array(item)).otherwise(empty).alias("items"),
         topic_to_status(topic).alias("status"),
-        F.col("ts").cast("timestamp").alias("event_time"))
+        F.col("ts").cast("timestamp").alias("event_time"),
+        topic.alias("topic"), *keep)
 
 
 def metric_event_items(t: Tables) -> DataFrame:
@@ -289,3 +290,29 @@ def notification_events(t: Tables) -> DataFrame:
     return (j.join(created, "order_id", "left").join(c, "cid", "left")
             .select("event_type", "order_id", F.col("email").alias("customer_email"), status.alias("status"),
                     "tracking_number", F.col("reason").alias("cancellation_reason"), "webhook_url", "ts"))
+
+
+# --------------------------------------------------------------------------- topic records
+MALFORMED_BELOW = 100.0   # error events below this value are truncated JSON, others lack orderId
+
+
+def order_topic_records(t: Tables) -> DataFrame:
+    """Analytics topic records from ``events`` (JSON values, as on the wire).
+
+    ``error`` events become bad records: truncated JSON when value < 100,
+    otherwise a status JSON without ``orderId``.
+    """
+    from ledgerline.sources.topics import order_created_json, order_status_json
+    e = metric_events(t, keep=("event_type", "value", "user_id", "event_id"))
+    good = F.when(F.col("topic") == "order.created",
+                  order_created_json(F.col("order_id"), F.col("customer_id"), F.col("items"),
+                                     F.col("total_amount"), F.col("event_time"))) \
+            .otherwise(order_status_json(F.col("order_id"), F.col("customer_id"), F.col("status"),
+                                         F.col("total_amount"), F.col("event_time")))
+    no_id = F.to_json(F.struct(F.col("customer_id").alias("customerId"), F.col("status").alias("status"),
+                               F.col("total_amount").alias("totalAmount")))
+    value = (F.when((F.col("event_type") == "error") & (F.col("value") < MALFORMED_BELOW), F.substring(good, 1, 20))
+             .when(F.col("event_type") == "error", no_id).otherwise(good))
+    return e.select("topic", F.col("order_id").alias("key"), value.alias("value"),
+                    F.pmod(F.col("user_id"), F.lit(3)).cast("int").alias("partition"),
+                    F.col("event_id").alias("offset"), F.col("event_time").alias("timestamp"))
