@@ -544,3 +544,55 @@ def q_p11_validate_orders(spark, sf_dir):
 def q_p12_items_json(spark, sf_dir):
     c = D.order_created(Tables(spark, sf_dir))
     return present(c.select("order_id", items_to_json("items").alias("items_json")))
+
+
+# --------------------------------------------------------------------------- streaming
+from ledgerline.streaming import metrics_stream as MS  # noqa: E402
+from ledgerline.streaming import stateful as ST  # noqa: E402
+
+
+def _metrics_pipeline(spark, sf_dir):
+    ev = MS.stream_table(spark, sf_dir, "events")
+    base = scratch_path(spark, "metrics-stream")
+    return MS.run_metrics_pipeline(spark, D.normalise_events(ev), D.event_items(ev), base)
+
+
+@register("k14_hourly_metrics_stream")
+def q_k14_hourly_metrics_stream(spark, sf_dir):
+    hourly, _ = _metrics_pipeline(spark, sf_dir)
+    return present(hourly.read(spark))
+
+
+@register("k14_top_products_stream")
+def q_k14_top_products_stream(spark, sf_dir):
+    _, top = _metrics_pipeline(spark, sf_dir)
+    return present(top.read(spark))
+
+
+def _run_stream_to_parquet(spark, stream_df: DataFrame, name: str) -> DataFrame:
+    base = scratch_path(spark, name)
+    q = (stream_df.writeStream.outputMode("append").format("parquet")
+         .option("checkpointLocation", f"{base}/ckpt").option("path", f"{base}/out")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(stream_df.schema).parquet(f"{base}/out")
+
+
+def _as_stream(spark, df: DataFrame, name: str) -> DataFrame:
+    """Write a derived log as record files, then read it back as a stream."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.readStream.schema(df.schema).parquet(path)
+
+
+@register("k2_reserve_stock_stream")
+def q_k2_reserve_stock_stream(spark, sf_dir):
+    cmds = _as_stream(spark, D.stock_commands(Tables(spark, sf_dir)), "stock-commands")
+    return present(_run_stream_to_parquet(spark, ST.stock_fold_stream(cmds), "stock-fold-stream"))
+
+
+@register("k10_order_commands_stream")
+def q_k10_order_commands_stream(spark, sf_dir):
+    j = D.order_journal(Tables(spark, sf_dir))
+    cmds = _as_stream(spark, K.commands_from_journal(j), "order-commands")
+    return present(_run_stream_to_parquet(spark, ST.order_command_stream(cmds), "order-command-stream"))

@@ -553,3 +553,10 @@ FROM orders LEFT JOIN (SELECT order_key, COUNT(*) AS n, SUM(line_total) AS total
                        FROM order_lines GROUP BY order_key) l ON l.order_key = o_orderkey""",
     "p12_items_json": with_ctes(*ORDER_CTES, CTE_CREATED_DOC) + "SELECT order_id, items_json FROM created_doc",
 })
+
+
+# --------------------------------------------------------------------------- streaming (availableNow)
+SQL.update({
+    "k14_hourly_metrics_stream": SQL["a1_hourly_metrics"],
+    "k14_top_products_stream": SQL["a4_top_product_rows"],
+})

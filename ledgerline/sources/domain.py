@@ -158,7 +158,11 @@ def event_topic(event_type) -> Column:
 
 def metric_events(t: Tables, keep: tuple[str, ...] = ()) -> DataFrame:
     """Normalised order events from ``events`` (no JSON round trip); ``keep`` raw columns too."""
-    e = t.events
+    return normalise_events(t.events, keep)
+
+
+def normalise_events(e: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Batch or streaming ``events`` rows → normalised order events."""
     topic = event_topic("event_type")
     amount = money("value")
     k = F.get_json_object("props", "$.k")
@@ -177,7 +181,11 @@ def metric_events(t: Tables, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def metric_event_items(t: Tables) -> DataFrame:
     """Item rows of metric events without building arrays (for A2–A4)."""
-    e = t.events
+    return event_items(t.events)
+
+
+def event_items(e: DataFrame) -> DataFrame:
+    """Batch or streaming ``events`` rows → item rows of created events."""
     topic = event_topic("event_type")
     return (e.where(topic == "order.created")
             .select(F.col("ts").cast("timestamp").alias("event_time"),
