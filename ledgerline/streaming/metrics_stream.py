@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline import config
-from ledgerline.operators import metrics as M
+from ledgerline.functions.columns import avg_order_value, line_total
 from ledgerline.sources.sinks import KeyedTable, ensure_tables
 
 
@@ -36,17 +36,42 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | N
     return r.option("basePath", sf_dir).parquet(path[:-1] + "[" + path[-1] + "]")
 
 
+def _hour_window(duration_seconds: int):
+    """Event-time window on the watermarked column (so Spark evicts state and drops late rows).
+
+    Its start is the UTC hour (P8); the end is start + duration, set after the aggregate.
+    """
+    return F.window("event_time", "3600 seconds").alias("w")
+
+
+def _with_end(df: DataFrame, duration_seconds: int) -> DataFrame:
+    start = F.col("w.start")
+    return df.select(start.alias("window_start"),
+                     (start + F.make_interval(secs=F.lit(duration_seconds))).alias("window_end"),
+                     *[c for c in df.columns if c != "w"])
+
+
 def hourly_metrics_stream(events: DataFrame, watermark: str = "1 hour",
                           statuses: list[str] | None = None,
                           duration_seconds: int = config.WINDOW_SECONDS) -> DataFrame:
-    """Streaming A1: running window totals (event_time must be a timestamp)."""
-    return M.hourly_metrics(events.withWatermark("event_time", watermark), statuses, duration_seconds)
+    """Streaming A1 + A5: running window totals (event_time must be a timestamp)."""
+    ev = events.withWatermark("event_time", watermark)
+    if statuses is not None:
+        ev = ev.where(F.col("status").isin(list(statuses)))
+    agg = (ev.groupBy(_hour_window(duration_seconds))
+           .agg(F.count(F.lit(1)).alias("order_count"), F.sum("total_amount").alias("total_revenue")))
+    return _with_end(agg, duration_seconds).withColumn(
+        "avg_order_value", avg_order_value("total_revenue", "order_count"))
 
 
 def product_rows_stream(items: DataFrame, watermark: str = "1 hour",
                         duration_seconds: int = config.WINDOW_SECONDS) -> DataFrame:
     """Streaming A2–A4 over item rows."""
-    return M.product_window_rows(items.withWatermark("event_time", watermark), duration_seconds)
+    it = items.withWatermark("event_time", watermark)
+    agg = (it.groupBy(_hour_window(duration_seconds), "product_id")
+           .agg(F.coalesce(F.sum("quantity"), F.lit(0)).cast("long").alias("total_quantity"),
+                F.sum(line_total("unit_price", "quantity")).alias("total_revenue")))
+    return _with_end(agg, duration_seconds)
 
 
 def start_upsert(agg: DataFrame, table: KeyedTable, checkpoint: str, *, available_now: bool = True,
