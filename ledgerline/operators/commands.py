@@ -57,6 +57,7 @@ def decide(status: str | None, command: str, oid: str) -> tuple[bool, str | None
 class OrderCommandFold(KeyedFold):
     key_cols = ("order_id",)
     out_cols = _OUT
+    computed_cols = ("accepted", "emitted_event", "status_before", "status_after", "message")
 
     def init_state(self, key):
         return {"status": None}

@@ -18,15 +18,23 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
 
 class KeyedFold:
-    """Subclass and implement ``init_state(key)`` and ``step(state, row) -> dict``."""
+    """Base class: per-key state carried across the Arrow batches of a partition.
+
+    Subclasses implement ``init_state(key)`` and ``step(state, row) -> dict``
+    (simple, row-wise), or override ``fold_batch`` for a tighter loop. Input
+    columns named in ``out_cols`` are passed through unchanged; ``step``
+    returns only the computed columns.
+    """
 
     key_cols: tuple[str, ...] = ()
     out_cols: tuple[str, ...] = ()
+    computed_cols: tuple[str, ...] = ()
 
     def init_state(self, key: tuple) -> Any:  # pragma: no cover - abstract
         raise NotImplementedError
@@ -34,20 +42,38 @@ class KeyedFold:
     def step(self, state: Any, row: dict) -> dict:  # pragma: no cover - abstract
         raise NotImplementedError
 
+    def fold_batch(self, pdf: pd.DataFrame, carry: list) -> dict[str, list]:
+        """Row-wise default: ``carry = [current key, state]`` survives across batches."""
+        cols = list(pdf.columns)
+        data = [pdf[c].tolist() for c in cols]
+        key_idx = [cols.index(k) for k in self.key_cols]
+        out = {c: [] for c in self.computed_cols}
+        for values in zip(*data):
+            key = tuple(values[i] for i in key_idx)
+            if key != carry[0]:
+                carry[0], carry[1] = key, self.init_state(key)
+            res = self.step(carry[1], dict(zip(cols, values)))
+            for c in self.computed_cols:
+                out[c].append(res[c])
+        return out
+
     def __call__(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur_key, state = None, None
+        carry: list = [None, None]
         for pdf in batches:
             if pdf.empty:
                 continue
-            out = []
-            cols = list(pdf.columns)
-            for values in zip(*(pdf[c].tolist() for c in cols)):
-                row = dict(zip(cols, values))
-                key = tuple(row[k] for k in self.key_cols)
-                if key != cur_key:
-                    cur_key, state = key, self.init_state(key)
-                out.append(self.step(state, row))
-            yield pd.DataFrame.from_records(out, columns=list(self.out_cols))
+            pdf = pdf.reset_index(drop=True)
+            computed = self.fold_batch(pdf, carry)
+            cols = {}
+            for c in self.out_cols:
+                cols[c] = computed[c] if c in computed else pdf[c]
+            yield pd.DataFrame(cols, columns=list(self.out_cols))
+
+
+def as_int_list(series: pd.Series) -> list:
+    """Nullable integer column → list of int / None."""
+    arr = series.to_numpy(dtype="float64", na_value=np.nan) if series.dtype == object else series.to_numpy()
+    return [None if v != v else int(v) for v in arr.tolist()]
 
 
 def keyed_fold(df: DataFrame, key_cols: list[str], order_cols: list[str],

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import config
-from ledgerline.operators.fold import KeyedFold, keyed_fold
+from ledgerline.operators.fold import KeyedFold, as_int_list, keyed_fold
 from ledgerline.schemas import STOCK_RESULT_DDL
 
 COMMAND_COLS = ["product_id", "kind", "order_id", "quantity", "ts", "seq", "line_no"]
@@ -35,50 +35,71 @@ class StockFold(KeyedFold):
 
     key_cols = ("product_id",)
     out_cols = _RESULT_COLS
+    computed_cols = ("ok", "applied", "effective_quantity", "message", "available_after", "reserved_after")
 
     def init_state(self, key):
-        return {"available": 0, "reservations": {}}
+        return {"available": 0, "reservations": {}, "reserved": 0}
 
     def step(self, state, row):
-        pid, kind, oid = row["product_id"], row["kind"], row["order_id"]
-        q = row["quantity"]
-        q = None if q is None or q != q else int(q)
+        """One command against the state (used by the streaming processor too)."""
+        out = self._apply(state, row["product_id"], row["kind"], row["order_id"], _opt_int(row["quantity"]))
+        res = dict(zip(("ok", "applied", "effective_quantity", "message"), out))
+        res.update(product_id=row["product_id"], kind=row["kind"], order_id=row["order_id"],
+                   quantity=_opt_int(row["quantity"]), ts=row["ts"], seq=int(row["seq"]),
+                   line_no=_opt_int(row.get("line_no")), available_after=state["available"],
+                   reserved_after=state["reserved"])
+        return res
+
+    @staticmethod
+    def _apply(state, pid, kind, oid, q):
         res = state["reservations"]
-        ok, applied, eff, msg = True, False, 0, None
         if kind == "reserve":
             if oid in res:                       # idempotent: the existing quantity (q10)
-                eff = res[oid]
-            elif q is None or q <= 0:
-                ok, msg = False, config.MSG_QTY_NOT_POSITIVE.format(q=q)
-            elif state["available"] < q:         # rejected: consumes nothing (q11)
-                ok, msg = False, config.MSG_INSUFFICIENT.format(pid=pid, avail=state["available"], q=q)
-            else:
-                state["available"] -= q
-                res[oid] = q
-                applied, eff = True, q
-        elif kind == "release":
+                return True, False, res[oid], None
+            if q is None or q <= 0:
+                return False, False, 0, config.MSG_QTY_NOT_POSITIVE.format(q=q)
+            if state["available"] < q:           # rejected: consumes nothing (q11)
+                return False, False, 0, config.MSG_INSUFFICIENT.format(pid=pid, avail=state["available"], q=q)
+            state["available"] -= q
+            state["reserved"] += q
+            res[oid] = q
+            return True, True, q, None
+        if kind == "release":
             if oid in res:
                 eff = res.pop(oid)
                 state["available"] += eff
-                applied = True
-        elif kind == "confirm":
+                state["reserved"] -= eff
+                return True, True, eff, None
+            return True, False, 0, None
+        if kind == "confirm":
             if oid in res:
                 eff = res.pop(oid)
-                applied = True
-            else:
-                ok, msg = False, config.MSG_NO_RESERVATION.format(oid=oid, pid=pid)
-        elif kind == "replenish":
+                state["reserved"] -= eff
+                return True, True, eff, None
+            return False, False, 0, config.MSG_NO_RESERVATION.format(oid=oid, pid=pid)
+        if kind == "replenish":
             if q is None or q <= 0:
-                ok, msg = False, config.MSG_REPLENISH_NOT_POSITIVE.format(q=q)
-            else:
-                state["available"] += q
-                applied, eff = True, q
-        else:
-            ok, msg = False, f"Unknown command {kind}"
-        return {"product_id": pid, "kind": kind, "order_id": oid, "quantity": q, "ts": row["ts"],
-                "seq": int(row["seq"]), "line_no": _opt_int(row.get("line_no")), "ok": ok, "applied": applied, "effective_quantity": eff,
-                "message": msg, "available_after": state["available"],
-                "reserved_after": sum(res.values())}
+                return False, False, 0, config.MSG_REPLENISH_NOT_POSITIVE.format(q=q)
+            state["available"] += q
+            return True, True, q, None
+        return False, False, 0, f"Unknown command {kind}"
+
+    def fold_batch(self, pdf, carry):
+        pids, kinds, oids = pdf["product_id"].tolist(), pdf["kind"].tolist(), pdf["order_id"].tolist()
+        qs = as_int_list(pdf["quantity"])
+        n = len(pids)
+        ok, applied, eff, msg = [None] * n, [None] * n, [0] * n, [None] * n
+        avail, reserved = [0] * n, [0] * n
+        cur, state, apply = carry[0], carry[1], self._apply
+        for i in range(n):
+            pid = pids[i]
+            if pid != cur:
+                cur, state = pid, self.init_state((pid,))
+            ok[i], applied[i], eff[i], msg[i] = apply(state, pid, kinds[i], oids[i], qs[i])
+            avail[i], reserved[i] = state["available"], state["reserved"]
+        carry[0], carry[1] = cur, state
+        return {"ok": ok, "applied": applied, "effective_quantity": eff, "message": msg,
+                "available_after": avail, "reserved_after": reserved}
 
 
 def apply_stock_commands(commands: DataFrame, num_partitions: int | None = None) -> DataFrame:

@@ -39,6 +39,12 @@ def _iso_ts(c: Column) -> Column:
     return F.try_to_timestamp(c)
 
 
+def _barrier(df: DataFrame) -> DataFrame:
+    """Pin the decoded columns: a filter on them cannot be pushed below a generator,
+    so a later ``where(ok)`` does not evaluate ``from_json`` a second time."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
 def parse_order_event(records: DataFrame, topic: str = "topic", value: str = "value") -> DataFrame:
     """P1 + P2: one normalised row per record, with ``ok`` and ``error``.
 
@@ -67,8 +73,10 @@ def parse_order_event(records: DataFrame, topic: str = "topic", value: str = "va
                                    F.when(s_time.isNull(), F.lit("bad_timestamp")))))
     err = F.when(is_created, c_err).otherwise(s_err)
     empty = F.array().cast(T.ArrayType(ORDER_ITEM))
-    return rec.select(
-        "*",
+    rec = rec.withColumn("_err", err)
+    err = F.col("_err")
+    out = rec.select(
+        *[c for c in records.columns],
         err.isNull().alias("ok"), err.alias("error"),
         F.when(is_created, c["orderId"]).otherwise(s["orderId"]).alias("order_id"),
         F.when(is_created, c["customerId"]).otherwise(s["customerId"]).alias("customer_id"),
@@ -77,6 +85,7 @@ def parse_order_event(records: DataFrame, topic: str = "topic", value: str = "va
         topic_to_status(F.col(topic)).alias("status"),
         F.when(is_created, c_time).otherwise(s_time).alias("event_time"),
     ).drop("_c", "_s")
+    return _barrier(out)
 
 
 def quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -130,9 +139,10 @@ def parse_envelope(records: DataFrame, value: str = "value") -> DataFrame:
            .when(handled, missing))
     items = F.transform(F.coalesce(p["items"], F.array().cast(T.ArrayType(_KAFKA_ITEM))),
                         lambda it: F.struct(it["productId"].alias("product_id"), it["quantity"].alias("quantity")))
-    return rec.select("*", err.isNull().alias("ok"), err.alias("error"),
-                      p["orderId"].alias("order_id"), items.alias("items"),
-                      p["reason"].alias("reason")).drop("_e", "_p")
+    rec = rec.withColumn("_err", err)
+    out = rec.select(*records.columns, "event_type", F.col("_err").isNull().alias("ok"), F.col("_err").alias("error"),
+                     p["orderId"].alias("order_id"), items.alias("items"), p["reason"].alias("reason"))
+    return _barrier(out)
 
 
 def route_by_event_type(envelopes: DataFrame) -> dict[str, DataFrame]:

@@ -162,21 +162,26 @@ def metric_events(t: Tables, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def normalise_events(e: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Batch or streaming ``events`` rows → normalised order events."""
-    topic = event_topic("event_type")
-    amount = money("value")
-    k = F.get_json_object("props", "$.k")
+    """Batch or streaming ``events`` rows → normalised order events.
+
+    Two projections: shared sub-expressions (topic, product key, amount) are
+    computed once and referenced by name, so no JSON lookup is repeated.
+    """
+    base = e.select(event_topic("event_type").alias("topic"), F.get_json_object("props", "$.k").alias("_k"),
+                    money("value").alias("_amount"), "event_id", "user_id", "ts",
+                    *[c for c in keep if c not in ("event_id", "user_id", "ts")])
+    k, amount = F.col("_k"), F.col("_amount")
     item = F.struct(k.alias("product_id"), F.concat(F.lit("product-"), k).alias("product_name"),
                     F.lit(1).alias("quantity"), amount.alias("unit_price"))
     empty = F.array().cast(f"array<{ORDER_ITEM.simpleString()}>")
-    return e.select(
+    return base.select(
         F.col("event_id").cast("string").alias("order_id"),
         F.col("user_id").cast("string").alias("customer_id"),
         amount.alias("total_amount"),
-        F.when(topic == "order.created", F.array(item)).otherwise(empty).alias("items"),
-        topic_to_status(topic).alias("status"),
+        F.when(F.col("topic") == "order.created", F.array(item)).otherwise(empty).alias("items"),
+        topic_to_status(F.col("topic")).alias("status"),
         F.col("ts").cast("timestamp").alias("event_time"),
-        topic.alias("topic"), *keep)
+        "topic", *keep)
 
 
 def metric_event_items(t: Tables) -> DataFrame:
@@ -319,8 +324,9 @@ def order_topic_records(t: Tables) -> DataFrame:
                                          F.col("total_amount"), F.col("event_time")))
     no_id = F.to_json(F.struct(F.col("customer_id").alias("customerId"), F.col("status").alias("status"),
                                F.col("total_amount").alias("totalAmount")))
-    value = (F.when((F.col("event_type") == "error") & (F.col("value") < MALFORMED_BELOW), F.substring(good, 1, 20))
-             .when(F.col("event_type") == "error", no_id).otherwise(good))
+    e = e.withColumn("_good", F.when(F.col("event_type") != "error", good)
+                     .otherwise(F.when(F.col("value") < MALFORMED_BELOW, F.substring(good, 1, 20))))
+    value = F.coalesce(F.col("_good"), no_id)
     return e.select("topic", F.col("order_id").alias("key"), value.alias("value"),
                     F.pmod(F.col("user_id"), F.lit(3)).cast("int").alias("partition"),
                     F.col("event_id").alias("offset"), F.col("event_time").alias("timestamp"))

@@ -28,7 +28,9 @@ def _stock_fn(key, pdfs, state):
     fold = StockFold()
     if state.exists:
         available, res = state.get
-        st = {"available": int(available), "reservations": json.loads(res)}
+        reservations = json.loads(res)
+        st = {"available": int(available), "reservations": reservations,
+              "reserved": sum(reservations.values())}
     else:
         st = fold.init_state(key)
     pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "seq", "quantity"], kind="stable")
