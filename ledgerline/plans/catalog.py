@@ -551,21 +551,21 @@ from ledgerline.streaming import metrics_stream as MS  # noqa: E402
 from ledgerline.streaming import stateful as ST  # noqa: E402
 
 
-def _metrics_pipeline(spark, sf_dir):
+def _metrics_streams(spark, sf_dir):
     ev = MS.stream_table(spark, sf_dir, "events")
     base = scratch_path(spark, "metrics-stream")
-    return MS.run_metrics_pipeline(spark, D.normalise_events(ev), D.event_items(ev), base)
+    return MS.run_metrics_stream(spark, D.normalise_events(ev), D.event_items(ev), base)
 
 
 @register("k14_hourly_metrics_stream")
 def q_k14_hourly_metrics_stream(spark, sf_dir):
-    hourly, _ = _metrics_pipeline(spark, sf_dir)
+    hourly, _ = _metrics_streams(spark, sf_dir)
     return present(hourly.read(spark))
 
 
 @register("k14_top_products_stream")
 def q_k14_top_products_stream(spark, sf_dir):
-    _, top = _metrics_pipeline(spark, sf_dir)
+    _, top = _metrics_streams(spark, sf_dir)
     return present(top.read(spark))
 
 
@@ -596,3 +596,73 @@ def q_k10_order_commands_stream(spark, sf_dir):
     j = D.order_journal(Tables(spark, sf_dir))
     cmds = _as_stream(spark, K.commands_from_journal(j), "order-commands")
     return present(_run_stream_to_parquet(spark, ST.order_command_stream(cmds), "order-command-stream"))
+
+
+# --------------------------------------------------------------------------- more source / sink / aggregate forms
+CHUNK_EVENTS = N.config.BATCH_EVENTS     # A10: chunks of 200 consecutive events (by offset)
+
+
+@register("a10_batch_partial_metrics")
+def q_a10_batch_partial_metrics(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    ev = D.metric_events(t, keep=("event_id",)).withColumn(
+        "chunk", F.floor(F.col("event_id") / F.lit(CHUNK_EVENTS)).cast("long"))
+    return present(M.batch_partial_metrics(ev, "chunk"))
+
+
+@register("k6_inventory_reservation_map")
+def q_k6_inventory_reservation_map(spark, sf_dir):
+    """K6 with the order → quantity map, rendered as key-sorted JSON text."""
+    snap = I.inventory_snapshot(D.stock_event_ledger(Tables(spark, sf_dir)), with_map=True)
+    sorted_map = F.map_from_entries(F.array_sort(F.map_entries("reservations")))
+    return present(snap.select("product_id", "available", "reserved", "total",
+                               F.coalesce(F.to_json(sorted_map), F.lit("{}")).alias("reservations")))
+
+
+@register("s2_read_order_envelopes")
+def q_s2_read_order_envelopes(spark, sf_dir):
+    """Envelope records written as a record table and read back through the S2 reader."""
+    path = scratch_path(spark, "order-events")
+    _envelopes(Tables(spark, sf_dir)).write.mode("overwrite").parquet(path)
+    env = P.parse_envelope(TP.read_order_envelopes(spark, path))
+    return present(env.select("topic", "key", "event_type", "ok"))
+
+
+def notification_records(t):
+    """order-events / inventory-events records as the notification service reads them (key = type)."""
+    ev = D.notification_events(t)
+    order_json = F.to_json(F.struct(
+        F.col("order_id").alias("OrderId"), F.col("customer_email").alias("CustomerEmail"),
+        F.col("status").alias("Status"), F.col("tracking_number").alias("TrackingNumber"),
+        F.col("cancellation_reason").alias("CancellationReason"), F.col("webhook_url").alias("WebhookUrl")))
+    orders = ev.select(F.lit(N.config.ORDER_EVENTS_TOPIC).alias("topic"), F.col("event_type").alias("key"),
+                       order_json.alias("value"), F.lit(0).alias("partition"),
+                       F.lit(None).cast("long").alias("offset"), F.col("ts").alias("timestamp"))
+    low = _low_stock(t)
+    low_json = F.to_json(F.struct(
+        F.col("product_id").alias("ProductId"), F.col("product_name").alias("ProductName"),
+        F.col("remaining_stock").alias("RemainingStock"),
+        F.col("warehouse_manager_email").alias("WarehouseManagerEmail")))
+    inv = low.select(F.lit(N.config.INVENTORY_EVENTS_TOPIC).alias("topic"),
+                     F.lit(N.config.NOTIFY_INVENTORY_TYPE).alias("key"), low_json.alias("value"),
+                     F.lit(0).alias("partition"), F.lit(None).cast("long").alias("offset"),
+                     F.lit(None).cast("timestamp").alias("timestamp"))
+    return orders.unionByName(inv)
+
+
+_NOTIFY_JSON = ("struct<OrderId:string,CustomerEmail:string,Status:string,TrackingNumber:string,"
+                "CancellationReason:string,WebhookUrl:string>")
+
+
+@register("s3_read_notification_events")
+def q_s3_read_notification_events(spark, sf_dir):
+    """Notification records read back through S3, decoded and turned into e-mails (N5 → N1)."""
+    path = scratch_path(spark, "notification-records")
+    notification_records(Tables(spark, sf_dir)).write.mode("overwrite").parquet(path)
+    recs = TP.read_notification_events(spark, path)
+    order = N.route_notifications(recs)["order"]
+    j = F.from_json("value", _NOTIFY_JSON)
+    ev = order.select("event_type", j["OrderId"].alias("order_id"), j["CustomerEmail"].alias("customer_email"),
+                      j["Status"].alias("status"), j["TrackingNumber"].alias("tracking_number"),
+                      j["CancellationReason"].alias("cancellation_reason"))
+    return present(N.order_notifications(ev))

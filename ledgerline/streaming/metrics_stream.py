@@ -86,7 +86,7 @@ def start_upsert(agg: DataFrame, table: KeyedTable, checkpoint: str, *, availabl
     return w.start()
 
 
-def run_metrics_pipeline(spark: SparkSession, events: DataFrame, items: DataFrame, base: str,
+def run_metrics_stream(spark: SparkSession, events: DataFrame, items: DataFrame, base: str,
                          watermark: str = "1 hour", available_now: bool = True) -> tuple[KeyedTable, KeyedTable]:
     """Both result tables from one event source: hourly metrics and top-product rows."""
     hourly, top = ensure_tables(spark, f"{base}/tables")

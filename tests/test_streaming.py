@@ -39,7 +39,7 @@ def test_hourly_metrics_batch_equals_stream(spark, workdir):
     src = os.path.join(workdir, "events")
     split_in_three(t.events, "ts", src)
     stream = spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", "1").parquet(src)
-    hourly, top = MS.run_metrics_pipeline(spark, D.normalise_events(stream), D.event_items(stream),
+    hourly, top = MS.run_metrics_stream(spark, D.normalise_events(stream), D.event_items(stream),
                                           os.path.join(workdir, "out"))
     assert same(hourly.read(spark), M.hourly_metrics(D.metric_events(t)).select(*HOURLY_METRICS_SCHEMA.fieldNames()))
     assert same(top.read(spark), M.product_window_rows(D.metric_event_items(t)))
