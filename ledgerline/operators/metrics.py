@@ -36,6 +36,25 @@ def parse_range(from_value: str | datetime, to_value: str | datetime) -> tuple[d
     return f, t
 
 
+def window_scan_bounds(from_ts: datetime, to_ts: datetime,
+                       duration_seconds: int = config.WINDOW_SECONDS) -> tuple[datetime, datetime]:
+    """Event-time bounds [lo, hi) covering every event whose window is contained in [from, to].
+
+    window_start = floor_hour(ts) >= from  ⇔  ts >= ceil_hour(from);
+    window_end = floor_hour(ts) + duration <= to  ⇔  ts < floor_hour(to − duration) + 1 h.
+    Applied to the raw event column these become parquet-pushable range filters
+    (row groups outside the range are skipped); the containment filter stays
+    as the exact predicate.
+    """
+    from datetime import timedelta
+    hour = timedelta(hours=1)
+    lo = from_ts.replace(minute=0, second=0, microsecond=0)
+    if lo < from_ts:
+        lo += hour
+    hi = (to_ts - timedelta(seconds=duration_seconds)).replace(minute=0, second=0, microsecond=0) + hour
+    return lo, max(lo, hi)
+
+
 def with_window(df: DataFrame, ts: str = "event_time",
                 duration_seconds: int = config.WINDOW_SECONDS) -> DataFrame:
     start, end = assign_hour_window(ts, duration_seconds)

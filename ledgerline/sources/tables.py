@@ -17,18 +17,33 @@ class Tables:
     scan through Catalyst (``ReadSchema`` / ``PushedFilters``).
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, filters: dict | None = None):
         apply_defaults(spark)
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.filters = dict(filters or {})
         self._cache: dict[str, DataFrame] = {}
 
+    def restrict(self, **filters) -> "Tables":
+        """Same tables with row predicates applied at the scan (e.g. a key for a point lookup).
+
+        The predicates are on raw table columns, so they are pushed into the
+        parquet reader (``PushedFilters``) and every derived frame sees only
+        the matching rows.
+        """
+        merged = dict(self.filters)
+        merged.update(filters)
+        return Tables(self.spark, self.sf_dir, merged)
+
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(self.path(name))
+            df = self.spark.read.parquet(self.path(name))
+            if name in self.filters:
+                df = df.where(self.filters[name])
+            self._cache[name] = df
         return self._cache[name]
 
     def __getattr__(self, name: str) -> DataFrame:
