@@ -679,3 +679,28 @@ def q_s3_read_notification_events(spark, sf_dir):
                       j["Status"].alias("status"), j["TrackingNumber"].alias("tracking_number"),
                       j["CancellationReason"].alias("cancellation_reason"))
     return present(N.order_notifications(ev))
+
+
+from ledgerline.streaming import projection as PR  # noqa: E402
+
+
+@register("k11_order_summary_stream")
+def q_k11_order_summary_stream(spark, sf_dir):
+    """The read model maintained by a stream of journal events (per-batch partial replays)."""
+    j = D.order_journal(Tables(spark, sf_dir)).select(*JOURNAL_COLS)
+    stream = _as_stream(spark, j, "journal")
+    base = scratch_path(spark, "order-summary")
+    PR.start_order_summary_stream(stream, f"{base}/partials", f"{base}/ckpt").awaitTermination()
+    return present(PR.read_order_summary(spark, f"{base}/partials"))
+
+
+from ledgerline.streaming import saga_stream as SS  # noqa: E402
+
+
+@register("k12_saga_status_stream")
+def q_k12_saga_status_stream(spark, sf_dir):
+    """Saga state maintained by a stream of saga events (per-batch partial correlation)."""
+    ev = _as_stream(spark, saga_inputs(Tables(spark, sf_dir)), "saga-events")
+    base = scratch_path(spark, "saga")
+    SS.start_saga_stream(ev, f"{base}/partials", f"{base}/ckpt").awaitTermination()
+    return present(SS.read_saga_status(spark, f"{base}/partials"))

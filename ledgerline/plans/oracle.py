@@ -580,3 +580,6 @@ FROM levels v LEFT JOIN (SELECT product_id, string_agg('"' || order_id || '":' |
        order_id AS key, {ENV_TYPE} AS event_type, TRUE AS ok FROM journal""",
     "s3_read_notification_events": SQL["n1_order_notifications"],
 })
+
+SQL["k11_order_summary_stream"] = SQL["w1_replay_order_state"]
+SQL["k12_saga_status_stream"] = SQL["k12_saga_status"]
