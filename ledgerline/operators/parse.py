@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline import config
 from ledgerline.functions.columns import order_total, topic_to_status
 from ledgerline.schemas import (JSON_ORDER_CREATED, JSON_ORDER_STATUS, MONEY, ORDER_ITEM)
 
@@ -205,10 +204,3 @@ def validate_orders(created: DataFrame) -> DataFrame:
 def event_type_counts(df: DataFrame, col: str = "error") -> DataFrame:
     """Counts per error class (the observable replacement for 'logged and dropped')."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("records"))
-
-
-def topic_of(status: str) -> str:
-    for t, s in config.TOPIC_STATUS.items():
-        if s == status:
-            return t
-    return status

@@ -98,9 +98,3 @@ def run_metrics_stream(spark: SparkSession, events: DataFrame, items: DataFrame,
         q1.awaitTermination()
         q2.awaitTermination()
     return hourly, top
-
-
-def normalised_stream_columns(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(normalised events, item rows) of a streaming ``events`` table."""
-    from ledgerline.sources.domain import normalise_events, event_items
-    return normalise_events(events), event_items(events)
