@@ -201,6 +201,40 @@ def validate_orders(created: DataFrame) -> DataFrame:
             .withColumn("total_amount", order_total(items)))
 
 
+def validate_order_lines(headers: DataFrame, lines: DataFrame) -> DataFrame:
+    """P11 over a line table: the same rules as ``validate_orders`` as per-order aggregates.
+
+    ``headers``: order_id, customer_id, shipping_address; ``lines``: order_id,
+    product_id, product_name, quantity, unit_price. Every rule is a
+    ``bool_or`` with a partial aggregate, so no order's items are ever
+    gathered into one row (an order with a third of all lines is combined
+    map-side like any other).
+    """
+    def blank(c: Column) -> Column:
+        return c.isNull() | (F.trim(c) == "")
+
+    per_order = lines.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.bool_or(blank(F.col("product_id"))).alias("product_id_blank"),
+        F.bool_or(blank(F.col("product_name"))).alias("product_name_blank"),
+        F.bool_or(F.col("quantity").isNull() | (F.col("quantity") < 1)).alias("quantity_below_1"),
+        F.bool_or(F.col("unit_price").isNull() | (F.col("unit_price") <= 0)).alias("unit_price_not_positive"),
+        F.sum((F.col("unit_price") * F.col("quantity")).cast(MONEY)).cast(MONEY).alias("_total"))
+    j = headers.join(per_order, "order_id", "left")
+    rules = [
+        ("customer_id_blank", blank(F.col("customer_id"))),
+        ("shipping_address_blank", blank(F.col("shipping_address"))),
+        ("items_empty", F.col("_n").isNull()),
+        ("product_id_blank", F.coalesce(F.col("product_id_blank"), F.lit(False))),
+        ("product_name_blank", F.coalesce(F.col("product_name_blank"), F.lit(False))),
+        ("quantity_below_1", F.coalesce(F.col("quantity_below_1"), F.lit(False))),
+        ("unit_price_not_positive", F.coalesce(F.col("unit_price_not_positive"), F.lit(False))),
+    ]
+    reasons = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules]))
+    return j.select(*headers.columns, reasons.alias("reasons"), (F.size(reasons) == 0).alias("valid"),
+                    F.coalesce(F.col("_total"), F.lit(0).cast(MONEY)).alias("total_amount"))
+
+
 def event_type_counts(df: DataFrame, col: str = "error") -> DataFrame:
     """Counts per error class (the observable replacement for 'logged and dropped')."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("records"))

@@ -571,11 +571,9 @@ FROM (SELECT CAST(floor(CAST(order_id AS BIGINT) / {C.CHUNK_EVENTS}) AS BIGINT)
              date_trunc('hour', event_time) + INTERVAL {config.WINDOW_SECONDS} SECOND AS window_end,
              total_amount FROM metric_events) x
 GROUP BY chunk, window_start, window_end""",
-    "k6_inventory_reservation_map": with_ctes(*INV_CTES, CTE_STOCK_LEDGER) + """SELECT v.product_id, v.available,
-       v.reserved, v.total, COALESCE('{' || m.j || '}', '{}') AS reservations
-FROM levels v LEFT JOIN (SELECT product_id, string_agg('"' || order_id || '":' || CAST(quantity AS VARCHAR), ','
-                                                       ORDER BY order_id) AS j
-                         FROM open_res GROUP BY product_id) m ON m.product_id = v.product_id""",
+    "k6_inventory_reservation_map": with_ctes(*INV_CTES, CTE_STOCK_LEDGER) + """SELECT o.product_id, o.order_id,
+       o.quantity, v.available, v.reserved, v.total
+FROM open_res o JOIN levels v ON v.product_id = o.product_id""",
     "s2_read_order_envelopes": with_ctes(*ORDER_CTES) + f"""SELECT '{config.ORDER_EVENTS_TOPIC}' AS topic,
        order_id AS key, {ENV_TYPE} AS event_type, TRUE AS ok FROM journal""",
     "s3_read_notification_events": SQL["n1_order_notifications"],

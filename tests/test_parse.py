@@ -81,6 +81,19 @@ def test_validation(spark):
     assert set(v["o3"].reasons) == {"product_name_blank", "quantity_below_1", "unit_price_not_positive"}
 
 
+def test_validation_over_lines_matches_array_form(spark):
+    from ledgerline.sources import domain as D
+    from ledgerline.sources.tables import Tables
+    t = Tables(spark, "/root/testdata/sf0.001")
+    created = D.order_created(t)
+    a = P.validate_orders(created).select("order_id", "valid", F.array_join("reasons", ",").alias("r"),
+                                          "total_amount")
+    b = P.validate_order_lines(created.select("order_id", "customer_id", "shipping_address"),
+                               D.order_lines(t)).select("order_id", "valid",
+                                                        F.array_join("reasons", ",").alias("r"), "total_amount")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_items_json_is_valid_json(spark):
     item = "struct<product_id:string,product_name:string,quantity:int,unit_price:decimal(19,4)>"
     df = spark.createDataFrame([([("p\"1", "a\\b", 2, Decimal("9.99"))],), (None,)], f"items array<{item}>")
