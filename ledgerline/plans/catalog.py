@@ -316,21 +316,35 @@ PAYMENT_DECLINED = "Insufficient funds"   # ours: payment fails for a customer i
 
 
 def saga_inputs(t):
-    """Saga events derived from the tables (all SQL-expressible rules)."""
-    j = D.order_journal(t)
-    created = j.where(F.col("event_type") == "OrderCreated").select("order_id", "ts", "customer_id", "total_amount")
-    outcome = I.order_reservation_outcome(D.item_results_initial(t))
-    step = created.select("order_id", F.col("ts").alias("t0"), "customer_id")
-    inv = outcome.join(step, "order_id").withColumn("ts", F.col("t0") + F.expr("INTERVAL 1 MINUTE"))
-    reserved = inv.where("reserved").select("order_id", "ts")
-    failed = inv.where(~F.col("reserved")).select("order_id", "ts", "reason")
+    """Saga events derived from the tables (all SQL-expressible rules), in one pass.
+
+    One row per created order (Created ⋈ reservation outcome ⋈ customer) is
+    exploded into its saga events, so the journal and the outcome are
+    computed once rather than once per event kind.
+    """
+    created = (D.order_journal(t).where(F.col("event_type") == "OrderCreated")
+               .select("order_id", "ts", "customer_id", "total_amount"))
+    outcome = I.order_reservation_outcome(D.item_results_initial(t)).select("order_id", "reserved", "reason")
     acct = D.customers(t).select("customer_id", "acctbal")
-    pay = (reserved.join(step.select("order_id", "customer_id"), "order_id").join(acct, "customer_id", "left")
-           .withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 MINUTE")))
-    paid = pay.where(F.col("acctbal") >= 0).select("order_id", "ts")
-    pay_failed = (pay.where(~(F.col("acctbal") >= 0) | F.col("acctbal").isNull())
-                  .select("order_id", "ts", F.lit(PAYMENT_DECLINED).alias("reason")))
-    return S.saga_events(created, reserved, failed, paid, pay_failed)
+    base = created.join(outcome, "order_id").join(acct, "customer_id", "left")
+    t1, t2 = F.col("ts") + F.expr("INTERVAL 1 MINUTE"), F.col("ts") + F.expr("INTERVAL 2 MINUTE")
+    paid_ok = F.col("acctbal") >= 0
+    no_money, no_text = F.lit(None).cast("decimal(19,4)"), F.lit(None).cast("string")
+
+    def ev(cond, etype, ts, customer=no_text, total=no_money, reason=no_text):
+        return F.when(cond, F.struct(F.lit(etype).alias("event_type"), ts.alias("ts"),
+                                     customer.alias("customer_id"), total.alias("total_amount"),
+                                     reason.alias("reason")))
+
+    events = F.array_compact(F.array(
+        ev(F.lit(True), S.CREATED, F.col("ts"), F.col("customer_id"), F.col("total_amount")),
+        ev(F.col("reserved"), S.RESERVED, t1),
+        ev(~F.col("reserved"), S.INV_FAILED, t1, reason=F.col("reason")),
+        ev(F.col("reserved") & paid_ok, S.PAID, t2),
+        ev(F.col("reserved") & (~paid_ok | F.col("acctbal").isNull()), S.PAY_FAILED, t2,
+           reason=F.lit(PAYMENT_DECLINED)),
+    ))
+    return base.select("order_id", F.explode(events).alias("e")).select("order_id", "e.*").select(*S.SAGA_EVENT_COLS)
 
 
 @register("j2_saga_correlate")
