@@ -43,8 +43,9 @@ def saga_events(created: DataFrame, reserved: DataFrame, failed: DataFrame,
 
 
 def _first(etype: str, value: str) -> Column:
+    """Value of the earliest event of a kind; equal times are broken by the value (deterministic)."""
     is_t = F.col("event_type") == etype
-    return F.min_by(F.when(is_t, F.col(value)), F.when(is_t, F.col("ts")))
+    return F.min_by(F.when(is_t, F.col(value)), F.when(is_t, F.struct(F.col("ts"), F.col(value))))
 
 
 def saga_correlate(events: DataFrame) -> DataFrame:

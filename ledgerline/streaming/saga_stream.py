@@ -27,7 +27,8 @@ def partial_correlate(events: DataFrame) -> DataFrame:
         is_k = F.col("event_type") == kind
         aggs.append(F.min(F.when(is_k, F.col("ts"))).alias(f"{short}_ts"))
         for v in _VALUES.get(kind, []):
-            aggs.append(F.min_by(F.when(is_k, F.col(v)), F.when(is_k, F.col("ts"))).alias(f"{short}_{v}"))
+            aggs.append(F.min_by(F.when(is_k, F.col(v)), F.when(is_k, F.struct(F.col("ts"), F.col(v))))
+                        .alias(f"{short}_{v}"))
     return events.groupBy("order_id").agg(*aggs)
 
 
@@ -37,7 +38,7 @@ def merge_correlated(partials: DataFrame) -> DataFrame:
     for kind, short in _KINDS.items():
         aggs.append(F.min(f"{short}_ts").alias(f"{short}_ts"))
         for v in _VALUES.get(kind, []):
-            aggs.append(F.min_by(f"{short}_{v}", f"{short}_ts").alias(f"{short}_{v}"))
+            aggs.append(F.min_by(f"{short}_{v}", F.struct(f"{short}_ts", f"{short}_{v}")).alias(f"{short}_{v}"))
     m = partials.groupBy("order_id").agg(*aggs).where(F.col("created_ts").isNotNull())
     return m.select(
         "order_id", F.col("created_ts").alias("created_at"), F.col("created_customer_id").alias("customer_id"),
