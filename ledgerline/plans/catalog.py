@@ -364,15 +364,19 @@ def q_k13_saga_commands(spark, sf_dir):
 
 # --------------------------------------------------------------------------- order ⟕ stock
 from ledgerline.operators import stock_view as V  # noqa: E402
-from ledgerline.functions.jsonfmt import extract_skus  # noqa: E402
+from ledgerline.functions.jsonfmt import extract_skus, items_to_json  # noqa: E402
 
 
 def order_documents(t):
-    """The read-model row as the JSON document a client receives."""
-    s = _summary(t)
-    doc = F.concat(F.lit('{"orderId":"'), F.col("order_id"), F.lit('","status":"'), F.col("status"),
-                   F.lit('","items":'), F.coalesce(F.col("items_json"), F.lit("[]")), F.lit("}"))
-    return s.select("order_id", doc.alias("doc"))
+    """Each order as the JSON document a client receives: its id and its items.
+
+    Built from the Created events (the items never change afterwards), so the
+    SKU queries do not need the replayed status.
+    """
+    c = D.order_created(t)
+    doc = F.concat(F.lit('{"orderId":"'), F.col("order_id"), F.lit('","items":'),
+                   items_to_json("items"), F.lit("}"))
+    return c.select("order_id", doc.alias("doc"))
 
 
 @register("p13_extract_skus")
@@ -471,7 +475,6 @@ def q_k16_sliding(spark, sf_dir):
 
 # --------------------------------------------------------------------------- topic records / parsing
 from ledgerline.functions.columns import order_total  # noqa: E402
-from ledgerline.functions.jsonfmt import items_to_json  # noqa: E402
 from ledgerline.operators import parse as P  # noqa: E402
 from ledgerline.session import scratch_path  # noqa: E402
 from ledgerline.sources import topics as TP  # noqa: E402

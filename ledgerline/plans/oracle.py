@@ -384,8 +384,7 @@ SQL.update({
 
 # --------------------------------------------------------------------------- order ⟕ stock
 CTE_DOCS = """docs AS (
-  SELECT order_id, '{"orderId":"' || order_id || '","status":"' || status || '","items":'
-         || COALESCE(items_json, '[]') || '}' AS doc FROM summary),
+  SELECT order_id, '{"orderId":"' || order_id || '","items":' || items_json || '}' AS doc FROM created_doc),
 doc_skus AS (
   SELECT order_id, l, i FROM (
     SELECT order_id, json_extract_string(doc, '$.items[*].productId') AS l FROM docs) d,
@@ -393,7 +392,7 @@ doc_skus AS (
 skus AS (
   SELECT order_id, CAST(i - 1 AS INTEGER) AS pos, l[i] AS sku FROM doc_skus
   WHERE l[i] IS NOT NULL AND trim(l[i]) <> '')"""
-DOC_CTES = [*ORDER_CTES, CTE_CREATED_DOC, CTE_SUMMARY, CTE_DOCS]
+DOC_CTES = [*ORDER_CTES, CTE_CREATED_DOC, CTE_DOCS]
 A8_SQL = "SELECT order_id, lower(sku) AS sku_key, arg_min(sku, pos) AS sku FROM skus GROUP BY order_id, lower(sku)"
 
 SQL.update({
