@@ -12,10 +12,26 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions.columns import order_total
+from ledgerline.functions.jsonfmt import extract_skus, items_to_json
+from ledgerline.operators import commands as K
+from ledgerline.operators import inventory as I
 from ledgerline.operators import metrics as M
+from ledgerline.operators import notify as N
+from ledgerline.operators import orders as O
+from ledgerline.operators import parse as P
+from ledgerline.operators import rates as R
+from ledgerline.operators import saga as S
+from ledgerline.operators import stock_view as V
 from ledgerline.plans.present import present
+from ledgerline.session import scratch_path
 from ledgerline.sources import domain as D
+from ledgerline.sources import topics as TP
 from ledgerline.sources.tables import Tables
+from ledgerline.streaming import metrics_stream as MS
+from ledgerline.streaming import projection as PR
+from ledgerline.streaming import saga_stream as SS
+from ledgerline.streaming import stateful as ST
 
 # Query parameters (ranges inside the data's time span).
 EVENTS_FROM, EVENTS_TO = M.parse_range("2024-01-03T00:00:00Z", "2024-01-10T12:00:00Z")
@@ -120,7 +136,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- orders
-from ledgerline.operators import orders as O  # noqa: E402
 
 AS_OF = datetime(1997, 6, 1)
 LIST_STATUS, LIST_PAGE, LIST_SIZE = "SHIPPED", 2, 20
@@ -208,9 +223,6 @@ def q_a1_order_hourly_metrics_created(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- inventory
-from pyspark.sql import functions as F  # noqa: E402
-
-from ledgerline.operators import inventory as I  # noqa: E402
 
 
 @register("k1_stock_levels")
@@ -300,7 +312,6 @@ def q_s8_inventory_event_records(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- order commands
-from ledgerline.operators import commands as K  # noqa: E402
 
 
 @register("k10_order_commands")
@@ -310,7 +321,6 @@ def q_k10_order_commands(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- saga
-from ledgerline.operators import saga as S  # noqa: E402
 
 PAYMENT_DECLINED = "Insufficient funds"   # ours: payment fails for a customer in debit
 
@@ -363,8 +373,6 @@ def q_k13_saga_commands(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- order ⟕ stock
-from ledgerline.operators import stock_view as V  # noqa: E402
-from ledgerline.functions.jsonfmt import extract_skus, items_to_json  # noqa: E402
 
 
 def order_documents(t):
@@ -398,7 +406,6 @@ def q_j1_order_with_stock(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- notifications
-from ledgerline.operators import notify as N  # noqa: E402
 
 
 def _low_stock(t):
@@ -448,7 +455,6 @@ def q_n5_route_notifications(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- rate audits
-from ledgerline.operators import rates as R  # noqa: E402
 
 USER_LIMIT, USER_SECONDS = 2, 3600          # scaled-down per-user fixed window
 GLOBAL_LIMIT, GLOBAL_SECONDS = 25, 3600     # scaled-down unkeyed fixed window
@@ -474,10 +480,6 @@ def q_k16_sliding(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- topic records / parsing
-from ledgerline.functions.columns import order_total  # noqa: E402
-from ledgerline.operators import parse as P  # noqa: E402
-from ledgerline.session import scratch_path  # noqa: E402
-from ledgerline.sources import topics as TP  # noqa: E402
 
 
 def _parsed(t):
@@ -581,8 +583,6 @@ def q_p12_items_json(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- streaming
-from ledgerline.streaming import metrics_stream as MS  # noqa: E402
-from ledgerline.streaming import stateful as ST  # noqa: E402
 
 
 def _metrics_streams(spark, sf_dir):
@@ -706,9 +706,6 @@ def q_s3_read_notification_events(spark, sf_dir):
     return present(N.order_notifications(ev))
 
 
-from ledgerline.streaming import projection as PR  # noqa: E402
-
-
 @register("k11_order_summary_stream")
 def q_k11_order_summary_stream(spark, sf_dir):
     """The read model maintained by a stream of journal events (per-batch partial replays)."""
@@ -719,9 +716,6 @@ def q_k11_order_summary_stream(spark, sf_dir):
     return present(PR.read_order_summary(spark, f"{base}/partials"))
 
 
-from ledgerline.streaming import saga_stream as SS  # noqa: E402
-
-
 @register("k12_saga_status_stream")
 def q_k12_saga_status_stream(spark, sf_dir):
     """Saga state maintained by a stream of saga events (per-batch partial correlation)."""
