@@ -12,6 +12,7 @@ version when wanted. Where a MERGE-capable catalog table exists,
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,13 +42,12 @@ class KeyedTable:
         self.path, self.keys, self.schema = path.rstrip("/"), list(keys), schema
 
     def ensure(self, spark: SparkSession) -> None:
-        """Create the table (an empty version 0) if it does not exist."""
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(hpath):
+        """Create the table (empty, with its schema) if it does not exist."""
+        try:
+            spark.read.parquet(self.path).schema
+        except AnalysisException:
             empty = spark.createDataFrame([], self.schema).withColumn(BATCH_COL, F.lit(-1).cast("long"))
-            empty.write.mode("overwrite").partitionBy(BATCH_COL).parquet(self.path)
+            empty.write.mode("ignore").partitionBy(BATCH_COL).parquet(self.path)
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """Insert-or-update by key; idempotent per ``batch_id``."""
