@@ -82,6 +82,13 @@ class StockFold(KeyedFold):
                 return False, False, 0, config.MSG_REPLENISH_NOT_POSITIVE.format(q=q)
             state["available"] += q
             return True, True, q, None
+        if kind == "restore":                    # state carried in from a snapshot: available := q
+            state["available"] = q or 0
+            return True, False, 0, None
+        if kind == "hold":                       # state carried in from a snapshot: an open reservation
+            res[oid] = q
+            state["reserved"] += q
+            return True, False, q, None
         return False, False, 0, f"Unknown command {kind}"
 
     def fold_batch(self, pdf, carry):

@@ -30,6 +30,7 @@ from ledgerline.sources import topics as TP
 from ledgerline.sources.tables import Tables
 from ledgerline.streaming import metrics_stream as MS
 from ledgerline.streaming import projection as PR
+from ledgerline.streaming import reservations as RS
 from ledgerline.streaming import saga_stream as SS
 from ledgerline.streaming import stateful as ST
 
@@ -723,3 +724,14 @@ def q_k12_saga_status_stream(spark, sf_dir):
     base = scratch_path(spark, "saga")
     SS.start_saga_stream(ev, f"{base}/partials", f"{base}/ckpt").awaitTermination()
     return present(SS.read_saga_status(spark, f"{base}/partials"))
+
+
+@register("k7_reserve_orders_stream")
+def q_k7_reserve_orders_stream(spark, sf_dir):
+    """K7 over a stream of order lines (per micro-batch all-or-nothing, state in keyed tables)."""
+    t = Tables(spark, sf_dir)
+    lines = D.created_lines(t).select("order_id", "line_no", "product_id", "quantity", "ts", "seq")
+    stream = _as_stream(spark, lines, "order-lines")
+    base = scratch_path(spark, "reservations")
+    RS.start_reservation_stream(spark, stream, D.stock_initial(t), f"{base}/state", f"{base}/ckpt").awaitTermination()
+    return present(RS.read_outcomes(spark, f"{base}/state").drop("batch_id"))

@@ -56,10 +56,13 @@ class KeyedTable:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COL).parquet(self.path))
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """Current table: the latest version of every key."""
+    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """Current table: the latest version of every key (versions < ``before`` if given,
+        so a retried batch never reads its own partial output)."""
         full = T.StructType(list(self.schema.fields) + [T.StructField(BATCH_COL, T.LongType())])
         raw = spark.read.schema(full).parquet(self.path)
+        if before is not None:
+            raw = raw.where(F.col(BATCH_COL) < F.lit(int(before)))
         values = [c for c in self.schema.fieldNames() if c not in self.keys and c != BATCH_COL]
         latest = raw.groupBy(*self.keys).agg(F.max_by(F.struct(*values), BATCH_COL).alias("v"))
         return latest.select(*self.keys, *[F.col(f"v.{c}").alias(c) for c in values])

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from ledgerline.operators import inventory as I
 from ledgerline.operators import inventory as I
 from ledgerline.operators import metrics as M
 from ledgerline.sources import domain as D
@@ -144,3 +145,58 @@ def test_saga_stream_equals_batch(spark, workdir):
     out = os.path.join(workdir, "saga-partials")
     SS.start_saga_stream(stream, out, os.path.join(workdir, "sck")).awaitTermination()
     assert same(SS.read_saga_status(spark, out), S.saga_status(S.saga_correlate(ev)))
+
+
+def test_reservation_stream_single_batch_equals_batch(spark, workdir):
+    from ledgerline.streaming import reservations as RS
+    t = Tables(spark, SF)
+    lines = D.created_lines(t).select("order_id", "line_no", "product_id", "quantity", "ts", "seq")
+    src = os.path.join(workdir, "lines1")
+    lines.write.parquet(src)
+    stream = spark.readStream.schema(lines.schema).parquet(src)
+    base = os.path.join(workdir, "res1")
+    RS.start_reservation_stream(spark, stream, D.stock_initial(t), base, os.path.join(workdir, "rck1")).awaitTermination()
+    batch = I.reserve_orders(lines, D.stock_initial(t), D.EPOCH)
+    assert same(RS.read_outcomes(spark, base).drop("batch_id"), batch["outcome"])
+    final = batch["stock"].select("product_id", "available", "reserved")
+    assert same(RS.read_stock(spark, base), final)
+
+
+def test_reservation_stream_batches_conserve_stock(spark, workdir):
+    from ledgerline.streaming import reservations as RS
+    t = Tables(spark, SF)
+    lines = D.created_lines(t).select("order_id", "line_no", "product_id", "quantity", "ts", "seq")
+    src = os.path.join(workdir, "lines3")
+    split_in_three(lines, "ts", src)
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", "1").parquet(src)
+    base = os.path.join(workdir, "res3")
+    RS.start_reservation_stream(spark, stream, D.stock_initial(t), base, os.path.join(workdir, "rck3")).awaitTermination()
+    out = RS.read_outcomes(spark, base)
+    assert out.select("batch_id").distinct().count() == 3
+    assert out.count() == out.select("order_id").distinct().count() == lines.select("order_id").distinct().count()
+    stock = RS.read_stock(spark, base)
+    assert stock.where("available < 0").count() == 0
+    # nothing is confirmed here, so every product keeps available + reserved = its initial stock
+    init = D.stock_initial(t).select("product_id", F.col("available").alias("initial"))
+    assert stock.join(init, "product_id").where("available + reserved != initial").count() == 0
+    failed = out.where("NOT reserved").select("order_id")
+    held = RS.StockState(base).reservations.read(spark).where("live").join(failed, "order_id", "left_semi")
+    assert held.count() == 0
+
+
+def test_release_after_batch_unblocks_the_next_batch(spark, workdir):
+    from ledgerline.streaming import reservations as RS
+    ddl = "order_id string, line_no int, product_id string, quantity int, ts timestamp, seq long"
+    src = os.path.join(workdir, "fx")
+    t0 = datetime(2024, 1, 1)
+    for rows in ([("o1", 1, "A", 5, t0, 1), ("o1", 2, "B", 9, t0, 2)], [("o2", 1, "A", 1, t0, 3)]):
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    stock = spark.createDataFrame([("A", 5), ("B", 1)], "product_id string, available int")
+    stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", "1").parquet(src)
+    base = os.path.join(workdir, "fxs")
+    RS.start_reservation_stream(spark, stream, stock, base, os.path.join(workdir, "fxck")).awaitTermination()
+    got = {r.order_id: r.reserved for r in RS.read_outcomes(spark, base).collect()}
+    assert got == {"o1": False, "o2": True}       # o1's hold on A was released after its batch
+    assert {r.product_id: (r.available, r.reserved) for r in RS.read_stock(spark, base).collect()} == \
+        {"A": (4, 1), "B": (1, 0)}
