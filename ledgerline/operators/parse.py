@@ -157,10 +157,9 @@ def route_by_event_type(envelopes: DataFrame) -> dict[str, DataFrame]:
         action = F.when(et == etype, F.lit(act)) if action is None else action.when(et == etype, F.lit(act))
     ok = envelopes.where("ok").withColumn("kind", action)
     handled = ok.where(F.col("kind").isNotNull())
-    commands = (handled.select("order_id", "kind", F.posexplode("items").alias("item_pos", "it"),
-                               *[c for c in ("offset",) if c in envelopes.columns])
-                .select("it.product_id", "kind", "order_id", "it.quantity", "item_pos",
-                        *[c for c in ("offset",) if c in envelopes.columns]))
+    carry = [c for c in ("offset", "timestamp") if c in envelopes.columns]
+    commands = (handled.select("order_id", "kind", F.posexplode("items").alias("item_pos", "it"), *carry)
+                .select("it.product_id", "kind", "order_id", "it.quantity", "item_pos", *carry))
     return {"commands": commands,
             "empty": handled.where(F.size("items") == 0),
             "ignored": ok.where(F.col("kind").isNull())}

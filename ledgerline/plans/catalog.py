@@ -549,7 +549,7 @@ def q_p4_parse_envelopes(spark, sf_dir):
 @register("p5_route_commands")
 def q_p5_route_commands(spark, sf_dir):
     routes = P.route_by_event_type(P.parse_envelope(_envelopes(Tables(spark, sf_dir))))
-    return present(routes["commands"].drop("offset"))
+    return present(routes["commands"].drop("offset", "timestamp"))
 
 
 @register("p5_empty_item_events")
@@ -564,7 +564,7 @@ def q_k9_recovered_commands(spark, sf_dir):
     env = P.parse_envelope(_envelopes(t))
     created = env.where(F.col("event_type") == "ORDER_CREATED").select("order_id", "items")
     fixed = P.recover_items(env.where(F.col("event_type").isin("ORDER_CANCELLED", "ORDER_CONFIRMED")), created)
-    return present(P.route_by_event_type(fixed)["commands"].drop("offset"))
+    return present(P.route_by_event_type(fixed)["commands"].drop("offset", "timestamp"))
 
 
 @register("p11_validate_orders")
@@ -735,3 +735,17 @@ def q_k7_reserve_orders_stream(spark, sf_dir):
     base = scratch_path(spark, "reservations")
     RS.start_reservation_stream(spark, stream, D.stock_initial(t), f"{base}/state", f"{base}/ckpt").awaitTermination()
     return present(RS.read_outcomes(spark, f"{base}/state").drop("batch_id"))
+
+
+@register("k9_stock_commands_stream")
+def q_k9_stock_commands_stream(spark, sf_dir):
+    """The inventory consumer as a stream: envelopes → decode → route → items recovered → stock."""
+    t = Tables(spark, sf_dir)
+    path = scratch_path(spark, "order-events")
+    _envelopes(t).write.mode("overwrite").parquet(path)
+    created = (P.parse_envelope(TP.read_order_envelopes(spark, path))
+               .where(F.col("event_type") == "ORDER_CREATED").select("order_id", "items"))
+    cmds = RS.envelope_commands(TP.read_order_envelopes(spark, path, stream=True), created)
+    base = scratch_path(spark, "inventory")
+    RS.start_reservation_stream(spark, cmds, D.stock_initial(t), f"{base}/state", f"{base}/ckpt").awaitTermination()
+    return present(RS.read_stock(spark, f"{base}/state"))

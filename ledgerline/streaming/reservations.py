@@ -1,4 +1,4 @@
-"""K7 as a stream: all-or-nothing order reservation, one micro-batch at a time.
+"""K7 / K9 as a stream: stock commands with all-or-nothing orders, one micro-batch at a time.
 
 The stock state lives in two log-structured keyed tables (``sources.sinks``):
 available stock per product and open reservations per (product, order) with
@@ -61,7 +61,14 @@ def _cmd(df: DataFrame, kind: str, quantity: str, order_id=None) -> DataFrame:
 def reserve_batch(spark: SparkSession, lines: DataFrame, batch_id: int, state: StockState,
                   initial_stock: DataFrame, sep: str = ", ",
                   prefix: str = config.INSUFFICIENT_STOCK_PREFIX) -> DataFrame:
-    """One micro-batch of K7; returns the batch's order outcomes (also written)."""
+    """One micro-batch of stock commands; returns the batch's order outcomes (also written).
+
+    ``lines``: product_id, order_id, quantity, ts, seq, line_no and an
+    optional ``kind`` (reserve when absent; release / confirm / replenish
+    otherwise). Reserves are all-or-nothing per order within the batch.
+    """
+    if "kind" not in lines.columns:
+        lines = lines.withColumn("kind", F.lit("reserve"))
     touched = lines.select("product_id").distinct()
     known = state.available.read(spark, before=batch_id).join(touched, "product_id", "left_semi")
     fresh = (initial_stock.select("product_id", F.col("available").cast("int").alias("available"))
@@ -70,25 +77,39 @@ def reserve_batch(spark: SparkSession, lines: DataFrame, batch_id: int, state: S
              .join(touched, "product_id", "left_semi"))
     cmds = (_cmd(known.unionByName(fresh), "restore", "available")
             .unionByName(_cmd(holds, "hold", "quantity", "order_id"))
-            .unionByName(lines.select("product_id", F.lit("reserve").alias("kind"), "order_id", "quantity", "ts",
-                                      F.col("seq").cast("long").alias("seq"), "line_no")))
+            .unionByName(lines.select("product_id", "kind", "order_id", F.col("quantity").cast("int").alias("quantity"),
+                                      "ts", F.col("seq").cast("long").alias("seq"),
+                                      F.col("line_no").cast("int").alias("line_no"))))
     ledger_path = f"{state.ledger}/batch_id={int(batch_id)}"
     I.apply_stock_commands(cmds).write.mode("overwrite").parquet(ledger_path)
     results = spark.read.parquet(ledger_path)
 
+    # pass 2: per-order outcome of this batch's reservation requests
     items = results.where(F.col("kind") == "reserve")
     outcome = I.order_reservation_outcome(items, sep, prefix)
-    comp = I.compensation_set(items.where("applied"), outcome).select(
-        "product_id", "order_id", F.col("effective_quantity").alias("released"))
+    # where each (product, order) stands at the end of the batch
+    order_of = F.struct("ts", "seq", "quantity")
+    changes = (results.where(F.col("applied") & F.col("order_id").isNotNull())
+               .groupBy("product_id", "order_id")
+               .agg(F.max_by(F.struct("kind", "effective_quantity"), order_of).alias("last")))
+    held_end = changes.where(F.col("last.kind") == "reserve").select(
+        "product_id", "order_id", F.col("last.effective_quantity").alias("quantity"))
+    # pass 3: successful items of failed orders still held → released after the batch
+    failed = outcome.where(~F.col("reserved")).select("order_id")
+    comp = held_end.join(failed, "order_id", "left_semi")
     last = (results.groupBy("product_id")
-            .agg(F.max_by("available_after", F.struct("ts", "seq", "quantity")).alias("after")))
-    back = comp.groupBy("product_id").agg(F.sum("released").alias("back"))
+            .agg(F.max_by("available_after", order_of).alias("after")))
+    back = comp.groupBy("product_id").agg(F.sum("quantity").alias("back"))
     new_available = last.join(back, "product_id", "left").select(
         "product_id", (F.col("after") + F.coalesce("back", F.lit(0))).cast("int").alias("available"))
-    held = (items.where("applied").select("product_id", "order_id", F.col("effective_quantity").alias("quantity"))
-            .join(comp, ["product_id", "order_id"], "left_anti").withColumn("live", F.lit(True)))
+    live = held_end.join(comp.select("product_id", "order_id"), ["product_id", "order_id"], "left_anti")
+    gone = changes.join(live.select("product_id", "order_id"), ["product_id", "order_id"], "left_anti")
+    new_reservations = (live.withColumn("live", F.lit(True))
+                        .unionByName(gone.select("product_id", "order_id",
+                                                 F.col("last.effective_quantity").alias("quantity"),
+                                                 F.lit(False).alias("live"))))
     state.available.upsert(new_available, batch_id)
-    state.reservations.upsert(held, batch_id)
+    state.reservations.upsert(new_reservations, batch_id)
     out = outcome.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
     out.write.mode("overwrite").parquet(f"{state.outcomes}/batch_id={int(batch_id)}")
     return out
@@ -96,7 +117,8 @@ def reserve_batch(spark: SparkSession, lines: DataFrame, batch_id: int, state: S
 
 def start_reservation_stream(spark: SparkSession, lines_stream: DataFrame, initial_stock: DataFrame,
                              base: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Run K7 over a stream of order lines (order_id, line_no, product_id, quantity, ts, seq)."""
+    """Run the stock stream: order lines / stock commands (product_id, order_id, quantity,
+    ts, seq, line_no[, kind]) per micro-batch."""
     state = StockState(base)
     state.ensure(spark)
     w = (lines_stream.writeStream.option("checkpointLocation", checkpoint)
@@ -118,3 +140,18 @@ def read_stock(spark: SparkSession, base: str) -> DataFrame:
     return (st.available.read(spark).join(held, "product_id", "left")
             .select("product_id", F.col("available").cast("long").alias("available"),
                     F.coalesce("reserved", F.lit(0).cast("long")).alias("reserved")))
+
+
+def envelope_commands(envelopes: DataFrame, created_items: DataFrame) -> DataFrame:
+    """Stock commands from ``order-events`` records (batch or stream).
+
+    P4 decode → q20 items of cancel/confirm taken from the Created events
+    (``created_items``: order_id, items — a static table joined to the
+    stream) → P5 routing → one command per item, ordered by record offset.
+    """
+    from ledgerline.operators import parse as P
+    env = P.parse_envelope(envelopes)
+    routed = P.route_by_event_type(P.recover_items(env, created_items))["commands"]
+    return routed.select("product_id", "kind", "order_id", "quantity", F.col("timestamp").alias("ts"),
+                         (F.col("offset") * F.lit(64) + F.col("item_pos")).cast("long").alias("seq"),
+                         (F.col("item_pos") + 1).cast("int").alias("line_no"))

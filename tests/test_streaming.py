@@ -200,3 +200,27 @@ def test_release_after_batch_unblocks_the_next_batch(spark, workdir):
     assert got == {"o1": False, "o2": True}       # o1's hold on A was released after its batch
     assert {r.product_id: (r.available, r.reserved) for r in RS.read_stock(spark, base).collect()} == \
         {"A": (4, 1), "B": (1, 0)}
+
+
+def test_inventory_consumer_stream_keeps_the_ledger_invariants(spark, workdir):
+    from ledgerline.operators import parse as P
+    from ledgerline.sources import topics as TP
+    from ledgerline.streaming import reservations as RS
+    t = Tables(spark, SF)
+    path = os.path.join(workdir, "envelopes")
+    TP.publish_order_events(D.order_journal(t), D.order_created(t)).write.parquet(path)
+    created = (P.parse_envelope(TP.read_order_envelopes(spark, path))
+               .where("event_type = 'ORDER_CREATED'").select("order_id", "items"))
+    cmds = RS.envelope_commands(TP.read_order_envelopes(spark, path, stream=True), created)
+    base = os.path.join(workdir, "inv")
+    RS.start_reservation_stream(spark, cmds, D.stock_initial(t), base, os.path.join(workdir, "ick")).awaitTermination()
+    stock = RS.read_stock(spark, base)
+    assert stock.where("available < 0").count() == 0
+    ledger = spark.read.parquet(os.path.join(base, "ledger"))
+    confirmed = (ledger.where("kind = 'confirm' AND applied").groupBy("product_id")
+                 .agg(F.sum("effective_quantity").alias("confirmed")))
+    init = D.stock_initial(t).select("product_id", F.col("available").alias("initial"))
+    chk = (stock.join(init, "product_id").join(confirmed, "product_id", "left")
+           .where("initial - coalesce(confirmed, 0) != available + reserved"))
+    assert chk.count() == 0
+    assert ledger.where("kind IN ('release', 'confirm')").count() > 0     # q20: items were recovered
