@@ -87,6 +87,21 @@ def parse_order_event(records: DataFrame, topic: str = "topic", value: str = "va
     return _barrier(out)
 
 
+def observe_decoding(parsed: DataFrame, observation) -> DataFrame:
+    """Attach decode counters (records, malformed, missing field, bad timestamp) to the plan.
+
+    ``observation`` is a ``pyspark.sql.Observation``; its ``get`` holds the
+    counts once an action on the returned frame has run — no extra job.
+    """
+    err = F.col("error")
+    return parsed.observe(
+        observation,
+        F.count(F.lit(1)).alias("records"),
+        F.sum((err == "malformed_json").cast("long")).alias("malformed_json"),
+        F.sum(err.startswith("missing_field").cast("long")).alias("missing_field"),
+        F.sum((err == "bad_timestamp").cast("long")).alias("bad_timestamp"))
+
+
 def quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid normalised events, quarantined raw records with their error)."""
     valid = parsed.where("ok").select("order_id", "customer_id", "total_amount", "items", "status", "event_time")

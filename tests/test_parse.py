@@ -41,6 +41,17 @@ def test_parse_and_quarantine(spark):
     assert {(r.key, r.value) for r in dlq} == {(r.key, r.value) for r in recs.where("key in ('3','4','6')").collect()}
 
 
+def test_decode_counters_are_observed(spark):
+    from pyspark.sql import Observation
+    recs = spark.createDataFrame([("order.created", "1", CREATED), ("order.created", "2", "{"),
+                                  ("order.confirmed", "3", json.dumps({"orderId": "o1"}))], REC_DDL)
+    obs = Observation("decode")
+    valid, _ = P.quarantine(P.observe_decoding(P.parse_order_event(recs), obs))
+    assert valid.count() == 1
+    got = obs.get
+    assert (got["records"], got["malformed_json"], got["missing_field"], got["bad_timestamp"]) == (3, 1, 1, 0)
+
+
 def test_envelope_and_routing(spark):
     created = json.dumps({"orderId": "o1", "customerId": "c", "totalAmount": 1, "shippingAddress": "s",
                           "createdAt": "2024-01-01T00:00:00Z",
