@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SKU_ARRAYS = ["items", "lineItems", "orderItems"]     # fixed: array fields searched for skus
+from ledgerline.config import SKU_ARRAYS
+
 SKU_FIELDS = ["sku", "productId", "product_id"]       # q21: sku, or the product id it stands for
 
 

@@ -15,12 +15,8 @@ from ledgerline import config
 from ledgerline.operators.fold import KeyedFold, keyed_fold
 from ledgerline.schemas import ORDER_COMMAND_RESULT_DDL
 
-# fixed values: command → (required status, emitted event, resulting status)
-TRANSITIONS = {
-    "confirm": ("PENDING", "OrderConfirmed", "CONFIRMED"),
-    "ship": ("CONFIRMED", "OrderShipped", "SHIPPED"),
-    "deliver": ("SHIPPED", "OrderDelivered", "DELIVERED"),
-}
+TRANSITIONS = config.COMMAND_TRANSITIONS
+# which command re-issues each journal event (our replay of a journal as commands)
 COMMAND_OF_EVENT = {
     "OrderCreated": "create",
     "OrderConfirmed": "confirm",

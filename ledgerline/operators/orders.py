@@ -18,22 +18,8 @@ from pyspark.sql import functions as F
 from ledgerline import config
 from ledgerline.functions.jsonfmt import items_to_json
 
-# fixed values: event → status it sets, and the legal status transitions
-EVENT_STATUS = {
-    "OrderCreated": "PENDING",
-    "OrderConfirmed": "CONFIRMED",
-    "OrderShipped": "SHIPPED",
-    "OrderDelivered": "DELIVERED",
-    "OrderCancelled": "CANCELLED",
-}
-LEGAL_TRANSITIONS = [
-    (None, "PENDING"),
-    ("PENDING", "CONFIRMED"),
-    ("CONFIRMED", "SHIPPED"),
-    ("SHIPPED", "DELIVERED"),
-    ("PENDING", "CANCELLED"),
-    ("CONFIRMED", "CANCELLED"),
-]
+EVENT_STATUS = config.EVENT_STATUS
+LEGAL_TRANSITIONS = config.LEGAL_TRANSITIONS
 
 
 def event_status(event_type="event_type") -> Column:
