@@ -247,9 +247,17 @@ def stock_event_ledger(t: Tables) -> DataFrame:
     line's quantity (q10) — confirmed for confirmed orders and released for
     early-cancelled ones.
     """
-    first = (created_lines(t).groupBy("order_key", "order_id", "product_id")
-             .agg(F.min_by(F.struct("quantity", "line_no", "created_at", "order_status", "priority"),
-                           F.struct("line_no", "quantity")).alias("f")))
+    # first line per (order, product) by (line_no, quantity), packed into one long so the
+    # aggregate buffer is fixed-width (hash aggregate); order attributes are grouping keys
+    code = (F.col("line_no").cast("long") * F.lit(1 << 32)
+            + (F.col("quantity").cast("long") + F.lit(1 << 31)))
+    first = (created_lines(t)
+             .groupBy("order_key", "order_id", "product_id", "created_at", "order_status", "priority")
+             .agg(F.min(code).alias("_code"))
+             .select("order_key", "order_id", "product_id",
+                     F.struct((F.floor(F.col("_code") / F.lit(1 << 32))).cast("int").alias("line_no"),
+                              (F.pmod(F.col("_code"), F.lit(1 << 32)) - F.lit(1 << 31)).cast("int").alias("quantity"),
+                              "created_at", "order_status", "priority").alias("f")))
     st, pr, at = F.col("f.order_status"), F.col("f.priority"), F.col("f.created_at")
 
     def ev(cond, etype, ts):
