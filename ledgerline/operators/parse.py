@@ -110,6 +110,19 @@ def quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, bad
 
 
+def dedupe_records(records: DataFrame, keys: tuple[str, ...] = ("topic", "partition", "offset"),
+                   watermark: str | None = None, ts: str = "timestamp") -> DataFrame:
+    """q12: drop redelivered records (same topic, partition, offset) before they reach a fold.
+
+    Batch: ``dropDuplicates``. Stream: ``dropDuplicatesWithinWatermark`` —
+    the de-duplication state is bounded by the watermark instead of growing
+    with the stream.
+    """
+    if records.isStreaming:
+        return records.withWatermark(ts, watermark or "1 hour").dropDuplicatesWithinWatermark(list(keys))
+    return records.dropDuplicates(list(keys))
+
+
 def union_topics(*dfs: DataFrame) -> DataFrame:
     """One frame over several topics (missing columns become null)."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)

@@ -145,12 +145,12 @@ def read_stock(spark: SparkSession, base: str) -> DataFrame:
 def envelope_commands(envelopes: DataFrame, created_items: DataFrame) -> DataFrame:
     """Stock commands from ``order-events`` records (batch or stream).
 
-    P4 decode → q20 items of cancel/confirm taken from the Created events
+    q12 redeliveries dropped → P4 decode → q20 items of cancel/confirm taken from the Created events
     (``created_items``: order_id, items — a static table joined to the
     stream) → P5 routing → one command per item, ordered by record offset.
     """
     from ledgerline.operators import parse as P
-    env = P.parse_envelope(envelopes)
+    env = P.parse_envelope(P.dedupe_records(envelopes))
     routed = P.route_by_event_type(P.recover_items(env, created_items))["commands"]
     return routed.select("product_id", "kind", "order_id", "quantity", F.col("timestamp").alias("ts"),
                          (F.col("offset") * F.lit(64) + F.col("item_pos")).cast("long").alias("seq"),

@@ -79,6 +79,12 @@ def test_envelope_and_routing(spark):
     assert env.where("key = 'o4'").first().error == "malformed_json"
 
 
+def test_redelivered_records_are_dropped(spark):
+    recs = spark.createDataFrame([("order-events", 0, 7, "a"), ("order-events", 0, 7, "a"),
+                                  ("order-events", 1, 7, "b")], "topic string, partition int, offset long, value string")
+    assert P.dedupe_records(recs).count() == 2
+
+
 def test_validation(spark):
     item = "struct<product_id:string,product_name:string,quantity:int,unit_price:decimal(19,4)>"
     df = spark.createDataFrame([
