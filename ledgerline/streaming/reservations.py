@@ -69,6 +69,10 @@ def reserve_batch(spark: SparkSession, lines: DataFrame, batch_id: int, state: S
     """
     if "kind" not in lines.columns:
         lines = lines.withColumn("kind", F.lit("reserve"))
+    # the micro-batch is used several times below: write it once, read it back
+    input_path = f"{state.base}/input/batch_id={int(batch_id)}"
+    lines.write.mode("overwrite").parquet(input_path)
+    lines = spark.read.parquet(input_path)
     touched = lines.select("product_id").distinct()
     known = state.available.read(spark, before=batch_id).join(touched, "product_id", "left_semi")
     fresh = (initial_stock.select("product_id", F.col("available").cast("int").alias("available"))
