@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.session import apply_defaults
 
+# Lazy base DataFrames per session and path: building one infers the parquet
+# schema on the driver (a footer read), so queries of the same session reuse
+# it. Only the plan is cached, never data.
+_BASE: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
 TABLE_NAMES = ("region nation customer supplier part orders lineitem events documents "
                "embeddings pages benchmark labels conversations").split()
 
@@ -40,7 +47,11 @@ class Tables:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
-            df = self.spark.read.parquet(self.path(name))
+            per_session = _BASE.setdefault(self.spark, {})
+            path = self.path(name)
+            if path not in per_session:
+                per_session[path] = self.spark.read.parquet(path)
+            df = per_session[path]
             if name in self.filters:
                 df = df.where(self.filters[name])
             self._cache[name] = df
