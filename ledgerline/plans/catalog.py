@@ -28,6 +28,7 @@ from ledgerline.session import scratch_path
 from ledgerline.sources import domain as D
 from ledgerline.sources import topics as TP
 from ledgerline.sources.tables import Tables
+from ledgerline.streaming import decode_stream as DS
 from ledgerline.streaming import metrics_stream as MS
 from ledgerline.streaming import projection as PR
 from ledgerline.streaming import reservations as RS
@@ -749,3 +750,19 @@ def q_k9_stock_commands_stream(spark, sf_dir):
     base = scratch_path(spark, "inventory")
     RS.start_reservation_stream(spark, cmds, D.stock_initial(t), f"{base}/state", f"{base}/ckpt").awaitTermination()
     return present(RS.read_stock(spark, f"{base}/state"))
+
+
+@register("s9_dead_letter_stream")
+def q_s9_dead_letter_stream(spark, sf_dir):
+    """Topic records decoded as a stream; dead letters written as the second sink."""
+    recs = _as_stream(spark, D.order_topic_records(Tables(spark, sf_dir)), "order-topic-records")
+    base = scratch_path(spark, "decode")
+    DS.start_decode_stream(spark, recs, base, f"{base}/ckpt").awaitTermination()
+    return present(spark.read.parquet(f"{base}/dead_letters").select("topic", "key", "reason"))
+
+
+@register("n1_order_notifications_stream")
+def q_n1_order_notifications_stream(spark, sf_dir):
+    """Notification e-mails derived from a stream of notification records."""
+    recs = _as_stream(spark, notification_records(Tables(spark, sf_dir)), "notification-records")
+    return present(_run_stream_to_parquet(spark, DS.notification_stream(recs), "notifications"))

@@ -224,3 +224,18 @@ def test_inventory_consumer_stream_keeps_the_ledger_invariants(spark, workdir):
            .where("initial - coalesce(confirmed, 0) != available + reserved"))
     assert chk.count() == 0
     assert ledger.where("kind IN ('release', 'confirm')").count() > 0     # q20: items were recovered
+
+
+def test_decode_stream_equals_batch(spark, workdir):
+    from ledgerline.operators import parse as P
+    from ledgerline.streaming import decode_stream as DS
+    recs = D.order_topic_records(Tables(spark, SF))
+    src = os.path.join(workdir, "records")
+    split_in_three(recs, "timestamp", src)
+    stream = spark.readStream.schema(recs.schema).option("maxFilesPerTrigger", "1").parquet(src)
+    base = os.path.join(workdir, "decoded")
+    DS.start_decode_stream(spark, stream, base, os.path.join(workdir, "dck")).awaitTermination()
+    valid, _ = P.quarantine(P.parse_order_event(recs))
+    assert same(spark.read.parquet(os.path.join(base, "events")).drop("batch_id"), valid)
+    assert spark.read.parquet(os.path.join(base, "dead_letters")).count() == \
+        P.parse_order_event(recs).where("NOT ok").count()
