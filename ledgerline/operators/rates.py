@@ -9,14 +9,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline import config
 
 
+def _event_time(events: DataFrame, ts: str):
+    """The time column as a timestamp (kept as is when it already is one, so a
+    watermark on it still applies)."""
+    if isinstance(events.schema[ts].dataType, T.TimestampType):
+        return F.col(ts)
+    return F.col(ts).cast("timestamp")
+
+
 def fixed_window_breaches(events: DataFrame, limit: int, seconds: int = config.RATE_WINDOW_SECONDS,
                           key: str | None = None, ts: str = "ts") -> DataFrame:
     """Per (fixed window[, key]) request count > ``limit``, with the excess."""
-    w = F.window(F.col(ts).cast("timestamp"), f"{seconds} seconds")
+    w = F.window(_event_time(events, ts), f"{seconds} seconds")
     keys = [w.alias("w")] + ([F.col(key)] if key else [])
     counted = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("request_count"))
     return (counted.where(F.col("request_count") > limit)
@@ -30,8 +39,16 @@ def sliding_window_breaches(events: DataFrame, limit: int, seconds: int = config
     """Windows of ``seconds`` sliding by ``seconds / segments`` with count > ``limit``."""
     if seconds % segments:
         raise ValueError("seconds must be a multiple of segments")
-    w = F.window(F.col(ts).cast("timestamp"), f"{seconds} seconds", f"{seconds // segments} seconds")
+    w = F.window(_event_time(events, ts), f"{seconds} seconds", f"{seconds // segments} seconds")
     counted = events.groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("request_count"))
     return (counted.where(F.col("request_count") > limit)
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     "request_count", (F.col("request_count") - F.lit(limit)).alias("excess")))
+
+
+def fixed_window_breaches_stream(events: DataFrame, limit: int, seconds: int = config.RATE_WINDOW_SECONDS,
+                                 key: str | None = None, ts: str = "ts", watermark: str = "1 hour") -> DataFrame:
+    """K15 on a stream: the same aggregate behind a watermark; with ``outputMode("append")``
+    every window is emitted once, when the watermark passes its end (state is then dropped)."""
+    ev = events.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", watermark)
+    return fixed_window_breaches(ev, limit, seconds, key=key, ts="_ts")

@@ -766,3 +766,11 @@ def q_n1_order_notifications_stream(spark, sf_dir):
     """Notification e-mails derived from a stream of notification records."""
     recs = _as_stream(spark, notification_records(Tables(spark, sf_dir)), "notification-records")
     return present(_run_stream_to_parquet(spark, DS.notification_stream(recs), "notifications"))
+
+
+@register("k15_fixed_window_breaches_stream")
+def q_k15_fixed_window_breaches_stream(spark, sf_dir):
+    """K15 per user as a stream (watermark + append mode) over the events table."""
+    ev = MS.stream_table(spark, sf_dir, "events")
+    audit = R.fixed_window_breaches_stream(ev, USER_LIMIT, USER_SECONDS, key="user_id")
+    return present(_run_stream_to_parquet(spark, audit, "rate-audit"))

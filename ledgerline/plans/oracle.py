@@ -582,3 +582,4 @@ SQL["k11_order_summary_stream"] = SQL["w1_replay_order_state"]
 SQL["k12_saga_status_stream"] = SQL["k12_saga_status"]
 SQL["s9_dead_letter_stream"] = SQL["s9_dead_letter"]
 SQL["n1_order_notifications_stream"] = SQL["n1_order_notifications"]
+SQL["k15_fixed_window_breaches_stream"] = SQL["k15_fixed_window_breaches_user"]
