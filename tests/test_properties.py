@@ -1,9 +1,12 @@
-"""Property tests of the two state machines (pure Python, many random sequences)."""
+"""Property tests: the two state machines and the range-scan bounds (pure Python)."""
+from datetime import datetime, timedelta
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from ledgerline.operators.commands import decide
 from ledgerline.operators.inventory import StockFold
+from ledgerline.operators.metrics import window_scan_bounds
 
 LEGAL = {(None, "PENDING"), ("PENDING", "CONFIRMED"), ("CONFIRMED", "SHIPPED"), ("SHIPPED", "DELIVERED"),
          ("PENDING", "CANCELLED"), ("CONFIRMED", "CANCELLED")}
@@ -50,3 +53,20 @@ def test_stock_ledger_invariants(cmds):
         if kind == "reserve" and oid in before[1]:
             assert ok and not applied and eff == before[1][oid]   # idempotent (q10)
         assert replenished - confirmed == state["available"] + state["reserved"]
+
+BASE = datetime(2024, 1, 1)
+minutes = st.integers(min_value=0, max_value=60 * 24 * 10)
+
+
+@given(minutes, minutes, st.integers(min_value=0, max_value=60 * 24 * 10 * 60),
+       st.sampled_from([3600, 7200, 1800]))
+@settings(max_examples=500, deadline=None)
+def test_scan_bounds_keep_every_contained_window(a, b, t, duration):
+    """An event whose window lies inside [from, to] is always inside the scanned [lo, hi)."""
+    frm, to = BASE + timedelta(minutes=min(a, b)), BASE + timedelta(minutes=max(a, b) + 1)
+    ts = BASE + timedelta(seconds=t)
+    start = ts.replace(minute=0, second=0, microsecond=0)
+    end = start + timedelta(seconds=duration)
+    lo, hi = window_scan_bounds(frm, to, duration)
+    if start >= frm and end <= to:
+        assert lo <= ts < hi
