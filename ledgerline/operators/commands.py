@@ -58,6 +58,21 @@ class OrderCommandFold(KeyedFold):
     def init_state(self, key):
         return {"status": None}
 
+    def fold_batch(self, pdf, carry):
+        oids, cmds = pdf["order_id"].tolist(), pdf["command"].tolist()
+        n = len(oids)
+        accepted, events, before, after, msgs = [None] * n, [None] * n, [None] * n, [None] * n, [None] * n
+        cur, status = carry[0], (carry[1] or {}).get("status")
+        for i in range(n):
+            if oids[i] != cur:
+                cur, status = oids[i], None
+            before[i] = status
+            accepted[i], events[i], status, msgs[i] = decide(status, cmds[i], oids[i])
+            after[i] = status
+        carry[0], carry[1] = cur, {"status": status}
+        return {"accepted": accepted, "emitted_event": events, "status_before": before,
+                "status_after": after, "message": msgs}
+
     def step(self, state, row):
         before = state["status"]
         ok, event, after, msg = decide(before, row["command"], row["order_id"])
