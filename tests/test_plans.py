@@ -68,3 +68,9 @@ def test_range_query_pushes_event_time_to_the_scan(plans):
     p = plans["t2_hourly_series"]
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(ts,.*LessThan\(ts,", p)
     assert "ReadSchema: struct<ts:timestamp_ntz,value:double>" in p
+
+
+def test_point_lookup_pushes_the_key_to_the_scans(plans):
+    p = plans["p15_find_order"]
+    assert re.search(r"PushedFilters: \[.*EqualTo\(o_orderkey,1000\)", p)
+    assert re.search(r"PushedFilters: \[.*EqualTo\(l_orderkey,1000\)", p)
