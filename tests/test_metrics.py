@@ -90,3 +90,17 @@ def test_batch_partials_sum_to_totals(spark):
         (F.col("n") != F.col("order_count")) | (F.col("r") != F.col("total_revenue")) | F.col("n").isNull()
         | F.col("order_count").isNull())
     assert diff.count() == 0
+
+
+def test_scan_restriction_does_not_change_range_results(spark):
+    from ledgerline.plans import catalog as C
+    from ledgerline.sources import domain as D
+    from ledgerline.sources.tables import Tables
+    full = Tables(spark, "/root/testdata/sf0.01")
+    cut = C._in_range(full, C.EVENTS_FROM, C.EVENTS_TO)
+    a = M.hourly_series(M.hourly_metrics(D.metric_events(full)), C.EVENTS_FROM, C.EVENTS_TO)
+    b = M.hourly_series(M.hourly_metrics(D.metric_events(cut)), C.EVENTS_FROM, C.EVENTS_TO)
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    ta = M.top_products(M.product_window_rows(D.metric_event_items(full)), C.EVENTS_FROM, C.EVENTS_TO)
+    tb = M.top_products(M.product_window_rows(D.metric_event_items(cut)), C.EVENTS_FROM, C.EVENTS_TO)
+    assert ta.collect() == tb.collect()
