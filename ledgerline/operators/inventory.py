@@ -217,7 +217,7 @@ def _reserve_commands(order_lines: DataFrame) -> DataFrame:
 
 def reserve_orders(order_lines: DataFrame, initial_stock: DataFrame, epoch: str,
                    sep: str = ", ", prefix: str = config.INSUFFICIENT_STOCK_PREFIX,
-                   num_partitions: int | None = None) -> dict[str, DataFrame]:
+                   num_partitions: int | None = None, materialize: bool = True) -> dict[str, DataFrame]:
     """K7: all-or-nothing reservation of orders against initial stock.
 
     ``order_lines``: order_id, line_no, product_id, quantity, ts, seq (one
@@ -225,6 +225,10 @@ def reserve_orders(order_lines: DataFrame, initial_stock: DataFrame, epoch: str,
     ``initial_stock``: product_id, available.
     Returns ``items`` (per item result), ``outcome`` (per order),
     ``releases`` (compensation events) and ``stock`` (final snapshot).
+    The fold's results feed every output, so with ``materialize`` they are
+    computed once and checkpointed to the shared ``spark.checkpoint.dir``
+    (a reliable checkpoint: lineage cut, survives executor loss) instead of
+    re-running the fold per output.
     """
     reserves = _reserve_commands(order_lines)
     init = initial_stock.select("product_id", F.lit("replenish").alias("kind"),
@@ -234,6 +238,10 @@ def reserve_orders(order_lines: DataFrame, initial_stock: DataFrame, epoch: str,
                                 F.lit(-1).cast("long").alias("seq"),
                                 F.lit(None).cast("int").alias("line_no"))
     results = apply_stock_commands(init.unionByName(reserves), num_partitions)
+    if materialize:
+        from ledgerline.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(results.sparkSession)
+        results = results.checkpoint(eager=True)
     items = results.where(F.col("kind") == "reserve")
     outcome = order_reservation_outcome(items, sep, prefix)
     releases = (compensation_set(items.where("applied"), outcome)
