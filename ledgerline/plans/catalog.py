@@ -24,7 +24,7 @@ from ledgerline.operators import rates as R
 from ledgerline.operators import saga as S
 from ledgerline.operators import stock_view as V
 from ledgerline.plans.present import present
-from ledgerline.session import scratch_path
+from ledgerline.session import ensure_checkpoint_dir, scratch_path
 from ledgerline.sources import domain as D
 from ledgerline.sources import topics as TP
 from ledgerline.sources.tables import Tables
@@ -274,7 +274,10 @@ def q_k2_reserve_stock(spark, sf_dir):
 
 @register("k2_stock_after_fold")
 def q_k2_stock_after_fold(spark, sf_dir):
-    return present(I.apply_stock_events(I.ledger_from_results(_fold_results(Tables(spark, sf_dir)))))
+    """K1 over the fold's ledger; the fold feeds two aggregates, so it is checkpointed once."""
+    ensure_checkpoint_dir(spark)
+    results = _fold_results(Tables(spark, sf_dir)).checkpoint(eager=True)
+    return present(I.apply_stock_events(I.ledger_from_results(results)))
 
 
 def _k7(t):
