@@ -1,0 +1,34 @@
+"""The registered queries ``opN_<name>`` of the training-data operators: each applies its
+operator with production parameters to the whole table and derives the digest columns."""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerline.llm import byte_bpe, token_counts
+from ledgerline.llm.common import sha, table
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    return byte_bpe.decode(ids, path).select(
+        "doc_id", byte_bpe.n_ids("ids").alias("n_tokens"), sha("ids").alias("ids_sha256"), sha("decoded").alias("decoded_sha256"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_tokens",
+                          (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+QUERIES = {
+    "op3_byte_bpe": op3_byte_bpe,
+    "op5_token_counts": op5_token_counts,
+}
+
+#: DuckDB SQL where SQL can express the operator over whole tables.
+ORACLE_SQL: dict[str, str] = {}
