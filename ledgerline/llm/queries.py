@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, token_counts
+from ledgerline.llm import byte_bpe, suffix_decontamination, token_counts
 from ledgerline.llm.common import sha, table
 
 
@@ -25,9 +25,17 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_decontamination.find_matches(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        sha(F.concat_ws(",", "items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "longest")
+
+
 QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op5_token_counts": op5_token_counts,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 #: DuckDB SQL where SQL can express the operator over whole tables.
