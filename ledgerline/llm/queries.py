@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, suffix_decontamination, token_counts
+from ledgerline.llm import byte_bpe, recompression, suffix_decontamination, token_counts
 from ledgerline.llm.common import sha, table
 
 
@@ -18,6 +18,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", byte_bpe.n_ids("ids").alias("n_tokens"), sha("ids").alias("ids_sha256"), sha("decoded").alias("decoded_sha256"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recompression.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", sha("kept_text").alias("kept_sha256"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -34,6 +39,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_token_counts": op5_token_counts,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
