@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, recompression, suffix_decontamination, token_counts
+from ledgerline.llm import byte_bpe, prob_minhash, recompression, suffix_decontamination, token_counts
 from ledgerline.llm.common import sha, table
 
 
@@ -37,11 +37,16 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         sha(F.concat_ws(",", "items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "longest")
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prob_minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_token_counts": op5_token_counts,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 #: DuckDB SQL where SQL can express the operator over whole tables.
