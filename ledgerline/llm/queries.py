@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, prob_minhash, recompression, suffix_decontamination, token_counts
+from ledgerline.llm import (byte_bpe, kernel_toxicity, prob_minhash, pu_quality, recompression, suffix_decontamination,
+                            token_counts)
 from ledgerline.llm.common import sha, table
 
 
@@ -30,6 +31,34 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+#: A document whose score reaches this is predicted 1.
+PREDICTED_FROM = 0.7
+
+
+def _fold(folds: int):
+    return F.crc32(F.col("doc_id").cast("string")) % folds
+
+
+def _predicted(scored: DataFrame, held_out) -> DataFrame:
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= PREDICTED_FROM).cast("int").alias("predicted"))
+
+
+def op7_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    positives = table(spark, sf_dir, "labels").filter((F.col("quality") == 1) & (_fold(4) != 2)).select("doc_id")
+    return _predicted(pu_quality.score(docs, pu_quality.train(docs, positives)), _fold(4) == 2)
+
+
+def toxicity_machine(spark: SparkSession, docs: DataFrame, sf_dir: str) -> kernel_toxicity.Machine:
+    return kernel_toxicity.train(docs, table(spark, sf_dir, "labels").filter(_fold(3) != 1))
+
+
+def op8_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _predicted(kernel_toxicity.score(docs, toxicity_machine(spark, docs, sf_dir)), _fold(3) == 1)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = suffix_decontamination.find_matches(docs, table(spark, sf_dir, "benchmark"))
@@ -45,6 +74,8 @@ QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_token_counts": op5_token_counts,
+    "op7_pu_quality": op7_pu_quality,
+    "op8_kernel_toxicity": op8_kernel_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_near_duplicates": op10_near_duplicates,
 }
