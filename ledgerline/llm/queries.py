@@ -7,11 +7,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (byte_bpe, kernel_toxicity, prob_minhash, pu_quality, recompression, suffix_decontamination,
+from ledgerline.llm import (byte_bpe, kernel_toxicity, order_minhash, prob_minhash, pu_quality, recompression, suffix_decontamination,
                             token_counts)
 from ledgerline.llm.common import sha, table
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.edit_sensitivity(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
@@ -71,6 +75,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_order_minhash": op2_order_minhash,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_token_counts": op5_token_counts,
