@@ -31,7 +31,7 @@ from ledgerline.llm.pretokens import HashIndex, ragged, split
 #: Bytes of a pre-token beyond which a heap replaces the matrix.
 LONG = 256
 #: Pre-tokens a worker remembers (about 40 bytes each); when full, the memory starts anew.
-REMEMBERED = 3_000_000
+REMEMBERED = 1_000_000
 #: Cells of a matrix.
 CELLS = 1 << 20
 NONE = np.int64(1) << 40

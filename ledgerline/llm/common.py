@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerline.session import scratch_path
 
 #: Text bytes a Python worker handles at a time. A longer text is one slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from ledgerline.llm.common import mix, slices, small_batches, text_bytes, word_hashes, words_of
 
 #: Benchmark text bytes per block, and document bytes per shard.
-BLOCK_BYTES, SHARD_BYTES = 4 << 20, 4 << 20
+BLOCK_BYTES, SHARD_BYTES = 4 << 20, 2 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

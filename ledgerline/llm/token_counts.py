@@ -29,7 +29,7 @@ from ledgerline.llm.common import text_bytes, word_hashes
 from ledgerline.llm.pretokens import HashIndex, ragged, split
 
 #: Counts a worker remembers (16 bytes each, up to twice that in the index); when full, the memory starts anew.
-REMEMBERED = 4_000_000
+REMEMBERED = 1_500_000
 #: Symbols merged together.
 FLAT = 1 << 21
 NONE = np.int64(1) << 40
