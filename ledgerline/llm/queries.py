@@ -7,11 +7,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (byte_bpe, kernel_toxicity, order_minhash, prob_minhash, pu_quality, recompression, suffix_decontamination,
-                            token_counts)
+from ledgerline.llm import (byte_bpe, kernel_toxicity, license_scan, order_minhash, prob_minhash, pu_quality, recompression,
+                            suffix_decontamination, token_counts)
 from ledgerline.llm.common import sha, table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan(docs, license_scan.train(docs)).select(
+        "doc_id", "n_paragraphs", "n_licensed", F.concat_ws(",", "families").alias("families"), F.round("best", 6).alias("best"))
+
+
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edit_sensitivity(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -75,6 +81,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_order_minhash": op2_order_minhash,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_substring_dedup": op4_substring_dedup,
