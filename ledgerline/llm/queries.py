@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (byte_bpe, kernel_toxicity, license_scan, order_minhash, prob_minhash, pu_quality, recompression,
-                            suffix_decontamination, token_counts)
+from ledgerline.llm import (byte_bpe, chat_repair, kernel_toxicity, license_scan, order_minhash, prob_minhash, pu_quality,
+                            recompression, suffix_decontamination, token_counts)
 from ledgerline.llm.common import sha, table
 
 
@@ -41,6 +41,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op6_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 #: A document whose score reaches this is predicted 1.
 PREDICTED_FROM = 0.7
 
@@ -86,6 +90,7 @@ QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_token_counts": op5_token_counts,
+    "op6_chat_repair": op6_chat_repair,
     "op7_pu_quality": op7_pu_quality,
     "op8_kernel_toxicity": op8_kernel_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
