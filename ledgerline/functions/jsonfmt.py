@@ -16,9 +16,9 @@ def _col(c):
 
 
 def json_string(c) -> Column:
-    """JSON string literal of a string column (quotes and backslashes escaped)."""
-    esc = F.regexp_replace(F.regexp_replace(_col(c), r"\\", r"\\\\"), '"', r'\\"')
-    return F.coalesce(F.concat(F.lit('"'), esc, F.lit('"')), F.lit("null"))
+    """JSON string literal of a string column, escaped by Spark's JSON writer (control characters too)."""
+    text = F.to_json(F.array(_col(c)))
+    return F.when(_col(c).isNull(), F.lit("null")).otherwise(F.substring(text, F.lit(2), F.length(text) - 2))
 
 
 def items_to_json(items) -> Column:

@@ -22,6 +22,8 @@ from ledgerline.operators.fold import KeyedFold, as_int_list, keyed_fold
 from ledgerline.schemas import STOCK_RESULT_DDL
 
 COMMAND_COLS = ["product_id", "kind", "order_id", "quantity", "ts", "seq", "line_no"]
+# order of a product's commands; nothing is packed into one number, so no cap on lines or items
+COMMAND_ORDER = ["ts", "seq", "line_no", "quantity"]
 _RESULT_COLS = tuple(c.strip().split(" ")[0] for c in STOCK_RESULT_DDL.split(","))
 
 
@@ -100,7 +102,7 @@ class StockFold(KeyedFold):
         cur, state, apply = carry[0], carry[1], self._apply
         for i in range(n):
             pid = pids[i]
-            if pid != cur:
+            if state is None or pid != cur:
                 cur, state = pid, self.init_state((pid,))
             ok[i], applied[i], eff[i], msg[i] = apply(state, pid, kinds[i], oids[i], qs[i])
             avail[i], reserved[i] = state["available"], state["reserved"]
@@ -110,15 +112,18 @@ class StockFold(KeyedFold):
 
 
 def apply_stock_commands(commands: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """K2–K5: run stock commands in (ts, seq) order per product.
+    """K2–K5: run stock commands in (ts, seq, line_no) order per product.
 
     ``commands``: product_id, kind, order_id, quantity, ts, seq and an
     optional line_no carried through. Initial stock is a ``replenish``
-    command ordered first. One result row per command.
+    command ordered first; an optional ``rank`` column orders before ts.
+    Commands without a product id form a product of their own, without stock.
+    One result row per command.
     """
     if "line_no" not in commands.columns:
         commands = commands.withColumn("line_no", F.lit(None).cast("int"))
-    return keyed_fold(commands.select(*COMMAND_COLS), ["product_id"], ["ts", "seq", "quantity"],
+    rank = ["rank"] if "rank" in commands.columns else []
+    return keyed_fold(commands.select(*COMMAND_COLS, *rank), ["product_id"], [*rank, *COMMAND_ORDER],
                       StockFold(), STOCK_RESULT_DDL, num_partitions)
 
 
@@ -221,7 +226,7 @@ def reserve_orders(order_lines: DataFrame, initial_stock: DataFrame, epoch: str,
     """K7: all-or-nothing reservation of orders against initial stock.
 
     ``order_lines``: order_id, line_no, product_id, quantity, ts, seq (one
-    row per item, seq unique and increasing in arrival order).
+    row per item; orders arrive by ts and seq, their items by line_no).
     ``initial_stock``: product_id, available.
     Returns ``items`` (per item result), ``outcome`` (per order),
     ``releases`` (compensation events) and ``stock`` (final snapshot).
@@ -256,7 +261,7 @@ def batch_reserve(order_lines: DataFrame, initial_stock: DataFrame, epoch: str,
                   num_partitions: int | None = None) -> DataFrame:
     """K8: the request-batch variant; `; `-joined failures, OK message otherwise."""
     r = reserve_orders(order_lines, initial_stock, epoch, sep="; ",
-                       prefix=config.BATCH_FAILED_PREFIX, num_partitions=num_partitions)
+                       prefix=config.BATCH_FAILED_PREFIX, num_partitions=num_partitions, materialize=False)
     ok_msg = F.format_string(config.MSG_ALL_RESERVED.replace("{n}", "%d").replace("{oid}", "%s"),
                              F.col("n_items"), F.col("order_id"))
     return r["outcome"].select("order_id", F.col("reserved").alias("success"),

@@ -114,12 +114,14 @@ def dedupe_records(records: DataFrame, keys: tuple[str, ...] = ("topic", "partit
                    watermark: str | None = None, ts: str = "timestamp") -> DataFrame:
     """q12: drop redelivered records (same topic, partition, offset) before they reach a fold.
 
-    Batch: ``dropDuplicates``. Stream: ``dropDuplicatesWithinWatermark`` —
-    the de-duplication state is bounded by the watermark instead of growing
-    with the stream.
+    On a stream a ``watermark`` bounds the de-duplication state and is required, as records that
+    come later than it are lost; where none may be (stock), drop them by the ids that earlier
+    batches have written (``streaming.reservations.start_inventory_stream``).
     """
     if records.isStreaming:
-        return records.withWatermark(ts, watermark or "1 hour").dropDuplicatesWithinWatermark(list(keys))
+        if watermark is None:
+            raise ValueError("a stream needs an explicit watermark: records later than it are dropped")
+        return records.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(keys))
     return records.dropDuplicates(list(keys))
 
 
@@ -176,8 +178,9 @@ def route_by_event_type(envelopes: DataFrame) -> dict[str, DataFrame]:
     """P5 (+K9 warnings): CREATED → reserve, CANCELLED → release, CONFIRMED → confirm.
 
     Returns ``commands`` (one stock command per item), ``empty`` (handled
-    events whose item list is empty: nothing done, warning — q20) and
-    ``ignored`` (other types).
+    events whose item list is empty: nothing done, warning — q20),
+    ``ignored`` (other types) and ``bad`` (records that did not decode, for the
+    dead letters). Every record is in exactly one of empty, ignored and bad, or has commands.
     """
     et = F.col("event_type")
     action = None
@@ -190,7 +193,8 @@ def route_by_event_type(envelopes: DataFrame) -> dict[str, DataFrame]:
                 .select("it.product_id", "kind", "order_id", "it.quantity", "item_pos", *carry))
     return {"commands": commands,
             "empty": handled.where(F.size("items") == 0),
-            "ignored": ok.where(F.col("kind").isNull())}
+            "ignored": ok.where(F.col("kind").isNull()),
+            "bad": envelopes.where(~F.col("ok"))}
 
 
 def recover_items(events: DataFrame, created_items: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ from ledgerline.plans.present import present
 from ledgerline.session import ensure_checkpoint_dir, scratch_path
 from ledgerline.sources import domain as D
 from ledgerline.sources import topics as TP
+from ledgerline.sources.sinks import KeyedTable
 from ledgerline.sources.tables import Tables
 from ledgerline.streaming import decode_stream as DS
 from ledgerline.streaming import metrics_stream as MS
@@ -280,9 +281,9 @@ def q_k2_stock_after_fold(spark, sf_dir):
     return present(I.apply_stock_events(I.ledger_from_results(results)))
 
 
-def _k7(t):
+def _k7(t, materialize: bool = False):
     lines = D.created_lines(t).select("order_id", "line_no", "product_id", "quantity", "ts", "seq")
-    return I.reserve_orders(lines, D.stock_initial(t), D.EPOCH)
+    return I.reserve_orders(lines, D.stock_initial(t), D.EPOCH, materialize=materialize)
 
 
 @register("k7_reserve_orders")
@@ -292,7 +293,7 @@ def q_k7_reserve_orders(spark, sf_dir):
 
 @register("k7_stock_after_compensation")
 def q_k7_stock_after_compensation(spark, sf_dir):
-    return present(_k7(Tables(spark, sf_dir))["stock"])
+    return present(_k7(Tables(spark, sf_dir), materialize=True)["stock"])
 
 
 @register("k8_batch_reserve")
@@ -523,8 +524,7 @@ def q_p1_hourly_metrics_from_topics(spark, sf_dir):
 @register("u1_union_topics")
 def q_u1_union_topics(spark, sf_dir):
     recs = D.order_topic_records(Tables(spark, sf_dir))
-    parts = [recs.where(F.col("topic") == tp).select("topic", "key", "offset") for tp in N.config.ANALYTICS_TOPICS]
-    return present(P.union_topics(*parts))
+    return present(recs.where(F.col("topic").isin(N.config.ANALYTICS_TOPICS)).select("topic", "key", "offset"))
 
 
 @register("s1_read_order_topics")
@@ -593,7 +593,7 @@ def q_p12_items_json(spark, sf_dir):
 def _metrics_streams(spark, sf_dir):
     ev = MS.stream_table(spark, sf_dir, "events")
     base = scratch_path(spark, "metrics-stream")
-    return MS.run_metrics_stream(spark, D.normalise_events(ev), D.event_items(ev), base)
+    return MS.run_metrics_stream(spark, D.normalise_events(ev), D.event_items(ev), base, watermark="1 hour")
 
 
 @register("k14_hourly_metrics_stream")
@@ -693,22 +693,13 @@ def notification_records(t):
     return orders.unionByName(inv)
 
 
-_NOTIFY_JSON = ("struct<OrderId:string,CustomerEmail:string,Status:string,TrackingNumber:string,"
-                "CancellationReason:string,WebhookUrl:string>")
-
-
 @register("s3_read_notification_events")
 def q_s3_read_notification_events(spark, sf_dir):
     """Notification records read back through S3, decoded and turned into e-mails (N5 → N1)."""
     path = scratch_path(spark, "notification-records")
     notification_records(Tables(spark, sf_dir)).write.mode("overwrite").parquet(path)
     recs = TP.read_notification_events(spark, path)
-    order = N.route_notifications(recs)["order"]
-    j = F.from_json("value", _NOTIFY_JSON)
-    ev = order.select("event_type", j["OrderId"].alias("order_id"), j["CustomerEmail"].alias("customer_email"),
-                      j["Status"].alias("status"), j["TrackingNumber"].alias("tracking_number"),
-                      j["CancellationReason"].alias("cancellation_reason"))
-    return present(N.order_notifications(ev))
+    return present(N.order_notifications(DS.decode_notifications(recs).where("ok")))
 
 
 @register("k11_order_summary_stream")
@@ -732,10 +723,10 @@ def q_k12_saga_status_stream(spark, sf_dir):
 
 @register("k7_reserve_orders_stream")
 def q_k7_reserve_orders_stream(spark, sf_dir):
-    """K7 over a stream of order lines (per micro-batch all-or-nothing, state in keyed tables)."""
+    """K7 over a stream of order records (per micro-batch all-or-nothing, state in keyed tables)."""
     t = Tables(spark, sf_dir)
     lines = D.created_lines(t).select("order_id", "line_no", "product_id", "quantity", "ts", "seq")
-    stream = _as_stream(spark, lines, "order-lines")
+    stream = _as_stream(spark, RS.order_records(lines), "order-records")
     base = scratch_path(spark, "reservations")
     RS.start_reservation_stream(spark, stream, D.stock_initial(t), f"{base}/state", f"{base}/ckpt").awaitTermination()
     return present(RS.read_outcomes(spark, f"{base}/state").drop("batch_id"))
@@ -747,11 +738,9 @@ def q_k9_stock_commands_stream(spark, sf_dir):
     t = Tables(spark, sf_dir)
     path = scratch_path(spark, "order-events")
     _envelopes(t).write.mode("overwrite").parquet(path)
-    created = (P.parse_envelope(TP.read_order_envelopes(spark, path))
-               .where(F.col("event_type") == "ORDER_CREATED").select("order_id", "items"))
-    cmds = RS.envelope_commands(TP.read_order_envelopes(spark, path, stream=True), created)
     base = scratch_path(spark, "inventory")
-    RS.start_reservation_stream(spark, cmds, D.stock_initial(t), f"{base}/state", f"{base}/ckpt").awaitTermination()
+    RS.start_inventory_stream(spark, TP.read_order_envelopes(spark, path, stream=True), D.stock_initial(t),
+                              f"{base}/state", f"{base}/ckpt").awaitTermination()
     return present(RS.read_stock(spark, f"{base}/state"))
 
 
@@ -773,7 +762,15 @@ def q_n1_order_notifications_stream(spark, sf_dir):
 
 @register("k15_fixed_window_breaches_stream")
 def q_k15_fixed_window_breaches_stream(spark, sf_dir):
-    """K15 per user as a stream (watermark + append mode) over the events table."""
-    ev = MS.stream_table(spark, sf_dir, "events")
-    audit = R.fixed_window_breaches_stream(ev, USER_LIMIT, USER_SECONDS, key="user_id")
-    return present(_run_stream_to_parquet(spark, audit, "rate-audit"))
+    """K15 per user as a stream: running window counts (update mode) in a keyed table, read against the limit."""
+    counts = R.fixed_window_counts_stream(MS.stream_table(spark, sf_dir, "events"), USER_SECONDS, key="user_id")
+    return present(R.breaches(run_rate_stream(spark, counts, scratch_path(spark, "rate-audit")), USER_LIMIT))
+
+
+def run_rate_stream(spark, counts: DataFrame, base: str) -> DataFrame:
+    """The counts table after the stream has run over what is available."""
+    keys = [c for c in counts.columns if c != "request_count"]
+    counted = KeyedTable(f"{base}/counts", keys, counts.schema)
+    counted.ensure(spark)
+    MS.start_upsert(counts, counted, f"{base}/ckpt").awaitTermination()
+    return counted.read(spark)

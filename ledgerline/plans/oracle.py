@@ -8,6 +8,10 @@ from __future__ import annotations
 
 from ledgerline import config
 from ledgerline.plans import catalog as C
+from ledgerline.operators.commands import COMMAND_OF_EVENT
+from ledgerline.schemas import ORDER_COMMAND_RESULT_DDL, STOCK_RESULT_DDL
+from ledgerline.sources import domain as D
+from ledgerline.sources import topics as TP
 
 MONEY = "DECIMAL(19,4)"
 
@@ -50,7 +54,7 @@ CTE_ORDER_TOTALS = f"""order_totals AS (
   SELECT order_key, CAST(SUM(line_total) AS {MONEY}) AS total_amount, COUNT(*) AS n_lines
   FROM order_lines GROUP BY order_key)"""
 
-_CARRIER = "CASE o_orderpriority WHEN '1-URGENT' THEN 'FedEx' WHEN '2-HIGH' THEN 'UPS' ELSE 'DHL' END"
+_CARRIER = _case("o_orderpriority", D.CARRIER_BY_PRIORITY, f"'{D.DEFAULT_CARRIER}'")
 CTE_JOURNAL = f"""hdr AS (
   SELECT o_orderkey AS order_key, CAST(o_orderkey AS VARCHAR) AS order_id,
          CAST(o_custkey AS VARCHAR) AS customer_id, o_orderdate AS created_at,
@@ -64,16 +68,16 @@ journal AS (
   SELECT order_id, order_key, 1, 'OrderConfirmed', created_at + INTERVAL 1 DAY, NULL, NULL, NULL, NULL, NULL
   FROM hdr WHERE o_orderstatus IN ('P', 'F')
   UNION ALL
-  SELECT order_id, order_key, 1, 'OrderCancelled', created_at + INTERVAL 1 DAY, NULL, NULL, NULL, NULL, 'Customer requested'
+  SELECT order_id, order_key, 1, 'OrderCancelled', created_at + INTERVAL 1 DAY, NULL, NULL, NULL, NULL, '{D.CANCEL_REASON_EARLY}'
   FROM hdr WHERE o_orderstatus = 'O' AND o_orderpriority = '5-LOW'
   UNION ALL
-  SELECT order_id, order_key, 2, 'OrderShipped', created_at + INTERVAL 2 DAY, NULL, NULL, 'TRK-' || order_id, {_CARRIER}, NULL
+  SELECT order_id, order_key, 2, 'OrderShipped', created_at + INTERVAL 2 DAY, NULL, NULL, '{D.TRACKING_PREFIX}' || order_id, {_CARRIER}, NULL
   FROM hdr WHERE o_orderstatus = 'F'
   UNION ALL
   SELECT order_id, order_key, 3, 'OrderDelivered', created_at + INTERVAL 5 DAY, NULL, NULL, NULL, NULL, NULL
   FROM hdr WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')
   UNION ALL
-  SELECT order_id, order_key, 3, 'OrderCancelled', created_at + INTERVAL 3 DAY, NULL, NULL, NULL, NULL, 'Too late'
+  SELECT order_id, order_key, 3, 'OrderCancelled', created_at + INTERVAL 3 DAY, NULL, NULL, NULL, NULL, '{D.CANCEL_REASON_LATE}'
   FROM hdr WHERE o_orderstatus = 'F' AND o_orderpriority = '5-LOW')"""
 
 
@@ -260,7 +264,7 @@ CTE_CREATED_LINES = f"""stock_initial AS (
          CAST(p_size * {config.STOCK_PER_SIZE_UNIT} AS INTEGER) AS available FROM part),
 created_lines AS (
   SELECT l.order_key, l.order_id, l.line_no, l.product_id, l.quantity, o_orderdate AS created_at,
-         o_orderstatus, o_orderpriority, CAST(l.order_key * 8 + l.line_no AS BIGINT) AS seq
+         o_orderstatus, o_orderpriority, CAST(l.order_key AS BIGINT) AS seq
   FROM order_lines l JOIN orders ON o_orderkey = l.order_key)"""
 
 CTE_STOCK_LEDGER = """first_lines AS (
@@ -272,12 +276,12 @@ ledger AS (
   SELECT product_id, 'StockReplenished' AS event_type, NULL::VARCHAR AS order_id, available AS quantity,
          TIMESTAMP '1990-01-01 00:00:00' AS ts, CAST(-1 AS BIGINT) AS seq FROM stock_initial
   UNION ALL
-  SELECT product_id, 'StockReserved', order_id, quantity, created_at, order_key * 8 + line_no FROM first_lines
+  SELECT product_id, 'StockReserved', order_id, quantity, created_at, order_key FROM first_lines
   UNION ALL
-  SELECT product_id, 'ReservationConfirmed', order_id, quantity, created_at + INTERVAL 1 DAY, order_key * 8 + line_no
+  SELECT product_id, 'ReservationConfirmed', order_id, quantity, created_at + INTERVAL 1 DAY, order_key
   FROM first_lines WHERE st IN ('P', 'F')
   UNION ALL
-  SELECT product_id, 'ReservationReleased', order_id, quantity, created_at + INTERVAL 1 DAY, order_key * 8 + line_no
+  SELECT product_id, 'ReservationReleased', order_id, quantity, created_at + INTERVAL 1 DAY, order_key
   FROM first_lines WHERE st = 'O' AND pr = '5-LOW'),
 open_res AS (
   SELECT product_id, order_id, arg_max(quantity, (ts, seq)) AS quantity
@@ -393,14 +397,15 @@ skus AS (
   SELECT order_id, CAST(i - 1 AS INTEGER) AS pos, l[i] AS sku FROM doc_skus
   WHERE l[i] IS NOT NULL AND trim(l[i]) <> '')"""
 DOC_CTES = [*ORDER_CTES, CTE_CREATED_DOC, CTE_DOCS]
-A8_SQL = "SELECT order_id, lower(sku) AS sku_key, arg_min(sku, pos) AS sku FROM skus GROUP BY order_id, lower(sku)"
+A8_SQL = """SELECT order_id, lower(sku) AS sku_key, arg_min(sku, pos) AS sku FROM skus GROUP BY order_id, lower(sku)
+UNION ALL SELECT order_id, NULL, NULL FROM docs WHERE order_id NOT IN (SELECT order_id FROM skus)"""
 
 SQL.update({
     "p13_extract_skus": with_ctes(*DOC_CTES) + "SELECT order_id, pos, sku FROM skus",
     "a8_distinct_skus": with_ctes(*DOC_CTES) + A8_SQL,
     "j1_order_with_stock": with_ctes(*DOC_CTES, CTE_CREATED_LINES, CTE_STOCK_LEDGER) + f"""
 SELECT d.order_id, d.sku, v.available, v.reserved, v.total,
-       CASE WHEN v.available IS NULL THEN 404 ELSE 200 END AS stock_status
+       CASE WHEN d.sku IS NULL THEN NULL WHEN v.available IS NULL THEN 404 ELSE 200 END AS stock_status
 FROM ({A8_SQL}) d LEFT JOIN levels v ON lower(v.product_id) = d.sku_key""",
 })
 
@@ -583,3 +588,165 @@ SQL["k12_saga_status_stream"] = SQL["k12_saga_status"]
 SQL["s9_dead_letter_stream"] = SQL["s9_dead_letter"]
 SQL["n1_order_notifications_stream"] = SQL["n1_order_notifications"]
 SQL["k15_fixed_window_breaches_stream"] = SQL["k15_fixed_window_breaches_user"]
+
+
+# --------------------------------------------------------------------------- sequential folds
+# A fold is a recursive CTE over the row number within its key: one step a command.
+CTE_STOCK_COMMANDS = f"""commands AS (
+  SELECT product_id, 'replenish' AS kind, NULL::VARCHAR AS order_id, available AS quantity,
+         TIMESTAMP '{D.EPOCH}' AS ts, CAST(-1 AS BIGINT) AS seq, NULL::INTEGER AS line_no FROM stock_initial
+  UNION ALL SELECT product_id, 'reserve', order_id, quantity, created_at, seq, line_no FROM created_lines
+  UNION ALL SELECT product_id, 'confirm', order_id, quantity, created_at + INTERVAL 1 DAY, seq, line_no
+  FROM created_lines WHERE o_orderstatus IN ('P', 'F')
+  UNION ALL SELECT product_id, 'release', order_id, quantity, created_at + INTERVAL 1 DAY, seq, line_no
+  FROM created_lines WHERE o_orderstatus = 'O' AND o_orderpriority = '5-LOW'
+  UNION ALL SELECT product_id, 'release', order_id, quantity, created_at + INTERVAL 3 DAY, seq, line_no
+  FROM created_lines WHERE o_orderstatus = 'F' AND o_orderpriority = '5-LOW')"""
+
+CTE_RESERVE_COMMANDS = CTE_STOCK_COMMANDS.split("  UNION ALL SELECT product_id, 'confirm'")[0].rstrip() + ")"
+
+
+def _message(template: str, **values: str) -> str:
+    """SQL text of a message template: its placeholders become columns."""
+    sql = "'" + template.replace("'", "''") + "'"
+    for name, column in values.items():
+        sql = sql.replace("{" + name + "}", f"' || CAST({column} AS VARCHAR) || '")
+    return sql
+
+
+# open reservations travel as two lists (orders, quantities); ``pos`` is the command's place in them
+CTE_STOCK_FOLD = f"""numbered AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY ts, seq, line_no NULLS FIRST, quantity) AS rn FROM commands),
+fold AS (
+  SELECT product_id, CAST(0 AS BIGINT) AS rn, 0 AS available, 0 AS reserved, CAST([] AS VARCHAR[]) AS orders, CAST([] AS INTEGER[]) AS held,
+         NULL::VARCHAR AS kind, NULL::VARCHAR AS order_id, NULL::INTEGER AS quantity, NULL::TIMESTAMP AS ts, NULL::BIGINT AS seq,
+         NULL::INTEGER AS line_no, NULL::BOOLEAN AS ok, NULL::BOOLEAN AS applied, 0 AS eff, NULL::VARCHAR AS message
+  FROM (SELECT DISTINCT product_id FROM numbered) p
+  UNION ALL
+  SELECT product_id, rn,
+         CAST(available + CASE WHEN NOT applied THEN 0 WHEN kind = 'reserve' THEN -eff WHEN kind IN ('release', 'replenish') THEN eff ELSE 0 END AS INTEGER),
+         CAST(reserved + CASE WHEN NOT applied THEN 0 WHEN kind = 'reserve' THEN eff WHEN kind IN ('release', 'confirm') THEN -eff ELSE 0 END AS INTEGER),
+         CASE WHEN applied AND kind = 'reserve' THEN list_append(orders, order_id)
+              WHEN applied AND kind IN ('release', 'confirm') THEN list_concat(orders[1:pos - 1], orders[pos + 1:]) ELSE orders END,
+         CASE WHEN applied AND kind = 'reserve' THEN list_append(held, eff)
+              WHEN applied AND kind IN ('release', 'confirm') THEN list_concat(held[1:pos - 1], held[pos + 1:]) ELSE held END,
+         kind, order_id, quantity, ts, seq, line_no, ok, applied, eff, message
+  FROM (
+    SELECT *,
+           CASE kind WHEN 'reserve' THEN pos > 0 OR (quantity > 0 AND available >= quantity) WHEN 'confirm' THEN pos > 0
+                     WHEN 'replenish' THEN quantity > 0 ELSE true END AS ok,
+           CASE kind WHEN 'reserve' THEN pos = 0 AND quantity > 0 AND available >= quantity WHEN 'replenish' THEN quantity > 0 ELSE pos > 0 END AS applied,
+           CASE WHEN kind IN ('reserve', 'release', 'confirm') AND pos > 0 THEN held[pos]
+                WHEN kind = 'reserve' AND quantity > 0 AND available >= quantity THEN quantity
+                WHEN kind = 'replenish' AND quantity > 0 THEN quantity ELSE 0 END AS eff,
+           CASE WHEN kind = 'reserve' AND pos = 0 AND quantity <= 0 THEN {_message(config.MSG_QTY_NOT_POSITIVE, q="quantity")}
+                WHEN kind = 'reserve' AND pos = 0 AND available < quantity THEN {_message(config.MSG_INSUFFICIENT, pid="product_id", avail="available", q="quantity")}
+                WHEN kind = 'confirm' AND pos = 0 THEN {_message(config.MSG_NO_RESERVATION, oid="order_id", pid="product_id")}
+                WHEN kind = 'replenish' AND quantity <= 0 THEN {_message(config.MSG_REPLENISH_NOT_POSITIVE, q="quantity")} END AS message
+    FROM (SELECT n.product_id, n.rn, n.kind, n.order_id, n.quantity, n.ts, n.seq, n.line_no, f.available, f.reserved, f.orders, f.held,
+                 COALESCE(list_position(f.orders, n.order_id), 0) AS pos
+          FROM fold f JOIN numbered n ON n.product_id = f.product_id AND n.rn = f.rn + 1) c) d),
+results AS (SELECT product_id, kind, order_id, quantity, ts, seq, line_no, ok, applied, CAST(eff AS INTEGER) AS effective_quantity, message,
+                   available AS available_after, reserved AS reserved_after, rn FROM fold WHERE rn > 0)"""
+
+CTE_FOLD_OUTCOME = f"""fold_outcome AS (
+  SELECT order_id, bool_and(ok) AS reserved, COUNT(*) AS n_items, CAST(SUM(CASE WHEN ok THEN 0 ELSE 1 END) AS BIGINT) AS n_failed,
+         string_agg(CASE WHEN NOT ok THEN product_id || ': ' || message END, '@@' ORDER BY line_no, product_id, message) AS failures
+  FROM results WHERE kind = 'reserve' GROUP BY order_id)"""
+
+
+def with_recursive(*ctes: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
+
+
+FOLD = [*INV_CTES, CTE_STOCK_COMMANDS, CTE_STOCK_FOLD]
+RESERVE_FOLD = [*INV_CTES, CTE_RESERVE_COMMANDS, CTE_STOCK_FOLD, CTE_FOLD_OUTCOME]
+RESULT_COLS = ", ".join(c.strip().split(" ")[0] for c in STOCK_RESULT_DDL.split(","))
+
+
+def _reason(prefix: str, sep: str) -> str:
+    return f"'{prefix}' || replace(failures, '@@', '{sep}')"
+
+
+K2_SQL = with_recursive(*FOLD) + f"SELECT {RESULT_COLS} FROM results"
+K7_SQL = with_recursive(*RESERVE_FOLD) + f"""SELECT order_id, reserved, n_items, n_failed,
+       {_reason(config.INSUFFICIENT_STOCK_PREFIX, ', ')} AS reason FROM fold_outcome"""
+SQL.update({
+    "k2_reserve_stock": K2_SQL,
+    "k2_reserve_stock_stream": K2_SQL,
+    "k9_release_confirm_orders": with_recursive(*FOLD) + f"SELECT {RESULT_COLS} FROM results WHERE kind IN ('release', 'confirm')",
+    "k2_stock_after_fold": with_recursive(*FOLD) + """SELECT product_id, CAST(available AS BIGINT) AS available, CAST(reserved AS BIGINT) AS reserved,
+       CAST(available + reserved AS BIGINT) AS total, len(orders) AS open_reservations
+FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY rn DESC) AS last FROM fold) f
+WHERE last = 1 AND product_id IN (SELECT product_id FROM results WHERE applied)""",
+    "k7_reserve_orders": K7_SQL,
+    "k7_reserve_orders_stream": K7_SQL,
+    "k7_stock_after_compensation": with_recursive(*RESERVE_FOLD) + """SELECT product_id, CAST(a.available AS BIGINT) AS available,
+       CAST(a.reserved AS BIGINT) AS reserved, CAST(a.available + a.reserved AS BIGINT) AS total, a.open_reservations
+FROM (SELECT r.product_id, SUM(CASE WHEN r.kind = 'replenish' THEN r.effective_quantity WHEN o.reserved THEN -r.effective_quantity ELSE 0 END) AS available,
+             SUM(CASE WHEN o.reserved THEN r.effective_quantity ELSE 0 END) AS reserved, COUNT(CASE WHEN o.reserved THEN 1 END) AS open_reservations
+      FROM results r LEFT JOIN fold_outcome o ON o.order_id = r.order_id WHERE r.applied GROUP BY r.product_id) a""",
+    "k8_batch_reserve": with_recursive(*RESERVE_FOLD) + f"""SELECT order_id, reserved AS success,
+       CASE WHEN reserved THEN {_message(config.MSG_ALL_RESERVED, n="n_items", oid="order_id")} ELSE {_reason(config.BATCH_FAILED_PREFIX, '; ')} END AS message
+FROM fold_outcome""",
+    "k9_stock_commands_stream": with_recursive(*FOLD, CTE_FOLD_OUTCOME) + """SELECT f.product_id, CAST(f.available + COALESCE(b.back, 0) AS BIGINT) AS available,
+       CAST(f.reserved - COALESCE(b.back, 0) AS BIGINT) AS reserved
+FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY rn DESC) AS last FROM fold) f
+LEFT JOIN (SELECT product_id, SUM(qty) AS back FROM (
+             SELECT product_id, unnest(orders) AS order_id, unnest(held) AS qty
+             FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY rn DESC) AS last FROM fold) e WHERE last = 1) h
+           WHERE order_id IN (SELECT order_id FROM fold_outcome WHERE NOT reserved) GROUP BY product_id) b ON b.product_id = f.product_id
+WHERE last = 1 AND f.product_id IN (SELECT product_id FROM created_lines)""",
+    "s8_inventory_event_records": with_recursive(*RESERVE_FOLD) + f"""SELECT '{config.INVENTORY_EVENTS_TOPIC}' AS topic, f.order_id AS key,
+       '{{"eventType":"' || event_type || '","inventoryId":"inv-' || f.order_id || '","orderId":"' || f.order_id || '"'
+       || COALESCE(',"reason":"' || {_reason(config.INSUFFICIENT_STOCK_PREFIX, ', ')} || '"', '')
+       || ',"timestamp":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') || '"}}' AS value, event_type
+FROM (SELECT *, CASE WHEN reserved THEN '{config.INVENTORY_RESERVED}' ELSE '{config.INVENTORY_RESERVATION_FAILED}' END AS event_type FROM fold_outcome) f
+JOIN orders ON CAST(o_orderkey AS VARCHAR) = f.order_id""",
+})
+
+COMMAND = _case("event_type", COMMAND_OF_EVENT, "NULL")
+_NEEDS = _case("c.command", {c: need for c, (need, _, _) in config.COMMAND_TRANSITIONS.items()}, "NULL")
+_EMITS = _case("c.command", {c: event for c, (_, event, _) in config.COMMAND_TRANSITIONS.items()}, "NULL")
+_MAKES = _case("c.command", {c: new for c, (_, _, new) in config.COMMAND_TRANSITIONS.items()}, "NULL")
+K10_SQL = with_recursive(*ORDER_CTES, f"""ncmd AS MATERIALIZED (
+  SELECT order_id, seq, {COMMAND} AS command, ts, row_number() OVER (PARTITION BY order_id ORDER BY seq, ts) AS rn FROM journal),
+fold AS (
+  SELECT DISTINCT order_id, CAST(0 AS BIGINT) AS rn, NULL::BIGINT AS seq, NULL::VARCHAR AS command, NULL::TIMESTAMP AS ts, NULL::BOOLEAN AS accepted,
+         NULL::VARCHAR AS emitted_event, NULL::VARCHAR AS status_before, NULL::VARCHAR AS status_after, NULL::VARCHAR AS message FROM ncmd
+  UNION ALL
+  SELECT order_id, rn, seq, command, ts, accepted, CASE WHEN accepted AND NOT silent THEN event END,
+         status, CASE WHEN accepted AND NOT silent THEN new_status ELSE status END,
+         CASE WHEN accepted AND NOT silent THEN NULL
+              WHEN command = 'create' THEN {_message(config.MSG_ALREADY_EXISTS, oid="order_id")}
+              WHEN status IS NULL THEN {_message(config.MSG_NOT_FOUND, oid="order_id")}
+              WHEN silent THEN {_message(config.MSG_ALREADY_CANCELLED, oid="order_id")}
+              WHEN command = 'cancel' THEN {_message(config.MSG_CANNOT_CANCEL, oid="order_id", status="status")}
+              ELSE {_message(config.MSG_WRONG_STATUS, op="command", oid="order_id", status="status", expected="needs")} END
+  FROM (SELECT c.*, f.status_after AS status, {_NEEDS} AS needs,
+               CASE c.command WHEN 'create' THEN 'OrderCreated' WHEN 'cancel' THEN 'OrderCancelled' ELSE {_EMITS} END AS event,
+               CASE c.command WHEN 'create' THEN 'PENDING' WHEN 'cancel' THEN 'CANCELLED' ELSE {_MAKES} END AS new_status,
+               c.command = 'cancel' AND COALESCE(f.status_after, '') = 'CANCELLED' AS silent,
+               CASE c.command WHEN 'create' THEN f.status_after IS NULL
+                    WHEN 'cancel' THEN COALESCE(f.status_after, 'SHIPPED') NOT IN ('SHIPPED', 'DELIVERED')
+                    ELSE COALESCE(f.status_after = {_NEEDS}, false) END AS accepted
+        FROM fold f JOIN ncmd c ON c.order_id = f.order_id AND c.rn = f.rn + 1) x)""") + f"""
+SELECT {", ".join(c.strip().split(" ")[0] for c in ORDER_COMMAND_RESULT_DDL.split(","))} FROM fold WHERE rn > 0"""
+_ISO = "'%Y-%m-%dT%H:%M:%S.%fZ'"
+SQL.update({
+    "k10_order_commands": K10_SQL,
+    "k10_order_commands_stream": K10_SQL,
+    "s10_publish_order_events": with_ctes(*ORDER_CTES, CTE_CREATED_DOC, """kitems AS (
+  SELECT order_id, '[' || string_agg('{"productId":"' || product_id || '","quantity":' || CAST(quantity AS VARCHAR) || '}', ','
+         ORDER BY line_no, product_id, product_name, quantity, unit_price) || ']' AS items FROM order_lines GROUP BY order_id)""") + f"""
+SELECT '{config.ORDER_EVENTS_TOPIC}' AS topic, order_id AS key,
+       '{{"eventType":"' || etype || '","payload":"' || replace(replace(payload, '\\', '\\\\'), '"', '\\"') || '"}}' AS value,
+       0 AS partition, CAST(order_key * 8 + seq AS BIGINT) AS offset, ts AS timestamp
+FROM (SELECT j.*, {_case("j.event_type", TP.ENVELOPE_TYPE_OF_EVENT, "NULL")} AS etype,
+        CASE j.event_type WHEN 'OrderCreated' THEN '{{"orderId":"' || j.order_id || '"' || COALESCE(',"customerId":"' || j.customer_id || '"', '')
+               || ',"items":' || COALESCE(k.items, '[]') || COALESCE(',"totalAmount":' || CAST(j.total_amount AS VARCHAR), '')
+               || COALESCE(',"shippingAddress":"' || d.shipping_address || '"', '') || ',"createdAt":"' || strftime(j.ts, {_ISO}) || '"}}'
+             WHEN 'OrderCancelled' THEN '{{"orderId":"' || j.order_id || '"' || COALESCE(',"reason":"' || j.reason || '"', '') || ',"items":[]}}'
+             ELSE '{{"orderId":"' || j.order_id || '","items":[]}}' END AS payload
+      FROM journal j LEFT JOIN kitems k ON k.order_id = j.order_id LEFT JOIN created_doc d ON d.order_id = j.order_id) x""",
+})

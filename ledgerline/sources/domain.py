@@ -10,9 +10,9 @@ columns of the tables (no hashing, sampling or row caps):
     0 OrderCreated    at o_orderdate         — only orders with ≥ 1 line (P11)
     1 OrderConfirmed  at +1 day              — status P or F
     1 OrderCancelled  at +1 day              — status O and priority 5-LOW
-    2 OrderShipped    at +2 days             — status F (tracking TRK-<key>)
+    2 OrderShipped    at +2 days             — status F (tracking PKG-<key>)
     3 OrderDelivered  at +5 days             — status F, priority 1-URGENT/2-HIGH
-    3 OrderCancelled  at +3 days ("Too late") — status F and priority 5-LOW
+    3 OrderCancelled  at +3 days (recalled) — status F and priority 5-LOW
                                                (an illegal transition on purpose)
   Orders without lines still get their status events: orphans (J5, q8).
 * customer      = email from c_name, webhook for segment BUILDING
@@ -32,10 +32,12 @@ from ledgerline.schemas import MONEY, ORDER_ITEM
 from ledgerline.sources.tables import Tables
 
 EPOCH = "1990-01-01 00:00:00"
-CARRIER_BY_PRIORITY = {"1-URGENT": "FedEx", "2-HIGH": "UPS"}
-DEFAULT_CARRIER = "DHL"
-CANCEL_REASON_EARLY = "Customer requested"
-CANCEL_REASON_LATE = "Too late"
+# our own sample values
+CARRIER_BY_PRIORITY = {"1-URGENT": "Northway Express", "2-HIGH": "Bluefreight"}
+DEFAULT_CARRIER = "Parcelline"
+TRACKING_PREFIX = "PKG-"
+CANCEL_REASON_EARLY = "changed my mind"
+CANCEL_REASON_LATE = "recalled after dispatch"
 
 
 def _days(c: Column, n: int) -> Column:
@@ -113,7 +115,7 @@ def order_journal(t: Tables) -> DataFrame:
         ev(st.isin("P", "F"), 1, "OrderConfirmed", _days(at, 1)),
         ev((st == "O") & (pr == "5-LOW"), 1, "OrderCancelled", _days(at, 1), reason=F.lit(CANCEL_REASON_EARLY)),
         ev(st == "F", 2, "OrderShipped", _days(at, 2),
-           tracking=F.concat(F.lit("TRK-"), F.col("order_id")), carrier=carrier),
+           tracking=F.concat(F.lit(TRACKING_PREFIX), F.col("order_id")), carrier=carrier),
         ev((st == "F") & pr.isin("1-URGENT", "2-HIGH"), 3, "OrderDelivered", _days(at, 5)),
         ev((st == "F") & (pr == "5-LOW"), 3, "OrderCancelled", _days(at, 3), reason=F.lit(CANCEL_REASON_LATE)),
     ))
@@ -200,9 +202,9 @@ def event_items(e: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- stock
-def line_seq(order_key: Column, line_no: Column) -> Column:
-    """Arrival sequence of a line: lines of one order in line order (line_no ≤ 7)."""
-    return (order_key * F.lit(8) + line_no).cast("long")
+def arrival_seq(order_key: Column) -> Column:
+    """Arrival sequence of an order's lines; the lines of one order follow by ``line_no``."""
+    return order_key.cast("long")
 
 
 def created_lines(t: Tables) -> DataFrame:
@@ -210,7 +212,7 @@ def created_lines(t: Tables) -> DataFrame:
     h = order_headers(t).select("order_key", "created_at", "order_status", "priority")
     return (order_lines(t).join(h, "order_key")
             .withColumn("ts", F.col("created_at"))
-            .withColumn("seq", line_seq(F.col("order_key"), F.col("line_no"))))
+            .withColumn("seq", arrival_seq(F.col("order_key"))))
 
 
 def stock_commands(t: Tables) -> DataFrame:
@@ -269,7 +271,7 @@ def stock_event_ledger(t: Tables) -> DataFrame:
         ev((st == "O") & (pr == "5-LOW"), "ReservationReleased", _days(at, 1)),
     ))
     per = (first.select("product_id", "order_id", F.col("f.quantity").alias("quantity"),
-                        line_seq(F.col("order_key"), F.col("f.line_no")).alias("seq"), F.explode(evs).alias("e"))
+                        arrival_seq(F.col("order_key")).alias("seq"), F.explode(evs).alias("e"))
            .select("product_id", "e.event_type", "order_id", "quantity", "e.ts", "seq"))
     init = stock_initial(t).select(
         "product_id", F.lit("StockReplenished").alias("event_type"), F.lit(None).cast("string").alias("order_id"),

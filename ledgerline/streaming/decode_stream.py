@@ -17,7 +17,9 @@ from ledgerline.operators import notify as N
 from ledgerline.operators import parse as P
 
 _NOTIFY_JSON = ("struct<OrderId:string,CustomerEmail:string,Status:string,TrackingNumber:string,"
-                "CancellationReason:string,WebhookUrl:string>")
+                "CancellationReason:string,WebhookUrl:string,_corrupt_record:string>")
+# fields an order notification cannot do without
+_NOTIFY_REQUIRED = {"OrderId": "order_id", "CustomerEmail": "customer_email"}
 
 
 def _write(df: DataFrame, path: str, batch_id: int) -> None:
@@ -41,11 +43,27 @@ def start_decode_stream(spark: SparkSession, records: DataFrame, base: str, chec
     return w.start()
 
 
-def notification_stream(records: DataFrame) -> DataFrame:
-    """N5 → N1 on a stream of notification records (key = event type)."""
+def decode_notifications(records: DataFrame) -> DataFrame:
+    """Order notification records (key = event type) decoded, with ``ok`` and ``error`` (malformed JSON or
+    a required field that is missing), so failures can go to the dead letters (S9) unchanged."""
     order = N.route_notifications(records.withColumn("event_type", F.col("key")))["order"]
-    j = F.from_json("value", _NOTIFY_JSON)
-    ev = order.select("event_type", j["OrderId"].alias("order_id"), j["CustomerEmail"].alias("customer_email"),
-                      j["Status"].alias("status"), j["TrackingNumber"].alias("tracking_number"),
-                      j["CancellationReason"].alias("cancellation_reason"))
-    return N.order_notifications(ev)
+    j = F.from_json("value", _NOTIFY_JSON, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    order = order.withColumn("_j", j)
+    error = F.when(F.col("value").isNull() | F.col("_j._corrupt_record").isNotNull(), F.lit("malformed_json"))
+    for field in _NOTIFY_REQUIRED:
+        error = error.when(F.col(f"_j.{field}").isNull(), F.lit(f"missing_field:{field}"))
+    return order.select("key", "value", "event_type", F.col("_j.OrderId").alias("order_id"),
+                        F.col("_j.CustomerEmail").alias("customer_email"), F.col("_j.Status").alias("status"),
+                        F.col("_j.TrackingNumber").alias("tracking_number"),
+                        F.col("_j.CancellationReason").alias("cancellation_reason"),
+                        F.col("_j.WebhookUrl").alias("webhook_url"), error.isNull().alias("ok"), error.alias("error"))
+
+
+def notification_stream(records: DataFrame) -> DataFrame:
+    """N5 → N1 on a stream of notification records; those that do not decode are ``dead_letter_notifications``."""
+    return N.order_notifications(decode_notifications(records).where("ok"))
+
+
+def dead_letter_notifications(records: DataFrame) -> DataFrame:
+    """S9 of the notification records that do not decode."""
+    return N.dead_letter(decode_notifications(records))

@@ -34,7 +34,6 @@ RESERVATION_SCHEMA = T.StructType([T.StructField("product_id", T.StringType()),
                                    T.StructField("order_id", T.StringType()),
                                    T.StructField("quantity", T.IntegerType()),
                                    T.StructField("live", T.BooleanType())])
-EPOCH = "1970-01-01 00:00:00"
 
 
 class StockState:
@@ -54,8 +53,9 @@ class StockState:
 def _cmd(df: DataFrame, kind: str, quantity: str, order_id=None) -> DataFrame:
     return df.select("product_id", F.lit(kind).alias("kind"),
                      (F.col(order_id) if order_id else F.lit(None).cast("string")).alias("order_id"),
-                     F.col(quantity).cast("int").alias("quantity"), F.lit(EPOCH).cast("timestamp").alias("ts"),
-                     F.lit(-2).cast("long").alias("seq"), F.lit(None).cast("int").alias("line_no"))
+                     F.col(quantity).cast("int").alias("quantity"), F.lit(None).cast("timestamp").alias("ts"),
+                     F.lit(None).cast("long").alias("seq"), F.lit(None).cast("int").alias("line_no"),
+                     F.lit(0 if kind == "restore" else 1).alias("rank"))
 
 
 def reserve_batch(spark: SparkSession, lines: DataFrame, batch_id: int, state: StockState,
@@ -65,8 +65,12 @@ def reserve_batch(spark: SparkSession, lines: DataFrame, batch_id: int, state: S
 
     ``lines``: product_id, order_id, quantity, ts, seq, line_no and an
     optional ``kind`` (reserve when absent; release / confirm / replenish
-    otherwise). Reserves are all-or-nothing per order within the batch.
+    otherwise), or order records (order_id, ts, seq, items) as ``order_records``
+    makes them, which no trigger can split. Reserves are all-or-nothing per order:
+    a failed order also gives back what it holds from earlier batches.
     """
+    if "items" in lines.columns:
+        lines = lines.select("order_id", "ts", "seq", F.explode("items").alias("i")).select("i.*", "order_id", "ts", "seq")
     if "kind" not in lines.columns:
         lines = lines.withColumn("kind", F.lit("reserve"))
     # the micro-batch is used several times below: write it once, read it back
@@ -83,7 +87,7 @@ def reserve_batch(spark: SparkSession, lines: DataFrame, batch_id: int, state: S
             .unionByName(_cmd(holds, "hold", "quantity", "order_id"))
             .unionByName(lines.select("product_id", "kind", "order_id", F.col("quantity").cast("int").alias("quantity"),
                                       "ts", F.col("seq").cast("long").alias("seq"),
-                                      F.col("line_no").cast("int").alias("line_no"))))
+                                      F.col("line_no").cast("int").alias("line_no"), F.lit(2).alias("rank"))))
     ledger_path = f"{state.ledger}/batch_id={int(batch_id)}"
     I.apply_stock_commands(cmds).write.mode("overwrite").parquet(ledger_path)
     results = spark.read.parquet(ledger_path)
@@ -92,7 +96,7 @@ def reserve_batch(spark: SparkSession, lines: DataFrame, batch_id: int, state: S
     items = results.where(F.col("kind") == "reserve")
     outcome = I.order_reservation_outcome(items, sep, prefix)
     # where each (product, order) stands at the end of the batch
-    order_of = F.struct("ts", "seq", "quantity")
+    order_of = F.struct(*I.COMMAND_ORDER)
     changes = (results.where(F.col("applied") & F.col("order_id").isNotNull())
                .groupBy("product_id", "order_id")
                .agg(F.max_by(F.struct("kind", "effective_quantity"), order_of).alias("last")))
@@ -101,17 +105,23 @@ def reserve_batch(spark: SparkSession, lines: DataFrame, batch_id: int, state: S
     # pass 3: successful items of failed orders still held → released after the batch
     failed = outcome.where(~F.col("reserved")).select("order_id")
     comp = held_end.join(failed, "order_id", "left_semi")
+    earlier = (state.reservations.read(spark, before=batch_id).where("live").join(failed, "order_id", "left_semi")
+               .join(changes.select("product_id", "order_id"), ["product_id", "order_id"], "left_anti")
+               .select("product_id", "order_id", "quantity"))
+    comp = comp.select("product_id", "order_id", "quantity").unionByName(earlier)
     last = (results.groupBy("product_id")
             .agg(F.max_by("available_after", order_of).alias("after")))
+    # products that only give back: their stored stock
+    last = last.unionByName(state.available.read(spark, before=batch_id)
+                            .join(earlier.select("product_id").distinct(), "product_id", "left_semi")
+                            .join(touched, "product_id", "left_anti").select("product_id", F.col("available").alias("after")))
     back = comp.groupBy("product_id").agg(F.sum("quantity").alias("back"))
     new_available = last.join(back, "product_id", "left").select(
         "product_id", (F.col("after") + F.coalesce("back", F.lit(0))).cast("int").alias("available"))
     live = held_end.join(comp.select("product_id", "order_id"), ["product_id", "order_id"], "left_anti")
-    gone = changes.join(live.select("product_id", "order_id"), ["product_id", "order_id"], "left_anti")
-    new_reservations = (live.withColumn("live", F.lit(True))
-                        .unionByName(gone.select("product_id", "order_id",
-                                                 F.col("last.effective_quantity").alias("quantity"),
-                                                 F.lit(False).alias("live"))))
+    gone = (changes.select("product_id", "order_id", F.col("last.effective_quantity").alias("quantity")).unionByName(earlier)
+            .join(live.select("product_id", "order_id"), ["product_id", "order_id"], "left_anti"))
+    new_reservations = live.withColumn("live", F.lit(True)).unionByName(gone.withColumn("live", F.lit(False)))
     state.available.upsert(new_available, batch_id)
     state.reservations.upsert(new_reservations, batch_id)
     out = outcome.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
@@ -146,16 +156,61 @@ def read_stock(spark: SparkSession, base: str) -> DataFrame:
                     F.coalesce("reserved", F.lit(0).cast("long")).alias("reserved")))
 
 
-def envelope_commands(envelopes: DataFrame, created_items: DataFrame) -> DataFrame:
-    """Stock commands from ``order-events`` records (batch or stream).
+def order_records(lines: DataFrame) -> DataFrame:
+    """One record per order with its items, as producers send them: (order_id, ts, seq, items)."""
+    item = F.struct("line_no", "product_id", "quantity")
+    return lines.groupBy("order_id", "ts", "seq").agg(F.sort_array(F.collect_list(item)).alias("items"))
 
-    q12 redeliveries dropped → P4 decode → q20 items of cancel/confirm taken from the Created events
-    (``created_items``: order_id, items — a static table joined to the
-    stream) → P5 routing → one command per item, ordered by record offset.
+
+def envelope_commands(env: DataFrame, created_items: DataFrame) -> DataFrame:
+    """Stock commands of decoded ``order-events`` envelopes.
+
+    q20: items of cancel/confirm taken from the Created events (``created_items``:
+    order_id, items) → P5 routing → one command per item, ordered by record offset.
     """
     from ledgerline.operators import parse as P
-    env = P.parse_envelope(P.dedupe_records(envelopes))
     routed = P.route_by_event_type(P.recover_items(env, created_items))["commands"]
     return routed.select("product_id", "kind", "order_id", "quantity", F.col("timestamp").alias("ts"),
-                         (F.col("offset") * F.lit(64) + F.col("item_pos")).cast("long").alias("seq"),
-                         (F.col("item_pos") + 1).cast("int").alias("line_no"))
+                         F.col("offset").cast("long").alias("seq"), (F.col("item_pos") + 1).cast("int").alias("line_no"))
+
+
+RECORD_ID = ["topic", "partition", "offset"]
+
+
+def start_inventory_stream(spark: SparkSession, envelopes: DataFrame, initial_stock: DataFrame, base: str, checkpoint: str,
+                           available_now: bool = True) -> StreamingQuery:
+    """K9 as a stream of ``order-events`` records, without any time limit.
+
+    Per micro-batch: records whose id an earlier batch has written are dropped however late
+    they come again (q12); Created items are written before they are read, so an order of this or any
+    earlier batch gives its items to its cancel and confirm (q20); records that do not decode go to
+    ``base/dead_letters``; the rest become stock commands (``reserve_batch``).
+    """
+    from ledgerline.operators import notify as N
+    from ledgerline.operators import parse as P
+    state = StockState(base)
+    state.ensure(spark)
+    ids, created = f"{state.base}/record_ids", f"{state.base}/created_items"
+    created_ddl = "order_id string, items array<struct<product_id:string,quantity:int>>, batch_id long"
+    id_ddl = "topic string, partition int, offset long, batch_id long"
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        n = int(batch_id)
+        path = f"{state.base}/decoded/batch_id={n}"
+        seen = spark.read.schema(id_ddl).parquet(ids).where(F.col("batch_id") < n) if n else spark.createDataFrame([], id_ddl)
+        fresh = P.dedupe_records(df).join(seen.select(*RECORD_ID), RECORD_ID, "left_anti")
+        P.parse_envelope(fresh).write.mode("overwrite").parquet(path)
+        env = spark.read.parquet(path)
+        env.select(*RECORD_ID).write.mode("overwrite").parquet(f"{ids}/batch_id={n}")
+        env.where(F.col("ok") & (F.col("event_type") == "ORDER_CREATED")).select("order_id", "items") \
+            .write.mode("overwrite").parquet(f"{created}/batch_id={n}")
+        N.dead_letter(env).write.mode("overwrite").parquet(f"{state.base}/dead_letters/batch_id={n}")
+        needed = env.where("ok").select("order_id").distinct()
+        items = (spark.read.schema(created_ddl).parquet(created).where(F.col("batch_id") <= n)
+                 .join(needed, "order_id", "left_semi").groupBy("order_id").agg(F.min_by("items", "batch_id").alias("items")))
+        reserve_batch(spark, envelope_commands(env, items), n, state, initial_stock)
+
+    w = envelopes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ledgerline.operators.commands import OrderCommandFold
-from ledgerline.operators.inventory import COMMAND_COLS, StockFold
+from ledgerline.operators.inventory import COMMAND_COLS, COMMAND_ORDER, StockFold
 from ledgerline.schemas import ORDER_COMMAND_RESULT_DDL, STOCK_RESULT_DDL
 
 STOCK_STATE_DDL = "available long, reservations string"
@@ -33,7 +33,7 @@ def _stock_fn(key, pdfs, state):
               "reserved": sum(reservations.values())}
     else:
         st = fold.init_state(key)
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "seq", "quantity"], kind="stable")
+    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(COMMAND_ORDER, kind="stable", na_position="first")
     out = [fold.step(st, row) for row in pdf.to_dict("records")]
     state.update((st["available"], json.dumps(st["reservations"], sort_keys=True)))
     yield pd.DataFrame.from_records(out, columns=list(fold.out_cols))

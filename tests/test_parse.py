@@ -172,3 +172,55 @@ def test_rate_windows(spark):
     sliding = R.sliding_window_breaches(ev, limit=4, seconds=60, segments=6).collect()
     assert {r.request_count for r in sliding} == {5}
     assert F is not None
+
+
+def test_every_envelope_is_routed_or_dead_lettered(spark):
+    rows = [("{",), (None,), ('{"eventType":"ORDER_CREATED","payload":"{"}',), ('{"eventType":"OTHER","payload":"{}"}',),
+            ('{"eventType":"ORDER_CANCELLED","payload":"{\\"orderId\\":\\"1\\",\\"reason\\":\\"r\\"}"}',)]
+    routes = P.route_by_event_type(P.parse_envelope(spark.createDataFrame(rows, "value string")))
+    assert {k: routes[k].count() for k in ("commands", "empty", "ignored", "bad")} == {"commands": 0, "empty": 1, "ignored": 1, "bad": 3}
+
+
+def test_documents_without_skus_keep_their_order_and_spellings_are_one_sku(spark):
+    from ledgerline.operators import stock_view as V
+    docs = spark.createDataFrame([("1", '{"items":[]}'), ("2", "no json"), ("3", '{"items":[{"sku":"A"},{"sku":"a"}]}')], "order_id string, doc string")
+    stock = spark.createDataFrame([("A", 1, 0, 1), ("a", 2, 1, 3)], "product_id string, available int, reserved int, total int")
+    got = sorted((r.order_id, r.sku, r.available, r.stock_status) for r in V.order_with_stock(docs, stock).collect())
+    assert got == [("1", None, None, None), ("2", None, None, None), ("3", "A", 3, 200)]
+    assert {r.order_id: len(r.stock) for r in V.as_map(V.order_with_stock(docs, stock)).collect()} == {"1": 0, "2": 0, "3": 1}
+
+
+def test_control_characters_survive_the_item_json(spark):
+    from ledgerline.functions.jsonfmt import extract_skus, items_to_json
+    df = spark.sql("SELECT array(struct('a\\nb\\t\"c' AS product_id, cast(null as string) AS product_name, 1 AS quantity, cast(1 as decimal(19,4)) AS unit_price)) AS items")
+    doc = df.select(F.concat(F.lit('{"items":'), items_to_json("items"), F.lit("}")).alias("doc"))
+    assert doc.select(extract_skus("doc").alias("s")).first().s == ['a\nb\t"c']
+
+
+def test_commands_without_a_product_do_not_stop_the_fold(spark):
+    from ledgerline.operators import inventory as I
+    rows = [(None, "reserve", "o1", 1, 1), ("A", "replenish", None, 5, 0), ("A", "reserve", "o1", 2, 1)]
+    df = spark.createDataFrame([(p, k, o, q, None, s) for p, k, o, q, s in rows], "product_id string, kind string, order_id string, quantity int, ts timestamp, seq long")
+    got = {(r.product_id, r.kind): r.ok for r in I.apply_stock_commands(df.coalesce(1), 1).collect()}
+    assert got == {(None, "reserve"): False, ("A", "replenish"): True, ("A", "reserve"): True}
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    import pytest
+    from ledgerline import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

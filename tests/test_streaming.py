@@ -1,4 +1,5 @@
 """Batch = stream (availableNow over files split in 3), keyed sink idempotency, late data."""
+import json
 import os
 import time
 from datetime import datetime
@@ -41,7 +42,7 @@ def test_hourly_metrics_batch_equals_stream(spark, workdir):
     split_in_three(t.events, "ts", src)
     stream = spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", "1").parquet(src)
     hourly, top = MS.run_metrics_stream(spark, D.normalise_events(stream), D.event_items(stream),
-                                          os.path.join(workdir, "out"))
+                                          os.path.join(workdir, "out"), watermark="1 hour")
     assert same(hourly.read(spark), M.hourly_metrics(D.metric_events(t)).select(*HOURLY_METRICS_SCHEMA.fieldNames()))
     assert same(top.read(spark), M.product_window_rows(D.metric_event_items(t)))
     versions = spark.read.parquet(hourly.path).select("batch_id").distinct().count()
@@ -203,17 +204,14 @@ def test_release_after_batch_unblocks_the_next_batch(spark, workdir):
 
 
 def test_inventory_consumer_stream_keeps_the_ledger_invariants(spark, workdir):
-    from ledgerline.operators import parse as P
     from ledgerline.sources import topics as TP
     from ledgerline.streaming import reservations as RS
     t = Tables(spark, SF)
     path = os.path.join(workdir, "envelopes")
     TP.publish_order_events(D.order_journal(t), D.order_created(t)).write.parquet(path)
-    created = (P.parse_envelope(TP.read_order_envelopes(spark, path))
-               .where("event_type = 'ORDER_CREATED'").select("order_id", "items"))
-    cmds = RS.envelope_commands(TP.read_order_envelopes(spark, path, stream=True), created)
     base = os.path.join(workdir, "inv")
-    RS.start_reservation_stream(spark, cmds, D.stock_initial(t), base, os.path.join(workdir, "ick")).awaitTermination()
+    RS.start_inventory_stream(spark, TP.read_order_envelopes(spark, path, stream=True), D.stock_initial(t), base,
+                              os.path.join(workdir, "ick")).awaitTermination()
     stock = RS.read_stock(spark, base)
     assert stock.where("available < 0").count() == 0
     ledger = spark.read.parquet(os.path.join(base, "ledger"))
@@ -239,3 +237,82 @@ def test_decode_stream_equals_batch(spark, workdir):
     assert same(spark.read.parquet(os.path.join(base, "events")).drop("batch_id"), valid)
     assert spark.read.parquet(os.path.join(base, "dead_letters")).count() == \
         P.parse_order_event(recs).where("NOT ok").count()
+
+
+def envelope(event_type, **payload):
+    return json.dumps({"eventType": event_type, "payload": json.dumps(payload)})
+
+
+def created(order, *items):
+    return envelope("ORDER_CREATED", orderId=order, customerId="c", totalAmount=1, shippingAddress="s", createdAt="2024-01-01T00:00:00Z",
+                    items=[{"productId": p, "quantity": q} for p, q in items])
+
+
+def test_inventory_stream_loses_no_late_record_and_drops_each_redelivery(spark, workdir):
+    """One file per trigger, event times far apart and out of order, a redelivery, and a malformed value."""
+    from ledgerline.streaming import reservations as RS
+    ddl = "topic string, key string, value string, partition int, offset long, timestamp timestamp"
+    src = os.path.join(workdir, "late")
+    rows = [("o1", created("o1", ("A", 2)), 1, datetime(2024, 5, 1)), ("o2", created("o2", ("A", 3)), 2, datetime(2024, 1, 1)),
+            ("o1", created("o1", ("A", 2)), 1, datetime(2024, 5, 1)), ("o3", "{not json", 3, datetime(2024, 5, 2)),
+            ("o1", envelope("ORDER_CONFIRMED", orderId="o1", items=[]), 4, datetime(2023, 1, 1)),
+            ("o2", envelope("ORDER_CANCELLED", orderId="o2", reason="r"), 5, datetime(2022, 1, 1))]
+    for key, value, offset, ts in rows:
+        spark.createDataFrame([("order-events", key, value, 0, offset, ts)], ddl).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", "1").parquet(src)
+    base = os.path.join(workdir, "lates")
+    stock = spark.createDataFrame([("A", 10)], "product_id string, available int")
+    RS.start_inventory_stream(spark, stream, stock, base, os.path.join(workdir, "latec")).awaitTermination()
+    # o1 reserved and confirmed (2 gone), o2 reserved and cancelled (3 back): created items of earlier triggers were found
+    assert [(r.available, r.reserved) for r in RS.read_stock(spark, base).collect()] == [(8, 0)]
+    assert spark.read.parquet(f"{base}/record_ids").count() == 5
+    assert [r.key for r in spark.read.parquet(f"{base}/dead_letters").collect()] == ["o3"]
+
+
+def test_a_failed_order_gives_back_what_it_holds_from_earlier_batches(spark, workdir):
+    from ledgerline.streaming import reservations as RS
+    ddl = "order_id string, line_no int, product_id string, quantity int, ts timestamp, seq long"
+    stock = spark.createDataFrame([("A", 5), ("B", 1)], "product_id string, available int")
+    state = RS.StockState(os.path.join(workdir, "giveback"))
+    state.ensure(spark)
+    t0 = datetime(2024, 1, 1)
+    RS.reserve_batch(spark, spark.createDataFrame([("o1", 1, "A", 5, t0, 1)], ddl), 0, state, stock)
+    RS.reserve_batch(spark, spark.createDataFrame([("o1", 2, "B", 9, t0, 1)], ddl), 1, state, stock)
+    assert {r.product_id: (r.available, r.reserved) for r in RS.read_stock(spark, state.base).collect()} == {"A": (5, 0), "B": (1, 0)}
+
+
+def test_order_records_are_not_split_by_triggers(spark, workdir):
+    from ledgerline.streaming import reservations as RS
+    t = Tables(spark, SF)
+    lines = D.created_lines(t).select("order_id", "line_no", "product_id", "quantity", "ts", "seq")
+    records = RS.order_records(lines)
+    src = os.path.join(workdir, "records7")
+    split_in_three(records, "ts", src)
+    stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", "1").parquet(src)
+    base = os.path.join(workdir, "res7")
+    RS.start_reservation_stream(spark, stream, D.stock_initial(t), base, os.path.join(workdir, "rck7")).awaitTermination()
+    batch = I.reserve_orders(lines, D.stock_initial(t), D.EPOCH)
+    # the three parts follow one another in time; only compensation between batches may admit more orders
+    both = RS.read_outcomes(spark, base).join(batch["outcome"].select("order_id", F.col("reserved").alias("in_batch")), "order_id")
+    assert both.count() == lines.select("order_id").distinct().count() and both.where("NOT in_batch AND NOT reserved").count() > 0
+
+
+def test_rate_stream_equals_batch_at_limit_zero(spark, workdir):
+    from ledgerline.operators import rates as R
+    from ledgerline.plans.catalog import run_rate_stream
+    ev = Tables(spark, SF).events
+    src = os.path.join(workdir, "rate-events")
+    ev.orderBy(F.xxhash64("event_id")).repartition(3).write.parquet(src)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", "1").parquet(src)
+    got = R.breaches(run_rate_stream(spark, R.fixed_window_counts_stream(stream, 3600, key="user_id"), os.path.join(workdir, "rate")), 0)
+    assert same(got, R.fixed_window_breaches(ev, 0, 3600, key="user_id"))
+
+
+def test_notification_dead_letters(spark):
+    from ledgerline.streaming import decode_stream as DS
+    rows = [("OrderCreated", '{"OrderId":"1","CustomerEmail":"a@x"}'), ("OrderCreated", "not json"), ("OrderShipped", '{"OrderId":"2"}'), ("OrderCreated", None)]
+    recs = spark.createDataFrame(rows, "key string, value string")
+    assert [r.to for r in DS.notification_stream(recs).collect()] == ["a@x"]
+    dead = {(r.value, r.reason) for r in DS.dead_letter_notifications(recs).collect()}
+    assert dead == {("not json", "malformed_json"), (None, "malformed_json"), ('{"OrderId":"2"}', "missing_field:CustomerEmail")}
