@@ -155,16 +155,19 @@ def open_reservations(ledger: DataFrame) -> DataFrame:
 
 
 def apply_stock_events(ledger: DataFrame) -> DataFrame:
-    """K1 + A7: available (signed sum), reserved (Σ open), total = available + reserved."""
-    avail = ledger.groupBy("product_id").agg(F.sum(_signed_quantity()).cast("long").alias("available"))
-    held = (open_reservations(ledger).groupBy("product_id")
-            .agg(F.sum("quantity").cast("long").alias("reserved"),
-                 F.count(F.lit(1)).alias("open_reservations")))
-    return (avail.join(held, "product_id", "left")
-            .select("product_id", "available",
-                    F.coalesce("reserved", F.lit(0).cast("long")).alias("reserved"),
-                    (F.col("available") + F.coalesce("reserved", F.lit(0))).cast("long").alias("total"),
-                    F.coalesce("open_reservations", F.lit(0).cast("long")).alias("open_reservations")))
+    """K1 + A7: available (signed sum), reserved (Σ open), total = available + reserved.
+
+    One pass over the ledger: per (product, order) the signed sum and the last event, then per product.
+    """
+    pairs = ledger.groupBy("product_id", "order_id").agg(
+        F.sum(_signed_quantity()).alias("signed"),
+        F.max_by(F.struct("event_type", "quantity"), F.struct("ts", "seq")).alias("last"))
+    open_ = F.when(F.col("order_id").isNotNull() & (F.col("last.event_type") == "StockReserved"), F.col("last.quantity"))
+    levels = pairs.groupBy("product_id").agg(
+        F.sum("signed").cast("long").alias("available"), F.coalesce(F.sum(open_), F.lit(0)).cast("long").alias("reserved"),
+        F.count(open_).alias("open_reservations"))
+    return levels.select("product_id", "available", "reserved", (F.col("available") + F.col("reserved")).cast("long").alias("total"),
+                         "open_reservations")
 
 
 def inventory_snapshot(ledger: DataFrame, with_map: bool = False) -> DataFrame:

@@ -35,6 +35,13 @@ def route_notifications(events: DataFrame, key: str = "event_type") -> dict[str,
                                     | k.isNull())}
 
 
+def with_route(events: DataFrame, key: str = "event_type") -> DataFrame:
+    """N5 in one pass: every event with its ``route`` (order, inventory or unknown)."""
+    k = F.col(key)
+    return events.withColumn("route", F.when(k.isin(config.NOTIFY_ORDER_TYPES), F.lit("order"))
+                             .when(k == config.NOTIFY_INVENTORY_TYPE, F.lit("inventory")).otherwise(F.lit("unknown")))
+
+
 def order_notifications(events: DataFrame, use_default: bool = False) -> DataFrame:
     """Email rows (to, subject, body) per order event.
 

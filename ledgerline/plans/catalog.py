@@ -452,12 +452,7 @@ def q_n5_route_notifications(spark, sf_dir):
     orders = D.notification_events(t).select("event_type", F.col("order_id").alias("entity_id"))
     low = _low_stock(t).select(F.lit(N.config.NOTIFY_INVENTORY_TYPE).alias("event_type"),
                                F.col("product_id").alias("entity_id"))
-    routes = N.route_notifications(orders.unionByName(low))
-    out = None
-    for name, df in routes.items():
-        df = df.withColumn("route", F.lit(name))
-        out = df if out is None else out.unionByName(df)
-    return present(out)
+    return present(N.with_route(orders.unionByName(low)))
 
 
 # --------------------------------------------------------------------------- rate audits
