@@ -77,7 +77,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = suffix_decontamination.find_matches(docs, table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                        sha(F.concat_ws(",", "items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "longest")
+                        sha(F.concat_ws(",", "items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,5 +97,34 @@ QUERIES = {
     "op10_near_duplicates": op10_near_duplicates,
 }
 
+_SPLIT = "regexp_extract_all({text}, '{pattern}')"
+_WORDS = _SPLIT.format(text="coalesce(text, '')", pattern=r"[^\x20\x09-\x0D]+")
+_TERMS = _SPLIT.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')",
+                       pattern=r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
 #: DuckDB SQL where SQL can express the operator over whole tables.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_substring_dedup": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+     starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d),
+     windows AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(w[i:i + 19], ' ') ORDER BY doc_id, i) AS nth FROM starts),
+     gone AS (SELECT DISTINCT doc_id, i + k AS i FROM windows, (SELECT unnest(range(0, 20)) AS k) o WHERE nth > 1),
+     words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+     kept AS (SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.i) AS text, count(*) AS n
+              FROM words x ANTI JOIN gone g ON g.doc_id = x.doc_id AND g.i = x.i GROUP BY x.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id""",
+    "op9_benchmark_decontamination": f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+     b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_TERMS} AS w FROM benchmark),
+     starts AS (SELECT item_id, w, least(10, len(w)) AS size, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0),
+     items AS (SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS gram FROM starts),
+     grams AS (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS gram
+               FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM items) s)),
+     found AS (SELECT g.doc_id, g.i, g.size, t.item_id FROM grams g JOIN items t ON t.size = g.size AND t.gram = g.gram),
+     hit AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS i FROM found) GROUP BY doc_id),
+     named AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(named.n, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN named ON named.doc_id = d.doc_id""",
+}
