@@ -32,12 +32,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def release(spark: SparkSession, *tables: DataFrame) -> None:
-    """Drop scratch tables nothing reads any more, and let Spark's cleaner remove
-    the shuffle files of finished stages (it acts when the driver's JVM collects)."""
+def drop(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete scratch tables that nothing reads any more."""
     for t in tables:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t._scratch)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """``drop``, and let Spark's cleaner remove the shuffle files of finished stages too (it
+    acts when the driver's JVM collects): for use after stages that moved whole tables."""
+    drop(spark, *tables)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

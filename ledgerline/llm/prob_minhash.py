@@ -9,9 +9,11 @@ which for plain sets is the Jaccard similarity. Registers are grouped into ``BAN
 that share a band are candidates, and the exact probability Jaccard verifies each link.
 
 Equal texts are one node (their least id). A bucket (texts of one band value) is never expanded
-into pairs: its members are held against one centre, the member met in most and largest buckets;
-buckets whose members are then all in one class are done, the rest go on with their next centre
-until each is. So the classes lose no verified link that a bucket can show.
+into pairs: its members of other classes are held against one centre, the member met in most and
+largest buckets. Buckets whose members are then all in one class are done. Of the rest, crowded ones
+(texts that merely share a frequent passage) are dealt anew by further bands, which texts that are alike
+share too; the others go on with sixteen times as many next centres a round until each is done or all
+its members have been centres.
 
 Null text counts as empty; texts without words are only alike if equal. Rows that share an id are
 one document, in the class of any of its texts; a null id has no class (null) and no links. Columns
@@ -26,9 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import mix, pair_hash, release, slices, small_batches, text_bytes, word_hashes, words_of, written
+from ledgerline.llm.common import drop, mix, pair_hash, release, slices, small_batches, text_bytes, word_hashes, words_of, written
 
-REGISTERS, BANDS = 128, 32
+#: Six registers a band: of pairs at 0.8, 6 in 100,000 share none of the 32 bands; of pairs at 0.4, 7 in 8 share none.
+REGISTERS, BANDS = 192, 32
+#: A mixed bucket of more members than this is dealt anew by a second and third band; of pairs at 0.8, 1 in 1,400 shares fewer than two bands, 1 in 200 fewer than three.
+CROWD, DEPTH = 16, 3
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 
@@ -67,7 +72,7 @@ def signatures(text: np.ndarray, name: np.ndarray, weight: np.ndarray, n: int) -
         time[active] -= np.log(((draw >> np.uint64(11)).astype(float) + 1) * 2.0**-53) / weight[active]
         on = time[active] < earliest.max(axis=1)[t]
         active, e, t, draw = active[on], e[on], t[on], draw[on]
-        register = (mix(draw ^ np.uint64(0x6A09E667F3BCC909)) & np.uint64(REGISTERS - 1)).astype(np.int64)
+        register = (mix(draw ^ np.uint64(0x6A09E667F3BCC909)) % np.uint64(REGISTERS)).astype(np.int64)
         cell, at = t * REGISTERS + register, time[active]
         flat, who = earliest.ravel(), kept.ravel()
         np.minimum.at(flat, cell, at)
@@ -143,10 +148,10 @@ def components(links: DataFrame) -> DataFrame:
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
         new = written(step.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label")), "minhash-labels")
         changed = new.filter("label <> old").limit(1).count()
-        release(links.sparkSession, labels)
+        drop(links.sparkSession, labels)
         labels = new
         if not changed:
-            release(links.sparkSession, both)
+            drop(links.sparkSession, both)
             return labels.select("node", "label")
 
 
@@ -159,39 +164,55 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     signed = written(_mapped(texts, "id long, same long, size long, bands array<long>", "text", lambda b: _sign(b, shingle)), "minhash-signed")
     nodes = written(signed.groupBy("same", "size").agg(F.min("id").alias("node")), "minhash-nodes")
 
-    members = signed.join(nodes.select(F.col("node").alias("id"), "same", "size"), ["id", "same", "size"], "left_semi") \
-        .select(F.col("id").alias("node"), F.explode("bands").alias("bucket")).distinct()
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    banded = signed.join(nodes.select(F.col("node").alias("id"), "same", "size"), ["id", "same", "size"], "left_semi") \
+        .select(F.col("id").alias("node"), "bands")
+    members = banded.select("node", F.posexplode("bands").alias("band", "bucket")).distinct()
+    sizes = written(members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "minhash-sizes")
     members = written(members.join(sizes, "bucket"), "minhash-members")
     # a node's rank as a centre: the sizes of its buckets, ties by hash
     rank = members.groupBy("node").agg(F.sum("n").alias("s")).select(
         "node", (F.shiftleft(F.least("s", F.lit(2**31 - 1)).cast("long"), 32) + F.xxhash64("node").bitwiseAND(2**32 - 1)).alias("rank"))
-    open_ = written(members.drop("n").join(rank, "node"), "minhash-open")
-    candidates = open_.select(F.col("node").alias("id")).distinct()
+    # width: centres a round; depth: bands the bucket's members share
+    open_ = written(members.drop("n").join(rank, "node").withColumns({"width": F.lit(1), "depth": F.lit(1)}), "minhash-open")
+    candidates = written(open_.select(F.col("node").alias("id")).distinct(), "minhash-candidates")
+    banded = written(banded.join(candidates.select(F.col("id").alias("node")), "node", "left_semi"), "minhash-bands")
     pool = written(texts.join(candidates, "id", "left_semi").withColumn("k", F.xxhash64("text")).dropDuplicates(["id", "k"]).drop("k"), "minhash-texts")
-    release(spark, members)
+    release(spark, members, sizes, candidates)
 
     links = done = labels = None
-    while open_.limit(1).count():
-        if labels is None:
-            state = open_.withColumn("label", F.col("node"))
-        else:
-            state = open_.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        centres = state.groupBy("bucket").agg(F.max_by("node", "rank").alias("c"), F.max_by("label", "rank").alias("c_label"),
-                                              F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-        held = written(state.join(centres.drop("low", "high"), "bucket").filter("node <> c"), "minhash-held")
-        pairs = held.filter("label <> c_label").select(F.col("node").alias("a"), "c").distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "c"], "left_anti").join(done.select(F.col("c").alias("a"), F.col("a").alias("c")), ["a", "c"], "left_anti")
-        pairs = written(pairs, "minhash-pairs")
+    while True:
+        state = open_.withColumn("label", F.col("node")) if labels is None else \
+            open_.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        centres = written(state.groupBy("bucket", F.pmod(F.xxhash64("node"), F.col("width")).alias("k")).agg(
+            F.max_by("node", "rank").alias("c"), F.max_by("label", "rank").alias("c_label"),
+            F.min("label").alias("low"), F.max("label").alias("high")), "minhash-centres")
+        mixed = centres.groupBy("bucket").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("bucket")
+        chosen = written(centres.join(mixed, "bucket").select("bucket", "c", "c_label"), "minhash-chosen")
+        drop(spark, centres)
+        if not chosen.limit(1).count():
+            break
+        pairs = state.join(chosen, "bucket").filter("label <> c_label").select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("c")).distinct()
+        pairs = written(pairs if done is None else pairs.join(done, ["a", "c"], "left_anti"), "minhash-pairs")
         both = pairs.join(pool.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a") \
                     .join(pool.select(F.col("id").alias("c"), F.col("text").alias("text_c")), "c")
         found = written(_mapped(both, "a long, c long, similarity double", "text_a", lambda b: _verified(b, shingle, similarity)), "minhash-links")
-        links = found if links is None else links.union(found)
         done = pairs if done is None else done.union(pairs)
-        labels = components(links)
-        open_ = written(held.select("node", "bucket", "rank"), "minhash-open")
-        release(spark, held)
+        left = written(open_.join(chosen.select("bucket").distinct(), "bucket", "left_semi")
+                       .join(chosen.select("bucket", F.col("c").alias("node")), ["bucket", "node"], "left_anti"), "minhash-left")
+        counts = left.groupBy("bucket").agg(F.count("*").alias("n"))
+        left = left.join(counts, "bucket")
+        crowded = (F.col("n") > CROWD) & (F.col("width") == 1) & (F.col("depth") < DEPTH)
+        finer = left.filter(crowded).join(banded, "node").select(
+            "node", "bucket", "rank", "depth", F.col("band").alias("before"), F.posexplode("bands").alias("band", "value")).filter("band > before") \
+            .select("node", "band", F.xxhash64("bucket", "value").alias("bucket"), "rank", F.lit(1).alias("width"), (F.col("depth") + 1).alias("depth"))
+        rest = left.filter(~crowded).select("node", "band", "bucket", "rank", (F.col("width") * 16).alias("width"), "depth")
+        new = written(rest.unionByName(finer).distinct(), "minhash-open")
+        drop(spark, open_, chosen)
+        open_ = new
+        if found.limit(1).count():
+            links = found if links is None else links.union(found)
+            labels = components(links)
+    drop(spark, open_)
     release(spark, pool)
 
     node_of = signed.join(nodes, ["same", "size"]).select("id", "node").distinct()
