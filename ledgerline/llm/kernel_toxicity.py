@@ -30,13 +30,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.byte_bpe import mapped
-from ledgerline.llm.common import pair_hash, small_batches, text_bytes, word_hashes
+from ledgerline.llm.common import pair_hash, slices, small_batches, text_bytes, word_hashes
 from ledgerline.llm.pretokens import WHITE_SPACE, HashIndex, ragged
 
 LENGTH, GAP, DECAY, POWER, SENTENCE = 3, 2, 0.6, 4, 40
 #: Labelled rows of either kind the fit may read, landmarks from toxic and from clean texts, and words a worker remembers.
-SAMPLE, TOXIC_LANDMARKS, CLEAN_LANDMARKS, REMEMBERED = 2000, 96, 24, 1_000_000
+SAMPLE, TOXIC_LANDMARKS, CLEAN_LANDMARKS, REMEMBERED = 1500, 96, 24, 1_000_000
 BEGIN, END, BREAK, SKIP = 62, 63, 254, 0
+#: Sentences, and text bytes, the fit handles at a time.
+BLOCK, PIECE = 4096, 1 << 19
 
 
 @lru_cache(maxsize=1)
@@ -104,6 +106,24 @@ def split(column: pa.Array) -> Split:
     return Split(letters, start[once], length[once], text[start[once]], sentence[once], names[once])
 
 
+def _parts(column: pa.Array) -> list[pa.Array]:
+    """``column`` in pieces of bounded size."""
+    batch = pa.RecordBatch.from_arrays([column], ["text"])
+    return [part.column(0) for part in slices(batch, "text", PIECE)]
+
+
+def split_all(column: pa.Array) -> Split:
+    """``split`` of a long column, piece by piece."""
+    found, letters, sentences, texts = [], 0, 0, 0
+    for part in _parts(column):
+        s = split(part)
+        found.append(Split(s.letters, s.start + letters, s.length, s.text + texts, s.sentence + sentences, s.names))
+        letters, texts = letters + len(s.letters), texts + len(part)
+        sentences += int(s.sentence[-1]) + 1 if len(s.sentence) else 0
+    return Split(*(np.concatenate([getattr(s, f) for s in found]) if found else getattr(split(column), f)
+                   for f in ("letters", "start", "length", "text", "sentence", "names")))
+
+
 def subsequences(letters: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (word, subsequence, weight) of words between a begin and an end mark, by word."""
     size = length + 2
@@ -203,15 +223,18 @@ class Machine:
 
 def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 30) -> np.ndarray:
     """Squared-hinge linear machine (weights, bias) by Newton steps over the rows inside the margin."""
-    x = np.column_stack([x, np.ones(len(x), x.dtype)])
-    w = np.zeros(x.shape[1])
-    ridge = np.eye(len(w))
-    ridge[-1, -1] = 1e-6
+    w, size = np.zeros(x.shape[1] + 1), x.shape[1] + 1
     inside = np.ones(len(x), bool)
     for _ in range(steps):
-        a, c = x[inside].astype(float), cost[inside]
-        w = np.linalg.solve(ridge + a.T @ (a * c[:, None]), a.T @ (c * y[inside]))
-        now = y * (x @ w) < 1
+        left, right = np.eye(size), np.zeros(size)
+        left[-1, -1] = 1e-6
+        for k in range(0, len(x), BLOCK):
+            on = np.flatnonzero(inside[k:k + BLOCK]) + k
+            a = np.column_stack([x[on], np.ones(len(on))])
+            left += a.T @ (a * cost[on, None])
+            right += a.T @ (cost[on] * y[on])
+        w = np.linalg.solve(left, right)
+        now = y * (x @ w[:-1] + w[-1]) < 1
         if (now == inside).all():
             break
         inside = now
@@ -234,7 +257,7 @@ def _platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, flo
 def fit(toxic: pa.Array, clean: pa.Array) -> Machine:
     if not len(toxic) or not len(clean):
         return Machine(None, None, 0.0, 1.0, 0.0)
-    sides = [split(toxic), split(clean)]
+    sides = [split_all(toxic), split_all(clean)]
     if not all(len(s.start) for s in sides):
         return Machine(None, None, 0.0, 1.0, 0.0)
     in_texts = [Counter(np.unique(np.stack([s.text.astype(np.uint64), s.names], 1), axis=0)[:, 1].tolist()) for s in sides]
@@ -254,13 +277,13 @@ def fit(toxic: pa.Array, clean: pa.Array) -> Machine:
 
     maps, texts, prior = [], [], np.array([max(0.0, telling[w]) for w in chosen] + [0.0] * len(common))
     for s in sides:
-        names, one, back = np.unique(s.names, return_index=True, return_inverse=True)
-        kernel = landmarks.kernel(s.letters, s.start[one], s.length[one])
         head = np.flatnonzero(np.concatenate(([True], s.sentence[1:] != s.sentence[:-1])))
-        total = np.zeros((len(head), len(prior)), np.float32)
-        for k in range(0, len(head), 4096):  # sentences' kernel vectors, a block at a time
-            stop = head[k + 4096] if k + 4096 < len(head) else len(s.start)
-            total[k:k + 4096] = np.add.reduceat(kernel[back[head[k]:stop]], head[k:k + 4096] - head[k])
+        total = np.empty((len(head), len(prior)), np.float32)
+        for k in range(0, len(head), BLOCK):  # sentences' kernel vectors, a block at a time
+            first, stop = head[k], head[k + BLOCK] if k + BLOCK < len(head) else len(s.start)
+            _, one, back = np.unique(s.names[first:stop], return_index=True, return_inverse=True)
+            kernel = landmarks.kernel(s.letters, s.start[first + one], s.length[first + one])
+            total[k:k + BLOCK] = np.add.reduceat(kernel[back], head[k:k + BLOCK] - first)
         maps.append(total)
         texts.append(s.text[head])
     worst = lambda value: np.array([g[np.argmax(value[g])] for g in np.split(np.arange(len(value)), np.flatnonzero(np.diff(texts[0])) + 1)])
@@ -273,7 +296,7 @@ def fit(toxic: pa.Array, clean: pa.Array) -> Machine:
         part = root @ w[:-1]
         positive = worst(maps[0] @ part)
     made = Machine(landmarks, part.astype(np.float32), float(w[-1]), 1.0, 0.0)
-    z = np.concatenate([made.decide(toxic), made.decide(clean)])
+    z = np.concatenate([made.decide(part) for column in (toxic, clean) for part in _parts(column)])
     y = np.concatenate([np.ones(len(toxic)), np.zeros(len(clean))])
     made.slope, made.offset = _platt(z, y, np.ones(len(y)))
     return made
