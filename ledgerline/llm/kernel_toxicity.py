@@ -11,7 +11,7 @@ highest (three rounds). As the map adds up over words, a word's part of the deci
 number, which a worker computes once and remembers. A text scores as its worst sentence (of at
 most ``SENTENCE`` words), through a logistic fit.
 
-The fit reads a bounded sample of labelled rows: at most ``sample`` of either kind, of least id hash.
+The fit reads a bounded sample of labelled rows: at most ``sample`` toxic and clean ones, of least id hash.
 Null or empty texts score like a text without words. Without words in toxic or in clean labelled
 rows every score is 0. Columns the operator adds replace those of the same name; others pass through.
 """
@@ -19,7 +19,6 @@ rows every score is 0. Columns the operator adds replace those of the same name;
 from __future__ import annotations
 
 import unicodedata
-from collections import Counter
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -34,11 +33,11 @@ from ledgerline.llm.common import pair_hash, slices, small_batches, text_bytes,
 from ledgerline.llm.pretokens import WHITE_SPACE, HashIndex, ragged
 
 LENGTH, GAP, DECAY, POWER, SENTENCE = 3, 2, 0.6, 4, 40
-#: Labelled rows of either kind the fit may read, landmarks from toxic and from clean texts, and words a worker remembers.
-SAMPLE, TOXIC_LANDMARKS, CLEAN_LANDMARKS, REMEMBERED = 1500, 96, 24, 1_000_000
+#: Labelled toxic and clean rows the fit may read, landmarks from toxic and from clean texts, and words a worker remembers.
+SAMPLE, TOXIC_LANDMARKS, CLEAN_LANDMARKS, REMEMBERED = (1000, 2400), 96, 24, 1_000_000
 BEGIN, END, BREAK, SKIP = 62, 63, 254, 0
-#: Sentences, and text bytes, the fit handles at a time.
-BLOCK, PIECE = 4096, 1 << 19
+#: Sentences and text bytes the fit handles at a time, and words whose kernel is computed together.
+BLOCK, PIECE, PART = 2048, 1 << 18, 1024
 
 
 @lru_cache(maxsize=1)
@@ -169,8 +168,8 @@ class Landmarks:
     def kernel(self, letters: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Normalised kernel, to ``POWER``, of each word with each landmark."""
         out = np.zeros((len(start), self.weights.shape[1]), np.float32)
-        for k in range(0, len(start), 8192):
-            part = slice(k, min(k + 8192, len(start)))
+        for k in range(0, len(start), PART):
+            part = slice(k, min(k + PART, len(start)))
             word, code, weight = subsequences(letters, start[part], length[part])
             norm = np.sqrt(np.bincount(word, weight**2, part.stop - part.start))
             row = self.rows[code]
@@ -260,13 +259,20 @@ def fit(toxic: pa.Array, clean: pa.Array) -> Machine:
     sides = [split_all(toxic), split_all(clean)]
     if not all(len(s.start) for s in sides):
         return Machine(None, None, 0.0, 1.0, 0.0)
-    in_texts = [Counter(np.unique(np.stack([s.text.astype(np.uint64), s.names], 1), axis=0)[:, 1].tolist()) for s in sides]
-    n = [max(1, len(c)) for c in (toxic, clean)]
-    telling = {w: k * np.log(((k + 0.5) / n[0]) / ((in_texts[1][w] + 0.5) / n[1])) for w, k in in_texts[0].items()}
-    chosen = sorted(telling, key=lambda w: (-telling[w], w))[:TOXIC_LANDMARKS]
-    common = [w for w, _ in sorted(in_texts[1].items(), key=lambda x: (-x[1], x[0])) if w not in set(chosen)][:CLEAN_LANDMARKS]
-    where = [{int(w): i for i, w in reversed(list(enumerate(s.names.tolist())))} for s in sides]
-    places = [(sides[0], where[0][w]) for w in chosen] + [(sides[1], where[1][w]) for w in common]
+    # texts that hold each word, on either side
+    counts = []
+    for s in sides:
+        once = np.unique(pair_hash(s.text.astype(np.uint64), s.names, 5), return_index=True)[1]
+        counts.append(np.unique(s.names[once], return_counts=True))
+    (words, toxic_n), (others, clean_n) = counts
+    at = np.minimum(np.searchsorted(others, words), len(others) - 1)
+    elsewhere = np.where(others[at] == words, clean_n[at], 0)
+    telling = toxic_n * np.log(((toxic_n + 0.5) / max(1, len(toxic))) / ((elsewhere + 0.5) / max(1, len(clean))))
+    best = np.lexsort((words, -telling))[:TOXIC_LANDMARKS]
+    chosen = words[best]
+    common = others[np.lexsort((others, -clean_n))]
+    common = common[~np.isin(common, chosen)][:CLEAN_LANDMARKS]
+    places = [(sides[0], int(np.argmax(sides[0].names == w))) for w in chosen] + [(sides[1], int(np.argmax(sides[1].names == w))) for w in common]
     length = np.array([s.length[i] for s, i in places])
     letters = np.concatenate([s.letters[s.start[i]:s.start[i] + s.length[i]] for s, i in places])
     start = np.cumsum(length) - length
@@ -275,7 +281,7 @@ def fit(toxic: pa.Array, clean: pa.Array) -> Machine:
     keep = value > 1e-6
     root = (vector[:, keep] / np.sqrt(value[keep])).astype(np.float32)  # the Nyström map
 
-    maps, texts, prior = [], [], np.array([max(0.0, telling[w]) for w in chosen] + [0.0] * len(common))
+    maps, texts, prior = [], [], np.concatenate([np.maximum(0.0, telling[best]), np.zeros(len(common))])
     for s in sides:
         head = np.flatnonzero(np.concatenate(([True], s.sentence[1:] != s.sentence[:-1])))
         total = np.empty((len(head), len(prior)), np.float32)
@@ -302,14 +308,14 @@ def fit(toxic: pa.Array, clean: pa.Array) -> Machine:
     return made
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", sample: int = SAMPLE) -> Machine:
+def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", sample: tuple[int, int] = SAMPLE) -> Machine:
     """Fits on the rows of ``docs`` with a label in ``labels`` (``doc_id``, ``toxic`` 0 or 1)."""
     small_batches(docs.sparkSession)
     sides = []
-    for value in (1, 0):
-        ids = labels.filter(F.col(toxic) == value).select(doc_id).distinct().orderBy(F.xxhash64(doc_id), doc_id).limit(sample)
-        rows = docs.select(doc_id, F.col(text).alias("text")).join(F.broadcast(ids), doc_id, "left_semi")  # at most ``sample`` ids
-        sides.append(pa.array([r.text for r in rows.orderBy(F.xxhash64(doc_id), doc_id).limit(sample).collect()], pa.string()))
+    for value, limit in zip((1, 0), sample):
+        ids = labels.filter(F.col(toxic) == value).select(doc_id).distinct().orderBy(F.xxhash64(doc_id), doc_id).limit(limit)
+        rows = docs.select(doc_id, F.col(text).alias("text")).join(F.broadcast(ids), doc_id, "left_semi")  # at most ``limit`` ids
+        sides.append(pa.array([r.text for r in rows.orderBy(F.xxhash64(doc_id), doc_id).limit(limit).collect()], pa.string()))
     return fit(*sides)
 
 
