@@ -119,22 +119,23 @@ def edit_sensitivity(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     after the last the first; of rows sharing an id the least text), and the likeness of its fingerprint to the
     edited text's (``near_edited``) and to the next document's (``near_next``). A null id comes last."""
     spark = docs.sparkSession
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("id"),
-                        F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # both joins below read this very frame by id, so its texts are shuffled once
+    texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     follow = written(successors(docs, doc_id, text), "order-next")
     unique = texts.groupBy("id").count().filter("count > 1").limit(1).count() == 0
-    ahead = texts.select(F.col("id").alias("next_id"), "text").join(follow, "next_id").select("id", F.expr("substring(text, 1, half)").alias("ahead"))
+    ahead = texts.join(follow.select(F.col("next_id").alias("id"), F.col("id").alias("key"), "half"), "id") \
+        .select(F.col("key").alias("id"), F.expr("substring(text, 1, half)").alias("ahead"))
     if not unique:
         ahead = ahead.groupBy("id").agg(F.min("ahead").alias("ahead"))
     n = F.length("text")
     edited = texts.join(ahead, "id").select(
-        "doc_id", "id", n.cast("long").alias("n_chars"), fingerprint(F.col("text")).alias("own"),
+        "id", n.cast("long").alias("n_chars"), fingerprint(F.col("text")).alias("own"),
         F.concat(F.col("text").substr(F.lit(1), n - F.floor(n / 2).cast("int")), F.expr("substring(ahead, 1, length(text) div 2)")).alias("edited"))
-    marked = written(edited.select("doc_id", "id", "n_chars", "own", sha("edited").alias("edited_sha256"), fingerprint(F.col("edited")).alias("other")), "order-marked")
+    marked = written(edited.select("id", "n_chars", "own", sha("edited").alias("edited_sha256"), fingerprint(F.col("edited")).alias("other")), "order-marked")
     release(spark)
     next_own = marked.select(F.col("id").alias("next_id"), F.col("own").alias("next_own"))
     if not unique:
         next_own = next_own.groupBy("next_id").agg(F.min("next_own").alias("next_own"))
     return marked.join(follow.select("id", "next_id"), "id").join(next_own, "next_id").select(
-        "doc_id", "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"), as_text(F.col("other")).alias("edited_fingerprint"),
+        F.when(F.col("id") < LAST, F.col("id")).cast(docs.schema[doc_id].dataType).alias("doc_id"), "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"), as_text(F.col("other")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("next_own")).alias("near_next"))
