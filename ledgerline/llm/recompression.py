@@ -18,9 +18,9 @@ holds this range has the same symbol at the same place.
 4. The documents take those names back and drop the words their windows cover, with the
    windows that start earlier in the same document.
 
-An anchor or window name stands in a shuffle once a document, hot names are aggregated map-side
-and joined by sort-merge joins that adaptive execution splits. Each step's result is a table
-in the shared folder.
+An anchor or window name stands in a shuffle once a document. Hot names are aggregated map-side; what was
+aggregated is written before it is joined back, so that both sides of the join are shuffled and adaptive
+execution can split a hot name's rows. Each step's result is a table in the shared folder.
 
 Null text: no words. Documents shorter than a window keep all words. Rows that share an id
 count as the same document for "earlier elsewhere" but are judged row by row within; a null id
@@ -272,20 +272,23 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     # 2. what may repeat: copies by their top symbols, and documents with anchors that others have too
     tops = parsed.filter(F.col("n") >= window).select("__id", "top")
-    least = tops.groupBy("top").agg(F.min("__id").alias("least"), F.max("__id").alias("most")).filter("least < most")
+    least = written(tops.groupBy("top").agg(F.min("__id").alias("least"), F.max("__id").alias("most")).filter("least < most"), "recompression-tops")
     copies = written(tops.join(least, "top").filter("__id > least").groupBy("__id").agg(F.collect_set("top").alias("__copied")), "recompression-copies")
     anchors_ = parsed.select("__id", F.explode("names").alias("name"))
-    shared = anchors_.groupBy("name").agg(F.min("__id").alias("least"), F.max("__id").alias("most")).filter("least < most").select("name")
+    shared = written(anchors_.groupBy("name").agg(F.min("__id").alias("least"), F.max("__id").alias("most")).filter("least < most").select("name"), "recompression-shared")
+    release(spark, least)
     marks = written(anchors_.join(copies, "__id", "left_anti").join(shared, "name").groupBy("__id").agg(F.collect_set("name").alias("__marks")), "recompression-marks")
-    release(spark, parsed)
+    release(spark, parsed, shared)
 
     # 3. names of the windows under shared anchors, and their least documents
     schema = T.StructType([T.StructField("name", T.LongType()), T.StructField("check", T.IntegerType()), T.StructField("doc", T.LongType())])
     rows = written(_map(texts.join(marks, "__id"), schema, "__text", lambda b: _candidates(b, "__text", window)), "recompression-windows")
     release(spark, marks)
-    least = rows.groupBy("name", "check").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").select("name", "check", "least")
+    least = written(rows.groupBy("name", "check").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+                    .filter("least < most").select("name", "check", "least"), "recompression-least")
+    release(spark)
     earlier = written(rows.join(least, ["name", "check"]).filter("doc > least").groupBy(F.col("doc").alias("__id")).agg(F.collect_set("name").alias("__earlier")), "recompression-earlier")
-    release(spark, rows)
+    release(spark, rows, least)
 
     # 4. the documents drop the words of those windows
     found = earlier.join(copies, "__id", "full_outer")
