@@ -10,10 +10,13 @@ that share a band are candidates, and the exact probability Jaccard verifies eac
 
 Equal texts are one node (their least id). A bucket (texts of one band value) is never expanded
 into pairs: its members of other classes are held against one centre, the member met in most and
-largest buckets. Buckets whose members are then all in one class are done. Of the rest, crowded ones
-(texts that merely share a frequent passage) are dealt anew by further bands, which texts that are alike
-share too; the others go on with sixteen times as many next centres a round until each is done or all
-its members have been centres.
+largest buckets. Buckets whose members are then all in one class are done. The others go on with
+sixteen times as many next centres a round until each is done or all its members have been centres.
+Crowded ones wait meanwhile: buckets of their members by further bands settle most of them. The texts
+of waiting buckets that are still mixed then get buckets by rare shingles: in any order of all shingles,
+two texts that are alike have their first common shingle where at least ``similarity`` of either
+text's weight is still to come, so each text enters the buckets of its shingles up to there, in
+order of (counted) frequency, and no link is lost.
 
 Null text counts as empty; texts without words are only alike if equal. Rows that share an id are
 one document, in the class of any of its texts; a null id has no class (null) and no links. Columns
@@ -32,8 +35,10 @@ from ledgerline.llm.common import drop, mix, pair_hash, release, slices, small_b
 
 #: Six registers a band: of pairs at 0.8, 6 in 100,000 share none of the 32 bands; of pairs at 0.4, 7 in 8 share none.
 REGISTERS, BANDS = 192, 32
-#: A mixed bucket of more members than this is dealt anew by a second and third band; of pairs at 0.8, 1 in 1,400 shares fewer than two bands, 1 in 200 fewer than three.
+#: A mixed bucket of more members than this waits for the buckets by a second and third band, and for those by rare shingles.
 CROWD, DEPTH = 16, 3
+#: Counters of shingles' frequencies; shingles that share one only come later in the order.
+SLOTS = 1 << 20
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 
@@ -128,6 +133,46 @@ def _verified(batch: pa.RecordBatch, shingle: int, least: float) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([batch.column("a"), batch.column("c"), pa.array(alike, pa.float64())], ["a", "c", "similarity"]).filter(pa.array(alike >= least))
 
 
+def _counts(batches, shingle: int):
+    """(slot, n): shingles of the texts, counted by hash."""
+    n = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        for part in slices(batch, "text"):
+            n += np.bincount((elements(part.column("text"), shingle)[1] % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+    slot = np.flatnonzero(n)
+    for k in range(0, len(slot), 1 << 16):
+        some = slot[k:k + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(n[some])], ["slot", "n"])
+
+
+def rare_shingles(column: pa.Array, shingle: int, least: float, frequency: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, shingle) of every shingle from which on, by frequency, at least ``least`` of its text's weight
+    is to come. The weights' common part bounds the probability Jaccard in either text, so texts that
+    are alike have one of these in common. Shingles counted once are left out."""
+    text, name, weight = elements(column, shingle)
+    often = frequency[(name % np.uint64(SLOTS)).astype(np.int64)]
+    order = np.lexsort((name, often, text))
+    text, name, weight, often = text[order], name[order], weight[order], often[order]
+    total = np.bincount(text, weight, len(column))
+    before = np.cumsum(weight) - weight - (np.cumsum(total) - total)[text]
+    on = (total[text] - before >= least * total[text] * (1 - 1e-9)) & (often > 1)
+    return text[on], name[on]
+
+
+def _rare(batch: pa.RecordBatch, shingle: int, least: float, frequency: np.ndarray) -> pa.RecordBatch:
+    text, name = rare_shingles(batch.column("text"), shingle, least, frequency)
+    return pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(text)), pa.array(name.view(np.int64))], ["node", "bucket"])
+
+
+def _rare_buckets(texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """(node, bucket): the buckets by rare shingles of ``texts`` (id, text) that hold more than one node."""
+    counted = texts.mapInArrow(lambda batches: _counts(batches, shingle), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    frequency = np.zeros(SLOTS, np.uint16)
+    frequency[counted.column("slot").to_numpy()] = np.minimum(counted.column("n").to_numpy(), 2**16 - 1)
+    rare = written(_mapped(texts, "node long, bucket long", "text", lambda b: _rare(b, shingle, least, frequency)).distinct(), "minhash-rare")
+    return rare.join(rare.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"), "bucket")
+
+
 def _mapped(df: DataFrame, schema: str, by: str, work) -> DataFrame:
     def run(batches):
         for batch in batches:
@@ -179,29 +224,54 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     pool = written(texts.join(candidates, "id", "left_semi").withColumn("k", F.xxhash64("text")).dropDuplicates(["id", "k"]).drop("k"), "minhash-texts")
     release(spark, members, sizes, candidates)
 
-    links = done = labels = None
+    links = done = labels = waiting = None
+
+    def labelled(nodes: DataFrame) -> DataFrame:
+        return nodes.withColumn("label", F.col("node")) if labels is None else \
+            nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+    def mixed(rows: DataFrame) -> DataFrame:
+        return labelled(rows).groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")) \
+            .filter("low < high").select("bucket", "n")
+
     while True:
-        state = open_.withColumn("label", F.col("node")) if labels is None else \
-            open_.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        state = labelled(open_)
         centres = written(state.groupBy("bucket", F.pmod(F.xxhash64("node"), F.col("width")).alias("k")).agg(
             F.max_by("node", "rank").alias("c"), F.max_by("label", "rank").alias("c_label"),
             F.min("label").alias("low"), F.max("label").alias("high")), "minhash-centres")
-        mixed = centres.groupBy("bucket").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("bucket")
-        chosen = written(centres.join(mixed, "bucket").select("bucket", "c", "c_label"), "minhash-chosen")
+        several = centres.groupBy("bucket").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("bucket")
+        chosen = written(centres.join(several, "bucket").select("bucket", "c", "c_label"), "minhash-chosen")
         drop(spark, centres)
         if not chosen.limit(1).count():
-            break
+            drop(spark, open_, chosen)
+            if waiting is None:
+                break
+            # the buckets that waited: texts of those still mixed, by rare shingles
+            unsettled = written(waiting.join(mixed(waiting), "bucket").select("node", "rank").distinct(), "minhash-unsettled")
+            drop(spark, waiting)
+            waiting = None
+            if not unsettled.limit(1).count():
+                break
+            of_them = pool.join(unsettled.select(F.col("node").alias("id")), "id", "left_semi")
+            open_ = written(_rare_buckets(of_them, shingle, similarity).join(unsettled, "node").select(
+                "node", F.lit(0).alias("band"), "bucket", "rank", F.lit(1).alias("width"), F.lit(DEPTH).alias("depth")), "minhash-open")
+            release(spark, unsettled)
+            continue
         pairs = state.join(chosen, "bucket").filter("label <> c_label").select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("c")).distinct()
         pairs = written(pairs if done is None else pairs.join(done, ["a", "c"], "left_anti"), "minhash-pairs")
         both = pairs.join(pool.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a") \
                     .join(pool.select(F.col("id").alias("c"), F.col("text").alias("text_c")), "c")
         found = written(_mapped(both, "a long, c long, similarity double", "text_a", lambda b: _verified(b, shingle, similarity)), "minhash-links")
         done = pairs if done is None else done.union(pairs)
+        if found.limit(1).count():
+            links = found if links is None else links.union(found)
+            labels = components(links)
         left = written(open_.join(chosen.select("bucket").distinct(), "bucket", "left_semi")
                        .join(chosen.select("bucket", F.col("c").alias("node")), ["bucket", "node"], "left_anti"), "minhash-left")
-        counts = left.groupBy("bucket").agg(F.count("*").alias("n"))
-        left = left.join(counts, "bucket")
+        left = left.join(mixed(left), "bucket")
         crowded = (F.col("n") > CROWD) & (F.col("width") == 1) & (F.col("depth") < DEPTH)
+        if waiting is None and done is pairs:  # the first round's: all later buckets are parts of these
+            waiting = written(left.filter(crowded).select("node", "bucket", "rank"), "minhash-waiting")
         finer = left.filter(crowded).join(banded, "node").select(
             "node", "bucket", "rank", "depth", F.col("band").alias("before"), F.posexplode("bands").alias("band", "value")).filter("band > before") \
             .select("node", "band", F.xxhash64("bucket", "value").alias("bucket"), "rank", F.lit(1).alias("width"), (F.col("depth") + 1).alias("depth"))
@@ -209,10 +279,6 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         new = written(rest.unionByName(finer).distinct(), "minhash-open")
         drop(spark, open_, chosen)
         open_ = new
-        if found.limit(1).count():
-            links = found if links is None else links.union(found)
-            labels = components(links)
-    drop(spark, open_)
     release(spark, pool)
 
     node_of = signed.join(nodes, ["same", "size"]).select("id", "node").distinct()

@@ -94,3 +94,54 @@ def test_nulls_repeated_rows_and_empty_table(spark):
     assert got == [(0, None, 0), (1, 1, 0), (2, 1, 0), (3, 3, 0), (3, 3, 0)]
     assert M.keep_one(df).count() == 4
     assert M.near_duplicates(df.limit(0)).count() == 0 == M.keep_one(df.limit(0)).count()
+
+
+def bands_of(texts):
+    return np.array(M._sign(pa.record_batch({"id": range(len(texts)), "text": texts}), 5).column("bands").to_pylist())
+
+
+def crowded_pair(seed=0):
+    """Two texts of similarity 0.8 that share one band only, and over 100 texts of less that share it too."""
+    rng = random.Random(seed)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    while True:
+        base = fresh(67)
+
+        def changed(n, times):  # ``n`` new words at the ends
+            heads = [rng.randint(0, n) for _ in range(times)]
+            return [" ".join(fresh(k) + base[k:k + 67 - n] + fresh(n - k)) for k in heads]
+
+        near = changed(7, 2000)
+        own, *bands = bands_of([" ".join(base), *near])
+        shared = np.array(bands) == own
+        for i in np.flatnonzero(shared.sum(axis=1) == 1):
+            texts = changed(11, 2500)
+            crowd = [t for t, b in zip(texts, bands_of(texts)) if (b == own)[shared[i]][0]]
+            if len(crowd) > 100:
+                return " ".join(base), near[i], crowd[:150]
+
+
+def test_links_of_one_crowded_band_are_found(spark):
+    a, b, crowd = crowded_pair()
+    rows = list(enumerate([*crowd, a, b]))
+    bags = [set(bag(t)) for _, t in rows]  # no text repeats a shingle
+    links = [(i, j) for j in range(len(rows)) for i in range(j) if len(bags[i] & bags[j]) / len(bags[i] | bags[j]) >= .8]
+    n = len(crowd)
+    assert n > 100 and links == [(n, n + 1)]
+    random.Random(1).shuffle(rows)
+    found = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in found} == {i: min(i, n) for i, _ in rows}
+
+
+def test_alike_texts_share_a_rare_shingle():
+    rng = random.Random(3)
+    texts = [t or "" for _, t in corpus(4)]
+    frequency = np.full(M.SLOTS, 2, np.uint16)
+    frequency[rng.sample(range(M.SLOTS), M.SLOTS // 2)] = 9
+    who, name = M.rare_shingles(pa.array(texts), 5, .8, frequency)
+    rare = [set(name[who == i].tolist()) for i in range(len(texts))]
+    assert sum(map(len, rare)) < .4 * sum(len(bag(t)) for t in texts)
+    for i, t in enumerate(texts):
+        for j in range(i):
+            a, b = bag(t), bag(texts[j])
+            assert not (a.keys() & b.keys() and slow(a, b) >= .8) or rare[i] & rare[j]
