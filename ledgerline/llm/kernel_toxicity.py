@@ -12,6 +12,8 @@ number, which a worker computes once and remembers. A text scores as its worst s
 most ``SENTENCE`` words), through a logistic fit.
 
 The fit reads a bounded sample of labelled rows: at most ``sample`` toxic and clean ones, of least id hash.
+In the logistic fit each stands for (labelled rows of its kind) / (sampled ones), so scores keep their meaning
+whatever the caps leave of the true mix.
 Null or empty texts score like a text without words. Without words in toxic or in clean labelled
 rows every score is 0. Columns the operator adds replace those of the same name; others pass through.
 """
@@ -253,7 +255,8 @@ def _platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, flo
     return float(a), float(b)
 
 
-def fit(toxic: pa.Array, clean: pa.Array) -> Machine:
+def fit(toxic: pa.Array, clean: pa.Array, labelled: tuple[int, int] | None = None) -> Machine:
+    """A machine of a sample of toxic and clean texts; ``labelled``: how many rows of either kind it stands for."""
     if not len(toxic) or not len(clean):
         return Machine(None, None, 0.0, 1.0, 0.0)
     sides = [split_all(toxic), split_all(clean)]
@@ -304,19 +307,23 @@ def fit(toxic: pa.Array, clean: pa.Array) -> Machine:
     made = Machine(landmarks, part.astype(np.float32), float(w[-1]), 1.0, 0.0)
     z = np.concatenate([made.decide(part) for column in (toxic, clean) for part in _parts(column)])
     y = np.concatenate([np.ones(len(toxic)), np.zeros(len(clean))])
-    made.slope, made.offset = _platt(z, y, np.ones(len(y)))
+    stands_for = [total / len(column) for total, column in zip(labelled or (len(toxic), len(clean)), (toxic, clean))]
+    made.slope, made.offset = _platt(z, y, np.where(y > 0, *stands_for))
     return made
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", sample: tuple[int, int] = SAMPLE) -> Machine:
     """Fits on the rows of ``docs`` with a label in ``labels`` (``doc_id``, ``toxic`` 0 or 1)."""
     small_batches(docs.sparkSession)
-    sides = []
+    sides, labelled = [], []
     for value, limit in zip((1, 0), sample):
-        ids = labels.filter(F.col(toxic) == value).select(doc_id).distinct().orderBy(F.xxhash64(doc_id), doc_id).limit(limit)
+        all_ids = labels.filter(F.col(toxic) == value).select(doc_id).distinct()
+        ids = all_ids.orderBy(F.xxhash64(doc_id), doc_id).limit(limit)
         rows = docs.select(doc_id, F.col(text).alias("text")).join(F.broadcast(ids), doc_id, "left_semi")  # at most ``limit`` ids
         sides.append(pa.array([r.text for r in rows.orderBy(F.xxhash64(doc_id), doc_id).limit(limit).collect()], pa.string()))
-    return fit(*sides)
+        few = len(sides[-1]) < limit and ids.count() < limit  # the sample holds every labelled row
+        labelled.append(len(sides[-1]) if few else docs.select(doc_id).join(all_ids, doc_id, "left_semi").count())
+    return fit(*sides, tuple(labelled))
 
 
 def score(df: DataFrame, machine: Machine, text: str = "text", out: str = "score") -> DataFrame:

@@ -79,6 +79,22 @@ def test_gapped_and_inserted_characters_are_caught():
     assert value[:2].min() > value[2:].max()
 
 
+def test_scores_mean_the_same_below_and_above_the_caps(spark):
+    rng = np.random.default_rng(5)
+    word = lambda: rng.choice("green open calm trees river stone table light".split())
+    texts = [f"{word()} {'zyxwvut' if i % 4 == 0 else 'klmnopq'} {word()}" for i in range(4800)]
+    toxic = [int(i % 4 == 0 and i % 20 < 8) for i in range(4800)]  # two in five of the texts with the first word
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    probe, true = pa.array(texts[::4]), np.mean(toxic)
+    below, *above = [K.train(df, labels, sample=s) for s in ((5000, 5000), (400, 300), (200, 2500))]
+    for machine in (below, *above):
+        assert machine.score(pa.array(texts)).mean() == pytest.approx(true, abs=.025)
+        assert machine.score(probe).mean() == pytest.approx(.4, abs=.1)
+        z = machine.decide(pa.array(texts))
+        assert np.mean(machine.decide(probe) > np.median(z)) > .95  # recall
+
+
 def test_odd_inputs(spark):
     df = spark.createDataFrame([(1, None, "s"), (2, "", "s"), (3, "w " * 60000, "s")], "doc_id long, text string, score string")
     empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
