@@ -273,12 +273,14 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     # 2. what may repeat: copies by their top symbols, and documents with anchors that others have too
     tops = parsed.filter(F.col("n") >= window).select("__id", "top")
     least = written(tops.groupBy("top").agg(F.min("__id").alias("least"), F.max("__id").alias("most")).filter("least < most"), "recompression-tops")
-    copies = written(tops.join(least, "top").filter("__id > least").groupBy("__id").agg(F.collect_set("top").alias("__copied")), "recompression-copies")
+    copied = written(tops.join(least, "top").filter("__id > least").select("__id", "top").distinct(), "recompression-copied")
+    copies = written(copied.groupBy("__id").agg(F.collect_set("top").alias("__copied")), "recompression-copies")
     anchors_ = parsed.select("__id", F.explode("names").alias("name"))
     shared = written(anchors_.groupBy("name").agg(F.min("__id").alias("least"), F.max("__id").alias("most")).filter("least < most").select("name"), "recompression-shared")
     release(spark, least)
-    marks = written(anchors_.join(copies, "__id", "left_anti").join(shared, "name").groupBy("__id").agg(F.collect_set("name").alias("__marks")), "recompression-marks")
-    release(spark, parsed, shared)
+    own = parsed.join(copied, ["__id", "top"], "left_anti").select("__id", F.explode("names").alias("name"))  # rows that are no copies; others of their id stay
+    marks = written(own.join(shared, "name").groupBy("__id").agg(F.collect_set("name").alias("__marks")), "recompression-marks")
+    release(spark, parsed, copied, shared)
 
     # 3. names of the windows under shared anchors, and their least documents
     schema = T.StructType([T.StructField("name", T.LongType()), T.StructField("check", T.IntegerType()), T.StructField("doc", T.LongType())])

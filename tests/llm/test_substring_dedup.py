@@ -80,3 +80,12 @@ def test_query_over_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     want = {i: (len(w), sum(g), hashlib.sha256(" ".join(x for x, y in zip(w, g) if not y).encode()).hexdigest()) for i, w, g in brute(rows)}
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in queries.op4_substring_dedup(spark, sf).collect()} == want
+
+
+def test_rows_beside_a_copy_of_their_id_keep_their_windows(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    passage = " ".join(b.split()[10:40])
+    rows = [(3, a), (5, a), (5, b), (9, f"{c} {passage}"), (None, a), (None, f"{passage} {c[::-1]}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, len(r.text.split()), r.n_removed) for r in R.remove_repeats(df).collect()]
+    assert sorted(got, key=str) == sorted([(3, 60, 0), (5, 60, 60), (5, 60, 0), (9, 90, 30), (None, 60, 60), (None, 90, 30)], key=str)
