@@ -21,12 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: later stages start from
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder (in folders ``by`` a column) and read back: later stages start from
     files every executor can read, so a lost executor costs one stage at most."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
