@@ -666,13 +666,18 @@ def q_s2_read_order_envelopes(spark, sf_dir):
     return present(env.select("topic", "key", "event_type", "ok"))
 
 
-def notification_records(t):
+DAMAGED_PRIORITY = "4-NOT SPECIFIED"     # orders whose records ``damaged`` breaks: confirmations cut off, shipments without OrderId
+
+
+def notification_records(t, damaged: bool = False):
     """order-events / inventory-events records as the notification service reads them (key = type)."""
-    ev = D.notification_events(t)
+    ev = D.notification_events(t, ("priority",))
+    broken = F.lit(damaged) & (F.col("priority") == DAMAGED_PRIORITY)
     order_json = F.to_json(F.struct(
-        F.col("order_id").alias("OrderId"), F.col("customer_email").alias("CustomerEmail"),
+        F.when(~(broken & (F.col("event_type") == "OrderShipped")), F.col("order_id")).alias("OrderId"), F.col("customer_email").alias("CustomerEmail"),
         F.col("status").alias("Status"), F.col("tracking_number").alias("TrackingNumber"),
         F.col("cancellation_reason").alias("CancellationReason"), F.col("webhook_url").alias("WebhookUrl")))
+    order_json = F.when(broken & (F.col("event_type") == "OrderConfirmed"), F.substring(order_json, 1, 16)).otherwise(order_json)
     orders = ev.select(F.lit(N.config.ORDER_EVENTS_TOPIC).alias("topic"), F.col("event_type").alias("key"),
                        order_json.alias("value"), F.lit(0).alias("partition"),
                        F.lit(None).cast("long").alias("offset"), F.col("ts").alias("timestamp"))
@@ -693,8 +698,9 @@ def q_s3_read_notification_events(spark, sf_dir):
     """Notification records read back through S3, decoded and turned into e-mails (N5 → N1)."""
     path = scratch_path(spark, "notification-records")
     notification_records(Tables(spark, sf_dir)).write.mode("overwrite").parquet(path)
-    recs = TP.read_notification_events(spark, path)
-    return present(N.order_notifications(DS.decode_notifications(recs).where("ok")))
+    base = scratch_path(spark, "notification-sinks")
+    DS.write_notifications(spark, TP.read_notification_events(spark, path), base)
+    return present(DS.read_notifications(spark, base))
 
 
 @register("k11_order_summary_stream")
@@ -752,7 +758,22 @@ def q_s9_dead_letter_stream(spark, sf_dir):
 def q_n1_order_notifications_stream(spark, sf_dir):
     """Notification e-mails derived from a stream of notification records."""
     recs = _as_stream(spark, notification_records(Tables(spark, sf_dir)), "notification-records")
-    return present(_run_stream_to_parquet(spark, DS.notification_stream(recs), "notifications"))
+    base = scratch_path(spark, "notifications")
+    DS.start_notification_stream(spark, recs, base, f"{base}/ckpt").awaitTermination()
+    return present(DS.read_notifications(spark, base))
+
+
+@register("s9_notification_sinks_stream")
+def q_s9_notification_sinks_stream(spark, sf_dir):
+    """Where a stream of notification records, some of them damaged, ends up: rows by sink, type and reason."""
+    recs = _as_stream(spark, notification_records(Tables(spark, sf_dir), damaged=True), "notification-records")
+    base = scratch_path(spark, "notification-sinks")
+    DS.start_notification_stream(spark, recs, base, f"{base}/ckpt").awaitTermination()
+    none = F.lit(None).cast("string")
+    rows = {"notifications": ("event_type", none), "dead_letters": ("key", F.col("reason")), "others": ("key", F.col("route"))}
+    frames = [DS.read_notifications(spark, base, sink).select(F.lit(sink).alias("sink"), F.col(key).alias("event_type"), reason.alias("reason"))
+              for sink, (key, reason) in rows.items()]
+    return present(P.union_topics(*frames).groupBy("sink", "event_type", "reason").agg(F.count("*").alias("records")))
 
 
 @register("k15_fixed_window_breaches_stream")

@@ -58,26 +58,28 @@ _CARRIER = _case("o_orderpriority", D.CARRIER_BY_PRIORITY, f"'{D.DEFAULT_CARRIER
 CTE_JOURNAL = f"""hdr AS (
   SELECT o_orderkey AS order_key, CAST(o_orderkey AS VARCHAR) AS order_id,
          CAST(o_custkey AS VARCHAR) AS customer_id, o_orderdate AS created_at,
-         o_orderstatus, o_orderpriority, t.total_amount, t.n_lines
+         o_orderstatus, o_orderpriority, t.total_amount, t.n_lines,
+         CASE WHEN t.n_lines IS NOT NULL THEN CAST(o_custkey AS VARCHAR) END AS cid, t.n_lines IS NOT NULL AS made
   FROM orders LEFT JOIN order_totals t ON t.order_key = o_orderkey),
 journal AS (
   SELECT order_id, order_key, CAST(0 AS BIGINT) AS seq, 'OrderCreated' AS event_type, created_at AS ts,
-         customer_id, total_amount, NULL::VARCHAR AS tracking_number, NULL::VARCHAR AS carrier, NULL::VARCHAR AS reason
+         customer_id, total_amount, NULL::VARCHAR AS tracking_number, NULL::VARCHAR AS carrier, NULL::VARCHAR AS reason,
+         cid, made
   FROM hdr WHERE n_lines IS NOT NULL
   UNION ALL
-  SELECT order_id, order_key, 1, 'OrderConfirmed', created_at + INTERVAL 1 DAY, NULL, NULL, NULL, NULL, NULL
+  SELECT order_id, order_key, 1, 'OrderConfirmed', created_at + INTERVAL 1 DAY, NULL, NULL, NULL, NULL, NULL, cid, made
   FROM hdr WHERE o_orderstatus IN ('P', 'F')
   UNION ALL
-  SELECT order_id, order_key, 1, 'OrderCancelled', created_at + INTERVAL 1 DAY, NULL, NULL, NULL, NULL, '{D.CANCEL_REASON_EARLY}'
+  SELECT order_id, order_key, 1, 'OrderCancelled', created_at + INTERVAL 1 DAY, NULL, NULL, NULL, NULL, '{D.CANCEL_REASON_EARLY}', cid, made
   FROM hdr WHERE o_orderstatus = 'O' AND o_orderpriority = '5-LOW'
   UNION ALL
-  SELECT order_id, order_key, 2, 'OrderShipped', created_at + INTERVAL 2 DAY, NULL, NULL, '{D.TRACKING_PREFIX}' || order_id, {_CARRIER}, NULL
+  SELECT order_id, order_key, 2, 'OrderShipped', created_at + INTERVAL 2 DAY, NULL, NULL, '{D.TRACKING_PREFIX}' || order_id, {_CARRIER}, NULL, cid, made
   FROM hdr WHERE o_orderstatus = 'F'
   UNION ALL
-  SELECT order_id, order_key, 3, 'OrderDelivered', created_at + INTERVAL 5 DAY, NULL, NULL, NULL, NULL, NULL
+  SELECT order_id, order_key, 3, 'OrderDelivered', created_at + INTERVAL 5 DAY, NULL, NULL, NULL, NULL, NULL, cid, made
   FROM hdr WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')
   UNION ALL
-  SELECT order_id, order_key, 3, 'OrderCancelled', created_at + INTERVAL 3 DAY, NULL, NULL, NULL, NULL, '{D.CANCEL_REASON_LATE}'
+  SELECT order_id, order_key, 3, 'OrderCancelled', created_at + INTERVAL 3 DAY, NULL, NULL, NULL, NULL, '{D.CANCEL_REASON_LATE}', cid, made
   FROM hdr WHERE o_orderstatus = 'F' AND o_orderpriority = '5-LOW')"""
 
 
@@ -212,8 +214,8 @@ summary AS (
 SUMMARY_COLS = ("order_id, customer_id, status, " + r4("total_amount") + " AS total_amount, tracking_number, "
                 "carrier, created_at, updated_at, last_seq, items_json, shipping_address")
 
-LEGAL_SQL = "('>PENDING', 'PENDING>CONFIRMED', 'CONFIRMED>SHIPPED', 'SHIPPED>DELIVERED', " \
-            "'PENDING>CANCELLED', 'CONFIRMED>CANCELLED')"
+LEGAL_SQL = "['>PENDING', 'PENDING>CONFIRMED', 'CONFIRMED>SHIPPED', 'SHIPPED>DELIVERED', " \
+            "'PENDING>CANCELLED', 'CONFIRMED>CANCELLED']"
 
 CTE_ENRICHED = """enriched AS (
   SELECT j.order_id, c.customer_id, c.total_amount,
@@ -229,12 +231,11 @@ FROM ({replay_sql()}) s""",
     "w2_state_at": with_ctes(*ORDER_CTES) + f"""SELECT order_id, status, last_seq, updated_at,
        customer_id, {r4('total_amount')} AS total_amount, created_at, tracking_number, carrier
 FROM ({replay_sql(f"ts <= {ts(C.AS_OF)}")}) s""",
-    "w3_illegal_transitions": with_ctes(*ORDER_CTES) + f"""SELECT c.order_id, c.seq, c.event_type, c.ts,
-       p.from_status, c.to_status
-FROM (SELECT order_id, seq, event_type, ts, {STATUS_OF} AS to_status FROM journal) c
-LEFT JOIN (SELECT order_id, seq + 1 AS seq, {STATUS_OF} AS from_status FROM journal) p
-  ON p.order_id = c.order_id AND p.seq = c.seq
-WHERE COALESCE(p.from_status, '') || '>' || c.to_status NOT IN {LEGAL_SQL}""",
+    "w3_illegal_transitions": with_ctes(*ORDER_CTES) + f"""SELECT order_id, seq, event_type, ts, from_status, to_status
+FROM (SELECT order_id, seq, event_type, ts, {STATUS_OF} AS to_status,
+             CASE WHEN lag(seq) OVER w = seq - 1 THEN lag({STATUS_OF}) OVER w END AS from_status
+      FROM journal WINDOW w AS (PARTITION BY order_id ORDER BY seq)) c
+WHERE NOT list_contains({LEGAL_SQL}, COALESCE(from_status, '') || '>' || to_status)""",
     "k11_order_summary": with_ctes(*ORDER_CTES, CTE_CREATED_DOC, CTE_SUMMARY) + f"SELECT {SUMMARY_COLS} FROM summary",
     "p14_orders_by_status": with_ctes(*ORDER_CTES, CTE_CREATED_DOC, CTE_SUMMARY)
     + f"SELECT {SUMMARY_COLS} FROM summary WHERE status = 'DELIVERED'",
@@ -247,11 +248,9 @@ ORDER BY created_at DESC, order_id DESC LIMIT {config.PAGE_SIZE} OFFSET 0""",
     "p15_find_order": with_ctes(*ORDER_CTES, CTE_CREATED_DOC, CTE_SUMMARY)
     + f"SELECT {SUMMARY_COLS} FROM summary WHERE order_id = '{C.FIND_ORDER_ID}'",
     "j5_orphan_status_events": with_ctes(*ORDER_CTES) + f"""SELECT {JOURNAL_COLS} FROM journal j
-WHERE event_type <> 'OrderCreated' AND NOT EXISTS (
-  SELECT 1 FROM journal c WHERE c.order_id = j.order_id AND c.event_type = 'OrderCreated')""",
+WHERE event_type <> 'OrderCreated' AND NOT made""",
     "j5_status_updates": with_ctes(*ORDER_CTES) + f"""SELECT {JOURNAL_COLS} FROM journal j
-WHERE event_type <> 'OrderCreated' AND EXISTS (
-  SELECT 1 FROM journal c WHERE c.order_id = j.order_id AND c.event_type = 'OrderCreated')""",
+WHERE event_type <> 'OrderCreated' AND made""",
     "a1_order_hourly_metrics": with_ctes(*ORDER_CTES, CTE_ENRICHED) + hourly_metrics_sql("enriched"),
     "a1_order_hourly_metrics_created": with_ctes(*ORDER_CTES, CTE_ENRICHED)
     + hourly_metrics_sql("enriched", "status = 'created'"),
@@ -397,8 +396,8 @@ skus AS (
   SELECT order_id, CAST(i - 1 AS INTEGER) AS pos, l[i] AS sku FROM doc_skus
   WHERE l[i] IS NOT NULL AND trim(l[i]) <> '')"""
 DOC_CTES = [*ORDER_CTES, CTE_CREATED_DOC, CTE_DOCS]
-A8_SQL = """SELECT order_id, lower(sku) AS sku_key, arg_min(sku, pos) AS sku FROM skus GROUP BY order_id, lower(sku)
-UNION ALL SELECT order_id, NULL, NULL FROM docs WHERE order_id NOT IN (SELECT order_id FROM skus)"""
+A8_SQL = """SELECT d.order_id, lower(s.sku) AS sku_key, arg_min(s.sku, s.pos) AS sku
+FROM docs d LEFT JOIN skus s ON s.order_id = d.order_id GROUP BY d.order_id, lower(s.sku)"""
 
 SQL.update({
     "p13_extract_skus": with_ctes(*DOC_CTES) + "SELECT order_id, pos, sku FROM skus",
@@ -418,9 +417,7 @@ nevents AS (
   SELECT j.event_type, j.order_id, cu.email AS customer_email,
          upper(regexp_replace(j.event_type, '^Order', '')) AS status, j.tracking_number,
          j.reason AS cancellation_reason, cu.webhook_url, j.ts
-  FROM journal j
-  LEFT JOIN (SELECT order_id, customer_id AS cid FROM journal WHERE event_type = 'OrderCreated') c ON c.order_id = j.order_id
-  LEFT JOIN cust_x cu ON cu.cid = c.cid)"""
+  FROM journal j LEFT JOIN cust_x cu ON cu.cid = j.cid)"""
 
 
 def _n1(default: bool) -> str:
@@ -544,7 +541,7 @@ WHERE event_type IN ('OrderCancelled', 'OrderConfirmed')""",
        p.order_id, p.quantity, p.item_pos
 FROM journal j JOIN item_pos p ON p.order_id = j.order_id
 WHERE j.event_type IN ('OrderCancelled', 'OrderConfirmed')
-  AND EXISTS (SELECT 1 FROM journal c WHERE c.order_id = j.order_id AND c.event_type = 'OrderCreated')""",
+  AND made""",
     "p11_validate_orders": with_ctes(CTE_ORDER_LINES) + f"""SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
        (l.n IS NOT NULL AND l.bad_q = 0 AND l.bad_p = 0) AS valid,
        concat_ws(',', CASE WHEN l.n IS NULL THEN 'items_empty' END,
@@ -587,6 +584,15 @@ SQL["k11_order_summary_stream"] = SQL["w1_replay_order_state"]
 SQL["k12_saga_status_stream"] = SQL["k12_saga_status"]
 SQL["s9_dead_letter_stream"] = SQL["s9_dead_letter"]
 SQL["n1_order_notifications_stream"] = SQL["n1_order_notifications"]
+SQL["s9_notification_sinks_stream"] = with_ctes(*ORDER_CTES, CTE_NOTIFY, CTE_CREATED_LINES, CTE_STOCK_LEDGER, CTE_LOW) + f"""
+SELECT sink, event_type, reason, COUNT(*) AS records FROM (
+  SELECT CASE WHEN event_type NOT IN {ORDER_TYPES_SQL} THEN 'others'
+              WHEN damaged AND event_type IN ('OrderConfirmed', 'OrderShipped') THEN 'dead_letters' ELSE 'notifications' END AS sink, event_type,
+         CASE WHEN damaged AND event_type = 'OrderConfirmed' THEN 'malformed_json'
+              WHEN damaged AND event_type = 'OrderShipped' THEN 'missing_field:OrderId' WHEN event_type NOT IN {ORDER_TYPES_SQL} THEN 'unknown' END AS reason
+  FROM (SELECT n.event_type, o.o_orderpriority = '{C.DAMAGED_PRIORITY}' AS damaged FROM nevents n JOIN orders o ON CAST(o.o_orderkey AS VARCHAR) = n.order_id) d
+  UNION ALL SELECT 'others', '{config.NOTIFY_INVENTORY_TYPE}', 'inventory' FROM low) x
+GROUP BY sink, event_type, reason"""
 SQL["k15_fixed_window_breaches_stream"] = SQL["k15_fixed_window_breaches_user"]
 
 

@@ -89,11 +89,15 @@ def customers(t: Tables) -> DataFrame:
         F.col("c_acctbal").alias("acctbal"))
 
 
-def order_journal(t: Tables) -> DataFrame:
-    """Ordered event log per order (S4 shape), one scan of orders, no union."""
+def order_journal(t: Tables, header: tuple[str, ...] = ()) -> DataFrame:
+    """Ordered event log per order (S4 shape), one scan of orders, no union.
+
+    ``header`` columns of the order (``created_by``: the customer of its Created event, null without one;
+    or any of ``order_headers``) are put on each of its events, so no event has to look for its Created.
+    """
     h = order_headers(t)
     tot = order_line_totals(t)
-    base = h.join(tot, "order_key", "left")
+    base = h.join(tot, "order_key", "left").withColumn("created_by", F.when(F.col("n_lines").isNotNull(), F.col("customer_id")))
     st, pr, at = F.col("order_status"), F.col("priority"), F.col("created_at")
 
     def ev(cond, seq, etype, ts, customer=None, total=None, tracking=None, carrier=None, reason=None):
@@ -119,8 +123,8 @@ def order_journal(t: Tables) -> DataFrame:
         ev((st == "F") & pr.isin("1-URGENT", "2-HIGH"), 3, "OrderDelivered", _days(at, 5)),
         ev((st == "F") & (pr == "5-LOW"), 3, "OrderCancelled", _days(at, 3), reason=F.lit(CANCEL_REASON_LATE)),
     ))
-    return (base.select("order_id", "order_key", F.explode(events).alias("e"))
-            .select("order_id", "order_key", "e.*"))
+    return (base.select("order_id", "order_key", *header, F.explode(events).alias("e"))
+            .select("order_id", "order_key", *header, "e.*"))
 
 
 def order_created(t: Tables) -> DataFrame:
@@ -300,19 +304,18 @@ def item_results_initial(t: Tables) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- notifications
-def notification_events(t: Tables) -> DataFrame:
+def notification_events(t: Tables, header: tuple[str, ...] = ()) -> DataFrame:
     """Order events as the notification service receives them (key = event type).
 
     Status events take customer e-mail / webhook of their order's Created
-    event (q8); orphans keep them null.
+    event (q8); orphans keep them null. ``header``: further columns of the order.
     """
-    j = order_journal(t)
-    created = j.where(F.col("event_type") == "OrderCreated").select("order_id", F.col("customer_id").alias("cid"))
-    c = customers(t).select(F.col("customer_id").alias("cid"), "email", "webhook_url")
+    j = order_journal(t, ("created_by", *header))
+    c = customers(t).select(F.col("customer_id").alias("created_by"), "email", "webhook_url")
     status = F.upper(F.regexp_replace("event_type", "^Order", ""))
-    return (j.join(created, "order_id", "left").join(c, "cid", "left")
+    return (j.join(c, "created_by", "left")
             .select("event_type", "order_id", F.col("email").alias("customer_email"), status.alias("status"),
-                    "tracking_number", F.col("reason").alias("cancellation_reason"), "webhook_url", "ts"))
+                    "tracking_number", F.col("reason").alias("cancellation_reason"), "webhook_url", "ts", *header))
 
 
 # --------------------------------------------------------------------------- topic records

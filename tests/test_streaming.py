@@ -309,10 +309,15 @@ def test_rate_stream_equals_batch_at_limit_zero(spark, workdir):
     assert same(got, R.fixed_window_breaches(ev, 0, 3600, key="user_id"))
 
 
-def test_notification_dead_letters(spark):
+def test_notification_sinks_hold_every_record(spark, workdir):
     from ledgerline.streaming import decode_stream as DS
-    rows = [("OrderCreated", '{"OrderId":"1","CustomerEmail":"a@x"}'), ("OrderCreated", "not json"), ("OrderShipped", '{"OrderId":"2"}'), ("OrderCreated", None)]
-    recs = spark.createDataFrame(rows, "key string, value string")
-    assert [r.to for r in DS.notification_stream(recs).collect()] == ["a@x"]
-    dead = {(r.value, r.reason) for r in DS.dead_letter_notifications(recs).collect()}
-    assert dead == {("not json", "malformed_json"), (None, "malformed_json"), ('{"OrderId":"2"}', "missing_field:CustomerEmail")}
+    rows = [("OrderCreated", '{"OrderId":"1","CustomerEmail":"a@x"}'), ("OrderCreated", "not json"), ("OrderShipped", '{"OrderId":"2"}'), ("OrderCreated", None),
+            ("OrderConfirmed", '{"CustomerEmail":"b@x"}'), ("OrderDelivered", '{"OrderId":"1"}'), ("InventoryLow", "{}"), (None, "x")]
+    DS.write_notifications(spark, spark.createDataFrame(rows, "key string, value string"), workdir + "/sinks")
+    sinks = {name: DS.read_notifications(spark, workdir + "/sinks", name).collect() for name in DS.NOTIFICATION_SINKS}
+    assert sum(map(len, sinks.values())) == len(rows)
+    # a record without a recipient is sent on; only its order id is needed
+    assert sorted((r.order_id, r.to) for r in sinks["notifications"]) == [("1", "a@x"), ("2", None)]
+    assert {(r.value, r.reason) for r in sinks["dead_letters"]} == {
+        ("not json", "malformed_json"), (None, "malformed_json"), ('{"CustomerEmail":"b@x"}', "missing_field:OrderId")}
+    assert sorted((str(r.key), r.route) for r in sinks["others"]) == [("InventoryLow", "inventory"), ("None", "unknown"), ("OrderDelivered", "unknown")]
