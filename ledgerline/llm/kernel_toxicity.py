@@ -5,13 +5,17 @@ letters, each weighing ``DECAY`` to the power of the stretch it takes in either
 ``GAP`` - 1 letters skipped between two of its own; normalised, and raised to ``POWER``. Signs and
 digits inside a word are skipped and runs of single letters joined first, so i.d-i o t and idxiot
 stay near idiot. Landmarks are the labelled words that tell toxic texts best, and common words of
-the others; the Nyström map of a sentence is the sum of its words'. A squared-hinge machine
-is trained on sentences: all of the clean texts against, in each toxic text, the one that scores
+the others; the Nyström map of a stretch of words is the sum of its words'. A squared-hinge machine
+is trained on stretches: all of the clean texts against, in each toxic text, the one that scores
 highest (three rounds). As the map adds up over words, a word's part of the decision is one
-number, which a worker computes once and remembers. A text scores as its worst sentence (of at
-most ``SENTENCE`` words), through a logistic fit.
+number, which a worker computes once and remembers. A text scores as its worst stretch, through a
+logistic fit. A stretch is a sentence's distinct words, or any ``SENTENCE`` of them in a row where it has more
+(every start counts in scores, every ``SENTENCE``-th and the last one in the fit).
 
 The fit reads a bounded sample of labelled rows: at most ``sample`` toxic and clean ones, of least id hash.
+Their words are counted and their stretches mapped in tasks. To the driver come the landmarks' candidates, one
+vector a toxic text, one number a text, and for each Newton step the clean side's normal equations
+(a matrix of landmarks by landmarks a task), so its memory does not depend on the texts' lengths.
 In the logistic fit each stands for (labelled rows of its kind) / (sampled ones), so scores keep their meaning
 whatever the caps leave of the true mix.
 Null or empty texts score like a text without words. Without words in toxic or in clean labelled
@@ -20,26 +24,28 @@ rows every score is 0. Columns the operator adds replace those of the same name;
 
 from __future__ import annotations
 
+import pickle
 import unicodedata
 from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.byte_bpe import mapped
-from ledgerline.llm.common import pair_hash, slices, small_batches, text_bytes, word_hashes
+from ledgerline.llm.common import drop, pair_hash, slices, small_batches, text_bytes, word_hashes, written
 from ledgerline.llm.pretokens import WHITE_SPACE, HashIndex, ragged
 
-LENGTH, GAP, DECAY, POWER, SENTENCE = 3, 2, 0.6, 4, 40
+LENGTH, GAP, DECAY, POWER, SENTENCE = 3, 2, 0.6, 4, 8
 #: Labelled toxic and clean rows the fit may read, landmarks from toxic and from clean texts, and words a worker remembers.
 SAMPLE, TOXIC_LANDMARKS, CLEAN_LANDMARKS, REMEMBERED = (1000, 2400), 96, 24, 1_000_000
 BEGIN, END, BREAK, SKIP = 62, 63, 254, 0
-#: Sentences and text bytes the fit handles at a time, and words whose kernel is computed together.
-BLOCK, PIECE, PART = 2048, 1 << 18, 1024
+#: Stretches and text bytes the fit handles at a time, words whose kernel is computed together, Newton steps a round, and partitions of the sample.
+BLOCK, PIECE, PART, STEPS, SPREAD = 2048, 1 << 18, 1024, 30, 12
 
 
 @lru_cache(maxsize=1)
@@ -98,10 +104,6 @@ def split(column: pa.Array) -> Split:
     start = start[~joined]
     length = np.diff(np.append(start, len(letters)))
     sentence = sentence[start]
-    # long sentences are cut
-    head = np.flatnonzero(np.concatenate(([True], sentence[1:] != sentence[:-1]))) if len(start) else start
-    place = np.arange(len(start)) - np.repeat(head, np.diff(np.append(head, len(start))))
-    sentence = np.cumsum(place % SENTENCE == 0)
     names = word_hashes(letters, start, start + length)
     once = np.sort(np.unique(pair_hash(sentence.astype(np.uint64), names), return_index=True)[1])
     return Split(letters, start[once], length[once], text[start[once]], sentence[once], names[once])
@@ -113,16 +115,14 @@ def _parts(column: pa.Array) -> list[pa.Array]:
     return [part.column(0) for part in slices(batch, "text", PIECE)]
 
 
-def split_all(column: pa.Array) -> Split:
-    """``split`` of a long column, piece by piece."""
-    found, letters, sentences, texts = [], 0, 0, 0
-    for part in _parts(column):
-        s = split(part)
-        found.append(Split(s.letters, s.start + letters, s.length, s.text + texts, s.sentence + sentences, s.names))
-        letters, texts = letters + len(s.letters), texts + len(part)
-        sentences += int(s.sentence[-1]) + 1 if len(s.sentence) else 0
-    return Split(*(np.concatenate([getattr(s, f) for s in found]) if found else getattr(split(column), f)
-                   for f in ("letters", "start", "length", "text", "sentence", "names")))
+def stretches(s: Split, every: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, end) of the stretches of each sentence that start at each ``every``-th word, and of its last one."""
+    head = np.flatnonzero(np.concatenate(([True], s.sentence[1:] != s.sentence[:-1]))) if len(s.start) else np.empty(0, np.int64)
+    size = np.diff(np.append(head, len(s.start)))
+    over = np.maximum(0, size - SENTENCE)  # starts behind the first
+    more = -(-over // every)
+    first = np.minimum(np.repeat(head, more + 1) + ragged(np.zeros(len(head), np.int64), more + 1) * every, np.repeat(head + over, more + 1))
+    return first, np.minimum(first + SENTENCE, np.repeat(head + size, more + 1))
 
 
 def subsequences(letters: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -209,11 +209,12 @@ class Machine:
         return (entry - (1 << 60)) / 1e9
 
     def decide(self, column: pa.Array) -> np.ndarray:
-        """The worst sentence's decision value of each text."""
+        """The worst stretch's decision value of each text."""
         s, out = split(column), np.full(len(column), self.bias)
         if len(s.start):
-            head = np.flatnonzero(np.concatenate(([True], s.sentence[1:] != s.sentence[:-1])))
-            np.maximum.at(out, s.text[head], np.add.reduceat(self.word_parts(s), head) + self.bias)
+            total = np.concatenate(([0.0], np.cumsum(self.word_parts(s))))
+            first, end = stretches(s, 1)
+            np.maximum.at(out, s.text[first], total[end] - total[first] + self.bias)
         return out
 
     def score(self, column: pa.Array) -> np.ndarray:
@@ -222,24 +223,12 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.decide(column) + self.offset, -30, 30)))
 
 
-def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 30) -> np.ndarray:
-    """Squared-hinge linear machine (weights, bias) by Newton steps over the rows inside the margin."""
-    w, size = np.zeros(x.shape[1] + 1), x.shape[1] + 1
-    inside = np.ones(len(x), bool)
-    for _ in range(steps):
-        left, right = np.eye(size), np.zeros(size)
-        left[-1, -1] = 1e-6
-        for k in range(0, len(x), BLOCK):
-            on = np.flatnonzero(inside[k:k + BLOCK]) + k
-            a = np.column_stack([x[on], np.ones(len(on))])
-            left += a.T @ (a * cost[on, None])
-            right += a.T @ (cost[on] * y[on])
-        w = np.linalg.solve(left, right)
-        now = y * (x @ w[:-1] + w[-1]) < 1
-        if (now == inside).all():
-            break
-        inside = now
-    return w
+def normal_equations(x: np.ndarray, sign: float, part: np.ndarray, bias: float, all_: bool) -> np.ndarray:
+    """Of one kind's kernel vectors inside the margin (``all_``: of all), the squared hinge's matrix and, as its last row, right side."""
+    if not all_:
+        x = x[sign * (x @ part + bias) < 1]
+    a = np.column_stack([x, np.ones(len(x))]).astype(float)
+    return np.vstack([a.T @ a, sign * a.sum(axis=0)])
 
 
 def _platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -255,75 +244,186 @@ def _platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, flo
     return float(a), float(b)
 
 
-def fit(toxic: pa.Array, clean: pa.Array, labelled: tuple[int, int] | None = None) -> Machine:
-    """A machine of a sample of toxic and clean texts; ``labelled``: how many rows of either kind it stands for."""
-    if not len(toxic) or not len(clean):
-        return Machine(None, None, 0.0, 1.0, 0.0)
-    sides = [split_all(toxic), split_all(clean)]
-    if not all(len(s.start) for s in sides):
-        return Machine(None, None, 0.0, 1.0, 0.0)
-    # texts that hold each word, on either side
-    counts = []
-    for s in sides:
-        once = np.unique(pair_hash(s.text.astype(np.uint64), s.names, 5), return_index=True)[1]
-        counts.append(np.unique(s.names[once], return_counts=True))
-    (words, toxic_n), (others, clean_n) = counts
-    at = np.minimum(np.searchsorted(others, words), len(others) - 1)
-    elsewhere = np.where(others[at] == words, clean_n[at], 0)
-    telling = toxic_n * np.log(((toxic_n + 0.5) / max(1, len(toxic))) / ((elsewhere + 0.5) / max(1, len(clean))))
-    best = np.lexsort((words, -telling))[:TOXIC_LANDMARKS]
-    chosen = words[best]
-    common = others[np.lexsort((others, -clean_n))]
-    common = common[~np.isin(common, chosen)][:CLEAN_LANDMARKS]
-    places = [(sides[0], int(np.argmax(sides[0].names == w))) for w in chosen] + [(sides[1], int(np.argmax(sides[1].names == w))) for w in common]
-    length = np.array([s.length[i] for s, i in places])
-    letters = np.concatenate([s.letters[s.start[i]:s.start[i] + s.length[i]] for s, i in places])
-    start = np.cumsum(length) - length
+class Sample:
+    """Blocks (kind, data) of the sampled texts, or of what was made of each: 1 for toxic, 0 for clean ones."""
+
+    def __init__(self, blocks: list[tuple[np.ndarray, pa.Array]]):
+        self.blocks = blocks
+
+    def over(self, work) -> "Sample":
+        """The sample with ``work(data)`` (binary, one a text) in place of its data."""
+        return Sample([(kind, work(data)) for kind, data in self.blocks])
+
+    def gather(self, work) -> list:
+        """``work(kind, data)`` of each block; the results come to the driver."""
+        return [work(kind, data) for kind, data in self.blocks]
+
+    def drop(self) -> None:
+        pass
+
+
+class SpreadSample(Sample):
+    """A sample in a table (kind, data) that tasks read."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = written(rows, "toxicity-sample")
+
+    def over(self, work) -> "SpreadSample":
+        def run(batches):
+            for batch in batches:
+                for part in slices(batch, "data", PIECE):
+                    yield pa.RecordBatch.from_arrays([part.column("kind"), work(part.column("data"))], ["kind", "data"])
+
+        return SpreadSample(self.rows.mapInArrow(run, "kind int, data binary"))
+
+    def gather(self, work) -> list:
+        def run(batches):
+            for batch in batches:
+                for part in slices(batch, "data"):
+                    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(work(part.column("kind").to_numpy(), part.column("data")))], pa.binary())], ["found"])
+
+        return [pickle.loads(r.found) for r in self.rows.mapInArrow(run, "found binary").collect()]
+
+    def drop(self) -> None:
+        drop(self.rows.sparkSession, self.rows)
+
+
+def word_counts(kind: np.ndarray, column: pa.Array) -> pa.RecordBatch:
+    """(name, letters, toxic, clean): each word of a block, and how many texts of either kind hold it."""
+    s = split(column)
+    once = np.unique(pair_hash(s.text.astype(np.uint64), s.names, 5), return_index=True)[1]
+    names, one, back = np.unique(s.names[once], return_index=True, return_inverse=True)
+    toxic = np.bincount(back, kind[s.text[once]] == 1, len(names)).astype(np.int64)
+    first = once[one]
+    edge = np.concatenate(([0], np.cumsum(s.length[first]))).astype(np.int32)
+    letters = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(edge), pa.py_buffer(s.letters[ragged(s.start[first], s.length[first])].tobytes())])
+    return pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), letters, pa.array(toxic), pa.array(np.bincount(back, minlength=len(names)) - toxic)],
+                                      ["name", "letters", "toxic", "clean"])
+
+
+def landmarks_of(words: pa.Table, n_toxic: int, n_clean: int) -> tuple[Landmarks, np.ndarray, np.ndarray]:
+    """Landmarks from counted words, how telling each is, and their Nyström map."""
+    name, toxic, clean = (words.column(c).to_numpy() for c in ("name", "toxic", "clean"))
+    telling = np.where(toxic > 0, toxic * np.log(((toxic + 0.5) / max(1, n_toxic)) / ((clean + 0.5) / max(1, n_clean))), -np.inf)
+    best = np.lexsort((name, -telling))[:min(TOXIC_LANDMARKS, int((toxic > 0).sum()))]
+    common = np.lexsort((name, -clean))
+    common = common[~np.isin(common, best) & (clean[common] > 0)][:CLEAN_LANDMARKS]
+    letters = [np.frombuffer(words.column("letters")[int(i)].as_py(), np.uint8) for i in (*best, *common)]
+    length = np.array([len(x) for x in letters])
+    letters, start = np.concatenate(letters), np.cumsum(length) - length
     landmarks = Landmarks.of(letters, start, length)
     value, vector = np.linalg.eigh(landmarks.kernel(letters, start, length).astype(float))
     keep = value > 1e-6
-    root = (vector[:, keep] / np.sqrt(value[keep])).astype(np.float32)  # the Nyström map
-
-    maps, texts, prior = [], [], np.concatenate([np.maximum(0.0, telling[best]), np.zeros(len(common))])
-    for s in sides:
-        head = np.flatnonzero(np.concatenate(([True], s.sentence[1:] != s.sentence[:-1])))
-        total = np.empty((len(head), len(prior)), np.float32)
-        for k in range(0, len(head), BLOCK):  # sentences' kernel vectors, a block at a time
-            first, stop = head[k], head[k + BLOCK] if k + BLOCK < len(head) else len(s.start)
-            _, one, back = np.unique(s.names[first:stop], return_index=True, return_inverse=True)
-            kernel = landmarks.kernel(s.letters, s.start[first + one], s.length[first + one])
-            total[k:k + BLOCK] = np.add.reduceat(kernel[back], head[k:k + BLOCK] - first)
-        maps.append(total)
-        texts.append(s.text[head])
-    worst = lambda value: np.array([g[np.argmax(value[g])] for g in np.split(np.arange(len(value)), np.flatnonzero(np.diff(texts[0])) + 1)])
-    positive = worst(maps[0] @ prior)
-    against = maps[1] @ root
+    return landmarks, np.concatenate([np.maximum(0.0, telling[best]), np.zeros(len(common))]), (vector[:, keep] / np.sqrt(value[keep])).astype(np.float32)
+
+
+def stretch_vectors(landmarks: Landmarks, column: pa.Array) -> pa.Array:
+    """Each text's stretches as kernel vectors (rows of float32, one after another)."""
+    s = split(column)
+    first, end = stretches(s, SENTENCE)
+    width = landmarks.weights.shape[1]
+    edge = np.searchsorted(s.text[first] if len(first) else first, np.arange(len(column) + 1)) * width * 4
+    parts = []
+    for k in range(0, len(first), BLOCK):  # a block of stretches at a time
+        a, b = first[k:k + BLOCK], end[k:k + BLOCK]
+        _, one, back = np.unique(s.names[a[0]:b.max()], return_index=True, return_inverse=True)
+        at = a[0] + one
+        kernel = np.vstack([landmarks.kernel(s.letters, s.start[at], s.length[at])[back], np.zeros((1, width), np.float32)])
+        edges = np.column_stack([a, b]).ravel() - a[0]
+        parts.append(np.add.reduceat(kernel, edges)[::2].astype(np.float32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(edge.astype(np.int32)), pa.py_buffer(b"".join(parts))])
+
+
+def matrix(kind: np.ndarray, data: pa.Array, which: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(vectors, text) of the stretches of a block's texts of one kind."""
+    mine = data.filter(pa.array(kind == which))
+    n = np.asarray(pc.binary_length(mine), np.int64) // (4 * width)
+    return np.frombuffer(b"".join(x.as_buffer() for x in mine), np.float32).reshape(-1, width), np.repeat(np.arange(len(mine)), n)
+
+
+def fit(toxic: pa.Array, clean: pa.Array, labelled: tuple[int, int] | None = None) -> Machine:
+    """A machine of a sample of toxic and clean texts; ``labelled``: how many rows of either kind it stands for."""
+    blocks = [(np.full(len(part), kind), part) for kind, column in ((1, toxic), (0, clean))
+              for part in (p.column(0) for p in slices(pa.RecordBatch.from_arrays([column], ["text"]), "text", PIECE))]
+    sample, sizes = Sample(blocks), (len(toxic), len(clean))
+    words = sample.gather(word_counts)
+    words = pa.Table.from_batches(words).group_by("name").aggregate([("letters", "min"), ("toxic", "sum"), ("clean", "sum")]) \
+        .rename_columns(["name", "letters", "toxic", "clean"]) if words else pa.table({"toxic": [], "clean": []})
+    return fit_sample(sample, words, sizes, labelled or sizes)
+
+
+def fit_sample(sample: Sample, words: pa.Table, sizes: tuple[int, int], labelled: tuple[int, int]) -> Machine:
+    """A machine of a sample of ``sizes`` (toxic, clean) texts; ``words`` holds, of its counted words, those that can become landmarks."""
+    if not all(pc.sum(words.column(c)).as_py() for c in ("toxic", "clean")):
+        return Machine(None, None, 0.0, 1.0, 0.0)
+    landmarks, telling, root = landmarks_of(words, *sizes)
+    width = len(telling)
+    mapped_ = sample.over(lambda data: stretch_vectors(landmarks, data))
+
+    def worst(part: np.ndarray) -> np.ndarray:
+        """In each toxic text, the stretch that scores highest."""
+        def of(kind, data):
+            x, text = matrix(kind, data, 1, width)
+            order = np.lexsort((-(x @ part), text))
+            return x[order[np.flatnonzero(np.diff(text, prepend=-1))]]
+        return np.vstack(mapped_.gather(of))
+
+    def against(part: np.ndarray, bias: float, all_: bool) -> np.ndarray:
+        return sum(mapped_.gather(lambda kind, data: normal_equations(matrix(kind, data, 0, width)[0], -1.0, part, bias, all_)))
+
+    n_clean = sum(mapped_.gather(lambda kind, data: len(matrix(kind, data, 0, width)[0])))
+    chosen, w, part = worst(telling.astype(np.float32)), None, np.zeros(width, np.float32)
+    project = np.block([[root, np.zeros((width, 1))], [np.zeros((1, root.shape[1])), np.ones((1, 1))]])
     for _ in range(3):
-        pro = maps[0][positive] @ root
-        x, y = np.concatenate([pro, against]), np.concatenate([np.ones(len(pro)), -np.ones(len(against))])
-        w = _svm(x, y, np.where(y > 0, 10.0 * np.sqrt(len(against) / len(pro)), 10.0))
-        part = root @ w[:-1]
-        positive = worst(maps[0] @ part)
-    made = Machine(landmarks, part.astype(np.float32), float(w[-1]), 1.0, 0.0)
-    z = np.concatenate([made.decide(part) for column in (toxic, clean) for part in _parts(column)])
-    y = np.concatenate([np.ones(len(toxic)), np.zeros(len(clean))])
-    stands_for = [total / len(column) for total, column in zip(labelled or (len(toxic), len(clean)), (toxic, clean))]
-    made.slope, made.offset = _platt(z, y, np.where(y > 0, *stands_for))
+        cost = 10.0 * np.sqrt(n_clean / len(chosen))
+        for _ in range(STEPS):  # Newton steps over the rows inside the margin
+            margin = (part, 0.0 if w is None else w[-1], w is None)
+            both = cost * normal_equations(chosen, 1.0, *margin) + 10.0 * against(*margin)
+            left = project.T @ both[:-1] @ project + np.diag([1.0] * root.shape[1] + [1e-6])
+            new = np.linalg.solve(left, both[-1] @ project)
+            done = w is not None and np.allclose(new, w, rtol=1e-5, atol=1e-7)
+            w, part = new, (root @ new[:-1]).astype(np.float32)
+            if done:
+                break
+        chosen = worst(part)
+    mapped_.drop()
+    made = Machine(landmarks, part, float(w[-1]), 1.0, 0.0)
+    decided = sample.gather(lambda kind, data: (kind, made.decide(data)))
+    y, z = (np.concatenate([d[k] for d in decided]) for k in (0, 1))
+    stands_for = [total / max(1, size) for total, size in zip(labelled, sizes)]
+    made.slope, made.offset = _platt(z, y.astype(float), np.where(y > 0, *stands_for))
     return made
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", sample: tuple[int, int] = SAMPLE) -> Machine:
     """Fits on the rows of ``docs`` with a label in ``labels`` (``doc_id``, ``toxic`` 0 or 1)."""
     small_batches(docs.sparkSession)
-    sides, labelled = [], []
+    kinds, labelled = [], []
     for value, limit in zip((1, 0), sample):
         all_ids = labels.filter(F.col(toxic) == value).select(doc_id).distinct()
         ids = all_ids.orderBy(F.xxhash64(doc_id), doc_id).limit(limit)
         rows = docs.select(doc_id, F.col(text).alias("text")).join(F.broadcast(ids), doc_id, "left_semi")  # at most ``limit`` ids
-        sides.append(pa.array([r.text for r in rows.orderBy(F.xxhash64(doc_id), doc_id).limit(limit).collect()], pa.string()))
-        few = len(sides[-1]) < limit and ids.count() < limit  # the sample holds every labelled row
-        labelled.append(len(sides[-1]) if few else docs.select(doc_id).join(all_ids, doc_id, "left_semi").count())
-    return fit(*sides, tuple(labelled))
+        kinds.append(rows.orderBy(F.xxhash64(doc_id), doc_id).limit(limit).select(F.lit(value).alias("kind"), F.coalesce("text", F.lit("")).cast("binary").alias("data")))
+        labelled.append(docs.select(doc_id).join(all_ids, doc_id, "left_semi").count())
+    texts = SpreadSample(kinds[0].unionByName(kinds[1]).repartition(SPREAD))
+    sizes = {r.kind: r.n for r in texts.rows.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    sizes = sizes.get(1, 0), sizes.get(0, 0)
+
+    def count(batches):
+        for batch in batches:
+            for part in slices(batch, "data", PIECE):
+                yield word_counts(part.column("kind").to_numpy(), part.column("data"))
+
+    words = texts.rows.mapInArrow(count, "name long, letters binary, toxic long, clean long").groupBy("name").agg(
+        F.min("letters").alias("letters"), F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    words = written(words, "toxicity-words")
+    telling = F.col("toxic") * F.log((F.col("toxic") + 0.5) / max(1, sizes[0]) / ((F.col("clean") + 0.5) / max(1, sizes[1])))
+    near = words.filter("toxic > 0").orderBy(F.desc(telling), "name").limit(TOXIC_LANDMARKS + 8) \
+        .unionByName(words.filter("clean > 0").orderBy(F.desc("clean"), "name").limit(TOXIC_LANDMARKS + CLEAN_LANDMARKS)).distinct().toArrow()
+    drop(docs.sparkSession, words)
+    machine = fit_sample(texts, near, sizes, tuple(labelled))
+    texts.drop()
+    return machine
 
 
 def score(df: DataFrame, machine: Machine, text: str = "text", out: str = "score") -> DataFrame:
