@@ -7,8 +7,8 @@ above a level. Then a logistic scorer over text statistics minimises the non-neg
 risk: prior * R+(positives, 1) + max(0, R(unlabelled, 0) - prior * R(positives, 0)).
 
 Labels of 0, languages, sources and ids are no inputs. The fit reads a bounded sample: at most
-``sample`` positives and ``sample`` unlabelled rows, those of least hash. Every text is scored
-whole in one pass without a shuffle. Null or empty texts score like a text without words; an
+``sample`` positives and ``sample`` unlabelled rows, those of least hash; their
+features are made in tasks, and only these come to the driver. Every text is scored whole in one pass without a shuffle. Null or empty texts score like a text without words; an
 empty table gives an empty table; without positives every score is 0.5. Columns the operator
 adds replace those of the same name; others pass through.
 """
@@ -102,7 +102,12 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
 
 
 def fit(positive: pa.Array, unlabelled: pa.Array, steps: int = 600) -> Scorer:
-    p, u = features(positive), features(unlabelled)
+    """A scorer of texts of trusted positives and unlabelled texts."""
+    return fit_features(features(positive), features(unlabelled), steps)
+
+
+def fit_features(p: np.ndarray, u: np.ndarray, steps: int = 600) -> Scorer:
+    """``fit`` on the texts' features."""
     if not len(p) or not len(u):
         d = features(pa.array([""])).shape[1]
         return Scorer(np.zeros(d), np.ones(d), np.zeros(d), 0.0, 0.5)
@@ -133,10 +138,17 @@ def fit(positive: pa.Array, unlabelled: pa.Array, steps: int = 600) -> Scorer:
     return Scorer(mean, scale, w[:-1], float(w[-1]), prior)
 
 
-def sample(rows: DataFrame, doc_id: str, text: str, limit: int) -> pa.Array:
-    """Texts of at most ``limit`` rows, those whose ids have the least hash."""
-    # the ids are chosen first, so that only the chosen texts move
-    return pa.array([r.text for r in rows.select(F.xxhash64(doc_id).alias("h"), F.col(text).alias("text")).orderBy("h").limit(limit).collect()], pa.string())
+def sample(rows: DataFrame, doc_id: str, text: str, limit: int) -> np.ndarray:
+    """Features of at most ``limit`` rows, those whose ids have the least hash. They are computed in tasks, so that
+    what comes to the driver is bounded however long the texts are."""
+    vectors = mapped(rows.select(F.xxhash64(doc_id).alias("h"), F.col(text).alias("text")), "text", "features", T.ArrayType(T.DoubleType()), _feature_lists).drop("text")
+    found = vectors.orderBy("h", "features").limit(limit).toArrow().column("features").to_pylist()
+    return np.array(found, float) if found else features(pa.array([], pa.string()))
+
+
+def _feature_lists(column: pa.Array) -> pa.Array:
+    x = features(column)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
 
 
 def train(docs: DataFrame, positives: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE) -> Scorer:
@@ -149,7 +161,7 @@ def train(docs: DataFrame, positives: DataFrame, doc_id: str = "doc_id", text: s
     # unlabelled: rows of least hash that are no positives; twice the sample holds enough of them or all
     rest = docs.select(doc_id).join(ids, doc_id, "left_anti").distinct().orderBy(near).limit(sample_rows)
     other = docs.join(F.broadcast(rest), doc_id, "left_semi")
-    return fit(sample(good, doc_id, text, sample_rows), sample(other, doc_id, text, sample_rows))
+    return fit_features(sample(good, doc_id, text, sample_rows), sample(other, doc_id, text, sample_rows))
 
 
 def score(df: DataFrame, scorer: Scorer, text: str = "text", out: str = "score") -> DataFrame:
