@@ -9,14 +9,15 @@ which for plain sets is the Jaccard similarity. Registers are grouped into ``BAN
 that share a band are candidates, and the exact probability Jaccard verifies each link.
 
 Equal texts are one node (their least id). A bucket (texts of one band value) is never expanded
-into pairs: its members of other classes are held against one centre, the member met in most and
-largest buckets. Buckets whose members are then all in one class are done. The others go on with
-sixteen times as many next centres a round until each is done or all its members have been centres.
-Crowded ones wait meanwhile: buckets of their members by further bands settle most of them. The texts
-of waiting buckets that are still mixed then get buckets by rare shingles: in any order of all shingles,
+into pairs. The bands are taken a few at a time (``GROUPS``): in each bucket that holds several classes, the
+members of other classes than its centre's (the member of least id) are held against the centre, and
+what is alike becomes one class before the next bands are read. So a large family settles around its first text, and
+its later buckets hold one class and cost nothing. Buckets of three and more members that still hold several classes
+after all bands go on with sixteen times as many centres a round until each is done or all its members have been
+centres. Crowded ones are dealt anew first, into buckets by rare shingles: in any order of all shingles,
 two texts that are alike have their first common shingle where at least ``similarity`` of either
 text's weight is still to come, so each text enters the buckets of its shingles up to there, in
-order of (counted) frequency, and no link is lost.
+order of (counted) frequency, and no link is lost. Classes are kept up to date from each round's new links alone.
 
 Null text counts as empty; texts without words are only alike if equal. Rows that share an id are
 one document, in the class of any of its texts; a null id has no class (null) and no links. Columns
@@ -35,8 +36,8 @@ from ledgerline.llm.common import drop, mix, pair_hash, release, slices, small_b
 
 #: Six registers a band: of pairs at 0.8, 6 in 100,000 share none of the 32 bands; of pairs at 0.4, 7 in 8 share none.
 REGISTERS, BANDS = 192, 32
-#: A mixed bucket of more members than this waits for the buckets by a second and third band, and for those by rare shingles.
-CROWD, DEPTH = 16, 3
+#: Bands taken at a time; a bucket of more members than ``CROWD`` that is still mixed after all of them is dealt anew by rare shingles.
+GROUPS, CROWD = (1, 1, 2, 4, 8, 16), 16
 #: Counters of shingles' frequencies; shingles that share one only come later in the order.
 SLOTS = 1 << 20
 _IS_WORD = np.ones(256, bool)
@@ -200,6 +201,68 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select("node", "label")
 
 
+class Classes:
+    """Classes of nodes so far: ``labels`` (node, label) of those with a link, all ``links`` (a, c, similarity), the pairs ``done``, and
+    the ``pool`` of texts (id, text) that pairs have asked for."""
+
+    def __init__(self, texts: DataFrame, shingle: int, similarity: float):
+        self.texts, self.shingle, self.similarity = texts, shingle, similarity
+        self.spark, self.labels, self.links, self.done, self.pool = texts.sparkSession, None, None, None, None
+
+    def labelled(self, rows: DataFrame, node: str = "node", out: str = "label") -> DataFrame:
+        if self.labels is None:
+            return rows.withColumn(out, F.col(node))
+        labels = self.labels.select(F.col("node").alias(node), F.col("label").alias("_of"))
+        return rows.join(labels, node, "left").withColumn(out, F.coalesce("_of", node)).drop("_of")
+
+    def _fetch(self, pairs: DataFrame) -> None:
+        """Adds the texts of ``pairs`` to the pool."""
+        ends = pairs.select(F.col("a").alias("id")).union(pairs.select("c")).distinct()
+        if self.pool is not None:
+            ends = ends.join(self.pool.select("id"), "id", "left_anti")
+        part = self.texts.join(ends, "id", "left_semi").withColumn("k", F.xxhash64("text")).dropDuplicates(["id", "k"]).drop("k")
+        part = written(part, "minhash-texts")
+        self.pool = part if self.pool is None else self.pool.union(part)
+
+    def compare(self, pairs: DataFrame) -> None:
+        """Verifies distinct ``pairs`` (a, c) that have not been compared yet, and unites the classes of those that are alike."""
+        pairs = written(pairs if self.done is None else pairs.join(self.done, ["a", "c"], "left_anti"), "minhash-pairs")
+        if not pairs.limit(1).count():
+            return
+        self._fetch(pairs)
+        shingle, similarity = self.shingle, self.similarity
+        both = pairs.join(self.pool.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a") \
+                    .join(self.pool.select(F.col("id").alias("c"), F.col("text").alias("text_c")), "c")
+        found = written(_mapped(both, "a long, c long, similarity double", "text_a", lambda b: _verified(b, shingle, similarity)), "minhash-links")
+        self.done = pairs if self.done is None else self.done.union(pairs)
+        if found.limit(1).count():
+            self.links = found if self.links is None else self.links.union(found)
+            self._unite(found)
+
+    def _unite(self, found: DataFrame) -> None:
+        ends = found.select(F.col("a").alias("node")).union(found.select("c")).distinct()
+        known = self.labelled(ends) if self.labels is None else self.labels.unionByName(ends.join(self.labels, "node", "left_anti").withColumn("label", F.col("node")))
+        between = self.labelled(self.labelled(found.select("a", "c"), "a", "x"), "c", "y").filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("c"))
+        united = components(between).select(F.col("node").alias("label"), F.col("label").alias("new"))
+        labels = written(known.join(united, "label", "left").select("node", F.coalesce("new", "label").alias("label")), "minhash-classes")
+        if self.labels is not None:
+            drop(self.spark, self.labels)
+        self.labels = labels
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """(bucket, n, c, c_label) of the buckets of ``rows`` (node, bucket, label) that hold several classes, ``c`` their member of least id."""
+    return rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"),
+                                      F.min("node").alias("c"), F.min_by("label", "node").alias("c_label")).filter("low < high").drop("low", "high")
+
+
+def _against(rows: DataFrame, centres: DataFrame) -> DataFrame:
+    """Distinct (a, c) of each node and the ``centres`` (bucket, c, c_label) of its buckets that are of another class."""
+    r, m = rows.alias("r"), centres.alias("m")
+    held = r.join(m, (F.col("r.bucket") == F.col("m.bucket")) & (F.col("r.label") != F.col("m.c_label")))
+    return held.select(F.least("r.node", "m.c").alias("a"), F.greatest("r.node", "m.c").alias("c")).distinct()
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row (doc_id, class_id, n_links) per row of ``docs``: the least id of its class, and how many other
     distinct texts its text was linked with (every link that was needed to settle the classes)."""
@@ -209,77 +272,41 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     signed = written(_mapped(texts, "id long, same long, size long, bands array<long>", "text", lambda b: _sign(b, shingle)), "minhash-signed")
     nodes = written(signed.groupBy("same", "size").agg(F.min("id").alias("node")), "minhash-nodes")
 
-    banded = signed.join(nodes.select(F.col("node").alias("id"), "same", "size"), ["id", "same", "size"], "left_semi") \
-        .select(F.col("id").alias("node"), "bands")
-    members = banded.select("node", F.posexplode("bands").alias("band", "bucket")).distinct()
-    sizes = written(members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "minhash-sizes")
-    members = written(members.join(sizes, "bucket"), "minhash-members")
-    # a node's rank as a centre: the sizes of its buckets, ties by hash
-    rank = members.groupBy("node").agg(F.sum("n").alias("s")).select(
-        "node", (F.shiftleft(F.least("s", F.lit(2**31 - 1)).cast("long"), 32) + F.xxhash64("node").bitwiseAND(2**32 - 1)).alias("rank"))
-    # width: centres a round; depth: bands the bucket's members share
-    open_ = written(members.drop("n").join(rank, "node").withColumns({"width": F.lit(1), "depth": F.lit(1)}), "minhash-open")
-    candidates = written(open_.select(F.col("node").alias("id")).distinct(), "minhash-candidates")
-    banded = written(banded.join(candidates.select(F.col("id").alias("node")), "node", "left_semi"), "minhash-bands")
-    pool = written(texts.join(candidates, "id", "left_semi").withColumn("k", F.xxhash64("text")).dropDuplicates(["id", "k"]).drop("k"), "minhash-texts")
-    release(spark, members, sizes, candidates)
-
-    links = done = labels = waiting = None
-
-    def labelled(nodes: DataFrame) -> DataFrame:
-        return nodes.withColumn("label", F.col("node")) if labels is None else \
-            nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-
-    def mixed(rows: DataFrame) -> DataFrame:
-        return labelled(rows).groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")) \
-            .filter("low < high").select("bucket", "n")
-
+    group = F.element_at(F.array(*(F.lit(g) for g, n in enumerate(GROUPS) for _ in range(n))), F.col("band") + 1)
+    banded = written(signed.join(nodes.select(F.col("node").alias("id"), "same", "size"), ["id", "same", "size"], "left_semi")
+                     .select(F.col("id").alias("node"), F.posexplode("bands").alias("band", "bucket")).select("node", "bucket", group.alias("turn")), "minhash-bands", by="turn")
+    classes = Classes(texts, shingle, similarity)
+    for turn in range(len(GROUPS)):
+        rows = classes.labelled(banded.filter(F.col("turn") == turn).select("node", "bucket"))
+        classes.compare(_against(rows, _mixed(rows)))
+
+    # what is still mixed, and more than one pair
+    rows = classes.labelled(banded.select("node", "bucket"))
+    left = written(rows.join(_mixed(rows).filter("n > 2").select("bucket", "n"), "bucket").select("node", "bucket", "n"), "minhash-left")
+    release(spark, banded)
+    crowded = written(left.filter(F.col("n") > CROWD).select("node").distinct(), "minhash-crowded")
+    open_ = left.filter(F.col("n") <= CROWD).select("node", "bucket")
+    if crowded.limit(1).count():
+        of_them = written(texts.join(crowded.select(F.col("node").alias("id")), "id", "left_semi"), "minhash-crowded-texts")
+        open_ = open_.unionByName(_rare_buckets(of_them, shingle, similarity).select("node", "bucket"))
+    open_, width = written(open_.distinct(), "minhash-open"), 1
     while True:
-        state = labelled(open_)
-        centres = written(state.groupBy("bucket", F.pmod(F.xxhash64("node"), F.col("width")).alias("k")).agg(
-            F.max_by("node", "rank").alias("c"), F.max_by("label", "rank").alias("c_label"),
-            F.min("label").alias("low"), F.max("label").alias("high")), "minhash-centres")
-        several = centres.groupBy("bucket").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("bucket")
-        chosen = written(centres.join(several, "bucket").select("bucket", "c", "c_label"), "minhash-chosen")
-        drop(spark, centres)
-        if not chosen.limit(1).count():
-            drop(spark, open_, chosen)
-            if waiting is None:
-                break
-            # the buckets that waited: texts of those still mixed, by rare shingles
-            unsettled = written(waiting.join(mixed(waiting), "bucket").select("node", "rank").distinct(), "minhash-unsettled")
-            drop(spark, waiting)
-            waiting = None
-            if not unsettled.limit(1).count():
-                break
-            of_them = pool.join(unsettled.select(F.col("node").alias("id")), "id", "left_semi")
-            open_ = written(_rare_buckets(of_them, shingle, similarity).join(unsettled, "node").select(
-                "node", F.lit(0).alias("band"), "bucket", "rank", F.lit(1).alias("width"), F.lit(DEPTH).alias("depth")), "minhash-open")
-            release(spark, unsettled)
-            continue
-        pairs = state.join(chosen, "bucket").filter("label <> c_label").select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("c")).distinct()
-        pairs = written(pairs if done is None else pairs.join(done, ["a", "c"], "left_anti"), "minhash-pairs")
-        both = pairs.join(pool.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a") \
-                    .join(pool.select(F.col("id").alias("c"), F.col("text").alias("text_c")), "c")
-        found = written(_mapped(both, "a long, c long, similarity double", "text_a", lambda b: _verified(b, shingle, similarity)), "minhash-links")
-        done = pairs if done is None else done.union(pairs)
-        if found.limit(1).count():
-            links = found if links is None else links.union(found)
-            labels = components(links)
-        left = written(open_.join(chosen.select("bucket").distinct(), "bucket", "left_semi")
-                       .join(chosen.select("bucket", F.col("c").alias("node")), ["bucket", "node"], "left_anti"), "minhash-left")
-        left = left.join(mixed(left), "bucket")
-        crowded = (F.col("n") > CROWD) & (F.col("width") == 1) & (F.col("depth") < DEPTH)
-        if waiting is None and done is pairs:  # the first round's: all later buckets are parts of these
-            waiting = written(left.filter(crowded).select("node", "bucket", "rank"), "minhash-waiting")
-        finer = left.filter(crowded).join(banded, "node").select(
-            "node", "bucket", "rank", "depth", F.col("band").alias("before"), F.posexplode("bands").alias("band", "value")).filter("band > before") \
-            .select("node", "band", F.xxhash64("bucket", "value").alias("bucket"), "rank", F.lit(1).alias("width"), (F.col("depth") + 1).alias("depth"))
-        rest = left.filter(~crowded).select("node", "band", "bucket", "rank", (F.col("width") * 16).alias("width"), "depth")
-        new = written(rest.unionByName(finer).distinct(), "minhash-open")
-        drop(spark, open_, chosen)
-        open_ = new
-    release(spark, pool)
+        rows = classes.labelled(open_)
+        still = _mixed(rows).select("bucket")
+        rows = written(rows.join(still, "bucket"), "minhash-mixed")
+        if not rows.limit(1).count():
+            drop(spark, rows)
+            break
+        centres = rows.groupBy("bucket", F.pmod(F.xxhash64("node", F.lit(width)), F.lit(width)).alias("k")).agg(F.min("node").alias("c"), F.min_by("label", "node").alias("c_label"))
+        centres = written(centres.drop("k"), "minhash-centres")
+        classes.compare(_against(rows, centres))
+        # a centre has met all of its bucket
+        new = written(rows.select("node", "bucket").join(centres.select("bucket", F.col("c").alias("node")), ["bucket", "node"], "left_anti"), "minhash-open")
+        drop(spark, open_, rows, centres)
+        open_, width = new, width * 16
+    drop(spark, open_)
+    release(spark, left)
+    labels, links = classes.labels, classes.links
 
     node_of = signed.join(nodes, ["same", "size"]).select("id", "node").distinct()
     if labels is None:
