@@ -17,7 +17,8 @@ after all bands go on with sixteen times as many centres a round until each is d
 centres. Crowded ones are dealt anew first, into buckets by rare shingles: in any order of all shingles,
 two texts that are alike have their first common shingle where at least ``similarity`` of either
 text's weight is still to come, so each text enters the buckets of its shingles up to there, in
-order of (counted) frequency, and no link is lost. Classes are kept up to date from each round's new links alone.
+order of (counted) frequency, and no link is lost. There a pair is only held together where what either has
+before that shingle leaves room for its similarity. Classes are kept up to date from each round's new links alone.
 
 Null text counts as empty; texts without words are only alike if equal. Rows that share an id are
 one document, in the class of any of its texts; a null id has no class (null) and no links. Columns
@@ -37,7 +38,7 @@ from ledgerline.llm.common import drop, mix, pair_hash, release, slices, small_b
 #: Six registers a band: of pairs at 0.8, 6 in 100,000 share none of the 32 bands; of pairs at 0.4, 7 in 8 share none.
 REGISTERS, BANDS = 192, 32
 #: Bands taken at a time; a bucket of more members than ``CROWD`` that is still mixed after all of them is dealt anew by rare shingles.
-GROUPS, CROWD = (1, 1, 2, 4, 8, 16), 16
+GROUPS, CROWD = (1, 7, 24), 16
 #: Counters of shingles' frequencies; shingles that share one only come later in the order.
 SLOTS = 1 << 20
 _IS_WORD = np.ones(256, bool)
@@ -146,10 +147,11 @@ def _counts(batches, shingle: int):
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(n[some])], ["slot", "n"])
 
 
-def rare_shingles(column: pa.Array, shingle: int, least: float, frequency: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, shingle) of every shingle from which on, by frequency, at least ``least`` of its text's weight
+def rare_shingles(column: pa.Array, shingle: int, least: float, frequency: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, shingle, before, rest) of every shingle from which on, by frequency, at least ``least`` of its text's weight
     is to come. The weights' common part bounds the probability Jaccard in either text, so texts that
-    are alike have one of these in common. Shingles counted once are left out."""
+    are alike have one of these in common. Shingles counted once are left out. ``before`` and
+    ``rest``: the weight before the shingle and from it on (negative where the text repeats shingles), for ``possible``."""
     text, name, weight = elements(column, shingle)
     often = frequency[(name % np.uint64(SLOTS)).astype(np.int64)]
     order = np.lexsort((name, often, text))
@@ -157,20 +159,22 @@ def rare_shingles(column: pa.Array, shingle: int, least: float, frequency: np.nd
     total = np.bincount(text, weight, len(column))
     before = np.cumsum(weight) - weight - (np.cumsum(total) - total)[text]
     on = (total[text] - before >= least * total[text] * (1 - 1e-9)) & (often > 1)
-    return text[on], name[on]
+    repeats = np.bincount(text, weight > 1, len(column)) > 0
+    return text[on], name[on], before[on], np.where(repeats[text[on]], -1, 1) * (total[text[on]] - before[on])
 
 
 def _rare(batch: pa.RecordBatch, shingle: int, least: float, frequency: np.ndarray) -> pa.RecordBatch:
-    text, name = rare_shingles(batch.column("text"), shingle, least, frequency)
-    return pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(text)), pa.array(name.view(np.int64))], ["node", "bucket"])
+    text, name, before, rest = rare_shingles(batch.column("text"), shingle, least, frequency)
+    return pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(text)), pa.array(name.view(np.int64)), pa.array(before), pa.array(rest)], ["node", "bucket", "before", "rest"])
 
 
 def _rare_buckets(texts: DataFrame, shingle: int, least: float) -> DataFrame:
-    """(node, bucket): the buckets by rare shingles of ``texts`` (id, text) that hold more than one node."""
+    """(node, bucket, before, rest): the buckets by rare shingles of ``texts`` (id, text) that hold more than one node."""
     counted = texts.mapInArrow(lambda batches: _counts(batches, shingle), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     frequency = np.zeros(SLOTS, np.uint16)
     frequency[counted.column("slot").to_numpy()] = np.minimum(counted.column("n").to_numpy(), 2**16 - 1)
-    rare = written(_mapped(texts, "node long, bucket long", "text", lambda b: _rare(b, shingle, least, frequency)).distinct(), "minhash-rare")
+    rare = written(_mapped(texts, "node long, bucket long, before double, rest double", "text", lambda b: _rare(b, shingle, least, frequency))
+                   .groupBy("node", "bucket").agg(*(F.when(F.count("*") == 1, F.min(c)).alias(c) for c in ROOM)), "minhash-rare")  # null: an id of several texts
     return rare.join(rare.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"), "bucket")
 
 
@@ -250,16 +254,36 @@ class Classes:
         self.labels = labels
 
 
+#: What a text has before and from a rare shingle on; null in buckets by bands.
+ROOM = ("before", "rest")
+
+
+def possible(a: str, b: str, similarity: float):
+    """Whether two texts, whose first common shingle is that of the bucket they meet in, can be alike: all weight before is in one of them
+    only. For plain sets at most the lesser rest is common. With weights, each common shingle's part of the probability
+    Jaccard is at most 1 / (before_a / x + before_b / y + max(rest_a / x, rest_b / y)), and as that is concave and homogeneous in its
+    weights x and y, the parts' sum is at most its value at the two rests."""
+    ba, bb, ra, rb = (F.col(f"{t}.{c}") for c in ROOM for t in (a, b))
+    sets = F.least(ra, rb) >= similarity * (1 - 1e-9) * (ba + bb + F.greatest(ra, rb))
+    weights = 1 + ba / F.abs(ra) + bb / F.abs(rb) <= 1 / similarity + 1e-9
+    return F.coalesce(F.when((ra > 0) & (rb > 0), sets).otherwise(weights), F.lit(True))
+
+
+def _centre() -> list:
+    return [F.min("node").alias("c"), F.min_by("label", "node").alias("c_label"), *(F.min_by(c, "node").alias(c) for c in ROOM)]
+
+
 def _mixed(rows: DataFrame) -> DataFrame:
-    """(bucket, n, c, c_label) of the buckets of ``rows`` (node, bucket, label) that hold several classes, ``c`` their member of least id."""
-    return rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"),
-                                      F.min("node").alias("c"), F.min_by("label", "node").alias("c_label")).filter("low < high").drop("low", "high")
+    """(bucket, n, c, c_label, before, rest) of the buckets of ``rows`` (node, bucket, before, rest, label) that hold several classes, ``c`` their member of least id."""
+    return rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), *_centre()).filter("low < high").drop("low", "high")
 
 
-def _against(rows: DataFrame, centres: DataFrame) -> DataFrame:
-    """Distinct (a, c) of each node and the ``centres`` (bucket, c, c_label) of its buckets that are of another class."""
+def _against(rows: DataFrame, centres: DataFrame, similarity: float) -> DataFrame:
+    """Distinct (a, c) of each node and the ``centres`` (bucket, c, c_label, before, rest) of its buckets that are of
+    another class and that it can be alike with."""
     r, m = rows.alias("r"), centres.alias("m")
-    held = r.join(m, (F.col("r.bucket") == F.col("m.bucket")) & (F.col("r.label") != F.col("m.c_label")))
+    held = r.join(m, (F.col("r.bucket") == F.col("m.bucket")) & (F.col("r.label") != F.col("m.c_label"))
+                  & possible("r", "m", similarity))
     return held.select(F.least("r.node", "m.c").alias("a"), F.greatest("r.node", "m.c").alias("c")).distinct()
 
 
@@ -275,20 +299,21 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     group = F.element_at(F.array(*(F.lit(g) for g, n in enumerate(GROUPS) for _ in range(n))), F.col("band") + 1)
     banded = written(signed.join(nodes.select(F.col("node").alias("id"), "same", "size"), ["id", "same", "size"], "left_semi")
                      .select(F.col("id").alias("node"), F.posexplode("bands").alias("band", "bucket")).select("node", "bucket", group.alias("turn")), "minhash-bands", by="turn")
+    any_room = [F.lit(None).cast("double").alias(c) for c in ROOM]
     classes = Classes(texts, shingle, similarity)
     for turn in range(len(GROUPS)):
-        rows = classes.labelled(banded.filter(F.col("turn") == turn).select("node", "bucket"))
-        classes.compare(_against(rows, _mixed(rows)))
+        rows = classes.labelled(banded.filter(F.col("turn") == turn).select("node", "bucket", *any_room))
+        classes.compare(_against(rows, _mixed(rows), similarity))
 
     # what is still mixed, and more than one pair
-    rows = classes.labelled(banded.select("node", "bucket"))
+    rows = classes.labelled(banded.select("node", "bucket", *any_room))
     left = written(rows.join(_mixed(rows).filter("n > 2").select("bucket", "n"), "bucket").select("node", "bucket", "n"), "minhash-left")
     release(spark, banded)
     crowded = written(left.filter(F.col("n") > CROWD).select("node").distinct(), "minhash-crowded")
-    open_ = left.filter(F.col("n") <= CROWD).select("node", "bucket")
+    open_ = left.filter(F.col("n") <= CROWD).select("node", "bucket", *any_room)
     if crowded.limit(1).count():
         of_them = written(texts.join(crowded.select(F.col("node").alias("id")), "id", "left_semi"), "minhash-crowded-texts")
-        open_ = open_.unionByName(_rare_buckets(of_them, shingle, similarity).select("node", "bucket"))
+        open_ = open_.unionByName(_rare_buckets(of_them, shingle, similarity).select("node", "bucket", *ROOM))
     open_, width = written(open_.distinct(), "minhash-open"), 1
     while True:
         rows = classes.labelled(open_)
@@ -297,11 +322,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         if not rows.limit(1).count():
             drop(spark, rows)
             break
-        centres = rows.groupBy("bucket", F.pmod(F.xxhash64("node", F.lit(width)), F.lit(width)).alias("k")).agg(F.min("node").alias("c"), F.min_by("label", "node").alias("c_label"))
+        centres = rows.groupBy("bucket", F.pmod(F.xxhash64("node", F.lit(width)), F.lit(width)).alias("k")).agg(*_centre())
         centres = written(centres.drop("k"), "minhash-centres")
-        classes.compare(_against(rows, centres))
+        classes.compare(_against(rows, centres, similarity))
         # a centre has met all of its bucket
-        new = written(rows.select("node", "bucket").join(centres.select("bucket", F.col("c").alias("node")), ["bucket", "node"], "left_anti"), "minhash-open")
+        new = written(rows.select("node", "bucket", *ROOM).join(centres.select("bucket", F.col("c").alias("node")), ["bucket", "node"], "left_anti"), "minhash-open")
         drop(spark, open_, rows, centres)
         open_, width = new, width * 16
     drop(spark, open_)
