@@ -13,7 +13,7 @@ into pairs. The bands are taken a few at a time (``GROUPS``): in each bucket tha
 members of other classes than its centre's (the member of least id) are held against the centre, and
 what is alike becomes one class before the next bands are read. So a large family settles around its first text, and
 its later buckets hold one class and cost nothing. Buckets of three and more members that still hold several classes
-after all bands go on with sixteen times as many centres a round until each is done or all its members have been
+after all bands go on with more and more centres a round (``WIDTH``, and its square times as many each time) until each is done or all its members have been
 centres. Crowded ones are dealt anew first, into buckets by rare shingles: in any order of all shingles,
 two texts that are alike have their first common shingle where at least ``similarity`` of either
 text's weight is still to come, so each text enters the buckets of its shingles up to there, in
@@ -38,7 +38,7 @@ from ledgerline.llm.common import drop, mix, pair_hash, release, slices, small_b
 #: Six registers a band: of pairs at 0.8, 6 in 100,000 share none of the 32 bands; of pairs at 0.4, 7 in 8 share none.
 REGISTERS, BANDS = 192, 32
 #: Bands taken at a time; a bucket of more members than ``CROWD`` that is still mixed after all of them is dealt anew by rare shingles.
-GROUPS, CROWD = (1, 7, 24), 16
+GROUPS, CROWD, WIDTH = (1, 7, 24), 16, 16
 #: Counters of shingles' frequencies; shingles that share one only come later in the order.
 SLOTS = 1 << 20
 _IS_WORD = np.ones(256, bool)
@@ -206,12 +206,12 @@ def components(links: DataFrame) -> DataFrame:
 
 
 class Classes:
-    """Classes of nodes so far: ``labels`` (node, label) of those with a link, all ``links`` (a, c, similarity), the pairs ``done``, and
+    """Classes of nodes so far: ``labels`` (node, label) of those with a link, all ``links`` (a, c, similarity), and
     the ``pool`` of texts (id, text) that pairs have asked for."""
 
-    def __init__(self, texts: DataFrame, shingle: int, similarity: float):
-        self.texts, self.shingle, self.similarity = texts, shingle, similarity
-        self.spark, self.labels, self.links, self.done, self.pool = texts.sparkSession, None, None, None, None
+    def __init__(self, texts: DataFrame, unique: bool, shingle: int, similarity: float):
+        self.texts, self.unique, self.shingle, self.similarity = texts, unique, shingle, similarity
+        self.spark, self.labels, self.links, self.pool = texts.sparkSession, None, None, None
 
     def labelled(self, rows: DataFrame, node: str = "node", out: str = "label") -> DataFrame:
         if self.labels is None:
@@ -224,13 +224,15 @@ class Classes:
         ends = pairs.select(F.col("a").alias("id")).union(pairs.select("c")).distinct()
         if self.pool is not None:
             ends = ends.join(self.pool.select("id"), "id", "left_anti")
-        part = self.texts.join(ends, "id", "left_semi").withColumn("k", F.xxhash64("text")).dropDuplicates(["id", "k"]).drop("k")
+        part = self.texts.join(ends, "id", "left_semi")
+        if not self.unique:
+            part = part.withColumn("k", F.xxhash64("text")).dropDuplicates(["id", "k"]).drop("k")
         part = written(part, "minhash-texts")
         self.pool = part if self.pool is None else self.pool.union(part)
 
     def compare(self, pairs: DataFrame) -> None:
-        """Verifies distinct ``pairs`` (a, c) that have not been compared yet, and unites the classes of those that are alike."""
-        pairs = written(pairs if self.done is None else pairs.join(self.done, ["a", "c"], "left_anti"), "minhash-pairs")
+        """Verifies distinct ``pairs`` (a, c) of nodes of different classes, and unites the classes of those that are alike."""
+        pairs = written(pairs, "minhash-pairs")
         if not pairs.limit(1).count():
             return
         self._fetch(pairs)
@@ -238,7 +240,7 @@ class Classes:
         both = pairs.join(self.pool.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a") \
                     .join(self.pool.select(F.col("id").alias("c"), F.col("text").alias("text_c")), "c")
         found = written(_mapped(both, "a long, c long, similarity double", "text_a", lambda b: _verified(b, shingle, similarity)), "minhash-links")
-        self.done = pairs if self.done is None else self.done.union(pairs)
+        drop(self.spark, pairs)
         if found.limit(1).count():
             self.links = found if self.links is None else self.links.union(found)
             self._unite(found)
@@ -300,7 +302,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     banded = written(signed.join(nodes.select(F.col("node").alias("id"), "same", "size"), ["id", "same", "size"], "left_semi")
                      .select(F.col("id").alias("node"), F.posexplode("bands").alias("band", "bucket")).select("node", "bucket", group.alias("turn")), "minhash-bands", by="turn")
     any_room = [F.lit(None).cast("double").alias(c) for c in ROOM]
-    classes = Classes(texts, shingle, similarity)
+    unique = signed.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count() == 0
+    classes = Classes(texts, unique, shingle, similarity)
     for turn in range(len(GROUPS)):
         rows = classes.labelled(banded.filter(F.col("turn") == turn).select("node", "bucket", *any_room))
         classes.compare(_against(rows, _mixed(rows), similarity))
@@ -314,7 +317,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     if crowded.limit(1).count():
         of_them = written(texts.join(crowded.select(F.col("node").alias("id")), "id", "left_semi"), "minhash-crowded-texts")
         open_ = open_.unionByName(_rare_buckets(of_them, shingle, similarity).select("node", "bucket", *ROOM))
-    open_, width = written(open_.distinct(), "minhash-open"), 1
+    open_, width = written(open_.distinct(), "minhash-open"), WIDTH
     while True:
         rows = classes.labelled(open_)
         still = _mixed(rows).select("bucket")
@@ -328,7 +331,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         # a centre has met all of its bucket
         new = written(rows.select("node", "bucket", *ROOM).join(centres.select("bucket", F.col("c").alias("node")), ["bucket", "node"], "left_anti"), "minhash-open")
         drop(spark, open_, rows, centres)
-        open_, width = new, width * 16
+        open_, width = new, width * WIDTH**2
     drop(spark, open_)
     release(spark, left)
     labels, links = classes.labels, classes.links
