@@ -225,9 +225,11 @@ def _reserve_commands(order_lines: DataFrame) -> DataFrame:
 
 def reserve_orders(order_lines: DataFrame, initial_stock: DataFrame, epoch: str,
                    sep: str = ", ", prefix: str = config.INSUFFICIENT_STOCK_PREFIX,
-                   num_partitions: int | None = None, materialize: bool = True) -> dict[str, DataFrame]:
+                   num_partitions: int | None = None, materialize: bool = True, fold=None) -> dict[str, DataFrame]:
     """K7: all-or-nothing reservation of orders against initial stock.
 
+    ``fold``: ``apply_stock_commands``, or ``split_fold.apply_stock_commands_split`` where a product is hot.
+
     ``order_lines``: order_id, line_no, product_id, quantity, ts, seq (one
     row per item; orders arrive by ts and seq, their items by line_no).
     ``initial_stock``: product_id, available.
@@ -245,7 +247,7 @@ def reserve_orders(order_lines: DataFrame, initial_stock: DataFrame, epoch: str,
                                 F.lit(epoch).cast("timestamp").alias("ts"),
                                 F.lit(-1).cast("long").alias("seq"),
                                 F.lit(None).cast("int").alias("line_no"))
-    results = apply_stock_commands(init.unionByName(reserves), num_partitions)
+    results = (fold or apply_stock_commands)(init.unionByName(reserves), num_partitions)
     if materialize:
         from ledgerline.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(results.sparkSession)

@@ -22,6 +22,7 @@ from ledgerline.operators import orders as O
 from ledgerline.operators import parse as P
 from ledgerline.operators import rates as R
 from ledgerline.operators import saga as S
+from ledgerline.operators import split_fold as SF
 from ledgerline.operators import stock_view as V
 from ledgerline.plans.present import present
 from ledgerline.session import ensure_checkpoint_dir, scratch_path
@@ -273,6 +274,12 @@ def q_k2_reserve_stock(spark, sf_dir):
     return present(_fold_results(Tables(spark, sf_dir)))
 
 
+@register("k2_reserve_stock_split")
+def q_k2_reserve_stock_split(spark, sf_dir):
+    """The same command log with every product split over range partitions (proof by prefix sums, fold of the rest)."""
+    return present(SF.apply_stock_commands_split(D.stock_commands(Tables(spark, sf_dir))))
+
+
 @register("k2_stock_after_fold")
 def q_k2_stock_after_fold(spark, sf_dir):
     """K1 over the fold's ledger; the fold feeds two aggregates, so it is checkpointed once."""

@@ -679,6 +679,7 @@ K7_SQL = with_recursive(*RESERVE_FOLD) + f"""SELECT order_id, reserved, n_items,
        {_reason(config.INSUFFICIENT_STOCK_PREFIX, ', ')} AS reason FROM fold_outcome"""
 SQL.update({
     "k2_reserve_stock": K2_SQL,
+    "k2_reserve_stock_split": K2_SQL,
     "k2_reserve_stock_stream": K2_SQL,
     "k9_release_confirm_orders": with_recursive(*FOLD) + f"SELECT {RESULT_COLS} FROM results WHERE kind IN ('release', 'confirm')",
     "k2_stock_after_fold": with_recursive(*FOLD) + """SELECT product_id, CAST(available AS BIGINT) AS available, CAST(reserved AS BIGINT) AS reserved,
