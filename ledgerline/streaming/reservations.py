@@ -1,8 +1,8 @@
 """K7 / K9 as a stream: stock commands with all-or-nothing orders, one micro-batch at a time.
 
-The stock state lives in two log-structured keyed tables (``sources.sinks``):
-available stock per product and open reservations per (product, order) with
-a ``live`` flag. Each micro-batch runs the three passes of the batch
+The stock state lives in two keyed tables (``sources.sinks``): available stock
+per product and open reservations per (product, order), both cut by product, of
+which a micro-batch reads and writes the partitions it touches. Each micro-batch runs the three passes of the batch
 operator on the products it touches:
 
 1. fold every product's requests (``StockFold``), starting from the stored
@@ -19,7 +19,7 @@ ledger) and read back, cutting the lineage before the three passes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -41,7 +41,7 @@ class StockState:
         base = base.rstrip("/")
         self.base = base
         self.available = KeyedTable(f"{base}/available", ["product_id"], AVAILABLE_SCHEMA)
-        self.reservations = KeyedTable(f"{base}/reservations", ["product_id", "order_id"], RESERVATION_SCHEMA)
+        self.reservations = KeyedTable(f"{base}/reservations", ["product_id", "order_id"], RESERVATION_SCHEMA, bucket_by=["product_id"], keep="live")
         self.outcomes = f"{base}/outcomes"
         self.ledger = f"{base}/ledger"
 
@@ -78,10 +78,10 @@ def reserve_batch(spark: SparkSession, lines: DataFrame, batch_id: int, state: S
     lines.write.mode("overwrite").parquet(input_path)
     lines = spark.read.parquet(input_path)
     touched = lines.select("product_id").distinct()
-    known = state.available.read(spark, before=batch_id).join(touched, "product_id", "left_semi")
+    known = state.available.read(spark, before=batch_id, only=touched).join(touched, "product_id", "left_semi")
     fresh = (initial_stock.select("product_id", F.col("available").cast("int").alias("available"))
              .join(touched, "product_id", "left_semi").join(known.select("product_id"), "product_id", "left_anti"))
-    holds = (state.reservations.read(spark, before=batch_id).where("live")
+    holds = (state.reservations.read(spark, before=batch_id, only=touched)
              .join(touched, "product_id", "left_semi"))
     cmds = (_cmd(known.unionByName(fresh), "restore", "available")
             .unionByName(_cmd(holds, "hold", "quantity", "order_id"))
@@ -105,7 +105,7 @@ def reserve_batch(spark: SparkSession, lines: DataFrame, batch_id: int, state: S
     # pass 3: successful items of failed orders still held → released after the batch
     failed = outcome.where(~F.col("reserved")).select("order_id")
     comp = held_end.join(failed, "order_id", "left_semi")
-    earlier = (state.reservations.read(spark, before=batch_id).where("live").join(failed, "order_id", "left_semi")
+    earlier = (state.reservations.read(spark, before=batch_id).join(failed, "order_id", "left_semi")
                .join(changes.select("product_id", "order_id"), ["product_id", "order_id"], "left_anti")
                .select("product_id", "order_id", "quantity"))
     comp = comp.select("product_id", "order_id", "quantity").unionByName(earlier)
@@ -149,7 +149,7 @@ def read_outcomes(spark: SparkSession, base: str) -> DataFrame:
 def read_stock(spark: SparkSession, base: str) -> DataFrame:
     """Current state: available and reserved per product."""
     st = StockState(base)
-    held = (st.reservations.read(spark).where("live").groupBy("product_id")
+    held = (st.reservations.read(spark).groupBy("product_id")
             .agg(F.sum("quantity").cast("long").alias("reserved")))
     return (st.available.read(spark).join(held, "product_id", "left")
             .select("product_id", F.col("available").cast("long").alias("available"),
@@ -175,42 +175,106 @@ def envelope_commands(env: DataFrame, created_items: DataFrame) -> DataFrame:
 
 
 RECORD_ID = ["topic", "partition", "offset"]
+_ITEMS = T.ArrayType(T.StructType([T.StructField("product_id", T.StringType()), T.StructField("quantity", T.IntegerType())]))
 
 
-def start_inventory_stream(spark: SparkSession, envelopes: DataFrame, initial_stock: DataFrame, base: str, checkpoint: str,
-                           available_now: bool = True) -> StreamingQuery:
-    """K9 as a stream of ``order-events`` records, without any time limit.
+def _schema(ddl: str) -> T.StructType:
+    return T.StructType.fromDDL(ddl)
+
+
+class ConsumerState:
+    """What the inventory stream keeps beside the stock: offsets seen, items of created orders, and commands that wait for them."""
+
+    def __init__(self, base: str):
+        self.offsets = KeyedTable(f"{base}/offsets", ["topic", "partition"], _schema("topic string, partition int, seen array<struct<lo:long,hi:long>>"))
+        self.created = KeyedTable(f"{base}/created_items", ["order_id"],
+                                  T.StructType([T.StructField("order_id", T.StringType()), T.StructField("items", _ITEMS)]))
+        self.pending = KeyedTable(f"{base}/pending", ["order_id", "event_type", "offset", "timestamp"],
+                                  _schema("order_id string, event_type string, offset long, timestamp timestamp, waits boolean"), bucket_by=["order_id"], keep="waits")
 
-    Per micro-batch: records whose id an earlier batch has written are dropped however late
-    they come again (q12); Created items are written before they are read, so an order of this or any
-    earlier batch gives its items to its cancel and confirm (q20); records that do not decode go to
-    ``base/dead_letters``; the rest become stock commands (``reserve_batch``).
+    def ensure(self, spark: SparkSession) -> None:
+        for table in (self.offsets, self.created, self.pending):
+            table.ensure(spark)
+
+
+def unseen(records: DataFrame, seen: DataFrame) -> DataFrame:
+    """Records of no interval of ``seen`` (topic, partition, seen), once each; those without an id are always new."""
+    spans = seen.select("topic", "partition", F.explode("seen").alias("s"))
+    fresh = records.alias("r").join(spans.alias("s"), (F.col("r.topic") == F.col("s.topic")) & (F.col("r.partition") == F.col("s.partition"))
+                                    & F.col("r.offset").between(F.col("s.s.lo"), F.col("s.s.hi")), "left_anti")
+    with_id = F.col("topic").isNotNull() & F.col("partition").isNotNull() & F.col("offset").isNotNull()
+    return fresh.where(with_id).dropDuplicates(RECORD_ID).unionByName(fresh.where(~with_id))
+
+
+def with_offsets(seen: DataFrame, records: DataFrame) -> DataFrame:
+    """``seen`` with the offsets of ``records``: per (topic, partition) of either, its intervals of consecutive offsets, merged. How many
+    there are follows from the gaps in the offsets, not from how many records have come."""
+    new = records.where(F.col("topic").isNotNull() & F.col("partition").isNotNull() & F.col("offset").isNotNull()).select(*RECORD_ID).distinct()
+    by = Window.partitionBy("topic", "partition").orderBy("offset")
+    runs = new.withColumn("run", F.col("offset") - F.row_number().over(by)).groupBy("topic", "partition", "run").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"))
+    spans = runs.select("topic", "partition", "lo", "hi").unionByName(seen.select("topic", "partition", F.explode("seen").alias("s")).select("topic", "partition", "s.lo", "s.hi"))
+    order = Window.partitionBy("topic", "partition").orderBy("lo", "hi")
+    reach = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    starts = spans.withColumn("fresh", F.when(F.col("lo") <= reach + 1, 0).otherwise(1))
+    island = starts.withColumn("island", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    merged = island.groupBy("topic", "partition", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return merged.groupBy("topic", "partition").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("seen"))
+
+
+def consume_batch(spark: SparkSession, records: DataFrame, batch_id: int, stock: StockState, state: ConsumerState,
+                  initial_stock: DataFrame) -> None:
+    """One micro-batch of ``order-events`` records.
+
+    Records whose offset an earlier batch has seen are dropped however late they come again (q12). A cancel or confirm
+    without items takes those of its order's Created event, of this batch or an earlier one (q20); if that has
+    not come yet, it waits and is replayed, at its own time, in the batch that brings it. Records that do not decode go to
+    ``dead_letters``, handled events without any items and other types to ``warnings``; the rest become stock commands.
     """
     from ledgerline.operators import notify as N
     from ledgerline.operators import parse as P
-    state = StockState(base)
+    n, base = int(batch_id), stock.base
+    records_ids = records.select(*RECORD_ID)
+    seen = state.offsets.read(spark, before=n, only=records_ids).join(records_ids.select("topic", "partition").distinct(), ["topic", "partition"], "left_semi")
+    path = f"{base}/decoded/batch_id={n}"
+    P.parse_envelope(unseen(records, seen)).write.mode("overwrite").parquet(path)
+    env = spark.read.parquet(path)
+    state.offsets.upsert(with_offsets(seen, env), n)
+    N.dead_letter(env).write.mode("overwrite").parquet(f"{base}/dead_letters/batch_id={n}")
+
+    good = env.where("ok").select("order_id", "event_type", "items", "offset", "timestamp", "ok")
+    came = good.where(F.col("event_type") == "ORDER_CREATED").groupBy("order_id").agg(F.min_by("items", "offset").alias("items"))
+    needed = good.select("order_id").distinct()
+    known = state.created.read(spark, before=n, only=needed).join(needed, "order_id", "left_semi")
+    items = known.unionByName(came.join(known, "order_id", "left_anti"))
+    state.created.upsert(came.join(known, "order_id", "left_anti"), n)
+    items_path = f"{base}/items/batch_id={n}"
+    items.write.mode("overwrite").parquet(items_path)
+    items = spark.read.schema(state.created.schema).parquet(items_path)
+
+    waiting = state.pending.read(spark, before=n, only=came)
+    back = waiting.join(came.select("order_id"), "order_id", "left_semi")
+    handled = F.col("event_type").isin("ORDER_CANCELLED", "ORDER_CONFIRMED") & (F.size("items") == 0)
+    orphans = good.where(handled).join(items.select("order_id"), "order_id", "left_anti")
+    rows = ["order_id", "event_type", "offset", "timestamp"]
+    state.pending.upsert(orphans.select(*rows).withColumn("waits", F.lit(True)).unionByName(back.select(*rows).withColumn("waits", F.lit(False))), n)
+    now = good.join(orphans.select(*rows), [good[c].eqNullSafe(orphans[c]) for c in rows], "left_anti") \
+        .unionByName(back.select(*rows).withColumns({"items": F.array().cast(_ITEMS), "ok": F.lit(True)}))
+    fixed = P.recover_items(now, items)
+    routes = P.route_by_event_type(fixed)
+    routes["empty"].select("order_id", "event_type", F.lit("no items").alias("warning")).unionByName(
+        routes["ignored"].select("order_id", "event_type", F.lit("ignored").alias("warning"))) \
+        .write.mode("overwrite").parquet(f"{base}/warnings/batch_id={n}")
+    reserve_batch(spark, envelope_commands(now, items), n, stock, initial_stock)
+
+
+def start_inventory_stream(spark: SparkSession, envelopes: DataFrame, initial_stock: DataFrame, base: str, checkpoint: str,
+                           available_now: bool = True) -> StreamingQuery:
+    """K9 as a stream of ``order-events`` records, without any time limit (``consume_batch``)."""
+    stock, state = StockState(base), ConsumerState(base.rstrip("/"))
+    stock.ensure(spark)
     state.ensure(spark)
-    ids, created = f"{state.base}/record_ids", f"{state.base}/created_items"
-    created_ddl = "order_id string, items array<struct<product_id:string,quantity:int>>, batch_id long"
-    id_ddl = "topic string, partition int, offset long, batch_id long"
-
-    def batch(df: DataFrame, batch_id: int) -> None:
-        n = int(batch_id)
-        path = f"{state.base}/decoded/batch_id={n}"
-        seen = spark.read.schema(id_ddl).parquet(ids).where(F.col("batch_id") < n) if n else spark.createDataFrame([], id_ddl)
-        fresh = P.dedupe_records(df).join(seen.select(*RECORD_ID), RECORD_ID, "left_anti")
-        P.parse_envelope(fresh).write.mode("overwrite").parquet(path)
-        env = spark.read.parquet(path)
-        env.select(*RECORD_ID).write.mode("overwrite").parquet(f"{ids}/batch_id={n}")
-        env.where(F.col("ok") & (F.col("event_type") == "ORDER_CREATED")).select("order_id", "items") \
-            .write.mode("overwrite").parquet(f"{created}/batch_id={n}")
-        N.dead_letter(env).write.mode("overwrite").parquet(f"{state.base}/dead_letters/batch_id={n}")
-        needed = env.where("ok").select("order_id").distinct()
-        items = (spark.read.schema(created_ddl).parquet(created).where(F.col("batch_id") <= n)
-                 .join(needed, "order_id", "left_semi").groupBy("order_id").agg(F.min_by("items", "batch_id").alias("items")))
-        reserve_batch(spark, envelope_commands(env, items), n, state, initial_stock)
-
-    w = envelopes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
+    w = (envelopes.writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(lambda df, batch_id: consume_batch(spark, df, batch_id, stock, state, initial_stock)))
     if available_now:
         w = w.trigger(availableNow=True)
     return w.start()

@@ -89,11 +89,64 @@ def test_keyed_table_upsert_is_idempotent(spark, workdir):
     tbl.upsert(b2, 1)                      # later batch: true window total replaces
     rows = tbl.read(spark).collect()
     assert len(rows) == 1 and rows[0].order_count == 3 and rows[0].total_revenue == Decimal("15")
-    tbl.compact(spark, 2)
+    tbl.upsert(b2, 1)
     assert tbl.read(spark).first().order_count == 3
     assert isinstance(tbl, KeyedTable)
 
 
+def test_an_upsert_reads_and_writes_what_it_touches(spark, workdir):
+    import random
+    from pyspark.sql import types as T
+    schema = T.StructType.fromDDL("k string, v long, live boolean")
+    tbl = KeyedTable(os.path.join(workdir, "touch"), ["k"], schema, buckets=8, keep="live")
+    tbl.ensure(spark)
+    rng, truth, sizes = random.Random(3), {}, []
+    for n in range(7):
+        rows = {f"k{rng.randrange(40)}": (n, rng.random() > 0.3) for _ in range(5)}
+        before = tbl.versions(spark)
+        batch = spark.createDataFrame([(k, v, live) for k, (v, live) in rows.items()], schema)
+        for _ in range(1 + (n == 3)):  # one batch is retried
+            tbl.upsert(batch, n)
+        truth = {k: v for k, v in truth.items() if k not in rows} | {k: v for k, (v, live) in rows.items() if live}
+        assert {r.k: r.v for r in tbl.read(spark).collect()} == truth
+        after, touched = tbl.versions(spark), tbl.touched(batch)
+        assert all(after[b] == before.get(b) for b in after if b not in touched)  # the other partitions are as they were
+        sizes.append(max(len(v) for v in after.values()))
+    assert max(sizes) <= 2  # this version of a partition and the one before, after any number of batches
+
+
+def test_offset_intervals(spark):
+    from ledgerline.streaming import reservations as RS
+    ddl, seen_ddl = "topic string, partition int, offset long", "topic string, partition int, seen array<struct<lo:long,hi:long>>"
+    seen, batches, truth = spark.createDataFrame([], seen_ddl), [[1, 2, 3], [5, 6, 9], [4, 9, 2], [7, 8, 20], [10]], set()
+    for offsets in batches:
+        records = spark.createDataFrame([("t", 0, o) for o in offsets] + [("t", 0, offsets[0]), ("t", None, 1)], ddl)
+        got = [r.offset for r in RS.unseen(records, seen).collect() if r.partition is not None]
+        assert sorted(got) == sorted(set(offsets) - truth)
+        truth |= set(offsets)
+        seen = spark.createDataFrame(RS.with_offsets(seen, records).collect(), seen_ddl)
+    assert [[tuple(s) for s in r.seen] for r in seen.collect()] == [[(1, 10), (20, 20)]]
+
+
+def test_a_cancel_that_comes_before_its_created_waits_for_it(spark, workdir):
+    from ledgerline.streaming import reservations as RS
+    ddl = "topic string, key string, value string, partition int, offset long, timestamp timestamp"
+    stock = spark.createDataFrame([("A", 10)], "product_id string, available int")
+    state, kept = RS.StockState(os.path.join(workdir, "wait")), RS.ConsumerState(os.path.join(workdir, "wait"))
+    state.ensure(spark)
+    kept.ensure(spark)
+    cancel = ("order-events", "o1", envelope("ORDER_CANCELLED", orderId="o1", reason="r"), 0, 7, datetime(2024, 1, 2))
+    made = ("order-events", "o1", created("o1", ("A", 5)), 0, 8, datetime(2024, 1, 1))
+    other = ("order-events", "o2", envelope("ORDER_SHIPPED", orderId="o2"), 0, 9, datetime(2024, 1, 1))
+    for n, rows in enumerate([[cancel], [made, cancel], [cancel, other]]):
+        batch = spark.createDataFrame(rows, ddl)
+        for _ in range(1 + (n == 1)):  # one batch is retried
+            RS.consume_batch(spark, batch, n, state, kept, stock)
+        assert kept.pending.read(spark).count() == (1 if n == 0 else 0)
+    assert [(r.available, r.reserved) for r in RS.read_stock(spark, state.base).collect()] == [(10, 0)]
+    assert [r.warning for r in spark.read.parquet(f"{state.base}/warnings").collect()] == ["ignored"]
+
+
 def test_late_event_beyond_watermark_is_dropped(spark, workdir):
     """Spark drops rows older than the previous batch's watermark (and counts them)."""
     schema = "order_id string, customer_id string, total_amount decimal(19,4), status string, event_time timestamp"
@@ -266,7 +319,8 @@ def test_inventory_stream_loses_no_late_record_and_drops_each_redelivery(spark,
     RS.start_inventory_stream(spark, stream, stock, base, os.path.join(workdir, "latec")).awaitTermination()
     # o1 reserved and confirmed (2 gone), o2 reserved and cancelled (3 back): created items of earlier triggers were found
     assert [(r.available, r.reserved) for r in RS.read_stock(spark, base).collect()] == [(8, 0)]
-    assert spark.read.parquet(f"{base}/record_ids").count() == 5
+    seen = RS.ConsumerState(base).offsets.read(spark).collect()
+    assert [[tuple(s) for s in r.seen] for r in seen] == [[(1, 5)]]
     assert [r.key for r in spark.read.parquet(f"{base}/dead_letters").collect()] == ["o3"]
 
 
