@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.byte_bpe import mapped
-from ledgerline.llm.common import drop, pair_hash, slices, small_batches, text_bytes, word_hashes, written
+from ledgerline.llm.common import drop, pair_hash, release, slices, small_batches, text_bytes, word_hashes, written
 from ledgerline.llm.pretokens import WHITE_SPACE, HashIndex, ragged
 
 LENGTH, GAP, DECAY, POWER, SENTENCE = 3, 2, 0.6, 4, 8
@@ -261,6 +261,9 @@ class Sample:
     def drop(self) -> None:
         pass
 
+    def rest(self) -> None:
+        pass
+
 
 class SpreadSample(Sample):
     """A sample in a table (kind, data) that tasks read."""
@@ -285,7 +288,11 @@ class SpreadSample(Sample):
         return [pickle.loads(r.found) for r in self.rows.mapInArrow(run, "found binary").collect()]
 
     def drop(self) -> None:
-        drop(self.rows.sparkSession, self.rows)
+        release(self.rows.sparkSession, self.rows)
+
+    def rest(self) -> None:
+        """Lets the driver's JVM give back what the jobs so far have left in its heap."""
+        release(self.rows.sparkSession)
 
 
 def word_counts(kind: np.ndarray, column: pa.Array) -> pa.RecordBatch:
@@ -386,6 +393,7 @@ def fit_sample(sample: Sample, words: pa.Table, sizes: tuple[int, int], labelled
             if done:
                 break
         chosen = worst(part)
+        mapped_.rest()
     mapped_.drop()
     made = Machine(landmarks, part, float(w[-1]), 1.0, 0.0)
     decided = sample.gather(lambda kind, data: (kind, made.decide(data)))
