@@ -610,11 +610,12 @@ def q_k14_top_products_stream(spark, sf_dir):
     return present(top.read(spark))
 
 
-def _run_stream_to_parquet(spark, stream_df: DataFrame, name: str) -> DataFrame:
+def _run_stream_to_parquet(spark, stream_df: DataFrame, name: str, start=None) -> DataFrame:
     base = scratch_path(spark, name)
-    q = (stream_df.writeStream.outputMode("append").format("parquet")
-         .option("checkpointLocation", f"{base}/ckpt").option("path", f"{base}/out")
-         .trigger(availableNow=True).start())
+    writer = (stream_df.writeStream.outputMode("append").format("parquet")
+              .option("checkpointLocation", f"{base}/ckpt").option("path", f"{base}/out")
+              .trigger(availableNow=True))
+    q = start(spark, writer) if start else writer.start()
     q.awaitTermination()
     return spark.read.schema(stream_df.schema).parquet(f"{base}/out")
 
@@ -626,16 +627,40 @@ def _as_stream(spark, df: DataFrame, name: str) -> DataFrame:
     return spark.readStream.schema(df.schema).parquet(path)
 
 
+SLICE_ROWS = 1_000_000                   # records of a delivered file at most, about
+
+
+def deliver_in_order(df: DataFrame, ts: str, path: str, slices: int) -> None:
+    """Append ``df`` as ``slices`` files in the order of ``ts`` (equal times in one file, missing ones in the first)."""
+    cuts = df.agg(F.percentile_approx(ts, [i / slices for i in range(1, slices)]).alias("cuts")).first().cuts or []
+    cuts = sorted(set(cuts))
+    at = F.col(ts)
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
+        first = F.lit(True) if lo is None else at > F.lit(lo)
+        last = F.lit(True) if hi is None else at <= F.lit(hi)
+        part = (first & last) if lo is not None else (last | at.isNull())
+        df.where(part).coalesce(1).write.mode("append").parquet(path)
+
+
+def _as_ordered_stream(spark, df: DataFrame, name: str) -> DataFrame:
+    """A derived log read back as a stream whose triggers follow its time: one file each, by a topic's order."""
+    base = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(f"{base}/log")
+    log = spark.read.schema(df.schema).parquet(f"{base}/log")
+    deliver_in_order(log, "ts", f"{base}/files", max(4, -(-log.count() // SLICE_ROWS)))
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", "1").parquet(f"{base}/files")
+
+
 @register("k2_reserve_stock_stream")
 def q_k2_reserve_stock_stream(spark, sf_dir):
-    cmds = _as_stream(spark, D.stock_commands(Tables(spark, sf_dir)), "stock-commands")
-    return present(_run_stream_to_parquet(spark, ST.stock_fold_stream(cmds), "stock-fold-stream"))
+    cmds = _as_ordered_stream(spark, D.stock_commands(Tables(spark, sf_dir)), "stock-commands")
+    return present(_run_stream_to_parquet(spark, ST.stock_fold_stream(cmds), "stock-fold-stream", ST.start_with_rocksdb))
 
 
 @register("k10_order_commands_stream")
 def q_k10_order_commands_stream(spark, sf_dir):
     j = D.order_journal(Tables(spark, sf_dir))
-    cmds = _as_stream(spark, K.commands_from_journal(j), "order-commands")
+    cmds = _as_ordered_stream(spark, K.commands_from_journal(j), "order-commands")
     return present(_run_stream_to_parquet(spark, ST.order_command_stream(cmds), "order-command-stream"))
 
 

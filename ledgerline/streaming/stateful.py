@@ -1,58 +1,149 @@
 """Stateful streaming folds: K2–K5 per product and K10 per order.
 
-``applyInPandasWithState`` keeps each key's state in the state store
-(RocksDB when configured) between micro-batches; within a batch the key's
-rows are ordered by (ts, seq) and run through the same step functions as the
-batch folds, so batch and stream give the same results. A micro-batch's rows
-of one key are bounded by the trigger's ``maxFilesPerTrigger`` /
-``maxOffsetsPerTrigger``, never by the key's history.
+The state lives in the state store, and a batch touches only what it names:
+
+* a product (``transformWithStateInPandas``, RocksDB) has two counters
+  (available, reserved) and a map state with one entry per open reservation
+  (order → quantity). A batch reads the entries of the orders it mentions and
+  writes those it changed; closed reservations are removed, so neither memory
+  nor work follow from the history;
+* an order (``applyInPandasWithState``: very many keys of a few rows each,
+  one call a key) has its status.
+
+Within a trigger a key's rows are put in the order of the batch folds and run
+through the same step functions, so batch and stream give the same results.
+To be ordered they are held as tuples: what one key may bring at once is
+bounded by the stream's ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``
+(the registered queries set it), never by the key's history. Commands without
+a key share a key of their own, as in the batch folds. An empty stream gives
+no rows.
 """
 
 from __future__ import annotations
 
-import json
+from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ledgerline.operators.commands import OrderCommandFold
 from ledgerline.operators.inventory import COMMAND_COLS, COMMAND_ORDER, StockFold
 from ledgerline.schemas import ORDER_COMMAND_RESULT_DDL, STOCK_RESULT_DDL
 
-STOCK_STATE_DDL = "available long, reservations string"
+PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 ORDER_STATE_DDL = "status string"
+OUTPUT_ROWS = 10_000                       # result rows of one key handed to Spark at a time
+
+
+def start_with_rocksdb(spark: SparkSession, writer):
+    """Start a stream of this module; the session's own state store provider is set back afterwards."""
+    before = spark.conf.get(PROVIDER_KEY, None)
+    spark.conf.set(PROVIDER_KEY, ROCKSDB)
+    try:
+        return writer.start()
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER_KEY)
+        else:
+            spark.conf.set(PROVIDER_KEY, before)
+
+
+def _in_order(frames: Iterator[pd.DataFrame], order: list[str]) -> Iterator[dict]:
+    """A key's rows of one trigger, ordered as the batch folds order them (missing values first)."""
+    names, rows = None, []
+    for pdf in frames:
+        names = list(pdf.columns)
+        rows.extend(zip(*(pdf[c].tolist() for c in names), strict=True))
+    if not rows:
+        return
+    at = [names.index(c) for c in order]
+    rows.sort(key=lambda row: tuple((False, 0) if pd.isna(row[i]) else (True, row[i]) for i in at))
+    for row in rows:
+        yield dict(zip(names, row, strict=True))
+
+
+def _frames(results: Iterator[dict], columns) -> Iterator[pd.DataFrame]:
+    while part := list(islice(results, OUTPUT_ROWS)):
+        yield pd.DataFrame.from_records(part, columns=list(columns))
+
+
+class OpenReservations:
+    """A product's open reservations: the map state, read once an order and written once a trigger.
+
+    Offers what ``StockFold`` asks of its dict: ``in``, item access and ``pop``.
+    """
 
+    def __init__(self, entries):
+        self.entries = entries
+        self.stored = entries.exists()     # nothing stored yet: no entry needs to be looked up
+        self.before: dict = {}
+        self.now: dict = {}
 
-def _stock_fn(key, pdfs, state):
-    fold = StockFold()
-    if state.exists:
-        available, res = state.get
-        reservations = json.loads(res)
-        st = {"available": int(available), "reservations": reservations,
-              "reserved": sum(reservations.values())}
-    else:
-        st = fold.init_state(key)
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(COMMAND_ORDER, kind="stable", na_position="first")
-    out = [fold.step(st, row) for row in pdf.to_dict("records")]
-    state.update((st["available"], json.dumps(st["reservations"], sort_keys=True)))
-    yield pd.DataFrame.from_records(out, columns=list(fold.out_cols))
+    def _load(self, oid):
+        if oid not in self.before:
+            found = self.entries.getValue((oid,)) if self.stored and self.entries.containsKey((oid,)) else None
+            self.before[oid] = None if found is None else int(found[0])
+            self.now[oid] = self.before[oid]
+        return self.now[oid]
+
+    def __contains__(self, oid):
+        return self._load(oid) is not None
+
+    def __getitem__(self, oid):
+        return self._load(oid)
+
+    def __setitem__(self, oid, quantity):
+        self._load(oid)
+        self.now[oid] = quantity
+
+    def pop(self, oid):
+        quantity = self._load(oid)
+        self.now[oid] = None
+        return quantity
+
+    def flush(self):
+        for oid, quantity in self.now.items():
+            if quantity is None and self.before[oid] is not None:
+                self.entries.removeKey((oid,))
+            elif quantity is not None and quantity != self.before[oid]:
+                self.entries.updateValue((oid,), (quantity,))
+
+
+class StockProcessor(StatefulProcessor):
+    """K2–K5 for one product: counters in a value state, open reservations in a map state."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.fold = StockFold()
+        self.counters = handle.getValueState("counters", "available long, reserved long")
+        self.entries = handle.getMapState("reservations", "order_id string", "quantity long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        available, reserved = self.counters.get() or (0, 0)
+        reservations = OpenReservations(self.entries)
+        state = {"available": int(available), "reserved": int(reserved), "reservations": reservations}
+        yield from _frames((self.fold.step(state, row) for row in _in_order(rows, COMMAND_ORDER)), self.fold.out_cols)
+        reservations.flush()
+        self.counters.update((state["available"], state["reserved"]))
+
+    def close(self) -> None:
+        pass
 
 
 def stock_fold_stream(commands: DataFrame) -> DataFrame:
-    """Streaming K2–K5: stock command stream → result rows (append mode)."""
+    """Streaming K2–K5: stock command stream → result rows (append mode); start it by ``start_with_rocksdb``."""
     return (commands.select(*COMMAND_COLS).groupBy("product_id")
-            .applyInPandasWithState(_stock_fn, STOCK_RESULT_DDL, STOCK_STATE_DDL, "append",
-                                    GroupStateTimeout.NoTimeout))
+            .transformWithStateInPandas(StockProcessor(), STOCK_RESULT_DDL, "append", "none"))
 
 
 def _order_fn(key, pdfs, state):
     fold = OrderCommandFold()
     st = {"status": state.get[0]} if state.exists else fold.init_state(key)
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["seq", "ts"], kind="stable")
-    out = [fold.step(st, row) for row in pdf.to_dict("records")]
+    yield from _frames((fold.step(st, row) for row in _in_order(pdfs, ["seq", "ts"])), fold.out_cols)
     state.update((st["status"],))
-    yield pd.DataFrame.from_records(out, columns=list(fold.out_cols))
 
 
 def order_command_stream(commands: DataFrame) -> DataFrame:

@@ -55,14 +55,39 @@ def test_stock_fold_batch_equals_stream(spark, workdir):
     split_in_three(cmds, "ts", src)
     stream = spark.readStream.schema(cmds.schema).option("maxFilesPerTrigger", "1").parquet(src)
     out = os.path.join(workdir, "fold")
-    q = (ST.stock_fold_stream(stream).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", os.path.join(workdir, "ck")).trigger(availableNow=True).start())
+    before = spark.conf.get(ST.PROVIDER_KEY, None)
+    q = ST.start_with_rocksdb(spark, ST.stock_fold_stream(stream).writeStream.format("parquet").option("path", out)
+                              .option("checkpointLocation", os.path.join(workdir, "ck")).trigger(availableNow=True))
     q.awaitTermination()
+    assert spark.conf.get(ST.PROVIDER_KEY, None) == before
     streamed = spark.read.parquet(out)
     batch = I.apply_stock_commands(cmds)
     assert same(streamed.select(*batch.columns), batch)
 
 
+def test_the_stock_state_holds_open_reservations_only(spark, workdir):
+    """Twenty triggers of reservations, all but the last trigger's closed by the next: the state does not grow."""
+    ddl = "product_id string, kind string, order_id string, quantity int, ts timestamp, seq long, line_no int"
+    src, ck, out = (os.path.join(workdir, d) for d in ("src", "ck", "out"))
+    for b in range(20):
+        at = datetime(2024, 1, 1, 0, b)
+        rows = [("p", "replenish", None, 100, at, 0, None), (None, "replenish", None, 5, at, 0, None)] if b == 0 else []
+        rows += [("p", "release" if b % 2 else "confirm", f"o{b - 1}-{i}", None, at, 1, i) for i in range(3) if b]
+        rows += [("p", "reserve", f"o{b}-{i}", 2, at, 2, i) for i in range(3)]
+        rows += [("p", "reserve", f"o{b}-0", 9, at, 3, 0), ("p", "reserve", f"big{b}", 1000, at, 4, 0)]
+        spark.createDataFrame(rows[::-1], ddl).coalesce(1).write.mode("append").parquet(src)
+    cmds = spark.read.schema(ddl).parquet(src)
+    stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", "1").parquet(src)
+    q = ST.start_with_rocksdb(spark, ST.stock_fold_stream(stream).writeStream.format("parquet").option("path", out)
+                              .option("checkpointLocation", ck).trigger(availableNow=True))
+    q.awaitTermination()
+    assert q.lastProgress["batchId"] == 19
+    batch = I.apply_stock_commands(cmds)
+    assert same(spark.read.parquet(out).select(*batch.columns), batch)
+    state = spark.read.format("statestore").option("stateVarName", "reservations").load(ck)
+    assert sorted(r[0] for r in state.select("user_map_key.order_id").collect()) == ["o19-0", "o19-1", "o19-2"]
+
+
 def test_order_commands_batch_equals_stream(spark, workdir):
     from ledgerline.operators import commands as K
     cmds = K.commands_from_journal(D.order_journal(Tables(spark, SF)))
