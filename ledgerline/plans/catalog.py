@@ -647,7 +647,7 @@ def _as_ordered_stream(spark, df: DataFrame, name: str) -> DataFrame:
     base = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(f"{base}/log")
     log = spark.read.schema(df.schema).parquet(f"{base}/log")
-    deliver_in_order(log, "ts", f"{base}/files", max(4, -(-log.count() // SLICE_ROWS)))
+    deliver_in_order(log, "ts", f"{base}/files", max(2, -(-log.count() // SLICE_ROWS)))
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", "1").parquet(f"{base}/files")
 
 
@@ -676,6 +676,23 @@ def q_a10_batch_partial_metrics(spark, sf_dir):
     return present(M.batch_partial_metrics(ev, "chunk"))
 
 
+@register("a10_flush_partial_metrics")
+def q_a10_flush_partial_metrics(spark, sf_dir):
+    """A10: the events of each user cut after 200, or when the flush interval since the chunk's first event is over."""
+    ev = D.metric_events(Tables(spark, sf_dir)).withColumn("offset", F.col("order_id").cast("long"))
+    chunked = B.cut_batches(ev, FLUSH_EVENTS, FLUSH_SECONDS, key="customer_id")
+    return present(M.batch_partial_metrics(chunked, "customer_id", "chunk_start"))
+
+
+@register("a10_flush_partial_metrics_topic")
+def q_a10_flush_partial_metrics_topic(spark, sf_dir):
+    """A10 over the whole topic as one sequence, cut over range partitions; the bounds of each chunk."""
+    ev = D.metric_events(Tables(spark, sf_dir)).withColumn("offset", F.col("order_id").cast("long"))
+    chunked = B.cut_batches(ev, CHUNK_EVENTS, N.config.FLUSH_SECONDS)
+    return present(chunked.groupBy("chunk_start").agg(F.count("*").alias("events"), F.min("event_time").alias("first_time"),
+                                                      F.max("event_time").alias("last_time")))
+
+
 @register("k6_inventory_reservation_map")
 def q_k6_inventory_reservation_map(spark, sf_dir):
     """K6's reservations map as flattened entries (product, order → quantity) with the snapshot.

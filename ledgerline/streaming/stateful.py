@@ -2,7 +2,7 @@
 
 The state lives in the state store, and a batch touches only what it names:
 
-* a product (``transformWithStateInPandas``, RocksDB) has two counters
+* a product (``transformWithState``, RocksDB) has two counters
   (available, reserved) and a map state with one entry per open reservation
   (order → quantity). A batch reads the entries of the orders it mentions and
   writes those it changed; closed reservations are removed, so neither memory
@@ -21,11 +21,11 @@ no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -35,6 +35,7 @@ from ledgerline.schemas import ORDER_COMMAND_RESULT_DDL, STOCK_RESULT_DDL
 
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ORDER_COMMAND_COLS = ["order_id", "seq", "command", "ts"]
 ORDER_STATE_DDL = "status string"
 OUTPUT_ROWS = 10_000                       # result rows of one key handed to Spark at a time
 
@@ -52,17 +53,11 @@ def start_with_rocksdb(spark: SparkSession, writer):
             spark.conf.set(PROVIDER_KEY, before)
 
 
-def _in_order(frames: Iterator[pd.DataFrame], order: list[str]) -> Iterator[dict]:
+def _in_order(rows: Iterable[tuple], names: list[str], order: list[str]) -> Iterator[dict]:
     """A key's rows of one trigger, ordered as the batch folds order them (missing values first)."""
-    names, rows = None, []
-    for pdf in frames:
-        names = list(pdf.columns)
-        rows.extend(zip(*(pdf[c].tolist() for c in names), strict=True))
-    if not rows:
-        return
     at = [names.index(c) for c in order]
-    rows.sort(key=lambda row: tuple((False, 0) if pd.isna(row[i]) else (True, row[i]) for i in at))
-    for row in rows:
+    missing = lambda v: v is None or v != v                                        # noqa: E731
+    for row in sorted(rows, key=lambda row: tuple((False, 0) if missing(row[i]) else (True, row[i]) for i in at)):
         yield dict(zip(names, row, strict=True))
 
 
@@ -85,7 +80,7 @@ class OpenReservations:
 
     def _load(self, oid):
         if oid not in self.before:
-            found = self.entries.getValue((oid,)) if self.stored and self.entries.containsKey((oid,)) else None
+            found = self.entries.getValue((oid,)) if self.stored else None
             self.before[oid] = None if found is None else int(found[0])
             self.now[oid] = self.before[oid]
         return self.now[oid]
@@ -118,14 +113,17 @@ class StockProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.fold = StockFold()
+        self.result = Row(*self.fold.out_cols)
         self.counters = handle.getValueState("counters", "available long, reserved long")
         self.entries = handle.getMapState("reservations", "order_id string", "quantity long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         available, reserved = self.counters.get() or (0, 0)
         reservations = OpenReservations(self.entries)
         state = {"available": int(available), "reserved": int(reserved), "reservations": reservations}
-        yield from _frames((self.fold.step(state, row) for row in _in_order(rows, COMMAND_ORDER)), self.fold.out_cols)
+        for row in _in_order(rows, COMMAND_COLS, COMMAND_ORDER):
+            result = self.fold.step(state, row)
+            yield self.result(*(result[c] for c in self.fold.out_cols))
         reservations.flush()
         self.counters.update((state["available"], state["reserved"]))
 
@@ -136,18 +134,19 @@ class StockProcessor(StatefulProcessor):
 def stock_fold_stream(commands: DataFrame) -> DataFrame:
     """Streaming K2–K5: stock command stream → result rows (append mode); start it by ``start_with_rocksdb``."""
     return (commands.select(*COMMAND_COLS).groupBy("product_id")
-            .transformWithStateInPandas(StockProcessor(), STOCK_RESULT_DDL, "append", "none"))
+            .transformWithState(StockProcessor(), STOCK_RESULT_DDL, "append", "none"))
 
 
 def _order_fn(key, pdfs, state):
     fold = OrderCommandFold()
     st = {"status": state.get[0]} if state.exists else fold.init_state(key)
-    yield from _frames((fold.step(st, row) for row in _in_order(pdfs, ["seq", "ts"])), fold.out_cols)
+    rows = (row for pdf in pdfs for row in zip(*(pdf[c].tolist() for c in ORDER_COMMAND_COLS), strict=True))
+    yield from _frames((fold.step(st, row) for row in _in_order(rows, ORDER_COMMAND_COLS, ["seq", "ts"])), fold.out_cols)
     state.update((st["status"],))
 
 
 def order_command_stream(commands: DataFrame) -> DataFrame:
     """Streaming K10: order command stream → decision rows (append mode)."""
-    return (commands.select("order_id", "seq", "command", "ts").groupBy("order_id")
+    return (commands.select(*ORDER_COMMAND_COLS).groupBy("order_id")
             .applyInPandasWithState(_order_fn, ORDER_COMMAND_RESULT_DDL, ORDER_STATE_DDL, "append",
                                     GroupStateTimeout.NoTimeout))
