@@ -572,6 +572,17 @@ FROM (SELECT CAST(floor(CAST(order_id AS BIGINT) / {C.CHUNK_EVENTS}) AS BIGINT)
              date_trunc('hour', event_time) + INTERVAL {config.WINDOW_SECONDS} SECOND AS window_end,
              total_amount FROM metric_events) x
 GROUP BY chunk, window_start, window_end""",
+    "a10_flush_partial_metrics": with_ctes(CTE_METRIC_EVENTS, f"""placed AS (
+  SELECT row_number() OVER (ORDER BY event_time, CAST(order_id AS BIGINT)) AS i, * FROM metric_events)""", f"""steps AS (
+  SELECT i, event_time, total_amount, CAST(order_id AS BIGINT) AS event_id,
+         least(i + {config.BATCH_EVENTS}, 1 + max(i) OVER (ORDER BY event_time RANGE BETWEEN CURRENT ROW
+               AND INTERVAL {C.FLUSH_SECONDS * 1_000_000 - 1} MICROSECOND FOLLOWING)) AS follow FROM placed)""", """starts AS (
+  SELECT CAST(1 AS BIGINT) AS i UNION ALL SELECT s.follow FROM starts w JOIN steps s ON s.i = w.i)""").replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+SELECT x.event_id AS chunk_start, date_trunc('hour', e.event_time) AS window_start,
+       date_trunc('hour', e.event_time) + INTERVAL {config.WINDOW_SECONDS} SECOND AS window_end,
+       COUNT(*) AS order_count, {r4('SUM(e.total_amount)')} AS total_revenue
+FROM starts w JOIN steps x ON x.i = w.i JOIN steps e ON e.i >= x.i AND e.i < x.follow
+GROUP BY x.event_id, window_start, window_end""",
     "k6_inventory_reservation_map": with_ctes(*INV_CTES, CTE_STOCK_LEDGER) + """SELECT o.product_id, o.order_id,
        o.quantity, v.available, v.reserved, v.total
 FROM open_res o JOIN levels v ON v.product_id = o.product_id""",
