@@ -12,6 +12,8 @@ one task; the transition check pairs events with a self-join on
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,16 +125,41 @@ def order_status_filter(summary: DataFrame, customer_id: str | None = None,
     return summary
 
 
+NEWEST_FIRST = ("created_at", "order_id")
+MAX_PAGE = 1000                          # orders of a page whose keys may come to the driver
+
+
 def list_orders(summary: DataFrame, customer_id: str | None = None, status: str | None = None,
-                page: int = 0, size: int = config.PAGE_SIZE) -> DataFrame:
-    """Newest first, one page; order_id breaks ties (q18)."""
+                page: int = 0, size: int = config.PAGE_SIZE, after: tuple | None = None) -> DataFrame:
+    """Newest first, one page; order_id breaks ties (q18).
+
+    ``after`` is the (created_at, order_id) of the last order seen: the page begins behind it, whatever was
+    added before, and each task keeps ``size`` rows, however deep the page lies. ``page`` counts from there.
+    """
     if page < 0 or size < 1:
         raise ValueError("page must be >= 0 and size >= 1")
-    return (order_status_filter(summary, customer_id, status)
-            .orderBy(F.col("created_at").desc(), F.col("order_id").desc())
+    rows = order_status_filter(summary, customer_id, status)
+    if after is not None:
+        at, last = F.col("created_at"), F.lit(after[0])
+        rows = rows.where((at < last) | ((at == last) & (F.col("order_id") < F.lit(after[1]))))
+    return (rows.orderBy(*(F.col(c).desc() for c in NEWEST_FIRST))
             .offset(page * size).limit(size))
 
 
+def list_orders_late(state: DataFrame, details: Callable[[list[str]], DataFrame], size: int = config.PAGE_SIZE,
+                     **page) -> DataFrame:
+    """T3 with late materialisation: the page is found on the narrow ``state``, then its orders are fetched.
+
+    ``state`` needs order_id, customer_id, status and created_at; ``details(order_ids)`` gives the full rows of
+    those orders. Only the page's keys come to the driver, at most ``size`` (1 to ``MAX_PAGE``) of them, so that the
+    scans behind ``details`` can skip by key. Other arguments as ``list_orders``.
+    """
+    if size > MAX_PAGE:
+        raise ValueError(f"a page holds at most {MAX_PAGE} orders")
+    keys = [r["order_id"] for r in list_orders(state, size=size, **page).select("order_id").collect()]
+    return details(keys).orderBy(*(F.col(c).desc() for c in NEWEST_FIRST))
+
+
 def find_order(summary: DataFrame, order_id: str, check: bool = False) -> DataFrame:
     """Point lookup; with ``check`` a missing order raises ``LookupError``."""
     out = summary.where(F.col("order_id") == F.lit(order_id))

@@ -42,6 +42,12 @@ class Tables:
         merged.update(filters)
         return Tables(self.spark, self.sf_dir, merged)
 
+    def semi(self, keys: DataFrame, **columns: str) -> "Tables":
+        """Same tables with only the rows whose named column occurs in ``keys`` (one column); a semi-join at the scan."""
+        merged = dict(self.filters)
+        merged.update({name: (keys.toDF(column), column) for name, column in columns.items()})
+        return Tables(self.spark, self.sf_dir, merged)
+
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
@@ -53,7 +59,8 @@ class Tables:
                 per_session[path] = self.spark.read.parquet(path)
             df = per_session[path]
             if name in self.filters:
-                df = df.where(self.filters[name])
+                rows = self.filters[name]
+                df = df.join(rows[0], rows[1], "left_semi") if isinstance(rows, tuple) else df.where(rows)
             self._cache[name] = df
         return self._cache[name]
 

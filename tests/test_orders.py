@@ -98,6 +98,21 @@ def test_list_orders_paging_and_find(spark):
     assert page == ["o5", "o3"]
     page2 = [r.order_id for r in O.list_orders(s, customer_id="c1", page=1, size=2).collect()]
     assert page2 == ["o1"]
+    whole = O.list_orders(s, customer_id="c1", size=100).collect()
+    for i, r in enumerate(whole):
+        behind = O.list_orders(s, customer_id="c1", size=2, after=(r.created_at, r.order_id)).collect()
+        assert behind == whole[i + 1:i + 3]
+    fetched = []
+
+    def details(keys):
+        fetched.append(keys)
+        return s.where(F.col("order_id").isin(keys))
+
+    late = O.list_orders_late(s.select("order_id", "customer_id", "status", "created_at"), details, customer_id="c1", page=1, size=2)
+    assert late.collect() == whole[2:4] and fetched == [page2]
+    assert O.list_orders_late(s, details, customer_id="nobody").count() == 0
+    with pytest.raises(ValueError):
+        O.list_orders_late(s, details, size=O.MAX_PAGE + 1)
     assert O.find_order(s, "o4", check=True).count() == 1
     with pytest.raises(LookupError):
         O.find_order(s, "nope", check=True)

@@ -70,6 +70,19 @@ def test_range_query_pushes_event_time_to_the_scan(plans):
     assert "ReadSchema: struct<ts:timestamp_ntz,value:double>" in p
 
 
+def test_a_page_reads_the_lines_of_its_orders_only(spark, plans):
+    from ledgerline.operators import orders as O
+    from ledgerline.plans import catalog as C
+    from ledgerline.sources.tables import Tables
+    t = Tables(spark, SF)
+    narrow = plan_text(O.list_orders(C._order_state(t), status=C.LIST_STATUS))
+    assert "TakeOrderedAndProject" in narrow
+    lines = re.findall(r"ReadSchema: struct<(l_[^>]*)>", narrow)
+    assert lines and all(set(re.findall(r"(\w+):", s)) <= {"l_orderkey", "l_partkey"} for s in lines), lines
+    p = plans["t3_list_orders"]
+    assert len(re.findall(r"Location.*lineitem", p)) == len(re.findall(r"PushedFilters: \[.*In\(l_orderkey|PushedFilters: \[.*l_orderkey,\[", p)) > 0
+
+
 def test_point_lookup_pushes_the_key_to_the_scans(plans):
     p = plans["p15_find_order"]
     assert re.search(r"PushedFilters: \[.*EqualTo\(o_orderkey,1000\)", p)
