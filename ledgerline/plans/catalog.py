@@ -28,6 +28,7 @@ from ledgerline.operators import stock_view as V
 from ledgerline.plans.present import present
 from ledgerline.session import ensure_checkpoint_dir, scratch_path
 from ledgerline.sources import domain as D
+from ledgerline.sources import journal as JN
 from ledgerline.sources import topics as TP
 from ledgerline.sources.sinks import KeyedTable
 from ledgerline.sources.tables import Tables
@@ -173,6 +174,29 @@ def q_s4_order_journal(spark, sf_dir):
     return present(D.order_journal(Tables(spark, sf_dir)).select(*JOURNAL_COLS))
 
 
+LOST_PRIORITY, TWICE_PRIORITY = "2-HIGH", "3-MEDIUM"   # orders whose log ``damaged_journal`` breaks
+
+
+def damaged_journal(t) -> DataFrame:
+    """The journal with planted faults: event 1 of some orders is lost, event 0 of others stands twice (copy 0 and 1)."""
+    j = D.order_journal(t, ("priority",)).select("order_id", "order_key", "seq", "event_type", "ts", "priority")
+    kept = j.where(~((F.col("priority") == LOST_PRIORITY) & (F.col("seq") == 1)))
+    copies = F.when((F.col("priority") == TWICE_PRIORITY) & (F.col("seq") == 0), 2).otherwise(1)
+    return kept.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
+
+
+@register("s4_journal_audit")
+def q_s4_journal_audit(spark, sf_dir):
+    """A log read in two runs, the second resumed at the stored position; its gaps and repeats."""
+    base = scratch_path(spark, "journal")
+    JN.write_journal(damaged_journal(Tables(spark, sf_dir)), f"{base}/log", "ts", "order_key", "seq", "copy")
+    consumer = JN.JournalConsumer(spark, f"{base}/log", f"{base}/consumer")
+    half = spark.read.parquet(f"{base}/log").count() // 2
+    consumer.run(upto=half)
+    consumer.run()
+    return present(consumer.findings())
+
+
 @register("w1_replay_order_state")
 def q_w1_replay_order_state(spark, sf_dir):
     return present(O.replay_order_state(D.order_journal(Tables(spark, sf_dir))))

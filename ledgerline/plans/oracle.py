@@ -225,6 +225,16 @@ CTE_ENRICHED = """enriched AS (
 
 SQL.update({
     "s4_order_journal": with_ctes(*ORDER_CTES) + f"SELECT {JOURNAL_COLS} FROM journal",
+    "s4_journal_audit": with_ctes(*ORDER_CTES) + f"""SELECT order_id, position, seq,
+       CASE WHEN seq <= high THEN 'repeat' ELSE 'gap' END AS finding,
+       CASE WHEN seq > high THEN high + 1 END AS from_seq, CASE WHEN seq > high THEN seq - 1 END AS to_seq
+FROM (SELECT *, COALESCE(max(seq) OVER (PARTITION BY order_id ORDER BY position
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS high
+      FROM (SELECT j.order_id, seq, row_number() OVER (ORDER BY ts, order_key, seq, copy) - 1 AS position
+            FROM journal j JOIN orders ON o_orderkey = order_key, range(0, 2) c(copy)
+            WHERE NOT (o_orderpriority = '{C.LOST_PRIORITY}' AND seq = 1)
+              AND (copy = 0 OR (o_orderpriority = '{C.TWICE_PRIORITY}' AND seq = 0))) p) h
+WHERE seq <= high OR seq > high + 1""",
     "w1_replay_order_state": with_ctes(*ORDER_CTES) + f"""SELECT order_id, status, last_seq, updated_at,
        customer_id, {r4('total_amount')} AS total_amount, created_at, tracking_number, carrier
 FROM ({replay_sql()}) s""",
