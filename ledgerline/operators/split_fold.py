@@ -15,8 +15,8 @@ all commands lies in many of them.
    sequence, on the prefix sum of everything proven.
 4. The prefix sums of what then really moved are the stock and the reserved amount after each command.
 
-Whole rows are moved three times (to their order, to their place, and to what was decided about them) and
-kept once; running sums are made as the sorted rows stream by, and of the sums of earlier partitions only
+Whole rows are moved three times (to their order, to their place, and to what was decided about them), and
+what one move leaves is dropped before the next; running sums are made as the sorted rows stream by, and of the sums of earlier partitions only
 the first product of a partition has any, so they are as many as partitions.
 
 Nothing of a hot product is gathered but the commands without a proof, which stream through one task.
@@ -38,7 +38,7 @@ from ledgerline import config
 from ledgerline.operators.fold import KeyedFold, as_int_list, keyed_fold
 from ledgerline.operators.inventory import COMMAND_COLS, COMMAND_ORDER, StockFold
 from ledgerline.schemas import STOCK_RESULT_DDL
-from ledgerline.session import free_shuffles, scratch_path
+from ledgerline.session import drop_folder, free_shuffles, scratch_path
 
 _DECISION_DDL = "product_id string, pos long, ok boolean, applied boolean, effective_quantity int, message string, d_available long, d_reserved long, by_available long, by_reserved long"
 _DECIDED = ["ok", "applied", "effective_quantity", "message"]
@@ -50,7 +50,9 @@ _PART_BITS = 33                                             # ``monotonically_in
 def _kept(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
 
 
 def _template(text: str, values: dict[str, Column]) -> Column:
@@ -244,7 +246,10 @@ def apply_stock_commands_split(commands: DataFrame, num_partitions: int | None =
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     moves = _moves()
     placed = _placed(commands).withColumns({c: moves[c] for c in ("d_available", "d_least")})
+    placed = _kept(placed, "stock-placed")      # and what made it can go
+    free_shuffles(spark)
     kept = ranged(placed, n, {"d_least": "least", "d_available": "total"}, ("rank", "order_id", "nth"))
+    drop_folder(spark, placed._scratch)
     free_shuffles(spark)
     rows = _plus_earlier(kept, _earlier(kept, {c: F.col(c) for c in ("d_least", "d_available")}), {"d_least": "least", "d_available": "total"})
     rows = rows.where(_of_order()).withColumn("d_reserved", moves["d_reserved"])

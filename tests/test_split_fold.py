@@ -53,3 +53,21 @@ def test_hot_product_lies_in_many_partitions_and_only_doubts_are_folded(spark):
 
 def test_empty(spark):
     assert S.apply_stock_commands_split(spark.createDataFrame([], DDL)).collect() == []
+
+
+def test_whole_rows_are_kept_once(spark):
+    """Of the scratch tables of a fold only the sorted rows and the decisions are left; there were four tables of whole rows."""
+    import os
+    from ledgerline.session import ensure_checkpoint_dir
+    folder = os.path.join(ensure_checkpoint_dir(spark), "ledgerline")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    S.apply_stock_commands_split(spark.createDataFrame(commands(5, 300, 50), DDL), 4).collect()
+    assert sorted(name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before) == ["stock-decided", "stock-ranged"]
+
+
+def test_sums_of_earlier_partitions_are_as_many_as_partitions(spark):
+    rows = S.ranged(spark.createDataFrame(commands(6, 400, 50), DDL).withColumn("m", F.lit(1)), 6, {"m": "so_far"})
+    earlier = S._earlier(rows, {"m": F.col("m")})
+    assert earlier.count() <= 6
+    summed = S._plus_earlier(rows, earlier, {"m": "so_far"}).groupBy("product_id").agg(F.max("so_far").alias("last"), F.count("*").alias("n"))
+    assert summed.where("last != n").count() == 0 and summed.count() == 4
