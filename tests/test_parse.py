@@ -224,3 +224,23 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_envelopes_read_the_lines_once_and_equal_the_join_with_created(spark):
+    from ledgerline.plans import catalog as C
+    from ledgerline.sources import domain as D
+    from ledgerline.sources import topics as TP
+    from ledgerline.sources.tables import Tables
+    t = Tables(spark, "/root/testdata/sf0.001")
+    env = C._envelopes(t)
+    scans = [line for line in env._jdf.queryExecution().sparkPlan().toString().splitlines() if "FileScan" in line and "l_orderkey" in line]
+    assert len(scans) == 1
+    joined = TP.publish_order_events(D.order_journal(t), D.order_created(t))
+    assert env.exceptAll(joined).count() == 0 and joined.exceptAll(env).count() == 0
+
+
+def test_recovered_commands_decode_each_envelope_once(spark):
+    from ledgerline.plans import catalog as C
+    df = C.q_k9_recovered_commands(spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    assert "from_json" not in plan and "l_orderkey" not in plan
