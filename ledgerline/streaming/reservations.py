@@ -94,16 +94,22 @@ def reserve_batch(spark: SparkSession, lines: DataFrame, batch_id: int, state: S
 
     # pass 2: per-order outcome of this batch's reservation requests
     items = results.where(F.col("kind") == "reserve")
-    outcome = I.order_reservation_outcome(items, sep, prefix)
+    out_path = f"{state.outcomes}/batch_id={int(batch_id)}"
+    out = I.order_reservation_outcome(items, sep, prefix).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+    out.write.mode("overwrite").parquet(out_path)
+    out = spark.read.schema(out.schema).parquet(out_path)
     # where each (product, order) stands at the end of the batch
     order_of = F.struct(*I.COMMAND_ORDER)
     changes = (results.where(F.col("applied") & F.col("order_id").isNotNull())
                .groupBy("product_id", "order_id")
                .agg(F.max_by(F.struct("kind", "effective_quantity"), order_of).alias("last")))
+    changes_path = f"{state.base}/changes/batch_id={int(batch_id)}"     # several steps below start from it
+    changes.write.mode("overwrite").parquet(changes_path)
+    changes = spark.read.schema(changes.schema).parquet(changes_path)
     held_end = changes.where(F.col("last.kind") == "reserve").select(
         "product_id", "order_id", F.col("last.effective_quantity").alias("quantity"))
     # pass 3: successful items of failed orders still held → released after the batch
-    failed = outcome.where(~F.col("reserved")).select("order_id")
+    failed = out.where(~F.col("reserved")).select("order_id")
     comp = held_end.join(failed, "order_id", "left_semi")
     earlier = (state.reservations.read(spark, before=batch_id).join(failed, "order_id", "left_semi")
                .join(changes.select("product_id", "order_id"), ["product_id", "order_id"], "left_anti")
@@ -124,8 +130,6 @@ def reserve_batch(spark: SparkSession, lines: DataFrame, batch_id: int, state: S
     new_reservations = live.withColumn("live", F.lit(True)).unionByName(gone.withColumn("live", F.lit(False)))
     state.available.upsert(new_available, batch_id)
     state.reservations.upsert(new_reservations, batch_id)
-    out = outcome.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-    out.write.mode("overwrite").parquet(f"{state.outcomes}/batch_id={int(batch_id)}")
     return out
 
 
