@@ -19,7 +19,7 @@ ledger) and read back, cutting the lineage before the three passes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -179,6 +179,13 @@ def envelope_commands(env: DataFrame, created_items: DataFrame) -> DataFrame:
 
 
 RECORD_ID = ["topic", "partition", "offset"]
+OFFSET_BITS = 10                           # a block is 1,024 consecutive offsets
+
+
+def _block(offset) -> Column:
+    return F.shiftright(offset, OFFSET_BITS)
+
+
 _ITEMS = T.ArrayType(T.StructType([T.StructField("product_id", T.StringType()), T.StructField("quantity", T.IntegerType())]))
 
 
@@ -190,7 +197,8 @@ class ConsumerState:
     """What the inventory stream keeps beside the stock: offsets seen, items of created orders, and commands that wait for them."""
 
     def __init__(self, base: str):
-        self.offsets = KeyedTable(f"{base}/offsets", ["topic", "partition"], _schema("topic string, partition int, seen array<struct<lo:long,hi:long>>"))
+        self.offsets = KeyedTable(f"{base}/offsets", ["topic", "partition", "block"],
+                                  _schema("topic string, partition int, block long, seen array<struct<lo:long,hi:long>>"))
         self.created = KeyedTable(f"{base}/created_items", ["order_id"],
                                   T.StructType([T.StructField("order_id", T.StringType()), T.StructField("items", _ITEMS)]))
         self.pending = KeyedTable(f"{base}/pending", ["order_id", "event_type", "offset", "timestamp"],
@@ -205,24 +213,26 @@ def unseen(records: DataFrame, seen: DataFrame) -> DataFrame:
     """Records of no interval of ``seen`` (topic, partition, seen), once each; those without an id are always new."""
     spans = seen.select("topic", "partition", F.explode("seen").alias("s"))
     fresh = records.alias("r").join(spans.alias("s"), (F.col("r.topic") == F.col("s.topic")) & (F.col("r.partition") == F.col("s.partition"))
+                                    & (_block("r.offset") == _block("s.s.lo"))
                                     & F.col("r.offset").between(F.col("s.s.lo"), F.col("s.s.hi")), "left_anti")
     with_id = F.col("topic").isNotNull() & F.col("partition").isNotNull() & F.col("offset").isNotNull()
     return fresh.where(with_id).dropDuplicates(RECORD_ID).unionByName(fresh.where(~with_id))
 
 
 def with_offsets(seen: DataFrame, records: DataFrame) -> DataFrame:
-    """``seen`` with the offsets of ``records``: per (topic, partition) of either, its intervals of consecutive offsets, merged. How many
-    there are follows from the gaps in the offsets, not from how many records have come."""
+    """``seen`` with the offsets of ``records``: per (topic, partition) of either and block of offsets, the block's intervals of
+    consecutive offsets, merged. A row holds half a block of intervals at most, whatever the gaps, and no task a whole partition of a topic."""
     new = records.where(F.col("topic").isNotNull() & F.col("partition").isNotNull() & F.col("offset").isNotNull()).select(*RECORD_ID).distinct()
-    by = Window.partitionBy("topic", "partition").orderBy("offset")
-    runs = new.withColumn("run", F.col("offset") - F.row_number().over(by)).groupBy("topic", "partition", "run").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"))
-    spans = runs.select("topic", "partition", "lo", "hi").unionByName(seen.select("topic", "partition", F.explode("seen").alias("s")).select("topic", "partition", "s.lo", "s.hi"))
-    order = Window.partitionBy("topic", "partition").orderBy("lo", "hi")
+    of = ["topic", "partition", "block"]
+    by = Window.partitionBy(*of).orderBy("offset")
+    runs = new.withColumn("block", _block("offset")).withColumn("run", F.col("offset") - F.row_number().over(by)).groupBy(*of, "run").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"))
+    spans = runs.select(*of, "lo", "hi").unionByName(seen.select("topic", "partition", F.explode("seen").alias("s")).select("topic", "partition", _block("s.lo").alias("block"), "s.lo", "s.hi"))
+    order = Window.partitionBy(*of).orderBy("lo", "hi")
     reach = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
     starts = spans.withColumn("fresh", F.when(F.col("lo") <= reach + 1, 0).otherwise(1))
     island = starts.withColumn("island", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    merged = island.groupBy("topic", "partition", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    return merged.groupBy("topic", "partition").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("seen"))
+    merged = island.groupBy(*of, "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return merged.groupBy(*of).agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("seen")).select("topic", "partition", "seen")
 
 
 def consume_batch(spark: SparkSession, records: DataFrame, batch_id: int, stock: StockState, state: ConsumerState,
@@ -237,12 +247,12 @@ def consume_batch(spark: SparkSession, records: DataFrame, batch_id: int, stock:
     from ledgerline.operators import notify as N
     from ledgerline.operators import parse as P
     n, base = int(batch_id), stock.base
-    records_ids = records.select(*RECORD_ID)
-    seen = state.offsets.read(spark, before=n, only=records_ids).join(records_ids.select("topic", "partition").distinct(), ["topic", "partition"], "left_semi")
+    blocks = records.select("topic", "partition", _block("offset").alias("block")).distinct()
+    seen = state.offsets.read(spark, before=n, only=blocks).join(blocks, ["topic", "partition", "block"], "left_semi")
     path = f"{base}/decoded/batch_id={n}"
     P.parse_envelope(unseen(records, seen)).write.mode("overwrite").parquet(path)
     env = spark.read.parquet(path)
-    state.offsets.upsert(with_offsets(seen, env), n)
+    state.offsets.upsert(with_offsets(seen, env).withColumn("block", _block(F.col("seen")[0]["lo"])), n)
     N.dead_letter(env).write.mode("overwrite").parquet(f"{base}/dead_letters/batch_id={n}")
 
     good = env.where("ok").select("order_id", "event_type", "items", "offset", "timestamp", "ok")

@@ -400,3 +400,27 @@ def test_notification_sinks_hold_every_record(spark, workdir):
     assert {(r.value, r.reason) for r in sinks["dead_letters"]} == {
         ("not json", "malformed_json"), (None, "malformed_json"), ('{"CustomerEmail":"b@x"}', "missing_field:OrderId")}
     assert sorted((str(r.key), r.route) for r in sinks["others"]) == [("InventoryLow", "inventory"), ("None", "unknown"), ("OrderDelivered", "unknown")]
+
+
+def test_offset_intervals_of_a_gappy_topic_lie_in_many_rows(spark):
+    """A gap behind every offset: no row holds more than half a block of intervals."""
+    from ledgerline.streaming import reservations as RS
+    seen = spark.createDataFrame([], "topic string, partition int, seen array<struct<lo:long,hi:long>>")
+    records = spark.range(4000).selectExpr("'t' AS topic", "0 AS partition", "id * 8 AS offset")
+    seen = RS.with_offsets(seen, records).cache()
+    assert seen.selectExpr("max(size(seen))").first()[0] <= 512 and seen.selectExpr("sum(size(seen))").first()[0] == 4000
+    again = spark.range(5000).selectExpr("'t' AS topic", "0 AS partition", "id * 8 AS offset")
+    assert RS.unseen(again, seen).count() == 1000
+    seen.unpersist()
+
+
+def test_outcomes_of_a_batch_are_read_back_not_made_again(spark, workdir):
+    from ledgerline.streaming import reservations as RS
+    ddl = "order_id string, line_no int, product_id string, quantity int, ts timestamp, seq long"
+    state = RS.StockState(os.path.join(workdir, "once"))
+    state.ensure(spark)
+    stock = spark.createDataFrame([("A", 5), ("B", 1)], "product_id string, available int")
+    t0 = datetime(2024, 1, 1)
+    out = RS.reserve_batch(spark, spark.createDataFrame([("o1", 1, "A", 2, t0, 1), ("o2", 1, "B", 9, t0, 2)], ddl), 0, state, stock)
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.order_id: r.reserved for r in out.collect()} == {"o1": True, "o2": False}
