@@ -424,3 +424,22 @@ def test_outcomes_of_a_batch_are_read_back_not_made_again(spark, workdir):
     out = RS.reserve_batch(spark, spark.createDataFrame([("o1", 1, "A", 2, t0, 1), ("o2", 1, "B", 9, t0, 2)], ddl), 0, state, stock)
     assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert {r.order_id: r.reserved for r in out.collect()} == {"o1": True, "o2": False}
+
+
+def test_delivery_makes_one_pass_and_files_follow_time(spark, workdir):
+    """Files in time order by modification time, from one write (there was one a slice, each over the whole log)."""
+    from ledgerline.plans import catalog as C
+    rows = [(datetime(2024, 1, 1 + (i * 7) % 20), i) for i in range(200)] + [(None, -1)]
+    path = os.path.join(workdir, "delivered")
+    C.deliver_in_order(spark.createDataFrame(rows, "ts timestamp, i int").repartition(3), "ts", path, 4)
+    names = sorted((n for n in os.listdir(path) if n.startswith("part-")), key=lambda n: os.stat(os.path.join(path, n)).st_mtime)
+    assert len(names) > 2 and len({n.split("-", 2)[2] for n in names}) == 1   # one job
+    spans = [spark.read.parquet(os.path.join(path, n)).agg(F.min("ts"), F.max("ts"), F.count("*")).first() for n in names]
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:])) and sum(s[2] for s in spans) == 201
+
+
+def test_streamed_keys_share_the_calls_of_their_bucket(spark):
+    """A trigger's calls and state reads are bounded by the buckets, not one an order or a product."""
+    stream = spark.readStream.format("rate").load().selectExpr("cast(value AS string) AS order_id", "value AS seq", "'create' AS command", "timestamp AS ts")
+    plan = ST.order_command_stream(stream)._jdf.queryExecution().analyzed().toString()
+    assert "bucket" in plan
