@@ -44,8 +44,8 @@ LENGTH, GAP, DECAY, POWER, SENTENCE = 3, 2, 0.6, 4, 8
 #: Labelled toxic and clean rows the fit may read, landmarks from toxic and from clean texts, and words a worker remembers.
 SAMPLE, TOXIC_LANDMARKS, CLEAN_LANDMARKS, REMEMBERED = (1000, 2400), 96, 24, 1_000_000
 BEGIN, END, BREAK, SKIP = 62, 63, 254, 0
-#: Stretches and text bytes the fit handles at a time, words whose kernel is computed together, Newton steps a round, and partitions of the sample.
-BLOCK, PIECE, PART, STEPS, SPREAD = 2048, 1 << 18, 1024, 30, 12
+#: Stretches, text bytes and rows the fit handles at a time, words whose kernel is computed together, Newton steps a round, and partitions of the sample.
+BLOCK, PIECE, ROWS, PART, STEPS, SPREAD = 2048, 1 << 18, 128, 1024, 30, 12
 
 
 @lru_cache(maxsize=1)
@@ -405,7 +405,17 @@ def fit_sample(sample: Sample, words: pa.Table, sizes: tuple[int, int], labelled
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", sample: tuple[int, int] = SAMPLE) -> Machine:
     """Fits on the rows of ``docs`` with a label in ``labels`` (``doc_id``, ``toxic`` 0 or 1)."""
-    small_batches(docs.sparkSession)
+    spark, key = docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    small_batches(spark)
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), ROWS)))  # for the fit: a text's vectors are many times its size
+    try:
+        return _train(docs, labels, doc_id, text, toxic, sample)
+    finally:
+        spark.conf.set(key, before)
+
+
+def _train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, toxic: str, sample: tuple[int, int]) -> Machine:
     kinds, labelled = [], []
     for value, limit in zip((1, 0), sample):
         all_ids = labels.filter(F.col(toxic) == value).select(doc_id).distinct()

@@ -106,3 +106,15 @@ def test_odd_inputs(spark):
     assert all(0 <= r.score <= 1 for r in K.score(df, K.train(df, one)).collect())
     assert all(0 <= r.score <= 1 for r in Q.score(df, Q.train(df, one.filter("quality = 1"))).collect())
     assert K.score(df.limit(0), K.train(df, one)).count() == 0 == Q.score(df.limit(0), Q.train(df, one)).count()
+
+
+def test_the_toxicity_fit_reads_few_rows_a_batch(spark, monkeypatch):
+    """A batch of the fit's vectors is many times as large as its texts; the session's own setting comes back."""
+    from ledgerline.llm import kernel_toxicity as K
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    real = K.fit_sample
+    monkeypatch.setattr(K, "fit_sample", lambda *a: (seen.append(int(spark.conf.get(key))), real(*a))[1])
+    docs = spark.createDataFrame([(i, "you horrid rotten person" if i % 2 else "a quiet walk by the river") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    K.train(docs, labels)
+    assert seen and seen[0] <= 128 < int(spark.conf.get(key))
