@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import written
+from ledgerline.llm.common import small_reads, written
 
 SYMBOLS = "#*$%&|<>"
 #: A document fails a rule where this holds for its measures; base rules reject the document itself.
@@ -108,6 +108,7 @@ def beta_prior(hosts: DataFrame) -> dict[str, tuple[float, float]]:
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``host``, the measures, ``failed`` (its failed rules), ``base_failed``, ``host_failed``
     (the rules its host fails; empty for a sound host), ``kept``."""
+    small_reads(docs.sparkSession)
     rows = written(measured(docs, doc_id, text, host), "host-measures")
     hosts = written(rows.filter(F.col("host").isNotNull()).groupBy("host").agg(
         F.count("*").alias("n"), *(F.sum(F.col(f"fails_{rule}").cast("long")).alias(f"f_{rule}") for rule in RULES)), "host-sums")

@@ -99,3 +99,18 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "a b c", "h", "", 0, "")], SCHEMA)
     plan = R.measured(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_texts_are_read_in_small_column_batches(spark, tmp_path):
+    """A reader's batch of texts is one array; of 4,096 rows it takes tens of MB in a piece."""
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "4096")
+    try:
+        spark.createDataFrame([(i, "some words " * 40, f"host{i % 3}") for i in range(600)], "doc_id long, text string, source string").coalesce(1).write.parquet(f"{tmp_path}/d")
+        docs = spark.read.parquet(f"{tmp_path}/d")
+        assert R.judge(docs).count() == 600
+        batches = docs.select("text")._jdf.queryExecution().executedPlan().collectLeaves().head().executeColumnar().count()
+        assert batches >= 600 / 256
+    finally:
+        spark.conf.set(key, before)
