@@ -32,8 +32,8 @@ from ledgerline.llm.pretokens import HashIndex, ragged, split
 LONG = 256
 #: Pre-tokens a worker remembers (about 40 bytes each); when full, the memory starts anew.
 REMEMBERED = 1_000_000
-#: Cells of a matrix.
-CELLS = 1 << 20
+#: Cells of a matrix, and text bytes handled at a time.
+CELLS, PIECE = 1 << 20, 1 << 19
 NONE = np.int64(1) << 40
 
 
@@ -200,7 +200,7 @@ def mapped(df: DataFrame, column: str, out: str, kind: T.DataType, work) -> Data
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, PIECE):
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in names), work(part.column(column))], [*names, out])
 
     return df.mapInArrow(run, schema)

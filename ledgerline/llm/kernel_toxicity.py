@@ -44,8 +44,9 @@ LENGTH, GAP, DECAY, POWER, SENTENCE = 3, 2, 0.6, 4, 8
 #: Labelled toxic and clean rows the fit may read, landmarks from toxic and from clean texts, and words a worker remembers.
 SAMPLE, TOXIC_LANDMARKS, CLEAN_LANDMARKS, REMEMBERED = (1000, 2400), 96, 24, 1_000_000
 BEGIN, END, BREAK, SKIP = 62, 63, 254, 0
-#: Stretches, text bytes and rows the fit handles at a time, words whose kernel is computed together, Newton steps a round, and partitions of the sample.
-BLOCK, PIECE, ROWS, PART, STEPS, SPREAD = 2048, 1 << 18, 128, 1024, 30, 12
+#: Stretches, text bytes and rows the fit handles at a time, rows it reads at a time, words whose kernel is computed together, Newton steps a round,
+#: steps after which the driver's JVM may collect, and partitions of the sample.
+BLOCK, PIECE, ROWS, READ_ROWS, PART, STEPS, REST, SPREAD = 2048, 1 << 18, 128, 16, 1024, 30, 5, 12
 
 
 @lru_cache(maxsize=1)
@@ -210,6 +211,9 @@ class Machine:
 
     def decide(self, column: pa.Array) -> np.ndarray:
         """The worst stretch's decision value of each text."""
+        return np.concatenate([np.empty(0), *map(self._decide, _parts(column))])  # a piece's arrays are many times its size
+
+    def _decide(self, column: pa.Array) -> np.ndarray:
         s, out = split(column), np.full(len(column), self.bias)
         if len(s.start):
             total = np.concatenate(([0.0], np.cumsum(self.word_parts(s))))
@@ -258,6 +262,10 @@ class Sample:
         """``work(kind, data)`` of each block; the results come to the driver."""
         return [work(kind, data) for kind, data in self.blocks]
 
+    def total(self, work):
+        """The sum of ``work(kind, data)``, of which one a task comes to the driver."""
+        return sum(self.gather(work))
+
     def drop(self) -> None:
         pass
 
@@ -279,14 +287,21 @@ class SpreadSample(Sample):
 
         return SpreadSample(self.rows.mapInArrow(run, "kind int, data binary"))
 
-    def gather(self, work) -> list:
+    def _found(self, made) -> list:
+        """What ``made`` of a task's blocks yields, from all tasks."""
         def run(batches):
-            for batch in batches:
-                for part in slices(batch, "data"):
-                    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(work(part.column("kind").to_numpy(), part.column("data")))], pa.binary())], ["found"])
+            blocks = ((part.column("kind").to_numpy(), part.column("data")) for batch in batches for part in slices(batch, "data"))
+            for found in made(blocks):
+                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(found)], pa.binary())], ["found"])
 
         return [pickle.loads(r.found) for r in self.rows.mapInArrow(run, "found binary").collect()]
 
+    def gather(self, work) -> list:
+        return self._found(lambda blocks: (work(*block) for block in blocks))
+
+    def total(self, work):
+        return sum(self._found(lambda blocks: [sum(work(*block) for block in blocks)]))
+
     def drop(self) -> None:
         release(self.rows.sparkSession, self.rows)
 
@@ -376,14 +391,16 @@ def fit_sample(sample: Sample, words: pa.Table, sizes: tuple[int, int], labelled
         return np.vstack(mapped_.gather(of))
 
     def against(part: np.ndarray, bias: float, all_: bool) -> np.ndarray:
-        return sum(mapped_.gather(lambda kind, data: normal_equations(matrix(kind, data, 0, width)[0], -1.0, part, bias, all_)))
+        return mapped_.total(lambda kind, data: normal_equations(matrix(kind, data, 0, width)[0], -1.0, part, bias, all_))
 
-    n_clean = sum(mapped_.gather(lambda kind, data: len(matrix(kind, data, 0, width)[0])))
+    n_clean = mapped_.total(lambda kind, data: len(matrix(kind, data, 0, width)[0]))
     chosen, w, part = worst(telling.astype(np.float32)), None, np.zeros(width, np.float32)
     project = np.block([[root, np.zeros((width, 1))], [np.zeros((1, root.shape[1])), np.ones((1, 1))]])
     for _ in range(3):
         cost = 10.0 * np.sqrt(n_clean / len(chosen))
-        for _ in range(STEPS):  # Newton steps over the rows inside the margin
+        for step in range(STEPS):  # Newton steps over the rows inside the margin
+            if step % REST == REST - 1:
+                mapped_.rest()
             margin = (part, 0.0 if w is None else w[-1], w is None)
             both = cost * normal_equations(chosen, 1.0, *margin) + 10.0 * against(*margin)
             left = project.T @ both[:-1] @ project + np.diag([1.0] * root.shape[1] + [1e-6])
@@ -405,14 +422,17 @@ def fit_sample(sample: Sample, words: pa.Table, sizes: tuple[int, int], labelled
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", sample: tuple[int, int] = SAMPLE) -> Machine:
     """Fits on the rows of ``docs`` with a label in ``labels`` (``doc_id``, ``toxic`` 0 or 1)."""
-    spark, key = docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark = docs.sparkSession
     small_batches(spark)
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), ROWS)))  # for the fit: a text's vectors are many times its size
+    most = {"spark.sql.execution.arrow.maxRecordsPerBatch": ROWS, "spark.sql.parquet.columnarReaderBatchSize": READ_ROWS}
+    before = {key: spark.conf.get(key) for key in most}
+    for key, rows in most.items():  # for the fit: a text's vectors are many times its size
+        spark.conf.set(key, str(min(int(before[key]), rows)))
     try:
         return _train(docs, labels, doc_id, text, toxic, sample)
     finally:
-        spark.conf.set(key, before)
+        for key, rows in before.items():
+            spark.conf.set(key, rows)
 
 
 def _train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, toxic: str, sample: tuple[int, int]) -> Machine:

@@ -118,3 +118,34 @@ def test_the_toxicity_fit_reads_few_rows_a_batch(spark, monkeypatch):
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
     K.train(docs, labels)
     assert seen and seen[0] <= 128 < int(spark.conf.get(key))
+
+
+def test_texts_are_scored_in_small_pieces(monkeypatch):
+    """A piece's arrays are many times its size, so a slice of 2 MB is not split at once; scores do not depend on the pieces."""
+    toxic, clean = [f"you horrid person {i}" for i in range(9)], [f"a quiet walk {i}" for i in range(9)]
+    machine = K.fit(pa.array(toxic), pa.array(clean))
+    column, seen, real = pa.array([*toxic, None, "", *["a quiet horrid river. " * 2000] * 40]), [], K.split
+    alone = [machine.decide(column.slice(i, 1))[0] for i in range(len(column))]
+    monkeypatch.setattr(K, "split", lambda part: (seen.append(part.nbytes), real(part))[1])
+    assert machine.decide(column) == pytest.approx(alone, abs=1e-9)
+    assert max(seen) < 400_000 < column.nbytes
+    assert len(machine.decide(column.slice(0, 0))) == 0
+
+
+def test_the_toxicity_fit_reads_few_rows_at_a_time(spark, monkeypatch):
+    key, seen = "spark.sql.parquet.columnarReaderBatchSize", []
+    real = K.fit_sample
+    monkeypatch.setattr(K, "fit_sample", lambda *a: (seen.append(int(spark.conf.get(key))), real(*a))[1])
+    docs = spark.createDataFrame([(i, "you horrid rotten person" if i % 2 else "a quiet walk by the river") for i in range(40)], "doc_id long, text string")
+    K.train(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int"))
+    assert seen and seen[0] <= 16 < int(spark.conf.get(key)) <= 256
+
+
+def test_a_newton_step_sends_one_matrix_a_task(spark):
+    rows = spark.range(2000).selectExpr("cast(id % 2 as int) as kind", "cast(repeat('x', 10000) as binary) as data").repartition(3)
+    sample = K.SpreadSample(rows)
+    size = lambda kind, data: np.array([len(kind), kind.sum()])
+    assert sample.total(size).tolist() == [2000, 1000]
+    assert len(sample.gather(size)) > 3  # blocks
+    assert len(sample._found(lambda blocks: [sum(size(*b) for b in blocks)])) <= sample.rows.rdd.getNumPartitions()
+    assert K.SpreadSample(rows.limit(0)).total(lambda kind, data: len(kind)) == 0
