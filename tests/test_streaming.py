@@ -443,3 +443,60 @@ def test_streamed_keys_share_the_calls_of_their_bucket(spark):
     stream = spark.readStream.format("rate").load().selectExpr("cast(value AS string) AS order_id", "value AS seq", "'create' AS command", "timestamp AS ts")
     plan = ST.order_command_stream(stream)._jdf.queryExecution().analyzed().toString()
     assert "bucket" in plan
+
+
+def test_a_trigger_writes_counters_at_once_and_looks_up_open_pairs_only():
+    """2,000 new orders beside 3,000 open ones: no lookup but for the two orders that are closed."""
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+    from pyspark.sql import Row
+
+    class State(dict):
+        def __init__(self, calls):
+            self.calls = calls
+
+        def _did(self, what, result=None):
+            self.calls.append(what)
+            return result
+
+        get = lambda self: self._did("get", self.setdefault(0))                         # noqa: E731
+        update = lambda self, value: self._did("update", self.__setitem__(0, value))
+        iterator = lambda self: self._did("iterator", iter(self.items()))               # noqa: E731
+        getValue = lambda self, key: self._did("lookup", dict.get(self, key))           # noqa: E731
+        updateValue = lambda self, key, value: self._did("entry", self.__setitem__(key, value))
+        removeKey = lambda self, key: self._did("remove", self.pop(key))                # noqa: E731
+
+    class Handle:
+        def __init__(self):
+            self.calls, self.states = [], {}
+
+        def state(self, name, *schema):
+            return self.states.setdefault(name, State(self.calls))
+
+        getValueState = getMapState = state
+
+    handle, processor = Handle(), ST.StockProcessor()
+    processor.init(handle)
+
+    def trigger(*rows):
+        at = pd.Timestamp("2024-01-01", tz="UTC")
+        columns = zip(*[(p, k, o, q, at, s, 1, hash((p, o)), 0) for s, (p, k, o, q) in enumerate(rows)])
+        names = [*ST.COMMAND_COLS, "pair", ST.BUCKET]
+        packed, = ST._packed([pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)])
+        handle.calls.clear()
+        out = list(processor.handleInputRows((0,), iter([Row(data=d) for d in packed.column("data").to_pylist()]), None))
+        return [r for d in out for r in next(ST._unpacked([pa.RecordBatch.from_arrays([pa.array([d.data])], ["data"])])).to_pylist()]
+
+    trigger(*[(f"p{i}", "replenish", None, 100) for i in range(300)], *[(f"p{i % 300}", "reserve", f"o{i}", 1) for i in range(3000)])
+    assert len(handle.states["reservations"]) == 3000
+    out = trigger(("p0", "confirm", "o0", None), ("p1", "release", "o1", None), *[(f"p{i % 300}", "reserve", f"n{i}", 1) for i in range(2000)])
+    assert sum(r["applied"] for r in out) == len(out) == 2002
+    assert {c: handle.calls.count(c) for c in set(handle.calls) - {"get", "update"}} == {"lookup": 2, "remove": 2, "entry": 2000}
+    assert handle.calls.count("get") + handle.calls.count("update") <= 4
+    trigger(("p0", "reserve", "o0", 3))
+    assert handle.calls.count("lookup") <= 1 and handle.states["reservations"]["+p0", "o0"] == (3,)
+    held = {(p[1:], o) for p, o in handle.states["reservations"]}
+    known = ST.Known(*handle.states["base"][0], *handle.states["counters"][0][3:])
+    assert known.maybe(np.array([hash(pair) for pair in held])).all()
+    assert len(known.base) + len(known.opened) - len(known.closed) == len(held) == 4999
