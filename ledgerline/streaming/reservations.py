@@ -14,7 +14,8 @@ then writes the new state of the touched products and reservations as the
 batch's version. Reads only see versions before the batch, and every write
 is an overwrite of the batch's own partition, so a retried batch is
 idempotent. The fold results of a batch are written once (the batch's
-ledger) and read back, cutting the lineage before the three passes.
+ledger) and read back, cutting the lineage before the three passes. What a batch
+writes only to read it again, and the shuffles that made it, go as soon as nothing reads them.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline import config
 from ledgerline.operators import inventory as I
+from ledgerline.session import drop_folder, free_shuffles
 from ledgerline.sources.sinks import KeyedTable
 
 AVAILABLE_SCHEMA = T.StructType([T.StructField("product_id", T.StringType()),
@@ -58,25 +60,32 @@ def _cmd(df: DataFrame, kind: str, quantity: str, order_id=None) -> DataFrame:
                      F.lit(0 if kind == "restore" else 1).alias("rank"))
 
 
+def _written(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back; what was shuffled to make it can go."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    free_shuffles(spark)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def reserve_batch(spark: SparkSession, lines: DataFrame, batch_id: int, state: StockState,
                   initial_stock: DataFrame, sep: str = ", ",
-                  prefix: str = config.INSUFFICIENT_STOCK_PREFIX) -> DataFrame:
+                  prefix: str = config.INSUFFICIENT_STOCK_PREFIX, from_files: bool = False) -> DataFrame:
     """One micro-batch of stock commands; returns the batch's order outcomes (also written).
 
     ``lines``: product_id, order_id, quantity, ts, seq, line_no and an
     optional ``kind`` (reserve when absent; release / confirm / replenish
     otherwise), or order records (order_id, ts, seq, items) as ``order_records``
     makes them, which no trigger can split. Reserves are all-or-nothing per order:
-    a failed order also gives back what it holds from earlier batches.
+    a failed order also gives back what it holds from earlier batches. Lines that are
+    read ``from_files`` are not written again.
     """
     if "items" in lines.columns:
         lines = lines.select("order_id", "ts", "seq", F.explode("items").alias("i")).select("i.*", "order_id", "ts", "seq")
     if "kind" not in lines.columns:
         lines = lines.withColumn("kind", F.lit("reserve"))
-    # the micro-batch is used several times below: write it once, read it back
     input_path = f"{state.base}/input/batch_id={int(batch_id)}"
-    lines.write.mode("overwrite").parquet(input_path)
-    lines = spark.read.parquet(input_path)
+    if not from_files:      # the micro-batch is used several times below: write it once, read it back
+        lines = _written(spark, lines, input_path)
     touched = lines.select("product_id").distinct()
     known = state.available.read(spark, before=batch_id, only=touched).join(touched, "product_id", "left_semi")
     fresh = (initial_stock.select("product_id", F.col("available").cast("int").alias("available"))
@@ -89,23 +98,22 @@ def reserve_batch(spark: SparkSession, lines: DataFrame, batch_id: int, state: S
                                       "ts", F.col("seq").cast("long").alias("seq"),
                                       F.col("line_no").cast("int").alias("line_no"), F.lit(2).alias("rank"))))
     ledger_path = f"{state.ledger}/batch_id={int(batch_id)}"
-    I.apply_stock_commands(cmds).write.mode("overwrite").parquet(ledger_path)
-    results = spark.read.parquet(ledger_path)
+    results = _written(spark, I.apply_stock_commands(cmds), ledger_path)
+    drop_folder(spark, input_path)
+    touched = results.select("product_id").distinct()
 
     # pass 2: per-order outcome of this batch's reservation requests
     items = results.where(F.col("kind") == "reserve")
     out_path = f"{state.outcomes}/batch_id={int(batch_id)}"
     out = I.order_reservation_outcome(items, sep, prefix).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-    out.write.mode("overwrite").parquet(out_path)
-    out = spark.read.schema(out.schema).parquet(out_path)
+    out = _written(spark, out, out_path)
     # where each (product, order) stands at the end of the batch
     order_of = F.struct(*I.COMMAND_ORDER)
     changes = (results.where(F.col("applied") & F.col("order_id").isNotNull())
                .groupBy("product_id", "order_id")
                .agg(F.max_by(F.struct("kind", "effective_quantity"), order_of).alias("last")))
     changes_path = f"{state.base}/changes/batch_id={int(batch_id)}"     # several steps below start from it
-    changes.write.mode("overwrite").parquet(changes_path)
-    changes = spark.read.schema(changes.schema).parquet(changes_path)
+    changes = _written(spark, changes, changes_path)
     held_end = changes.where(F.col("last.kind") == "reserve").select(
         "product_id", "order_id", F.col("last.effective_quantity").alias("quantity"))
     # pass 3: successful items of failed orders still held → released after the batch
@@ -129,7 +137,10 @@ def reserve_batch(spark: SparkSession, lines: DataFrame, batch_id: int, state: S
             .join(live.select("product_id", "order_id"), ["product_id", "order_id"], "left_anti"))
     new_reservations = live.withColumn("live", F.lit(True)).unionByName(gone.withColumn("live", F.lit(False)))
     state.available.upsert(new_available, batch_id)
+    free_shuffles(spark)
     state.reservations.upsert(new_reservations, batch_id)
+    drop_folder(spark, changes_path)
+    free_shuffles(spark)
     return out
 
 
@@ -173,7 +184,10 @@ def envelope_commands(env: DataFrame, created_items: DataFrame) -> DataFrame:
     order_id, items) → P5 routing → one command per item, ordered by record offset.
     """
     from ledgerline.operators import parse as P
-    routed = P.route_by_event_type(P.recover_items(env, created_items))["commands"]
+    return _stock_commands(P.route_by_event_type(P.recover_items(env, created_items))["commands"])
+
+
+def _stock_commands(routed: DataFrame) -> DataFrame:
     return routed.select("product_id", "kind", "order_id", "quantity", F.col("timestamp").alias("ts"),
                          F.col("offset").cast("long").alias("seq"), (F.col("item_pos") + 1).cast("int").alias("line_no"))
 
@@ -209,14 +223,16 @@ class ConsumerState:
             table.ensure(spark)
 
 
-def unseen(records: DataFrame, seen: DataFrame) -> DataFrame:
-    """Records of no interval of ``seen`` (topic, partition, seen), once each; those without an id are always new."""
-    spans = seen.select("topic", "partition", F.explode("seen").alias("s"))
-    fresh = records.alias("r").join(spans.alias("s"), (F.col("r.topic") == F.col("s.topic")) & (F.col("r.partition") == F.col("s.partition"))
-                                    & (_block("r.offset") == _block("s.s.lo"))
-                                    & F.col("r.offset").between(F.col("s.s.lo"), F.col("s.s.hi")), "left_anti")
+def unseen(records: DataFrame, seen: DataFrame, decoded=lambda rows: rows) -> DataFrame:
+    """Records of no interval of ``seen`` (topic, partition, seen), once each; those without an id are always new.
+    What ``decoded`` makes of them, which keeps their ids, is dealt by blocks of offsets, once for both."""
+    spans = seen.select("topic", "partition", F.explode("seen").alias("s")).select("topic", "partition", _block("s.lo").alias("block"), "s.lo", "s.hi")
     with_id = F.col("topic").isNotNull() & F.col("partition").isNotNull() & F.col("offset").isNotNull()
-    return fresh.where(with_id).dropDuplicates(RECORD_ID).unionByName(fresh.where(~with_id))
+    fresh = decoded(records.where(with_id)).withColumn("block", _block("offset"))
+    of = ["topic", "partition", "block"]
+    same = [fresh[c] == spans[c] for c in of] + [fresh["offset"].between(spans["lo"], spans["hi"])]
+    return (fresh.join(spans, same, "left_anti").dropDuplicates([*of, "offset"]).drop("block")
+            .unionByName(decoded(records.where(~with_id))))
 
 
 def with_offsets(seen: DataFrame, records: DataFrame) -> DataFrame:
@@ -249,36 +265,40 @@ def consume_batch(spark: SparkSession, records: DataFrame, batch_id: int, stock:
     n, base = int(batch_id), stock.base
     blocks = records.select("topic", "partition", _block("offset").alias("block")).distinct()
     seen = state.offsets.read(spark, before=n, only=blocks).join(blocks, ["topic", "partition", "block"], "left_semi")
-    path = f"{base}/decoded/batch_id={n}"
-    P.parse_envelope(unseen(records, seen)).write.mode("overwrite").parquet(path)
-    env = spark.read.parquet(path)
+    decoded, items_path, events = (f"{base}/{name}/batch_id={n}" for name in ("decoded", "items", "events"))
+    # records are decoded before they are dealt by their ids: of those that do decode, the raw key and value have served
+    raw = {c: F.when(~F.col("ok"), F.col(c)) for c in ("key", "value")}
+    env = _written(spark, unseen(records, seen, lambda rows: P.parse_envelope(rows).withColumns(raw)), decoded)
     state.offsets.upsert(with_offsets(seen, env).withColumn("block", _block(F.col("seen")[0]["lo"])), n)
     N.dead_letter(env).write.mode("overwrite").parquet(f"{base}/dead_letters/batch_id={n}")
+    free_shuffles(spark)
 
     good = env.where("ok").select("order_id", "event_type", "items", "offset", "timestamp", "ok")
-    came = good.where(F.col("event_type") == "ORDER_CREATED").groupBy("order_id").agg(F.min_by("items", "offset").alias("items"))
+    created = good.where(F.col("event_type") == "ORDER_CREATED")
+    came = created.groupBy("order_id").agg(F.min_by("items", "offset").alias("items"))
     needed = good.select("order_id").distinct()
     known = state.created.read(spark, before=n, only=needed).join(needed, "order_id", "left_semi")
-    items = known.unionByName(came.join(known, "order_id", "left_anti"))
-    state.created.upsert(came.join(known, "order_id", "left_anti"), n)
-    items_path = f"{base}/items/batch_id={n}"
-    items.write.mode("overwrite").parquet(items_path)
-    items = spark.read.schema(state.created.schema).parquet(items_path)
-
-    waiting = state.pending.read(spark, before=n, only=came)
-    back = waiting.join(came.select("order_id"), "order_id", "left_semi")
+    items = _written(spark, known.unionByName(came.join(known, "order_id", "left_anti")), items_path)
+    state.created.upsert(items.join(known, "order_id", "left_anti"), n)
+    free_shuffles(spark)
+
+    ids = created.select("order_id").distinct()
+    back = state.pending.read(spark, before=n, only=ids).join(ids, "order_id", "left_semi")
     handled = F.col("event_type").isin("ORDER_CANCELLED", "ORDER_CONFIRMED") & (F.size("items") == 0)
-    orphans = good.where(handled).join(items.select("order_id"), "order_id", "left_anti")
     rows = ["order_id", "event_type", "offset", "timestamp"]
-    state.pending.upsert(orphans.select(*rows).withColumn("waits", F.lit(True)).unionByName(back.select(*rows).withColumn("waits", F.lit(False))), n)
-    now = good.join(orphans.select(*rows), [good[c].eqNullSafe(orphans[c]) for c in rows], "left_anti") \
-        .unionByName(back.select(*rows).withColumns({"items": F.array().cast(_ITEMS), "ok": F.lit(True)}))
-    fixed = P.recover_items(now, items)
-    routes = P.route_by_event_type(fixed)
+    again = back.select(*rows).withColumns({"items": F.array().cast(_ITEMS), "ok": F.lit(True), "handled": F.lit(False)})
+    fixed = P.recover_items(good.withColumn("handled", handled).unionByName(again), items, found="found")
+    fixed = _written(spark, fixed.withColumn("waits", F.col("handled") & ~F.col("found")).drop("handled", "found"), events)
+    state.pending.upsert(fixed.where("waits").select(*rows, "waits").unionByName(back.select(*rows).withColumn("waits", F.lit(False))), n)
+    routes = P.route_by_event_type(fixed.where("not waits"))
     routes["empty"].select("order_id", "event_type", F.lit("no items").alias("warning")).unionByName(
         routes["ignored"].select("order_id", "event_type", F.lit("ignored").alias("warning"))) \
         .write.mode("overwrite").parquet(f"{base}/warnings/batch_id={n}")
-    reserve_batch(spark, envelope_commands(now, items), n, stock, initial_stock)
+    for path in (decoded, items_path):
+        drop_folder(spark, path)
+    free_shuffles(spark)
+    reserve_batch(spark, _stock_commands(routes["commands"]), n, stock, initial_stock, from_files=True)
+    drop_folder(spark, events)
 
 
 def start_inventory_stream(spark: SparkSession, envelopes: DataFrame, initial_stock: DataFrame, base: str, checkpoint: str,

@@ -500,3 +500,27 @@ def test_a_trigger_writes_counters_at_once_and_looks_up_open_pairs_only():
     known = ST.Known(*handle.states["base"][0], *handle.states["counters"][0][3:])
     assert known.maybe(np.array([hash(pair) for pair in held])).all()
     assert len(known.base) + len(known.opened) - len(known.closed) == len(held) == 4999
+
+
+def test_a_batch_leaves_no_copy_of_its_records_behind(spark, workdir):
+    """What a batch writes to read it again goes with it, and good records are not kept raw; a redelivery changes nothing."""
+    from ledgerline.operators import parse as P
+    from ledgerline.sources import topics as TP
+    from ledgerline.streaming import reservations as RS
+    t = Tables(spark, SF)
+    records = TP.publish_order_events(D.order_journal(t), D.order_created(t))
+    bad = records.limit(1).withColumns({"value": F.lit("{cut"), "offset": F.lit(None).cast("long"), "key": F.lit("bad")})
+    records = records.unionByName(records).unionByName(bad)
+    once = RS.unseen(records, spark.createDataFrame([], "topic string, partition int, seen array<struct<lo:long,hi:long>>"), P.parse_envelope)
+    assert once.count() == records.distinct().count()
+    assert once.where("ok")._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(topic") <= 2      # each side of the join
+    base = os.path.join(workdir, "lean")
+    stock, state = RS.StockState(base), RS.ConsumerState(base)
+    stock.ensure(spark)
+    state.ensure(spark)
+    for n in range(2):
+        RS.consume_batch(spark, records, n, stock, state, D.stock_initial(t))
+        left = {d: [f for _, _, fs in os.walk(os.path.join(base, d)) for f in fs] for d in ("decoded", "items", "events", "input", "changes")}
+        assert not any(left.values()), left
+    assert spark.read.parquet(f"{base}/ledger").where("kind = 'reserve'").count() == t.lineitem.count()
+    assert [r.value for r in spark.read.parquet(f"{base}/dead_letters").collect()] == ["{cut", "{cut"]
