@@ -122,3 +122,27 @@ def test_the_unknown_class_is_learnt_from_every_document(spark):
     """One line a document, in more documents than the sample that once taught it."""
     docs = spark.range(700).selectExpr("id AS doc_id", "concat('You may use the copy ', id, ' in the library free of charge.') AS text")
     assert L.train(docs).units == 2 * 700  # the line, and the window it lies in
+
+
+def test_every_unit_is_scored_whether_or_not_a_template_confirms_it(spark, scanner):
+    """The regression sees all units: a slow version over every line that is a notice and every window."""
+    from math import exp
+    weights = {w[0]: w[1:] for w in scanner.weights}
+    texts = [(1, f"{filler(100)}\nReleased under the MIT License.\n{filler(30, 3)}"), (2, filler(500)), (3, ""), (4, "of the licensed"), (5, None),
+             (6, f"{filler(40)} licensed under the unheard of licensed version license {filler(40)}")]
+
+    def slow(text):
+        lines = [re.findall(r"[^\W_]+", p.lower()) for p in (text or "").split("\n") if p.strip(" ")]
+        alone = [ws for ws in lines if " ".join(ws) == "released under the mit license"]
+        flat = [w for ws in lines for w in ([""] if ws in alone else ws)]
+        units = alone + [flat[k:k + L.WINDOW] for k in range(0, len(flat), L.STEP)]
+        tops = []
+        for ws in units:
+            grams = set(ws) | {f"{a} {b}" for a, b in zip(ws, ws[1:])}
+            z = [c + sum(weights[g][k] for g in grams if g in weights) for k, c in enumerate(scanner.intercepts)]
+            tops.append(max(1 / (1 + exp(z[-1] - zk)) for zk in z[:-1]))
+        return len(units), sum(t >= scanner.least for t in tops) - len(alone), pytest.approx(max(tops, default=0.0))
+
+    rows = scanned(spark, scanner, texts)
+    assert [(r.n_units, r.n_unconfirmed, r.highest) for r in rows] == [slow(t) for _, t in texts]
+    assert rows[1].highest > 0 == rows[1].n_licensed and rows[0].best == rows[0].highest
